@@ -267,9 +267,9 @@ WHERE o_orderkey >= (SELECT min(o_orderkey) FROM orders WHERE o_custkey = {Q.CUR
     o["take_until"] = f"""
 SELECT o_orderkey, o_custkey FROM orders, (SELECT min(o_orderkey) AS stop FROM orders WHERE o_custkey = {Q.CURSOR_CUSTOMER}) s
 WHERE s.stop IS NULL OR o_orderkey <= s.stop"""
-    o["denylist_anti"] = """
+    o["denylist_anti"] = f"""
 SELECT event_id, user_id, event_type FROM events
-WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error')"""
+WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND ts < TIMESTAMP '{Q.DONE_CUTOFF}')"""
     o["not_yet_sent"] = f"""
 SELECT DISTINCT user_id AS id, event_type AS name FROM events WHERE ts >= TIMESTAMP '{Q.HISTORY_CUTOFF}'
 EXCEPT SELECT user_id, event_type FROM events WHERE ts < TIMESTAMP '{Q.HISTORY_CUTOFF}'"""

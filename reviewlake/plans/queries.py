@@ -26,7 +26,8 @@ RANGE_START_KEY = 7500          # S12 range scan start key
 RANGE_LIMIT = 1000              # S12 rows per range scan
 FIRST_N = 20                    # S11 first rows in key order
 CURSOR_CUSTOMER = 700           # F9/F10 cursor key
-HISTORY_CUTOFF = "2024-01-16"   # J7 messages before this time are the already-sent history
+HISTORY_CUTOFF = "2024-01-04"   # J7 messages before this time are the already-sent history
+DONE_CUTOFF = "2024-01-02"      # F8 users with an error before this time are on the done list
 STOPWORDS_TOP = 50              # N12 stop words = the most frequent words
 KNN_K = 20                      # T3 neighbours per query
 COSINE_K = 5                    # T2 top-n by cosine
@@ -151,12 +152,11 @@ def cells_unpivoted(spark, base):
 
 
 def cells_to_map(spark, base):
-    """K14 + P2: star cells ``stars:{n}:{count|percent}`` -> map of maps, read back as rows."""
+    """K14 + P2: star cells ``stars:{n}:count`` -> map of maps, read back as rows."""
     ov = standins.star_overview(table(spark, base, "lineitem"))
     cells = (ov.select(F.col("product_id").alias("row_key"), F.explode("stars").alias("star", "v"))
-             .select("row_key", "star", F.col("v.count").cast("string").alias("count"),
-                     F.col("v.percent").cast("string").alias("percent")))
-    cells = cells.unpivot(["row_key", "star"], ["count", "percent"], "attr", "value").select(
+             .select("row_key", "star", F.col("v.count").cast("string").alias("count")))
+    cells = cells.unpivot(["row_key", "star"], ["count"], "attr", "value").select(
         "row_key", F.concat_ws(":", F.lit("stars"), "star", "attr").alias("column"), "value")
     m = reshape.cells_to_map(cells, "stars")
     return (m.select("row_key", F.explode("stars").alias("star", "inner"))
@@ -178,9 +178,11 @@ def take_until(spark, base):
 
 
 def denylist_anti(spark, base):
-    """Events of users that never raised an error."""
+    """Events of users not on the done list (users with an error on the first day)."""
     ev = table(spark, base, "events").select("event_id", "user_id", "event_type")
-    done = ev.filter(F.col("event_type") == "error").select("user_id").distinct()
+    ts = table(spark, base, "events").select("user_id", "event_type", "ts")
+    done = (ts.filter((F.col("event_type") == "error") & (F.col("ts") < F.lit(DONE_CUTOFF).cast("timestamp_ntz")))
+            .select("user_id").distinct())
     return filters.skip_done(ev, done, "user_id")
 
 

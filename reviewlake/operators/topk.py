@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.functions import vectors as vx
+from reviewlake.session import cut_lineage
 
 RANK_DIGITS = 9          # scores are compared after rounding, so engines agree on ties
 DEFAULT_BLOCK_ROWS = 2048
@@ -87,12 +88,20 @@ def _block_topk(k: int, metric: str):
 
 
 def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "l2", id_col: str = "id",
-        qid_col: str = "qid", vec_col: str = "vec", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+        qid_col: str = "qid", vec_col: str = "vec", block_rows: int = DEFAULT_BLOCK_ROWS,
+        materialize: bool = True) -> DataFrame:
     """The k best vectors per query -> (qid, id, score, rank).
 
     ``l2``: squared Euclidean distance, ascending. ``cosine`` / ``dot``: similarity, descending.
-    Ties are broken by id. Row counts (two cheap actions) size the blocks.
+    Ties are broken by id. Row counts (two cheap actions) size the blocks. With ``materialize``
+    the inputs are written once to the shared folder, so counting and block replication do not
+    recompute their upstream plans.
     """
+    if materialize:
+        same = vectors is queries
+        vectors = cut_lineage(vectors.select(id_col, vec_col), "knn-vectors")
+        queries = vectors.withColumnRenamed(id_col, qid_col) if same else cut_lineage(
+            queries.select(qid_col, vec_col), "knn-queries")
     bv = _blocks(vectors.count(), block_rows)
     bq = _blocks(queries.count(), block_rows)
     v = vectors.select(F.lit("v").alias("side"), F.col(id_col).cast("long").alias("key"),

@@ -389,14 +389,14 @@ def unit_vectors(spark, base):
 def knn_l2(spark, base):
     """K nearest unit vectors by squared L2 for every vector."""
     v = topk.build_vector_table(_vectors(spark, base))
-    r = topk.knn(v, v.withColumnRenamed("id", "qid"), KNN_K, metric="l2")
+    r = topk.knn(v, v, KNN_K, metric="l2")
     return r.select("qid", "id", "rank", F.round("score", 6).alias("dist"))
 
 
 def similar_items(spark, base):
     """M9 + F5: nearest neighbours with the query itself dropped."""
     v = topk.build_vector_table(_vectors(spark, base))
-    r = topk.knn(v, v.withColumnRenamed("id", "qid"), KNN_K, metric="l2")
+    r = topk.knn(v, v, KNN_K, metric="l2")
     r = r.filter(F.col("id") != F.col("qid"))
     return r.select("qid", "id", F.round("score", 6).alias("dist"))
 
@@ -404,7 +404,7 @@ def similar_items(spark, base):
 def cosine_topk(spark, base):
     """Top-n by cosine for every vector (the query itself included)."""
     v = _vectors(spark, base)
-    r = topk.knn(v, v.withColumnRenamed("id", "qid"), COSINE_K, metric="cosine")
+    r = topk.knn(v, v, COSINE_K, metric="cosine")
     return r.select("qid", "id", "rank", F.round("score", 6).alias("cosine"))
 
 

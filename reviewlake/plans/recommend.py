@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from reviewlake.operators import aggs, filters
 from reviewlake.operators.joins import broadcast_if_small
 from reviewlake.operators.topk import RANK_DIGITS
+from reviewlake.session import cut_lineage
 
-SPARSE_BLOCK_ROWS = 1024
+SPARSE_BLOCK_ROWS = 2048
 
 
 def tfidf_terms(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
@@ -53,6 +54,24 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features_vec") -> DataF
     return VectorAssembler(inputCols=cols, outputCol=out).transform(df)
 
 
+DENSE_MAX_CELLS = 8_000_000   # a block pair goes dense when rows x local vocabulary stays below this
+
+
+def _topn_rows(ids1: np.ndarray, ids2: np.ndarray, score: np.ndarray, valid: np.ndarray, n: int):
+    """Per row of ``score``: the n best valid columns (rounded score desc, id asc)."""
+    key = np.where(valid, -np.round(score, RANK_DIGITS), np.inf)
+    kk = min(n, key.shape[1])
+    kth = np.partition(key, kk - 1, axis=1)[:, kk - 1]
+    out1, out2, outs = [], [], []
+    for i in range(key.shape[0]):
+        cand = np.nonzero((key[i] <= kth[i]) & valid[i])[0]
+        sel = cand[np.lexsort((ids2[cand], key[i, cand]))[:kk]]
+        out1.append(np.full(len(sel), ids1[i], dtype=np.int64))
+        out2.append(ids2[sel])
+        outs.append(score[i, sel])
+    return np.concatenate(out1), np.concatenate(out2), np.concatenate(outs)
+
+
 def _sparse_block_topn(n: int):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         left = pdf[pdf["side"] == "l"][["id", "term", "weight"]]
@@ -61,6 +80,26 @@ def _sparse_block_topn(n: int):
                               "score": pd.Series(dtype="float64")})
         if left.empty or right.empty:
             return empty
+        terms = pd.Index(pd.unique(pdf["term"]))
+        ids1, r1 = np.unique(left["id"].to_numpy(np.int64), return_inverse=True)
+        ids2, r2 = np.unique(right["id"].to_numpy(np.int64), return_inverse=True)
+        if (len(ids1) + len(ids2)) * len(terms) <= DENSE_MAX_CELLS:
+            # dense path: local vocabulary, two matrix products (scores and shared-term indicator)
+            c1 = terms.get_indexer(left["term"])
+            c2 = terms.get_indexer(right["term"])
+            a = np.zeros((len(ids1), len(terms)))
+            b = np.zeros((len(ids2), len(terms)))
+            np.add.at(a, (r1, c1), left["weight"].to_numpy(np.float64))
+            np.add.at(b, (r2, c2), right["weight"].to_numpy(np.float64))
+            ia = np.zeros(a.shape, dtype=np.float32)
+            ib = np.zeros(b.shape, dtype=np.float32)
+            ia[r1, c1] = 1.0
+            ib[r2, c2] = 1.0
+            score = a @ b.T
+            valid = ((ia @ ib.T) > 0) & (ids1[:, None] != ids2[None, :])
+            o1, o2, os_ = _topn_rows(ids1, ids2, score, valid, n)
+            return pd.DataFrame({"id1": o1, "id2": o2, "score": os_.astype(np.float64)})
+        # sparse path: merge on term (bounded by the two blocks), sum per pair
         m = left.merge(right, on="term", suffixes=("1", "2"))
         m = m[m["id1"] != m["id2"]]
         if m.empty:
@@ -80,6 +119,7 @@ def top_similar(w: DataFrame, id_col: str, n: int, block_rows: int = SPARSE_BLOC
     holds only those two blocks' term rows, merges them on term in pandas and keeps n per item.
     Pairs sharing no term score 0 and are not listed.
     """
+    w = cut_lineage(w.select(id_col, "term", "weight"), "tfidf-weights")
     n_items = w.select(id_col).distinct().count()
     b = max(1, math.ceil(n_items / block_rows))
     rows = w.select(F.col(id_col).cast("long").alias("id"), "term", F.col("weight").cast("double").alias("weight"),

@@ -51,7 +51,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/reviewlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss; never ``localCheckpoint``)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` once as Parquet below the shared checkpoint folder and read it back.
+
+    Used for intermediates consumed several times (a count plus both sides of a blocked join):
+    computed once, survives executor loss, and the re-read plan has file statistics. (An eager
+    ``checkpoint()`` would compute the plan twice unless cached; ``localCheckpoint`` is not
+    fault tolerant.)
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -124,6 +124,9 @@ class KeyedTable:
             return
         u = (replace_latest(None, updates, self.keys, order) if whole_row and order
              else combine_puts(updates, self.keys, order) if order else updates)
+        if whole_row and order:
+            # keep the ordering columns so later batches can compare versions
+            u = u.select(*self.keys, *[c for c in updates.columns if c not in self.keys])
         u = self._with_partition(u)
         current_all = self.spark.read.parquet(self.data_path) if self.read() is not None else None
         if current_all is None:
@@ -131,7 +134,12 @@ class KeyedTable:
         else:
             touched = u.select(self.partition_col).distinct()
             current = current_all.join(touched, self.partition_col, "left_semi")
-            if whole_row:
+            if whole_row and order:
+                # version-ordered replace: the row with the larger ``order`` wins, whatever the
+                # arrival order of batches (replays and out-of-order files converge).
+                merged = self._with_partition(replace_latest(
+                    None, current.unionByName(u, allowMissingColumns=True).drop(self.partition_col), self.keys, order))
+            elif whole_row:
                 merged = current.join(u.select(*self.keys), self.keys, "left_anti").unionByName(u, allowMissingColumns=True)
             else:
                 drop = ["_bucket"] if self.partition_col == "_bucket" else []

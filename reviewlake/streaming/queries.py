@@ -1,7 +1,92 @@
-"""Registered streaming queries (filled in below)."""
+"""Registered streaming queries: events are landed as JSON messages (a topic stand-in), consumed
+by a Structured Streaming query in several micro-batches (``maxFilesPerTrigger``,
+``availableNow``) and written through idempotent sinks; the query result is the sink table."""
 
-STREAM_QUERIES: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reviewlake.operators.upsert import KeyedTable
+from reviewlake.plans import standins
+from reviewlake.sources.tables import table
+from reviewlake.streaming import streams as st
+
+LANDING_FILES = 4
+
+
+def _message_stream(spark: SparkSession, base: str, name: str) -> DataFrame:
+    landing = st.land_messages(standins.messages(table(spark, base, "events")),
+                               st.scratch(spark, f"{name}-landing"), LANDING_FILES)
+    raw = st.read_topic(spark, "events", path=landing, max_files_per_trigger=1)
+    return st.decode(raw, st.MESSAGE_SCHEMA)
+
+
+def stream_dedupe(spark: SparkSession, base: str) -> DataFrame:
+    """Each (id, name) category message once."""
+    out = st.scratch(spark, "stream-dedupe-out")
+    feed = st.category_feed(_message_stream(spark, base, "dedupe")).select("id", "name")
+    st.run_available(feed, st.append_sink(out), st.scratch(spark, "stream-dedupe-ckpt"))
+    return spark.read.parquet(f"{out}/data").select("id", "name")
+
+
+def stream_upsert(spark: SparkSession, base: str) -> DataFrame:
+    """R2 / K7: keyed table of the latest name per id (version = (ts, event_id))."""
+    t = KeyedTable(spark, st.scratch(spark, "stream-upsert-table"), "id", buckets=16)
+    msgs = _message_stream(spark, base, "upsert").select("id", "name", "ts", "event_id")
+    st.run_available(msgs, st.upsert_sink(t, order=["ts", "event_id"]), st.scratch(spark, "stream-upsert-ckpt"))
+    return t.read().select("id", "name", "event_id")
+
+
+def stream_enrich(spark: SparkSession, base: str) -> DataFrame:
+    """Id messages enriched from a static keyed table (stream-static left join)."""
+    out = st.scratch(spark, "stream-enrich-out")
+    cust = table(spark, base, "customer").select("c_custkey", "c_name")
+    msgs = _message_stream(spark, base, "enrich").select("event_id", "id")
+    st.run_available(st.enrich_ids(msgs, cust, "id", "c_custkey"), st.append_sink(out),
+                     st.scratch(spark, "stream-enrich-ckpt"))
+    return spark.read.parquet(f"{out}/data").select("event_id", "id", "c_name")
+
+
+def stream_fan_out(spark: SparkSession, base: str) -> DataFrame:
+    """Category messages fanned out to the products listed under each category."""
+    nat = table(spark, base, "nation").select(F.col("n_nationkey").cast("long").alias("category_id"),
+                                              F.col("n_name").alias("name"))
+    landing = st.land_messages(nat, st.scratch(spark, "fanout-landing"), 2)
+    cats = st.decode(st.read_topic(spark, "categories", path=landing, max_files_per_trigger=1),
+                     "category_id long, name string")
+    listings = standins.product_rows(spark, base).select(F.col("categories.id").alias("category_id"),
+                                                         F.col("id").alias("product_id"))
+    out = st.scratch(spark, "stream-fanout-out")
+    st.run_available(st.fan_out(cats, listings).select("category_id", "product_id"), st.append_sink(out),
+                     st.scratch(spark, "stream-fanout-ckpt"))
+    return spark.read.parquet(f"{out}/data").select("category_id", "product_id")
+
+
+def props_quarantine(spark: SparkSession, base: str) -> DataFrame:
+    """Event properties parsed permissively; unparsable rows are kept aside."""
+    ev = table(spark, base, "events").select("event_id", F.col("props").alias("value"))
+    good, _bad = st.quarantine(ev, "k int")
+    return good.select("event_id", "k")
+
+
+STREAM_QUERIES = {
+    "stream_dedupe": stream_dedupe,
+    "stream_upsert": stream_upsert,
+    "stream_enrich": stream_enrich,
+    "stream_fan_out": stream_fan_out,
+    "props_quarantine": props_quarantine,
+}
 
 
 def stream_oracles() -> dict[str, str]:
-    return {}
+    from reviewlake.plans.oracles import PRODUCTS
+    return {
+        "stream_dedupe": "SELECT DISTINCT user_id AS id, event_type AS name FROM events",
+        "stream_upsert": """SELECT user_id AS id, event_type AS name, event_id FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+        "stream_enrich": """SELECT event_id, user_id AS id, c_name FROM events LEFT JOIN customer ON c_custkey = user_id""",
+        "stream_fan_out": f"""WITH {PRODUCTS.strip()}
+SELECT CAST(n_nationkey AS BIGINT) AS category_id, id AS product_id FROM products WHERE n_nationkey IS NOT NULL""",
+        "props_quarantine": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
+    }

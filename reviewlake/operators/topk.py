@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.functions import vectors as vx
+from reviewlake.operators.joins import broadcast_if_small
 from reviewlake.session import cut_lineage
 
 RANK_DIGITS = 9          # scores are compared after rounding, so engines agree on ties
@@ -89,32 +90,46 @@ def _block_topk(k: int, metric: str):
 
 def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "l2", id_col: str = "id",
         qid_col: str = "qid", vec_col: str = "vec", block_rows: int = DEFAULT_BLOCK_ROWS,
-        materialize: bool = True) -> DataFrame:
+        materialize: bool = True, partition_col: str | None = None) -> DataFrame:
     """The k best vectors per query -> (qid, id, score, rank).
 
     ``l2``: squared Euclidean distance, ascending. ``cosine`` / ``dot``: similarity, descending.
-    Ties are broken by id. Row counts (two cheap actions) size the blocks. With ``materialize``
-    the inputs are written once to the shared folder, so counting and block replication do not
-    recompute their upstream plans.
+    Ties are broken by id. Row counts (cheap actions) size the blocks. With ``materialize`` the
+    inputs are written once to the shared folder, so counting and block replication do not
+    recompute their upstream plans. With ``partition_col`` a query only meets vectors of the same
+    partition value (e.g. its probed clusters), blocked per partition value.
     """
+    pc = [partition_col] if partition_col else []
     if materialize:
         same = vectors is queries
-        vectors = cut_lineage(vectors.select(id_col, vec_col), "knn-vectors")
+        vectors = cut_lineage(vectors.select(id_col, vec_col, *pc), "knn-vectors")
         queries = vectors.withColumnRenamed(id_col, qid_col) if same else cut_lineage(
-            queries.select(qid_col, vec_col), "knn-queries")
-    bv = _blocks(vectors.count(), block_rows)
-    bq = _blocks(queries.count(), block_rows)
-    v = vectors.select(F.lit("v").alias("side"), F.col(id_col).cast("long").alias("key"),
+            queries.select(qid_col, vec_col, *pc), "knn-queries")
+    if partition_col:
+        nv = vectors.groupBy(partition_col).agg(F.count(F.lit(1)).alias("_n"))
+        nq = queries.groupBy(partition_col).agg(F.count(F.lit(1)).alias("_n"))
+        nb = (nv.select(partition_col, F.greatest(F.lit(1), F.ceil(F.col("_n") / block_rows)).alias("_bv"))
+              .join(nq.select(partition_col, F.greatest(F.lit(1), F.ceil(F.col("_n") / block_rows)).alias("_bq")),
+                    partition_col, "inner"))
+        nb = broadcast_if_small(nb)
+        vectors = vectors.join(nb, partition_col, "inner")
+        queries = queries.join(nb, partition_col, "inner")
+        bv_col, bq_col = F.col("_bv"), F.col("_bq")
+    else:
+        bv_col = F.lit(_blocks(vectors.count(), block_rows))
+        bq_col = F.lit(_blocks(queries.count(), block_rows))
+    v = vectors.select(*pc, F.lit("v").alias("side"), F.col(id_col).cast("long").alias("key"),
                        vx.as_double(vec_col).alias("vec"),
-                       F.pmod(F.xxhash64(id_col), F.lit(bv)).alias("vb"),
-                       F.explode(F.sequence(F.lit(0), F.lit(bq - 1))).alias("qb"))
-    q = queries.select(F.lit("q").alias("side"), F.col(qid_col).cast("long").alias("key"),
+                       F.pmod(F.xxhash64(id_col), bv_col.cast("long")).alias("vb"),
+                       F.explode(F.sequence(F.lit(0).cast("long"), bq_col.cast("long") - 1)).alias("qb"))
+    q = queries.select(*pc, F.lit("q").alias("side"), F.col(qid_col).cast("long").alias("key"),
                        vx.as_double(vec_col).alias("vec"),
-                       F.explode(F.sequence(F.lit(0), F.lit(bv - 1))).alias("vb"),
-                       F.pmod(F.xxhash64(qid_col), F.lit(bq)).alias("qb"))
-    both = v.select("qb", "vb", "side", "key", "vec").unionByName(q.select("qb", "vb", "side", "key", "vec"))
-    partial = both.groupBy("qb", "vb").applyInPandas(_block_topk(k, metric),
-                                                    schema="qid long, id long, score double")
+                       F.explode(F.sequence(F.lit(0).cast("long"), bv_col.cast("long") - 1)).alias("vb"),
+                       F.pmod(F.xxhash64(qid_col), bq_col.cast("long")).alias("qb"))
+    cols = [*pc, "qb", "vb", "side", "key", "vec"]
+    both = v.select(*cols).unionByName(q.select(*cols))
+    partial = both.groupBy(*pc, "qb", "vb").applyInPandas(_block_topk(k, metric),
+                                                         schema="qid long, id long, score double")
     rk = F.round("score", RANK_DIGITS)
     w = Window.partitionBy("qid").orderBy(rk.asc() if metric == "l2" else rk.desc(), F.col("id").asc())
     out = partial.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

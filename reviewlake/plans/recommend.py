@@ -168,3 +168,24 @@ def fit_clusters(df: DataFrame, features_col: str = "features", k: int = 3, seed
     pipe = Pipeline(stages=[StandardScaler(inputCol=features_col, outputCol="scaledFeatures"),
                             KMeans(k=k, seed=seed, featuresCol=features_col)])
     return pipe.fit(df)
+
+
+def search_two_level(vectors: DataFrame, queries: DataFrame, k: int, n_clusters: int, nprobe: int,
+                     seed: int = 42, id_col: str = "id", vec_col: str = "vec") -> DataFrame:
+    """Inverted-file search. KMeans assigns every vector a cluster; each query probes its
+    ``nprobe`` nearest centres and searches exactly inside them (blocked per cluster, so a hot
+    cluster is split into bounded blocks rather than paired all-to-all)."""
+    from pyspark.ml.functions import array_to_vector
+
+    from reviewlake.operators import topk
+
+    spark = vectors.sparkSession
+    feats = vectors.select(id_col, vec_col, array_to_vector(vec_col).alias("features"))
+    km = KMeans(k=n_clusters, seed=seed, featuresCol="features", predictionCol="cluster").fit(feats)
+    assigned = km.transform(feats).select(id_col, vec_col, "cluster")
+    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(km.clusterCenters())],
+                                    "cid long, vec array<double>")   # bounded: n_clusters rows
+    q = queries.select(F.col(id_col).alias("qid"), vec_col)
+    probes = topk.knn(centres.withColumnRenamed("cid", "id"), q, nprobe, metric="l2", materialize=False)
+    probed = q.join(probes.select("qid", F.col("id").alias("cluster")), "qid")
+    return topk.knn(assigned, probed, k, metric="l2", partition_col="cluster")

@@ -12,6 +12,7 @@ import re
 import unicodedata
 from collections.abc import Iterable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -308,3 +309,36 @@ def underscore(c) -> Column:
 def parse_bool(c) -> Column:
     """P20: 'true' in any case -> true, everything else (null included) -> false."""
     return F.coalesce(F.lower(_c(c)) == F.lit("true"), F.lit(False))
+
+
+def tokenize_lexicon(c, lexicon: Sequence[str], max_words: int = 4) -> Column:
+    """N11 (lexicon mode): greedy longest match of up to ``max_words`` space-separated syllables
+    against a user lexicon (entries with ``_`` or spaces); matched compounds are joined with ``_``.
+
+    The one place a Python function is needed (a per-text greedy scan); it runs as an Arrow-batched
+    pandas UDF. The lexicon is a bounded, user-supplied list shipped with the task.
+    """
+    lex = frozenset(" ".join(w.replace("_", " ").lower().split()) for w in lexicon if w and w.strip())
+
+    @F.pandas_udf("array<string>")
+    def _segment(s: pd.Series) -> pd.Series:
+        out = []
+        for text in s:
+            if text is None:
+                out.append([])
+                continue
+            syl = text.split(" ")
+            i, res = 0, []
+            while i < len(syl):
+                for n in range(min(max_words, len(syl) - i), 1, -1):
+                    if " ".join(syl[i:i + n]).lower() in lex:
+                        res.append("_".join(syl[i:i + n]))
+                        i += n
+                        break
+                else:
+                    res.append(syl[i])
+                    i += 1
+            out.append(res)
+        return pd.Series(out)
+
+    return _segment(_c(c))

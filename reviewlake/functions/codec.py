@@ -21,12 +21,16 @@ def _unsigned(c: Column) -> Column:
 
 def decode_int(c) -> Column:
     u = _unsigned(_c(c))
-    return F.when(u >= 2 ** 31, u - 2 ** 32).otherwise(u).cast("int")
+    return F.when(u >= _dec(2 ** 31), u - _dec(2 ** 32)).otherwise(u).cast("int")
+
+
+def _dec(v: int) -> Column:
+    return F.lit(str(v)).cast("decimal(20,0)")
 
 
 def decode_long(c) -> Column:
     u = _unsigned(_c(c))
-    return F.when(u >= 2 ** 63, u - F.lit(2 ** 64).cast("decimal(20,0)")).otherwise(u).cast("long")
+    return F.when(u >= _dec(2 ** 63), u - _dec(2 ** 64)).otherwise(u).cast("long")
 
 
 def decode_float(c) -> Column:

@@ -82,12 +82,17 @@ def fan_out(stream: DataFrame, listings: DataFrame, key: str = "category_id") ->
     return stream.join(listings, key, "inner")
 
 
-def quarantine(df: DataFrame, schema: T.StructType, raw_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Parse JSON permissively; rows that do not parse go to a quarantine frame instead of
-    failing (or silently dropping) the batch."""
-    parsed = df.withColumn("_p", F.from_json(F.col(raw_col), schema, {"mode": "PERMISSIVE"}))
-    ok = F.col("_p").isNotNull() & F.col(raw_col).isNotNull()
-    good = parsed.filter(ok).select("*", "_p.*").drop("_p")
+def quarantine(df: DataFrame, schema: T.StructType | str, raw_col: str = "value",
+               corrupt_col: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
+    """Parse JSON permissively; rows that do not parse (or are null) go to a quarantine frame
+    instead of failing the batch or being silently dropped."""
+    if isinstance(schema, str):
+        schema = df.sparkSession.createDataFrame([], schema).schema
+    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType())])
+    parsed = df.withColumn("_p", F.from_json(F.col(raw_col), with_corrupt,
+                                             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col}))
+    ok = F.col(raw_col).isNotNull() & F.col(f"_p.{corrupt_col}").isNull()
+    good = parsed.filter(ok).select("*", *[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields]).drop("_p")
     bad = parsed.filter(~ok).drop("_p")
     return good, bad
 

@@ -17,6 +17,7 @@ from reviewlake.functions import vectors as vx
 from reviewlake.operators import aggs, filters, joins, reshape, topk
 from reviewlake.operators import upsert as up
 from reviewlake.plans import recommend, standins
+from reviewlake.session import spread
 from reviewlake.sources.tables import lookup, scan, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,7 +37,7 @@ RECOMMEND_TEXT = "blue bolt"    # M7 product text to look up
 
 
 def _docs(spark, base):
-    return table(spark, base, "documents")
+    return spread(table(spark, base, "documents"), "doc_id")
 
 
 # ------------------------------------------------------------------ step 0: minimum slice
@@ -249,7 +250,7 @@ def title_repair(spark, base):
 
 def html_text(spark, base):
     """HTML pages -> text."""
-    return table(spark, base, "pages").select("page_id", tx.html_text("html").alias("text"))
+    return spread(table(spark, base, "pages"), "page_id").select("page_id", tx.html_text("html").alias("text"))
 
 
 def stopwords_removed(spark, base):

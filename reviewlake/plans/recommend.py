@@ -26,10 +26,15 @@ SPARSE_BLOCK_ROWS = 2048
 
 
 def tfidf_terms(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
-    """M1 (term form): (id, term, tf, weight = tf * ln((N+1)/(df+1)))."""
+    """M1 (term form): (id, term, tf, weight = tf * ln((N+1)/(df+1))).
+
+    One pass over the tokens: document frequency is the number of (id, term) rows per term, so the
+    term-frequency aggregate feeds both sides (its exchange is reused)."""
     tf = (df.select(id_col, F.explode(tokens_col).alias("term"))
           .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
-    idf = aggs.idf(df, id_col, tokens_col).select("term", "idf")
+    n_docs = df.select(F.count(F.lit(1))).scalar()
+    idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+           .select("term", F.ln((n_docs + F.lit(1)) / (F.col("df") + F.lit(1))).alias("idf")))
     return tf.join(idf, "term").select(id_col, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight"))
 
 

@@ -62,3 +62,14 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Spread CPU-heavy row work (regexes over long texts) over all cores when the scan yields
+    fewer partitions than the cluster has task slots (a small file with one row group reads as a
+    single partition). Large inputs already have many partitions and are returned unchanged, so
+    no shuffle is added at scale. Hash-partitions on ``key`` when given (deterministic)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)

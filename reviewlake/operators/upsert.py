@@ -164,3 +164,18 @@ def write_daily_snapshot(spark: SparkSession, path: str, batch: DataFrame, order
 
 def stamp_today(df: DataFrame, col: str = "time") -> DataFrame:
     return df.withColumn(col, misc.day(F.current_date()))
+
+
+def product_table(spark: SparkSession, path: str, buckets: int = 64) -> KeyedTable:
+    """K3: current product rows keyed by product id."""
+    return KeyedTable(spark, path, "id", buckets)
+
+
+def review_table(spark: SparkSession, path: str, buckets: int = 64) -> KeyedTable:
+    """K4: review rows keyed by review id."""
+    return KeyedTable(spark, path, "id", buckets)
+
+
+def overview_table(spark: SparkSession, path: str, buckets: int = 64) -> KeyedTable:
+    """K5: rating overview rows keyed by product id."""
+    return KeyedTable(spark, path, "product_id", buckets)

@@ -385,4 +385,37 @@ sc AS (SELECT w.id AS id2, sum(w.weight * qw.qweight) AS score FROM w JOIN qw ON
 r AS (SELECT id2, score, row_number() OVER (ORDER BY round(score, 9) DESC, id2) AS rank FROM sc)
 SELECT r.id2, p.name, CAST(r.rank AS INTEGER) AS rank, round(r.score, 6) AS score
 FROM r JOIN products p ON p.id = r.id2 WHERE r.rank <= {Q.TFIDF_TOP}"""
+    o["product_export"] = f"""
+WITH {PRODUCTS.strip()}
+SELECT id, name, p_retailprice AS price, p_retailprice AS original_price, sold AS all_time_quantity_sold,
+       avg_star AS rating_average, n_lines AS review_count, CAST(p_size AS BIGINT) AS favourite_count,
+       CAST(NULL AS BIGINT) AS day_ago_created, description, s_suppkey AS store_id, s_acctbal > 0 AS is_best_store,
+       s_name AS seller_name, p_retailprice AS seller_price,
+       TRY_CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS BIGINT) AS brand_id, p_brand AS brand_name,
+       CAST(n_nationkey AS BIGINT) AS category_id, n_name AS category_name,
+       CAST(r_regionkey AS BIGINT) AS category_parent_id, r_name AS category_parent_name, true AS is_leaf
+FROM products"""
+    o["product_slim"] = f"""
+WITH {PRODUCTS.strip()}
+SELECT id, name, r_name AS category, avg_star AS rating_average,
+       coalesce({clean_base('description')}, '') AS description, s_name AS seller FROM products"""
+    o["category_rollup"] = f"""
+WITH {PRODUCTS.strip()}
+SELECT r_name AS category_parent_name, n_name AS category_name, p_brand AS brand_name,
+       CAST(grouping_id(r_name, n_name, p_brand) AS BIGINT) AS level, count(*) AS n_products,
+       round(avg(p_retailprice), 6) AS avg_price, CAST(sum(sold) AS BIGINT) AS total_sold
+FROM products GROUP BY ROLLUP (r_name, n_name, p_brand)"""
+    o["price_changes"] = """
+WITH r AS (SELECT strftime(l_shipdate, '%Y-%m-%d') AS time, l_partkey AS id, l_quantity AS quantity,
+                  l_extendedprice AS price, l_orderkey, l_linenumber, l_linestatus FROM lineitem),
+b1 AS (SELECT * FROM r WHERE l_linestatus = 'O'
+       QUALIFY row_number() OVER (PARTITION BY time, id ORDER BY l_orderkey DESC, l_linenumber DESC) = 1),
+b2 AS (SELECT * FROM r WHERE l_linestatus = 'F'
+       QUALIFY row_number() OVER (PARTITION BY time, id ORDER BY l_orderkey DESC, l_linenumber DESC) = 1),
+m AS (SELECT coalesce(b2.time, b1.time) AS time, coalesce(b2.id, b1.id) AS id,
+             coalesce(b2.quantity, b1.quantity) AS quantity, coalesce(b2.price, b1.price) AS price
+      FROM b1 FULL OUTER JOIN b2 ON b1.time = b2.time AND b1.id = b2.id)
+SELECT id, time, price, quantity, price - lag(price) OVER (PARTITION BY id ORDER BY time) AS price_change,
+       quantity - lag(quantity) OVER (PARTITION BY id ORDER BY time) AS quantity_change FROM m"""
+    o["description_match"] = f"SELECT doc_id FROM documents WHERE list_contains({TOKENS}, {lit(Q.MATCH_WORD)})"
     return {k: v.strip() for k, v in o.items()}

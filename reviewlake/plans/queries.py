@@ -34,6 +34,7 @@ KNN_K = 20                      # T3 neighbours per query
 COSINE_K = 5                    # T2 top-n by cosine
 TFIDF_TOP = 10                  # T1 / M7 recommendations per product
 RECOMMEND_TEXT = "blue bolt"    # M7 product text to look up
+MATCH_WORD = "and"              # D4 word searched in descriptions
 
 
 def _docs(spark, base):
@@ -431,6 +432,42 @@ def recommend_text(spark, base):
     return r.select("id2", "name", "rank", F.round("score", 6).alias("score"))
 
 
+def product_export(spark, base):
+    """Product rows -> 21-field export."""
+    return reshape.product_export(standins.product_rows(spark, base))
+
+
+def product_slim(spark, base):
+    """(id, name, category, rating_average, description, seller) with the description cleaned."""
+    return reshape.product_slim(standins.product_rows(spark, base))
+
+
+def category_rollup(spark, base):
+    """Roll-up parent category -> category -> brand (products, average price, quantity sold)."""
+    p = standins.product_rows(spark, base)
+    r = (p.rollup(F.col("categories.parent_name").alias("category_parent_name"),
+                  F.col("categories.name").alias("category_name"), F.col("brand.name").alias("brand_name"))
+         .agg(F.grouping_id().alias("level"), F.count(F.lit(1)).alias("n_products"),
+              F.avg("price").alias("avg_price"), F.sum("all_time_quantity_sold").alias("total_sold")))
+    return r.withColumn("avg_price", F.round("avg_price", 6))
+
+
+def price_changes(spark, base):
+    """D3: day-over-day change of price and quantity per product over the daily snapshot."""
+    from pyspark.sql import Window
+    snap = daily_snapshot(spark, base)
+    w = Window.partitionBy("id").orderBy("time")
+    return snap.select("id", "time", "price", "quantity",
+                       (F.col("price") - F.lag("price").over(w)).alias("price_change"),
+                       (F.col("quantity") - F.lag("quantity").over(w)).alias("quantity_change"))
+
+
+def description_match(spark, base):
+    """Documents whose cleaned words contain a given word."""
+    t = _tokens(spark, base)
+    return t.filter(F.array_contains("tokens", MATCH_WORD)).select("doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "label_counts": label_counts,
     "reviews_exploded": reviews_exploded,
@@ -480,4 +517,9 @@ QUERIES: dict[str, Query] = {
     "cosine_topk": cosine_topk,
     "similar_tfidf": similar_tfidf,
     "recommend_text": recommend_text,
+    "product_export": product_export,
+    "product_slim": product_slim,
+    "category_rollup": category_rollup,
+    "price_changes": price_changes,
+    "description_match": description_match,
 }

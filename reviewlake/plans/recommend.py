@@ -194,3 +194,47 @@ def search_two_level(vectors: DataFrame, queries: DataFrame, k: int, n_clusters:
     probes = topk.knn(centres.withColumnRenamed("cid", "id"), q, nprobe, metric="l2", materialize=False)
     probed = q.join(probes.select("qid", F.col("id").alias("cluster")), "qid")
     return topk.knn(assigned, probed, k, metric="l2", partition_col="cluster")
+
+
+def recommend_by_cosine(model, products: DataFrame, queries: DataFrame, n: int = 5, id_col: str = "id",
+                        tokens_col: str = "tokens") -> DataFrame:
+    """M8: Word2Vec document vectors, top-n products by cosine per query (query not excluded).
+
+    ``products``: (id, tokens); ``queries``: (qid, tokens) - queries are data, not a Python string.
+    A query whose words are all unknown has a zero vector and gets no recommendation.
+    """
+    from pyspark.ml.functions import vector_to_array
+
+    from reviewlake.operators import topk
+
+    out = model.getOutputCol()
+    vec = model.transform(products.select(id_col, tokens_col)).select(id_col, vector_to_array(out).alias("vec"))
+    qv = model.transform(queries.select("qid", tokens_col)).select("qid", vector_to_array(out).alias("vec"))
+    return topk.knn(vec, qv, n, metric="cosine", id_col=id_col)
+
+
+def fit_vector_pipeline(products: DataFrame, tokens_col: str = "tokens", size: int = 100, seed: int = 42,
+                        min_count: int = 5):
+    """M11 (training side): Word2Vec + L2 Normalizer as one saved-and-loaded PipelineModel."""
+    from pyspark.ml.feature import Normalizer
+    return Pipeline(stages=[Word2Vec(vectorSize=size, seed=seed, minCount=min_count, inputCol=tokens_col,
+                                     outputCol="features"),
+                            Normalizer(inputCol="features", outputCol="normalized_vectors", p=2.0)]).fit(products)
+
+
+def recommend_pipeline(model, products: DataFrame, queries: DataFrame, k: int = 100, id_col: str = "id",
+                       name_col: str = "name") -> DataFrame:
+    """Saved pipeline -> unit vectors -> k nearest product names per query (by id, never position)."""
+    from pyspark.ml.functions import vector_to_array
+
+    from reviewlake.operators import topk
+
+    vec = model.transform(products).select(id_col, vector_to_array("normalized_vectors").alias("vec"))
+    qv = model.transform(queries).select(F.col(id_col).alias("qid"), vector_to_array("normalized_vectors").alias("vec"))
+    hits = topk.knn(vec, qv, k, metric="l2", id_col=id_col)
+    return hits.join(products.select(id_col, name_col), id_col)
+
+
+def stopwords_remover(words: list[str], input_col: str = "tokens", output_col: str = "filtered"):
+    """N12 (MLlib form): StopWordsRemover with a given list (case-insensitive, as by default)."""
+    return StopWordsRemover(inputCol=input_col, outputCol=output_col, stopWords=list(words))

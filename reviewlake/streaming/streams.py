@@ -148,3 +148,55 @@ def scratch(spark: SparkSession, name: str) -> str:
 def as_timestamp(c: str | Column) -> Column:
     """``timestamp_ntz`` -> ``timestamp`` (watermarks need the latter; session zone UTC)."""
     return (F.col(c) if isinstance(c, str) else c).cast("timestamp")
+
+
+def start_index(stream: DataFrame, schema: T.StructType, table: KeyedTable, checkpoint: str,
+                order: Sequence[str] | None = None, available_now: bool = False,
+                processing_time: str | None = None):
+    """JSON documents from a topic -> typed (conformed) documents -> keyed whole-document
+    upsert per micro-batch. Returns the running StreamingQuery."""
+    from reviewlake.operators.sinks import conform
+    # read scalars as text, then try_cast to the mapping: a number sent as "5" still lands as 5,
+    # and a value that does not fit becomes NULL instead of failing the micro-batch
+    lenient = T.StructType([T.StructField(f.name, f.dataType if isinstance(
+        f.dataType, (T.StructType, T.ArrayType, T.MapType)) else T.StringType()) for f in schema.fields])
+    docs = conform(decode(stream, lenient), schema)
+    w = docs.writeStream.foreachBatch(upsert_sink(table, order=order, whole_row=True)).option(
+        "checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def index_products(stream: DataFrame, table: KeyedTable, checkpoint: str, **kw):
+    """Product documents keyed by ``key`` (``{date}_{id}``)."""
+    from reviewlake.schemas import PRODUCT_DOCUMENT
+    return start_index(stream, PRODUCT_DOCUMENT, table, checkpoint, **kw)
+
+
+def index_ratings(stream: DataFrame, table: KeyedTable, checkpoint: str, **kw):
+    """Rating documents keyed by review ``id``."""
+    from reviewlake.schemas import RATING_DOCUMENT
+    return start_index(stream, RATING_DOCUMENT, table, checkpoint, **kw)
+
+
+def index_overviews(stream: DataFrame, table: KeyedTable, checkpoint: str, **kw):
+    """Overview documents keyed by ``product_id``."""
+    from reviewlake.schemas import OVERVIEW_DOCUMENT
+    return start_index(stream, OVERVIEW_DOCUMENT, table, checkpoint, **kw)
+
+
+def maintain_categories(stream: DataFrame, table: KeyedTable, checkpoint: str, text_messages: bool = True):
+    """R2: category messages -> table of the last name per id (last arrival wins)."""
+    cats = parse_category_text(stream) if text_messages else decode(stream, "id long, name string")
+    cats = cats.filter(F.col("id").isNotNull())
+    return (cats.writeStream.foreachBatch(upsert_sink(table, whole_row=True))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def category_feed_query(stream: DataFrame, out_path: str, checkpoint: str, interval: str = "60 seconds"):
+    """R1 as a long-running query: poll every ``interval`` and emit each (id, name) once."""
+    return (category_feed(stream).writeStream.foreachBatch(append_sink(out_path))
+            .option("checkpointLocation", checkpoint).trigger(processingTime=interval).start())

@@ -63,3 +63,21 @@ def test_enrich_and_quarantine(spark, tmp_dir):
     raw = spark.createDataFrame([('{"k": 1}',), ("{bad",), (None,)], "value string")
     good, bad = st.quarantine(raw, "k int")
     assert good.count() == 1 and bad.count() == 2
+
+
+def test_index_ratings_and_categories(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from reviewlake.operators.upsert import KeyedTable, review_table
+    docs = spark.createDataFrame([(1, "t", "c", 9, 5), (2, "u", "d", 8, 1)],
+                                 "id long, title string, content string, customer_id long, rating int")
+    landing = st.land_messages(docs.withColumn("rating", F.col("rating").cast("string")), f"{tmp_dir}/in", 1)
+    t = review_table(spark, f"{tmp_dir}/ratings", buckets=2)
+    q = st.index_ratings(st.read_topic(spark, "r", path=landing), t, f"{tmp_dir}/ck", available_now=True)
+    q.awaitTermination()
+    assert sorted((r["id"], r["rating"]) for r in t.read().collect()) == [(1, 5), (2, 1)]
+    cats = spark.createDataFrame([("(1, 'Sách')",), ("(2, 'Áo')",), ("bad",)], "value string")
+    cats.write.text(f"{tmp_dir}/cats")
+    ct = KeyedTable(spark, f"{tmp_dir}/cat_table", "id", buckets=2)
+    st.maintain_categories(st.read_topic(spark, "c", path=f"{tmp_dir}/cats"), ct, f"{tmp_dir}/ck2").awaitTermination()
+    assert sorted(tuple(r) for r in ct.read().select("id", "name").collect()) == [(1, "Sách"), (2, "Áo")]

@@ -1,8 +1,10 @@
-"""Joins (J1-J7) with explicit, size-checked broadcast.
+"""Joins (J1-J7) and the broadcast policy.
 
-Rule: a side is broadcast only after a bounded count proves it small (``limit(n+1).count()``
-reads at most n+1 rows). Otherwise the plan is left to Catalyst + AQE, which shuffles both sides
-on the key and still converts to broadcast at runtime when the real size turns out small.
+Policy: an explicit broadcast hint is given only after a bounded count proves the side small
+(``limit(n+1).count()`` reads at most n+1 rows) and only where that side is cheap to count (a
+materialised table or a handful of query rows). Everywhere else the join is left to Catalyst +
+AQE: both sides are shuffled on the key, and AQE switches to a broadcast at runtime from the
+measured shuffle size (a size check that costs no extra job); skewed partitions are split.
 """
 
 from __future__ import annotations
@@ -22,11 +24,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 
 
 def enrich_name(df: DataFrame, products: DataFrame, key: str = "product_id",
-                name_col: str = "name_product", max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                name_col: str = "name_product") -> DataFrame:
     """Left outer lookup of the product name; missing -> NULL. Duplicate product keys are
-    reduced to one (largest name) first so the join cannot multiply rows."""
+    reduced to one (largest name) first so the join cannot multiply rows. The catalogue can be
+    large, so the strategy is AQE's (runtime broadcast when the names turn out small)."""
     names = products.groupBy(key).agg(F.max(name_col).alias(name_col))
-    return df.join(broadcast_if_small(names, max_broadcast_rows), on=key, how="left")
+    return df.join(names, on=key, how="left")
 
 
 def dictionary_join(df: DataFrame, dict_df: DataFrame, key: str, value: str, order_col: str,

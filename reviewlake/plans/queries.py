@@ -17,7 +17,7 @@ from reviewlake.functions import vectors as vx
 from reviewlake.operators import aggs, filters, joins, reshape, topk
 from reviewlake.operators import upsert as up
 from reviewlake.plans import recommend, standins
-from reviewlake.session import spread
+from reviewlake.session import cut_lineage, spread
 from reviewlake.sources.tables import lookup, scan, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -410,8 +410,7 @@ def cosine_topk(spark, base):
     return r.select("qid", "id", "rank", F.round("score", 6).alias("cosine"))
 
 
-def _product_terms(spark, base):
-    prod = standins.product_rows(spark, base)
+def _product_terms(prod: DataFrame) -> DataFrame:
     meta = prod.select("id", reshape.metadata_text("name", F.col("categories.parent_name")).alias("metadata"))
     return meta.select("id", tx.tokenize("metadata").alias("tokens"))
 
@@ -419,15 +418,18 @@ def _product_terms(spark, base):
 def similar_tfidf(spark, base):
     """M6 / J5 / T1 re-aimed: for every product, the top-n other products by TF-IDF dot product
     (blocked sparse products, never a cartesian join)."""
-    w = recommend.tfidf_terms(_product_terms(spark, base), "id", "tokens")
+    w = recommend.tfidf_terms(_product_terms(standins.product_rows(spark, base)), "id", "tokens")
     r = recommend.top_similar(w, "id", TFIDF_TOP)
     return r.select("id1", "id2", "rank", F.round("score", 6).alias("score"))
 
 
 def recommend_text(spark, base):
-    """M7: products similar to the one whose name contains a text (top-n names)."""
-    prod = standins.product_rows(spark, base)
-    w = recommend.tfidf_terms(_product_terms(spark, base), "id", "tokens")
+    """M7: products similar to the one whose name contains a text (top-n names).
+
+    The product table and its TF-IDF weights (the fitted model) are written once and reused by
+    the lookup, the query weights and the scoring scan."""
+    prod = cut_lineage(standins.product_rows(spark, base).select("id", "name", "categories"), "products")
+    w = cut_lineage(recommend.tfidf_terms(_product_terms(prod), "id", "tokens"), "tfidf-weights")
     r = recommend.recommend_by_text(prod.select("id", "name"), w, "name", RECOMMEND_TEXT, TFIDF_TOP)
     return r.select("id2", "name", "rank", F.round("score", 6).alias("score"))
 

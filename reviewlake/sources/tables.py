@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlake.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
+from reviewlake.operators.joins import broadcast_if_small
 
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -36,10 +36,15 @@ def scan(df: DataFrame, columns: Sequence[str] | None = None, key: str | None =
     return out
 
 
-def lookup(df: DataFrame, keys: DataFrame, key: str, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Point / batch lookup = semi-join on the key; the key list is broadcast only when small."""
+def lookup(df: DataFrame, keys: DataFrame, key: str, max_broadcast_rows: int | None = None) -> DataFrame:
+    """Point / batch lookup = semi-join on the key.
+
+    With ``max_broadcast_rows`` (for key lists that are cheap to count, e.g. an in-memory batch)
+    the keys are broadcast after a bounded count; otherwise AQE picks the strategy at runtime."""
     k = keys.select(key).distinct()
-    return df.join(broadcast_if_small(k, max_broadcast_rows), on=key, how="left_semi")
+    if max_broadcast_rows is not None:
+        k = broadcast_if_small(k, max_broadcast_rows)
+    return df.join(k, on=key, how="left_semi")
 
 
 def from_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:

@@ -23,9 +23,13 @@ def norm(v) -> Column:
 
 
 def unit(v) -> Column:
-    """V1: L2-normalise; a zero vector stays zero."""
-    n = norm(v)
-    return F.transform(as_double(v), lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0)))
+    """V1: L2-normalise; a zero vector stays zero.
+
+    The norm is bound once per row through a one-element outer ``transform``: referencing the norm
+    expression directly inside the element lambda would recompute it for every element."""
+    d = as_double(v)
+    return F.transform(F.array(norm(v)), lambda n: F.transform(
+        d, lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0)))).getItem(0)
 
 
 def dot(a, b) -> Column:

@@ -37,15 +37,15 @@ RECOMMEND_TEXT = "blue bolt"    # M7 product text to look up
 MATCH_WORD = "and"              # D4 word searched in descriptions
 
 
-def _docs(spark, base):
-    return spread(table(spark, base, "documents"), "doc_id")
+def _docs(spark, base, cols=("doc_id", "text")):
+    return spread(table(spark, base, "documents").select(*cols), "doc_id")
 
 
 # ------------------------------------------------------------------ step 0: minimum slice
 
 def label_counts(spark: SparkSession, base: str) -> DataFrame:
     """Reviews per sentiment label."""
-    r = filters.drop_blank(_docs(spark, base).select("doc_id", "text"), "text")
+    r = filters.drop_blank(_docs(spark, base), "text")
     r = r.withColumn("clean", tx.clean_base("text"))
     r = filters.drop_empty(r, "clean").withColumn("label", tx.label_from_rating(F.col("doc_id") % 6))
     return aggs.label_counts(filters.known_labels(r))
@@ -55,7 +55,7 @@ def label_counts(spark: SparkSession, base: str) -> DataFrame:
 
 def reviews_exploded(spark, base):
     """S2 + P15: review pages -> review rows, normalised."""
-    pages = standins.review_pages(_docs(spark, base))
+    pages = standins.review_pages(_docs(spark, base, ("doc_id", "text", "lang", "source")))
     rows = reshape.normalize_review(reshape.explode_reviews(pages, keep=("product_id",)), keep=("product_id",))
     return rows.select("product_id", "id", "title", "score", "rating", "status",
                        F.col("created_by.id").alias("author_id"),
@@ -251,7 +251,8 @@ def title_repair(spark, base):
 
 def html_text(spark, base):
     """HTML pages -> text."""
-    return spread(table(spark, base, "pages"), "page_id").select("page_id", tx.html_text("html").alias("text"))
+    pages = spread(table(spark, base, "pages").select("page_id", "html"), "page_id")
+    return pages.select("page_id", tx.html_text("html").alias("text"))
 
 
 def stopwords_removed(spark, base):

@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -68,8 +69,14 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
     """Spread CPU-heavy row work (regexes over long texts) over all cores when the scan yields
     fewer partitions than the cluster has task slots (a small file with one row group reads as a
     single partition). Large inputs already have many partitions and are returned unchanged, so
-    no shuffle is added at scale. Hash-partitions on ``key`` when given (deterministic)."""
+    no shuffle is added at scale. Hash-partitions on ``key`` when given (deterministic).
+
+    Project the needed columns first. After the shuffle the rows pass through a one-element
+    ``inline`` generator: Catalyst does not push filters through a Generate, so a filter on a
+    cleaned column runs after the shuffle, in parallel, instead of in the single scan task.
+    """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    r = df.repartition(target, key) if key else df.repartition(target)
+    return r.select(F.inline(F.array(F.struct(*[F.col(c) for c in r.columns]))))

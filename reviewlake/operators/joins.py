@@ -47,6 +47,9 @@ def attach_names(sim: DataFrame, products: DataFrame, sim_key: str = "id2", key:
     return sim.join(p, on=sim_key, how="inner")
 
 
+attach_neighbors = attach_names   # J4: neighbour rows -> product rows, by id
+
+
 def anti(df: DataFrame, done: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``done``."""
     return df.join(done, on=key, how="left_anti")

@@ -465,6 +465,12 @@ def price_changes(spark, base):
                        (F.col("quantity") - F.lag("quantity").over(w)).alias("quantity_change"))
 
 
+def top_rated(spark, base):
+    """The n best-rated products (id breaks ties) -> TakeOrderedAndProject."""
+    p = standins.product_rows(spark, base).select("id", "name", "rating_average")
+    return topk.top_n(p.filter(F.col("rating_average").isNotNull()), "rating_average", TFIDF_TOP)
+
+
 def description_match(spark, base):
     """Documents whose cleaned words contain a given word."""
     t = _tokens(spark, base)
@@ -525,4 +531,5 @@ QUERIES: dict[str, Query] = {
     "category_rollup": category_rollup,
     "price_changes": price_changes,
     "description_match": description_match,
+    "top_rated": top_rated,
 }

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.operators import aggs, filters
-from reviewlake.operators.joins import broadcast_if_small
+from reviewlake.operators.joins import attach_names, broadcast_if_small
 from reviewlake.operators.topk import RANK_DIGITS
 from reviewlake.session import cut_lineage
 
@@ -45,10 +45,14 @@ def tfidf_vectors(df: DataFrame, tokens_col: str, num_features: int = 1 << 18) -
     return pipe.fit(df).transform(df)
 
 
-def tfidf_counts(df: DataFrame, tokens_col: str, stopwords: list[str], k: int = 100) -> DataFrame:
-    """M2: stop words removed, CountVectorizer + IDF + PCA(k)."""
+def tfidf_counts(df: DataFrame, tokens_col: str, stopwords: list[str], k: int = 100,
+                 vocab_size: int = 1 << 14) -> DataFrame:
+    """M2: stop words removed, CountVectorizer + IDF + PCA(k).
+
+    PCA builds a vocabulary x vocabulary covariance on the driver, so the vocabulary is capped to
+    the ``vocab_size`` most frequent terms (CountVectorizer's own parameter)."""
     pipe = Pipeline(stages=[StopWordsRemover(inputCol=tokens_col, outputCol="filtered", stopWords=stopwords),
-                            CountVectorizer(inputCol="filtered", outputCol="raw_features"),
+                            CountVectorizer(inputCol="filtered", outputCol="raw_features", vocabSize=vocab_size),
                             IDF(inputCol="raw_features", outputCol="features"),
                             PCA(k=k, inputCol="features", outputCol="pca_features")])
     return pipe.fit(df).transform(df)
@@ -158,8 +162,8 @@ def recommend_by_text(products: DataFrame, w: DataFrame, name_col: str, text: st
     wnd = Window.orderBy(F.round("score", RANK_DIGITS).desc(), F.col("id2").asc())
     best = scores.orderBy(F.round("score", RANK_DIGITS).desc(), F.col("id2").asc()).limit(top)
     best = best.withColumn("rank", F.row_number().over(wnd))
-    names = products.select(F.col(id_col).alias("id2"), name_col)
-    return best.join(names, "id2").select("id2", name_col, "rank", "score")
+    return attach_names(best, products, sim_key="id2", key=id_col, cols=(name_col,)).select(
+        "id2", name_col, "rank", "score")
 
 
 def fit_word2vec(df: DataFrame, tokens_col: str = "tokens", out: str = "features", size: int = 100,

@@ -87,3 +87,17 @@ def test_unit_in_sql_plan_has_no_python(spark):
     with contextlib.redirect_stdout(buf):
         df.select(vx.unit("v")).explain()
     assert "Python" not in buf.getvalue() and "WholeStageCodegen" in buf.getvalue() or "*(" in buf.getvalue()
+
+
+def test_ml_feature_pipelines(spark):
+    from pyspark.ml.functions import vector_to_array
+    docs = spark.createDataFrame([(i, ["a", "b", "c", str(i % 5), "the"]) for i in range(40)],
+                                 "id long, tokens array<string>")
+    out = recommend.tfidf_counts(docs, "tokens", ["the"], k=3)
+    assert out.select(F.size(vector_to_array("pca_features"))).first()[0] == 3
+    hashed = recommend.tfidf_vectors(docs, "tokens")
+    assert hashed.count() == 40
+    asm = recommend.assemble(hashed, ["features"])
+    assert "features_vec" in asm.columns
+    rm = recommend.stopwords_remover(["THE"]).transform(docs)
+    assert "the" not in rm.first()["filtered"]

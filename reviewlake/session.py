@@ -27,6 +27,9 @@ def get_spark(master: str = "local[*]", app: str = "reviewlake", shuffle_partiti
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+         .config("spark.sql.streaming.stateStore.providerClass",
+                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)

@@ -133,3 +133,17 @@ def test_random_backfill(spark):
     hit = a.filter("fav > 0").count()
     assert abs(hit - 10000 * sampling.hit_fraction(9737, 10000)) < 300
     assert a.agg(F.min("fav"), F.max("fav")).collect()[0][0] >= 0
+
+
+def test_rows_and_small_helpers(spark):
+    from reviewlake.sources.tables import from_rows, lookup, scan
+    df = from_rows(spark, [(3, "c"), (1, "a"), (2, "b")], "id long, name string")
+    assert \
+        [r["name"] for r in scan(df, ["name"], key="id", limit=2).collect()] == ["a", "b"]
+    assert [r["id"] for r in scan(df, key="id", start=2).orderBy("id").collect()] == [2, 3]
+    keys = from_rows(spark, [(2,), (2,), (9,)], "id long")
+    assert [r["id"] for r in lookup(df, keys, "id", max_broadcast_rows=10).collect()] == [2]
+    arr = spark.createDataFrame([(["x", "y"], "2024-01-02 10:00:00"), ([], None)], "t array<string>, ts string")
+    got = arr.select(misc.n_tokens("t").alias("n"), misc.first_token("t").alias("f"),
+                     misc.day(F.col("ts").cast("timestamp")).alias("d")).collect()
+    assert tuple(got[0]) == (2, "x", "2024-01-02") and tuple(got[1]) == (0, None, None)

@@ -314,7 +314,7 @@ WHERE word <> '' GROUP BY word"""
     o["idf"] = f"WITH {_tfidf_cte(tok_docs).strip()} SELECT term, df, round(idf, 6) AS idf FROM idf"
     o["tfidf"] = (f"WITH {_tfidf_cte(tok_docs).strip()} "
                   "SELECT id AS doc_id, term, tf, round(weight, 6) AS tfidf FROM w")
-    o["filter_counts"] = f"SELECT count(*) AS rows_before, count_if({cb} <> '') AS rows_after FROM documents"
+    o["filter_counts"] = f"SELECT count(*) AS rows_before, CAST(count_if({cb} <> '') AS BIGINT) AS rows_after FROM documents"
     o["metrics"] = """
 WITH cm AS (SELECT quality AS l, toxic AS p, count(*) AS n FROM labels GROUP BY 1, 2),
 a AS (SELECT l AS c, sum(n) AS actual FROM cm GROUP BY 1),

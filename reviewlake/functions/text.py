@@ -341,4 +341,10 @@ def tokenize_lexicon(c, lexicon: Sequence[str], max_words: int = 4) -> Column:
             out.append(res)
         return pd.Series(out)
 
+    from pyspark.sql import SparkSession
+
+    from reviewlake.session import ship_package
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     return _segment(_c(c))

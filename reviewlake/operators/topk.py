@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.functions import vectors as vx
 from reviewlake.operators.joins import broadcast_if_small
-from reviewlake.session import cut_lineage
+from reviewlake.session import cut_lineage, ship_package
 
 RANK_DIGITS = 9          # scores are compared after rounding, so engines agree on ties
 DEFAULT_BLOCK_ROWS = 2048
@@ -100,6 +100,7 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "l2", id_c
     partition value (e.g. its probed clusters), blocked per partition value.
     """
     pc = [partition_col] if partition_col else []
+    ship_package(vectors.sparkSession)
     if materialize:
         same = vectors is queries
         vectors = cut_lineage(vectors.select(id_col, vec_col, *pc), "knn-vectors")

@@ -17,10 +17,10 @@ from pyspark.ml.feature import (CountVectorizer, HashingTF, IDF, PCA, StandardSc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.operators import aggs, filters
+from reviewlake.operators import filters
 from reviewlake.operators.joins import attach_names, broadcast_if_small
 from reviewlake.operators.topk import RANK_DIGITS
-from reviewlake.session import cut_lineage
+from reviewlake.session import cut_lineage, ship_package
 
 SPARSE_BLOCK_ROWS = 2048
 
@@ -128,6 +128,7 @@ def top_similar(w: DataFrame, id_col: str, n: int, block_rows: int = SPARSE_BLOC
     holds only those two blocks' term rows, merges them on term in pandas and keeps n per item.
     Pairs sharing no term score 0 and are not listed.
     """
+    ship_package(w.sparkSession)
     w = cut_lineage(w.select(id_col, "term", "weight"), "tfidf-weights")
     n_items = w.select(id_col).distinct().count()
     b = max(1, math.ceil(n_items / block_rows))

@@ -83,3 +83,37 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
         return df
     r = df.repartition(target, key) if key else df.repartition(target)
     return r.select(F.inline(F.array(F.struct(*[F.col(c) for c in r.columns]))))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``reviewlake`` importable on executors (what ``--py-files`` does), once per application.
+
+    The Python task functions (block k-NN, block TF-IDF products, lexicon tokeniser) live in this
+    package; Spark distributes the zip to every executor with ``addPyFile``.
+    """
+    import os
+    import zipfile
+
+    import reviewlake
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(reviewlake.__file__))
+    base = ensure_checkpoint_dir(spark)
+    local = base.startswith("/") or base.startswith("file:")
+    folder = (base[5:] if base.startswith("file:") else base) if local else tempfile.mkdtemp(prefix="reviewlake-py-")
+    folder = f"{folder.rstrip('/')}/reviewlake-pyfiles/{sc.applicationId}"
+    os.makedirs(folder, exist_ok=True)
+    target = f"{folder}/reviewlake.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)

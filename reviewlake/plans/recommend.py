@@ -46,7 +46,7 @@ def tfidf_vectors(df: DataFrame, tokens_col: str, num_features: int = 1 << 18) -
 
 
 def tfidf_counts(df: DataFrame, tokens_col: str, stopwords: list[str], k: int = 100,
-                 vocab_size: int = 1 << 14) -> DataFrame:
+                 vocab_size: int = 1 << 12) -> DataFrame:
     """M2: stop words removed, CountVectorizer + IDF + PCA(k).
 
     PCA builds a vocabulary x vocabulary covariance on the driver, so the vocabulary is capped to

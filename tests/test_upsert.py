@@ -71,3 +71,19 @@ def test_ensure_table(spark, tmp_dir):
     spark.createDataFrame([(1,)], schema).write.mode("append").parquet(tmp_dir)
     up.ensure_table(spark, tmp_dir, schema)         # exists: untouched
     assert spark.read.parquet(tmp_dir).count() == 1
+
+
+def test_merge_idempotence_property(spark):
+    import random
+    rnd = random.Random(5)
+    for _ in range(5):
+        t_rows = {k: (f"n{k}", float(k)) for k in rnd.sample(range(30), 12)}
+        u_rows = [(k, rnd.choice([None, f"u{k}"]), rnd.choice([None, float(-k)]), rnd.randint(0, 3))
+                  for k in [rnd.randrange(40) for _ in range(15)]]
+        t = spark.createDataFrame([(k, n, b) for k, (n, b) in t_rows.items()], SCHEMA)
+        u = spark.createDataFrame(u_rows, SCHEMA + ", seq int")
+        once = up.merge_upsert(t, u, "id", order=["seq"])
+        twice = up.merge_upsert(once, u, "id", order=["seq"])
+        assert rows(once) == rows(twice)
+        keys = {r[0] for r in rows(once)}
+        assert keys == set(t_rows) | {k for k, *_ in u_rows}

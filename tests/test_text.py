@@ -1,44 +1,104 @@
-"""Text rules: native Spark expressions vs plain Python ``re`` statements of the same rules."""
+"""Text rules: native Spark expressions vs independent character-level Python statements."""
 
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
 
-# ---- the rules, stated with Python's re (Unicode \w, \s, \b) -------------------------------
+# ---- independent statements of the rules, character by character -------------------------
+# A word character is what Python calls alphanumeric, or '_'; whitespace is str.isspace().
+
+
+def _word(ch):
+    return ch.isalnum() or ch == "_"
+
+
+def _squeeze_space(t):
+    out, prev_space = [], False
+    for ch in t:
+        if ch.isspace():
+            if not prev_space:
+                out.append(" ")
+            prev_space = True
+        else:
+            out.append(ch)
+            prev_space = False
+    return "".join(out)
+
+
+def _punct(t, repl):
+    return "".join(ch if (_word(ch) or ch.isspace()) else repl for ch in t)
+
+
+def _dedupe_runs(t, keep):
+    out = []
+    for ch in t:
+        if out and out[-1] == ch and keep(ch):
+            continue
+        out.append(ch)
+    return "".join(out)
+
+
+def _strip(t):
+    i, j = 0, len(t)
+    while i < j and t[i].isspace():
+        i += 1
+    while j > i and t[j - 1].isspace():
+        j -= 1
+    return t[i:j]
+
+
+def _per_word(t, fn):
+    return " ".join(fn(w) for w in t.split(" "))
+
+
+def _drop_phrases(t, phrases):
+    """Remove whole-word phrases scanning left to right (first listed phrase wins at a position)."""
+    words = t.split(" ")
+    out, i = [], 0
+    while i < len(words):
+        for ph in phrases:
+            pw = ph.split(" ")
+            if words[i:i + len(pw)] == pw:
+                out.append("")
+                i += len(pw)
+                break
+        else:
+            out.append(words[i])
+            i += 1
+    return " ".join(out)
 
 
 def py_base(t):
-    t = re.sub(r"\s+", " ", t)
-    t = re.sub(r"[^\w\s]", "", t)
-    return t.lower().strip()
+    return _strip(_punct(_squeeze_space(t), "").lower())
+
+
+ASCII = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
 def py_slang(t):
-    t = re.sub(r"\s+", " ", t)
-    t = re.sub(r"[^\w\s]", "", t)
-    t = t.lower()
-    t = re.sub(r"([A-Za-z])\1+", r"\1", t)
-    t = re.sub(r"\b(good|god|gud|nice|acepted|ok|ok[a-zA-Z]+)\b", " hài lòng ", t)
-    t = re.sub(r"\b(k|ko|kg|kh|khg|khog|khong)\b", "không", t)
-    t = re.sub(r"\b(aps)\b", "ứng dụng", t)
-    t = re.sub(r"\b(sp)\b", "sản phẩm", t)
-    t = re.sub(r"\b(iu)\b", "yêu", t)
-    return t.strip()
+    t = _punct(_squeeze_space(t), "").lower()
+    t = _dedupe_runs(t, lambda ch: ch in ASCII)
+
+    def word(w):
+        if w in tx.REVIEW_SLANG:
+            return tx.REVIEW_SLANG[w]
+        if len(w) > 2 and w.startswith("ok") and all(c in ASCII for c in w[2:]):
+            return tx.REVIEW_SLANG_OK_PREFIX
+        return w
+    return _strip(_per_word(t, word))
 
 
 def py_collapse(t):
     if not isinstance(t, str):
         return ""
-    t = re.sub(r"\s+", " ", t)
-    t = re.sub(r"[^\w\s]", " ", t)
-    t = t.lower()
-    t = re.sub(r"(\w)\1+", r"\1", t)
-    t = re.sub(r"\b(ok\b|ok\w+|oce|good|gud|nice)\b", "hài lòng", t)
-    return t.strip()
+    t = _punct(_squeeze_space(t), " ").lower()
+    t = _dedupe_runs(t, _word)
+    ok = set(tx.COLLAPSE_OK_WORDS)
+    t = _per_word(t, lambda w: tx.SATISFIED if (w in ok or (w.startswith("ok") and len(w) > 2)) else w)
+    return _strip(t)
 
 
 def py_product(t, sentence=None):
@@ -46,16 +106,13 @@ def py_product(t, sentence=None):
         return ""
     if sentence:
         t = t.replace(sentence, "")
-    t = re.sub(r"\s+", " ", t)
-    t = re.sub(r"[^\w\s]", "", t)
-    t = t.lower()
-    t = re.sub(r"\b(?:hàng chính hãng|chính hãng|chi tiết|phân phối|hãng)\b", "", t)
-    return t.strip()
+    t = _punct(_squeeze_space(t), "").lower()
+    return _strip(_drop_phrases(t, tx.PRODUCT_PHRASES))
 
 
 def py_name(t):
-    t = re.sub(r"[^\w\s]", "", t.lower().strip())
-    for p in ("hàng chính hãng", "chính hãng", "hàng nhập khẩu", "nhập khẩu", "chi tiết", "phân phối"):
+    t = _punct(_strip(t.lower()), "")
+    for p in tx.NAME_PHRASES:
         t = t.replace(p, "")
     return t
 
@@ -65,19 +122,16 @@ def py_label(r):
 
 
 def py_title(title, rating):
-    title = py_collapse(title)
+    t = py_collapse(title)
     label = py_label(rating)
-    if label in tx.TITLE_KEYWORDS:
-        for k in tx.TITLE_KEYWORDS[label]:
-            if k in title:
-                if label == "negative":
-                    title = "không " + title
-                elif label == "positive":
-                    title = re.sub(r"\b(tạm|khá|thất vọng)\b", "", title).replace("thất vọng", "hài lòng")
-                else:
-                    title = "bình thường"
-                break
-    return title
+    words = tx.TITLE_KEYWORDS.get(label, ())
+    if not any(k in t for k in words):
+        return t
+    if label == "negative":
+        return tx.TITLE_NEGATIVE_PREFIX + t
+    if label == "neutral":
+        return tx.TITLE_NEUTRAL_VALUE
+    return _drop_phrases(t, tx.TITLE_POSITIVE_DROP_WORDS).replace(*tx.TITLE_POSITIVE_SWAP)
 
 
 HAND = [

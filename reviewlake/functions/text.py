@@ -239,11 +239,36 @@ def strip_tags(c) -> Column:
     return F.regexp_replace(t, r"(?s)<[^>]*>", "")
 
 
+_REF = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,31});"
+
+
+def codepoint_char(n) -> Column:
+    """Unicode code point -> one-character string (UTF-32 decode); invalid -> U+FFFD."""
+    n = n.cast("long")
+    ok = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+
 def decode_entities(c, entities: Sequence[tuple[str, str]] = HTML_ENTITIES) -> Column:
-    t = _c(c)
-    for ent, ch in entities:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return t
+    """Decode ``&name;`` (names from ``entities``), ``&#NNN;`` and ``&#xHH;`` in one left-to-right
+    pass, as an HTML parser does (so ``&amp;lt;`` stays ``&lt;``). Unknown references stay as text."""
+    names = {ent[1:-1]: ch for ent, ch in entities}
+    parts = F.split(_c(c), "&")
+
+    def piece(p: Column) -> Column:
+        ref = F.regexp_extract(p, _REF, 1)
+        rest = F.substring(p, F.length(ref) + 2, 1 << 30)
+        named = None
+        for name, ch in names.items():
+            named = F.when(ref == name, F.lit(ch)) if named is None else named.when(ref == name, F.lit(ch))
+        dec = F.when(ref.rlike("^#[0-9]+$"), codepoint_char(F.substring(ref, 2, 16).cast("long")))
+        hexa = F.when(ref.rlike("^#[xX]"), codepoint_char(F.conv(F.substring(ref, 3, 16), 16, 10).cast("long")))
+        decoded = F.coalesce(named, dec, hexa) if named is not None else F.coalesce(dec, hexa)
+        return F.when((ref != "") & decoded.isNotNull(), F.concat(decoded, rest)).otherwise(F.concat(F.lit("&"), p))
+
+    joined = F.array_join(F.concat(F.slice(parts, 1, 1),
+                                   F.transform(F.slice(parts, F.lit(2), F.size(parts) - 1), piece)), "")
+    return F.when(_c(c).contains("&"), joined).otherwise(_c(c))
 
 
 def html_text(c, entities: Sequence[tuple[str, str]] = HTML_ENTITIES) -> Column:

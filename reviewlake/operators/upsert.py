@@ -107,16 +107,20 @@ class KeyedTable:
             return None
         return df.drop("_bucket") if self.partition_col == "_bucket" else df
 
+    def _marker(self, batch_id) -> str:
+        return f"{self.path}/_batches/batch={batch_id}"
+
     def _batch_done(self, batch_id) -> bool:
+        """O(1) check: one marker folder per committed batch id (no scan of all markers)."""
         try:
-            done = self.spark.read.parquet(f"{self.path}/_batches")
+            self.spark.read.parquet(self._marker(batch_id))
+            return True
         except AnalysisException:
             return False
-        return done.filter(F.col("batch_id") == F.lit(str(batch_id))).limit(1).count() > 0
 
     def _mark_batch(self, batch_id) -> None:
         (self.spark.createDataFrame([(str(batch_id),)], "batch_id string")
-         .write.mode("append").parquet(f"{self.path}/_batches"))
+         .write.mode("overwrite").parquet(self._marker(batch_id)))
 
     def upsert(self, updates: DataFrame, order: Sequence[str] | None = None, batch_id=None,
                whole_row: bool = False) -> None:
@@ -128,7 +132,10 @@ class KeyedTable:
             # keep the ordering columns so later batches can compare versions
             u = u.select(*self.keys, *[c for c in updates.columns if c not in self.keys])
         u = self._with_partition(u)
-        current_all = self.spark.read.parquet(self.data_path) if self.read() is not None else None
+        try:
+            current_all = self.spark.read.parquet(self.data_path)
+        except AnalysisException:
+            current_all = None
         if current_all is None:
             merged = u
         else:

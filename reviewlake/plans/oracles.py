@@ -119,13 +119,30 @@ def repair_title(t: str, label: str) -> str:
             f"ELSE {t} END")
 
 
+def decode_entities(x: str) -> str:
+    """One left-to-right pass over ``&``-separated pieces (named, decimal and hex references)."""
+    named = " ".join(f"WHEN {lit(ent[1:-1])} THEN {lit(ch)}" for ent, ch in tx.HTML_ENTITIES)
+    ref = "regexp_extract(p, '^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,31});', 1)"
+
+    def cp(n: str) -> str:
+        return f"(CASE WHEN {n} > 0 AND {n} <= 1114111 AND NOT ({n} BETWEEN 55296 AND 57343) THEN chr(CAST({n} AS INTEGER)) ELSE chr(65533) END)"
+    dec = cp(f"TRY_CAST(substr({ref}, 2) AS BIGINT)")
+    hexa = cp(f"CAST(('0x' || substr({ref}, 3)) AS BIGINT)")
+    decoded = (f"coalesce(CASE {ref} {named} END, CASE WHEN regexp_full_match({ref}, '#[0-9]+') THEN {dec} END, "
+               f"CASE WHEN regexp_full_match({ref}, '#[xX][0-9a-fA-F]+') THEN {hexa} END)")
+    piece = (f"CASE WHEN {ref} <> '' AND {decoded} IS NOT NULL THEN {decoded} || substr(p, length({ref}) + 2) "
+             f"ELSE '&' || p END")
+    return (f"CASE WHEN contains({x}, '&') THEN (SELECT array_to_string(list_concat([parts[1]], "
+            f"list_transform(parts[2:], lambda p: {piece})), '') FROM (SELECT string_split({x}, '&') AS parts)) "
+            f"ELSE {x} END")
+
+
 def html_text(x: str) -> str:
     t = f"regexp_replace({x}, '(?s)<!--.*?-->', '', 'g')"
     t = f"regexp_replace({t}, '(?is)<script[^>]*>.*?</script\\s*>', '', 'g')"
     t = f"regexp_replace({t}, '(?is)<style[^>]*>.*?</style\\s*>', '', 'g')"
     t = f"regexp_replace({t}, '(?s)<[^>]*>', '', 'g')"
-    for ent, ch in tx.HTML_ENTITIES:
-        t = f"replace({t}, {lit(ent)}, {lit(ch)})"
+    t = decode_entities(t)
     for s in tx.HTML_TEXT_BLANKED:
         t = f"replace({t}, {lit(s)}, ' ')"
     return strip_ws(t)

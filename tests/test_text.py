@@ -247,3 +247,13 @@ def test_small_helpers(spark):
     df = spark.createDataFrame([(1, "a b c", "True"), (2, None, "yes")], "id int, t string, b string")
     assert _collect(df, tx.underscore("t"))[1] == "a_b_c"
     assert _collect(df, tx.parse_bool("b")) == {1: True, 2: False}
+
+
+def test_entities_single_pass(spark):
+    import html
+    cases = ["&#233;t&#xE9; &amp;lt; &#38;lt; &bogus; & a", "a&b", "&amp;&amp;", "x&#0;y&#xD800;", "&#39;&quot;",
+             "&", "&&lt;", "no refs"]
+    df = spark.createDataFrame(list(enumerate(cases)), "id int, t string")
+    got = _collect(df, tx.decode_entities("t"))
+    for i, t in enumerate(cases):
+        assert got[i] == html.unescape(t), (t, got[i])

@@ -186,3 +186,11 @@ def review_table(spark: SparkSession, path: str, buckets: int = 64) -> KeyedTabl
 def overview_table(spark: SparkSession, path: str, buckets: int = 64) -> KeyedTable:
     """K5: rating overview rows keyed by product id."""
     return KeyedTable(spark, path, "product_id", buckets)
+
+
+def latest_view(snapshot: DataFrame, id_col: str = "id", date_col: str = "time") -> DataFrame:
+    """The current row per id from the daily snapshot table (replaces the separate 'current
+    product' table the old readers expected): ``max_by`` over the date, partial aggregation."""
+    vals = [c for c in snapshot.columns if c != id_col]
+    last = F.max_by(F.struct(*[F.col(v) for v in vals]), F.col(date_col)).alias("_r")
+    return snapshot.groupBy(id_col).agg(last).select(id_col, *[F.col(f"_r.{v}").alias(v) for v in vals])

@@ -435,6 +435,9 @@ m AS (SELECT coalesce(b2.time, b1.time) AS time, coalesce(b2.id, b1.id) AS id,
 SELECT id, time, price, quantity, price - lag(price) OVER (PARTITION BY id ORDER BY time) AS price_change,
        quantity - lag(quantity) OVER (PARTITION BY id ORDER BY time) AS quantity_change FROM m"""
     o["description_match"] = f"SELECT doc_id FROM documents WHERE list_contains({TOKENS}, {lit(Q.MATCH_WORD)})"
+    o["snapshot_latest"] = (o["daily_snapshot"].rsplit("SELECT concat_ws", 1)[0]
+                            + "SELECT id, time, concat_ws('_', time, CAST(id AS VARCHAR)) AS key, quantity, price FROM m "
+                            + "QUALIFY row_number() OVER (PARTITION BY id ORDER BY time DESC) = 1")
     o["top_rated"] = f"""
 WITH {PRODUCTS.strip()}
 SELECT id, name, avg_star AS rating_average FROM products WHERE avg_star IS NOT NULL

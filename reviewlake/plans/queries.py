@@ -465,6 +465,11 @@ def price_changes(spark, base):
                        (F.col("quantity") - F.lag("quantity").over(w)).alias("quantity_change"))
 
 
+def snapshot_latest(spark, base):
+    """K6 + K7: the latest snapshot row per product (one table, a 'current' view on top)."""
+    return up.latest_view(daily_snapshot(spark, base)).select("id", "time", "key", "quantity", "price")
+
+
 def top_rated(spark, base):
     """The n best-rated products (id breaks ties) -> TakeOrderedAndProject."""
     p = standins.product_rows(spark, base).select("id", "name", "rating_average")
@@ -532,4 +537,5 @@ QUERIES: dict[str, Query] = {
     "price_changes": price_changes,
     "description_match": description_match,
     "top_rated": top_rated,
+    "snapshot_latest": snapshot_latest,
 }

@@ -256,15 +256,21 @@ def decode_entities(c, entities: Sequence[tuple[str, str]] = HTML_ENTITIES) -> C
     parts = F.split(_c(c), "&")
 
     def piece(p: Column) -> Column:
-        ref = F.regexp_extract(p, _REF, 1)
-        rest = F.substring(p, F.length(ref) + 2, 1 << 30)
-        named = None
-        for name, ch in names.items():
-            named = F.when(ref == name, F.lit(ch)) if named is None else named.when(ref == name, F.lit(ch))
-        dec = F.when(ref.rlike("^#[0-9]+$"), codepoint_char(F.substring(ref, 2, 16).cast("long")))
-        hexa = F.when(ref.rlike("^#[xX]"), codepoint_char(F.conv(F.substring(ref, 3, 16), 16, 10).cast("long")))
-        decoded = F.coalesce(named, dec, hexa) if named is not None else F.coalesce(dec, hexa)
-        return F.when((ref != "") & decoded.isNotNull(), F.concat(decoded, rest)).otherwise(F.concat(F.lit("&"), p))
+        # lambda-bound values: an expression referenced several times inside a lambda would be
+        # re-evaluated each time, so the reference and its decoding are bound once per piece
+        def with_ref(ref: Column) -> Column:
+            named = None
+            for name, ch in names.items():
+                named = F.when(ref == name, F.lit(ch)) if named is None else named.when(ref == name, F.lit(ch))
+            dec = F.when(ref.rlike("^#[0-9]+$"), codepoint_char(F.substring(ref, 2, 16).cast("long")))
+            hexa = F.when(ref.rlike("^#[xX]"), codepoint_char(F.conv(F.substring(ref, 3, 16), 16, 10).cast("long")))
+            decoded = F.coalesce(named, dec, hexa) if named is not None else F.coalesce(dec, hexa)
+
+            def with_decoded(d: Column) -> Column:
+                rest = F.substring(p, F.length(ref) + 2, 1 << 30)
+                return F.when((ref != "") & d.isNotNull(), F.concat(d, rest)).otherwise(F.concat(F.lit("&"), p))
+            return F.transform(F.array(decoded), with_decoded).getItem(0)
+        return F.transform(F.array(F.regexp_extract(p, _REF, 1)), with_ref).getItem(0)
 
     joined = F.array_join(F.concat(F.slice(parts, 1, 1),
                                    F.transform(F.slice(parts, F.lit(2), F.size(parts) - 1), piece)), "")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from reviewlake import schemas
 from reviewlake.functions import misc
 from reviewlake.functions import text as tx
+from reviewlake.session import spread
 from reviewlake.sources.tables import table
 
 REVIEW_PAGE_SIZE = 20      # reviews per review page (fixed by the source API)
@@ -89,7 +90,7 @@ def product_rows(spark: SparkSession, base: str) -> DataFrame:
     The seller is the supplier of the part's latest line (``max_by``: partial aggregation, no sort).
     The dimension joins are left to Catalyst/AQE (broadcast when the dimension is small).
     """
-    part = table(spark, base, "part")
+    part = spread(table(spark, base, "part"), "p_partkey")
     li = table(spark, base, "lineitem")
     stats = li.groupBy(F.col("l_partkey").alias("p_partkey")).agg(
         F.max_by(F.struct("l_suppkey", "l_shipdate"), F.struct("l_shipdate", "l_orderkey", "l_linenumber")).alias("last"),

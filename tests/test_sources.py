@@ -147,3 +147,12 @@ def test_rows_and_small_helpers(spark):
     got = arr.select(misc.n_tokens("t").alias("n"), misc.first_token("t").alias("f"),
                      misc.day(F.col("ts").cast("timestamp")).alias("d")).collect()
     assert tuple(got[0]) == (2, "x", "2024-01-02") and tuple(got[1]) == (0, None, None)
+
+
+def test_append_and_overwrite(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a")], "id long, v string")
+    sinks.append(df, f"{tmp_dir}/t")
+    sinks.append(df, f"{tmp_dir}/t")                 # no key: a re-run appends again
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 2
+    sinks.overwrite(df, f"{tmp_dir}/t")
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 1

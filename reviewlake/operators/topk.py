@@ -44,6 +44,24 @@ def _blocks(n: int, block_rows: int) -> int:
     return max(1, math.ceil(n / block_rows))
 
 
+def row_topk(key: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row, the k smallest finite ``key`` values, ties broken by column index (vectorised).
+
+    Columns must be in ascending id order so that the column index is the id tie-break.
+    Returns (row index, column index) pairs, ordered by row then rank.
+    """
+    kk = min(k, key.shape[1])
+    if kk == 0:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    kth = np.partition(key, kk - 1, axis=1)[:, kk - 1]
+    r, c = np.nonzero((key <= kth[:, None]) & np.isfinite(key))
+    order = np.lexsort((c, key[r, c], r))
+    r, c = r[order], c[order]
+    rank = np.arange(len(r)) - np.searchsorted(r, r)
+    keep = rank < kk
+    return r[keep], c[keep]
+
+
 def _block_topk(k: int, metric: str):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         q = pdf[pdf["side"] == "q"]
@@ -55,6 +73,8 @@ def _block_topk(k: int, metric: str):
         vm = np.stack(v["vec"].to_numpy()).astype(np.float64)
         qids = q["key"].to_numpy(dtype=np.int64)
         vids = v["key"].to_numpy(dtype=np.int64)
+        by_id = np.argsort(vids, kind="stable")          # column order = id order (tie-break)
+        vm, vids = vm[by_id], vids[by_id]
         dots = qm @ vm.T
         if metric == "l2":
             s = (qm * qm).sum(1)[:, None] + (vm * vm).sum(1)[None, :] - 2.0 * dots
@@ -72,19 +92,8 @@ def _block_topk(k: int, metric: str):
         else:
             raise ValueError(metric)
         key = np.where(np.isnan(key), np.inf, key)
-        kk = min(k, key.shape[1])
-        kth = np.partition(key, kk - 1, axis=1)[:, kk - 1]
-        out_q, out_v, out_s = [], [], []
-        for i in range(key.shape[0]):
-            cand = np.nonzero(key[i] <= kth[i])[0]
-            cand = cand[np.isfinite(key[i, cand])]
-            order = np.lexsort((vids[cand], key[i, cand]))[:kk]
-            sel = cand[order]
-            out_q.append(np.full(len(sel), qids[i], dtype=np.int64))
-            out_v.append(vids[sel])
-            out_s.append(s[i, sel])
-        return pd.DataFrame({"qid": np.concatenate(out_q), "id": np.concatenate(out_v),
-                             "score": np.concatenate(out_s).astype(np.float64)})
+        r, c = row_topk(key, k)
+        return pd.DataFrame({"qid": qids[r], "id": vids[c], "score": s[r, c].astype(np.float64)})
     return fn
 
 

@@ -67,18 +67,11 @@ DENSE_MAX_CELLS = 8_000_000   # a block pair goes dense when rows x local vocabu
 
 
 def _topn_rows(ids1: np.ndarray, ids2: np.ndarray, score: np.ndarray, valid: np.ndarray, n: int):
-    """Per row of ``score``: the n best valid columns (rounded score desc, id asc)."""
+    """Per row of ``score``: the n best valid columns (rounded score desc, id asc); ``ids2`` sorted."""
+    from reviewlake.operators.topk import row_topk
     key = np.where(valid, -np.round(score, RANK_DIGITS), np.inf)
-    kk = min(n, key.shape[1])
-    kth = np.partition(key, kk - 1, axis=1)[:, kk - 1]
-    out1, out2, outs = [], [], []
-    for i in range(key.shape[0]):
-        cand = np.nonzero((key[i] <= kth[i]) & valid[i])[0]
-        sel = cand[np.lexsort((ids2[cand], key[i, cand]))[:kk]]
-        out1.append(np.full(len(sel), ids1[i], dtype=np.int64))
-        out2.append(ids2[sel])
-        outs.append(score[i, sel])
-    return np.concatenate(out1), np.concatenate(out2), np.concatenate(outs)
+    r, c = row_topk(key, n)
+    return ids1[r], ids2[c], score[r, c]
 
 
 def _sparse_block_topn(n: int):

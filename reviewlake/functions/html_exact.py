@@ -1,0 +1,65 @@
+"""N9 exact mode: HTML -> text with the standard-library HTML parser, per Arrow batch.
+
+The native ``text.html_text`` covers comments, script/style bodies, tags and the usual references;
+this mode is for markup the regex chain cannot follow (unclosed tags inside attributes, references
+without ';', the full HTML5 entity table). It runs as ``mapInPandas`` over the partitions, so it
+stays distributed; it is the slow path and is opt-in.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+from reviewlake.functions.text import HTML_TEXT_BLANKED
+
+_SKIP = {"script", "style", "template"}
+
+
+class _TextOnly(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.parts: list[str] = []
+        self.skip = 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in _SKIP:
+            self.skip += 1
+
+    def handle_endtag(self, tag):
+        if tag in _SKIP and self.skip:
+            self.skip -= 1
+
+    def handle_data(self, data):
+        if not self.skip:
+            self.parts.append(data)
+
+
+def html_to_text(html: str | None) -> str | None:
+    if html is None:
+        return None
+    p = _TextOnly()
+    p.feed(html)
+    p.close()
+    t = "".join(p.parts)
+    for s in HTML_TEXT_BLANKED:
+        t = t.replace(s, " ")
+    return t.strip()
+
+
+def html_text_exact(df: DataFrame, col: str, out: str = "text") -> DataFrame:
+    """Add ``out`` = text of the HTML in ``col`` (all other columns kept)."""
+    from reviewlake.session import ship_package
+    ship_package(df.sparkSession)
+    schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf[out] = [html_to_text(h) for h in pdf[col]]
+            yield pdf
+
+    return df.mapInPandas(run, schema=schema)

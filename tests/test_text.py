@@ -257,3 +257,14 @@ def test_entities_single_pass(spark):
     got = _collect(df, tx.decode_entities("t"))
     for i, t in enumerate(cases):
         assert got[i] == html.unescape(t), (t, got[i])
+
+
+def test_html_exact_mode_agrees_with_native_on_pages(spark):
+    from reviewlake.functions.html_exact import html_text_exact
+    from reviewlake.sources.tables import table
+    pages = table(spark, "/root/testdata/sf0.001", "pages").select("page_id", "html")
+    exact = {r["page_id"]: r["text"] for r in html_text_exact(pages, "html").collect()}
+    native = {r["page_id"]: r["t"] for r in pages.select("page_id", tx.html_text("html").alias("t")).collect()}
+    assert exact == native
+    df = spark.createDataFrame([(1, "<p>caf&eacute; &lt &#x41;</p><script>x<y</script>")], "id int, h string")
+    assert html_text_exact(df, "h").collect()[0]["text"] == "café < A"

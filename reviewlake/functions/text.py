@@ -239,9 +239,6 @@ def strip_tags(c) -> Column:
     return F.regexp_replace(t, r"(?s)<[^>]*>", "")
 
 
-_REF = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,31});"
-
-
 def codepoint_char(n) -> Column:
     """Unicode code point -> one-character string (UTF-32 decode); invalid -> U+FFFD."""
     n = n.cast("long")
@@ -250,27 +247,37 @@ def codepoint_char(n) -> Column:
 
 
 def decode_entities(c, entities: Sequence[tuple[str, str]] = HTML_ENTITIES) -> Column:
-    """Decode ``&name;`` (names from ``entities``), ``&#NNN;`` and ``&#xHH;`` in one left-to-right
-    pass, as an HTML parser does (so ``&amp;lt;`` stays ``&lt;``). Unknown references stay as text."""
-    names = {ent[1:-1]: ch for ent, ch in entities}
+    """Decode character references in one left-to-right pass, as an HTML parser does (so
+    ``&amp;lt;`` stays ``&lt;``): ``&name;`` for the names of ``entities``, ``&#NNN`` / ``&#xHH``
+    with or without ``;``, and the names written without ``;`` (``&amp`` before ``</title>``).
+    Unknown references stay as text. (The cp1252 remap of ``&#128;``-``&#159;`` and the dropped
+    control code points are left to ``html_exact``.)"""
+    names = {ent[1:-1]: ch for ent, ch in entities if not ent.startswith("&#")}
+    legacy = "|".join(sorted(names, key=len, reverse=True))
     parts = F.split(_c(c), "&")
 
+    def lookup(name: Column) -> Column:
+        out = None
+        for k, ch in names.items():
+            out = F.when(name == k, F.lit(ch)) if out is None else out.when(name == k, F.lit(ch))
+        return out
+
     def piece(p: Column) -> Column:
-        # lambda-bound values: an expression referenced several times inside a lambda would be
-        # re-evaluated each time, so the reference and its decoding are bound once per piece
-        def with_ref(ref: Column) -> Column:
-            named = None
-            for name, ch in names.items():
-                named = F.when(ref == name, F.lit(ch)) if named is None else named.when(ref == name, F.lit(ch))
-            dec = F.when(ref.rlike("^#[0-9]+$"), codepoint_char(F.substring(ref, 2, 16).cast("long")))
-            hexa = F.when(ref.rlike("^#[xX]"), codepoint_char(F.conv(F.substring(ref, 3, 16), 16, 10).cast("long")))
-            decoded = F.coalesce(named, dec, hexa) if named is not None else F.coalesce(dec, hexa)
-
-            def with_decoded(d: Column) -> Column:
-                rest = F.substring(p, F.length(ref) + 2, 1 << 30)
-                return F.when((ref != "") & d.isNotNull(), F.concat(d, rest)).otherwise(F.concat(F.lit("&"), p))
-            return F.transform(F.array(decoded), with_decoded).getItem(0)
-        return F.transform(F.array(F.regexp_extract(p, _REF, 1)), with_ref).getItem(0)
+        # values used several times are bound once through one-element lambdas (an expression
+        # referenced repeatedly inside a lambda would be re-evaluated each time)
+        def with_refs(refs: Column) -> Column:
+            semi, num, old = refs.getField("semi"), refs.getField("num"), refs.getField("old")
+            digits = F.regexp_extract(num, r"[0-9a-fA-F]+", 0)
+            code = F.when(num.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
+            named = lookup(semi)
+            return (F.when(named.isNotNull(), F.concat(named, F.substring(p, F.length(semi) + 2, 1 << 30)))
+                    .when(num != "", F.concat(codepoint_char(code), F.substring(p, F.length(num) + 1, 1 << 30)))
+                    .when(old != "", F.concat(lookup(old), F.substring(p, F.length(old) + 1, 1 << 30)))
+                    .otherwise(F.concat(F.lit("&"), p)))
+        refs = F.struct(F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]*);", 1).alias("semi"),
+                        F.regexp_extract(p, r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0).alias("num"),
+                        F.regexp_extract(p, f"^({legacy})", 1).alias("old"))
+        return F.transform(F.array(refs), with_refs).getItem(0)
 
     joined = F.array_join(F.concat(F.slice(parts, 1, 1),
                                    F.transform(F.slice(parts, F.lit(2), F.size(parts) - 1), piece)), "")

@@ -120,17 +120,23 @@ def repair_title(t: str, label: str) -> str:
 
 
 def decode_entities(x: str) -> str:
-    """One left-to-right pass over ``&``-separated pieces (named, decimal and hex references)."""
-    named = " ".join(f"WHEN {lit(ent[1:-1])} THEN {lit(ch)}" for ent, ch in tx.HTML_ENTITIES)
-    ref = "regexp_extract(p, '^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{0,31});', 1)"
-
-    def cp(n: str) -> str:
-        return f"(CASE WHEN {n} > 0 AND {n} <= 1114111 AND NOT ({n} BETWEEN 55296 AND 57343) THEN chr(CAST({n} AS INTEGER)) ELSE chr(65533) END)"
-    dec = cp(f"TRY_CAST(substr({ref}, 2) AS BIGINT)")
-    hexa = cp(f"CAST(('0x' || substr({ref}, 3)) AS BIGINT)")
-    decoded = (f"coalesce(CASE {ref} {named} END, CASE WHEN regexp_full_match({ref}, '#[0-9]+') THEN {dec} END, "
-               f"CASE WHEN regexp_full_match({ref}, '#[xX][0-9a-fA-F]+') THEN {hexa} END)")
-    piece = (f"CASE WHEN {ref} <> '' AND {decoded} IS NOT NULL THEN {decoded} || substr(p, length({ref}) + 2) "
+    """One left-to-right pass over ``&``-separated pieces (named, numeric, legacy names without ';')."""
+    names = {ent[1:-1]: ch for ent, ch in tx.HTML_ENTITIES if not ent.startswith("&#")}
+    legacy = "|".join(sorted(names, key=len, reverse=True))
+
+    def case(v: str) -> str:
+        return "CASE " + v + " " + " ".join(f"WHEN {lit(k)} THEN {lit(ch)}" for k, ch in names.items()) + " END"
+    semi = "regexp_extract(p, '^([A-Za-z][A-Za-z0-9]*);', 1)"
+    num = "regexp_extract(p, '^#(?:[0-9]+|[xX][0-9a-fA-F]+);?', 0)"
+    old = f"regexp_extract(p, '^({legacy})', 1)"
+    digits = f"regexp_extract({num}, '[0-9a-fA-F]+', 0)"
+    code = (f"(CASE WHEN regexp_matches({num}, '^#[xX]') THEN TRY_CAST('0x' || {digits} AS BIGINT) "
+            f"ELSE TRY_CAST({digits} AS BIGINT) END)")
+    cp = (f"(CASE WHEN {code} > 0 AND {code} <= 1114111 AND NOT ({code} BETWEEN 55296 AND 57343) "
+          f"THEN chr(CAST({code} AS INTEGER)) ELSE chr(65533) END)")
+    piece = (f"CASE WHEN {case(semi)} IS NOT NULL THEN {case(semi)} || substr(p, length({semi}) + 2) "
+             f"WHEN {num} <> '' THEN {cp} || substr(p, length({num}) + 1) "
+             f"WHEN {old} <> '' THEN {case(old)} || substr(p, length({old}) + 1) "
              f"ELSE '&' || p END")
     return (f"CASE WHEN contains({x}, '&') THEN (SELECT array_to_string(list_concat([parts[1]], "
             f"list_transform(parts[2:], lambda p: {piece})), '') FROM (SELECT string_split({x}, '&') AS parts)) "

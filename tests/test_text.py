@@ -252,7 +252,8 @@ def test_small_helpers(spark):
 def test_entities_single_pass(spark):
     import html
     cases = ["&#233;t&#xE9; &amp;lt; &#38;lt; &bogus; & a", "a&b", "&amp;&amp;", "x&#0;y&#xD800;", "&#39;&quot;",
-             "&", "&&lt;", "no refs"]
+             "&", "&&lt;", "no refs", "ver&amp", "&ampToned", "&ltfoo; &#65x &#x42", "&copyright &middot;",
+             "&#99999999999999999999;"]
     df = spark.createDataFrame(list(enumerate(cases)), "id int, t string")
     got = _collect(df, tx.decode_entities("t"))
     for i, t in enumerate(cases):

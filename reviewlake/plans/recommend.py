@@ -211,7 +211,7 @@ def recommend_by_cosine(model, products: DataFrame, queries: DataFrame, n: int =
     return topk.knn(vec, qv, n, metric="cosine", id_col=id_col)
 
 
-def fit_vector_pipeline(products: DataFrame, tokens_col: str = "tokens", size: int = 100, seed: int = 42,
+def fit_vector_model(products: DataFrame, tokens_col: str = "tokens", size: int = 100, seed: int = 42,
                         min_count: int = 5):
     """M11 (training side): Word2Vec + L2 Normalizer as one saved-and-loaded PipelineModel."""
     from pyspark.ml.feature import Normalizer
@@ -220,7 +220,7 @@ def fit_vector_pipeline(products: DataFrame, tokens_col: str = "tokens", size: i
                             Normalizer(inputCol="features", outputCol="normalized_vectors", p=2.0)]).fit(products)
 
 
-def recommend_pipeline(model, products: DataFrame, queries: DataFrame, k: int = 100, id_col: str = "id",
+def recommend_saved_model(model, products: DataFrame, queries: DataFrame, k: int = 100, id_col: str = "id",
                        name_col: str = "name") -> DataFrame:
     """Saved pipeline -> unit vectors -> k nearest product names per query (by id, never position)."""
     from pyspark.ml.functions import vector_to_array

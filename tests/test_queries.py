@@ -38,7 +38,7 @@ def test_entry(spark):
 def test_every_query_has_an_oracle_or_is_iterative():
     rows_only = set(QUERIES) - set(ORACLES)
     assert rows_only <= {"word2vec_vectors", "kmeans_clusters", "two_level_search", "tfidf_hashing",
-                         "sentiment_metrics", "sentiment_scores", "recommend_cosine", "recommend_pipeline"}
+                         "sentiment_metrics", "sentiment_scores", "recommend_cosine", "recommend_saved_model"}
     assert set(ORACLES) <= set(QUERIES)
 
 

@@ -239,11 +239,33 @@ def strip_tags(c) -> Column:
     return F.regexp_replace(t, r"(?s)<[^>]*>", "")
 
 
+def _numeric_ref_overrides() -> dict[int, str]:
+    """HTML numeric references that do not map to their code point, built by rule: 0 -> U+FFFD,
+    13 -> CR, and 0x80-0x9F read as windows-1252 (undefined bytes stay themselves)."""
+    table = {0x00: "\ufffd", 0x0D: "\r"}
+    for b in range(0x80, 0xA0):
+        try:
+            table[b] = bytes([b]).decode("cp1252")
+        except UnicodeDecodeError:
+            table[b] = chr(b)
+    return table
+
+
+NUMERIC_REF_OVERRIDES = _numeric_ref_overrides()
+
+
 def codepoint_char(n) -> Column:
-    """Unicode code point -> one-character string (UTF-32 decode); invalid -> U+FFFD."""
+    """Character of an HTML numeric reference: the overrides above, U+FFFD for surrogates and
+    out-of-range values, '' for control and non-character code points, else the code point."""
     n = n.cast("long")
-    ok = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
-    return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+    out = None
+    for k, ch in NUMERIC_REF_OVERRIDES.items():
+        out = F.when(n == k, F.lit(ch)) if out is None else out.when(n == k, F.lit(ch))
+    bad = n.isNull() | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+    dropped = (n.between(0x1, 0x8) | (n == 0xB) | n.between(0xE, 0x1F) | n.between(0x7F, 0x9F)
+               | n.between(0xFDD0, 0xFDEF) | (F.pmod(n, F.lit(0x10000)) >= 0xFFFE))
+    return (out.when(bad, F.lit("\ufffd")).when(dropped, F.lit(""))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
 
 
 def decode_entities(c, entities: Sequence[tuple[str, str]] = HTML_ENTITIES) -> Column:

@@ -132,8 +132,11 @@ def decode_entities(x: str) -> str:
     digits = f"regexp_extract({num}, '[0-9a-fA-F]+', 0)"
     code = (f"(CASE WHEN regexp_matches({num}, '^#[xX]') THEN TRY_CAST('0x' || {digits} AS BIGINT) "
             f"ELSE TRY_CAST({digits} AS BIGINT) END)")
-    cp = (f"(CASE WHEN {code} > 0 AND {code} <= 1114111 AND NOT ({code} BETWEEN 55296 AND 57343) "
-          f"THEN chr(CAST({code} AS INTEGER)) ELSE chr(65533) END)")
+    over = " ".join(f"WHEN {code} = {k} THEN {lit(ch)}" for k, ch in tx.NUMERIC_REF_OVERRIDES.items())
+    cp = (f"(CASE {over} WHEN {code} IS NULL OR {code} > 1114111 OR {code} BETWEEN 55296 AND 57343 THEN chr(65533) "
+          f"WHEN {code} BETWEEN 1 AND 8 OR {code} = 11 OR {code} BETWEEN 14 AND 31 OR {code} BETWEEN 127 AND 159 "
+          f"OR {code} BETWEEN 64976 AND 65007 OR {code} % 65536 >= 65534 THEN '' "
+          f"ELSE chr(CAST({code} AS INTEGER)) END)")
     piece = (f"CASE WHEN {case(semi)} IS NOT NULL THEN {case(semi)} || substr(p, length({semi}) + 2) "
              f"WHEN {num} <> '' THEN {cp} || substr(p, length({num}) + 1) "
              f"WHEN {old} <> '' THEN {case(old)} || substr(p, length({old}) + 1) "

@@ -269,3 +269,13 @@ def test_html_exact_mode_agrees_with_native_on_pages(spark):
     assert exact == native
     df = spark.createDataFrame([(1, "<p>caf&eacute; &lt &#x41;</p><script>x<y</script>")], "id int, h string")
     assert html_text_exact(df, "h").collect()[0]["text"] == "café < A"
+
+
+def test_numeric_references_match_html_unescape(spark):
+    import html
+    nums = list(range(0, 0x200)) + [0xD800, 0xDFFF, 0xFDD0, 0xFFFE, 0x1FFFF, 0x10FFFF, 0x110000, 0x1F600]
+    cases = [f"a&#{n};b&#x{n:X}c" for n in nums]
+    df = spark.createDataFrame(list(enumerate(cases)), "id int, t string")
+    got = _collect(df, tx.decode_entities("t"))
+    for i, t in enumerate(cases):
+        assert got[i] == html.unescape(t), (t, got[i], html.unescape(t))

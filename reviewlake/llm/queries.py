@@ -5,13 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import block_topk, secret_scan, stream_dedup
+from reviewlake.llm import block_topk, lang_crf, mixing, packing, secret_scan, stream_dedup
 
 
 def _documents(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(f"{base}/documents.parquet")
 
 
+def op2_packing(spark: SparkSession, base: str) -> DataFrame:
+    """Packing of all documents into sequences of at most 2048 tokens."""
+    return packing.pack_documents(_documents(spark, base))
+
+
+def _remainder(n: int):
+    """crc32 of the id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op5_language(spark: SparkSession, base: str) -> DataFrame:
+    """Language of every document; ids whose remainder by 5 is 0 are held out of the fit."""
+    docs = _documents(spark, base).withColumn("held_out", F.coalesce(_remainder(5) == 0, F.lit(False)))
+    found = lang_crf.learn_and_predict(docs, _remainder(5) != 0, carry=["doc_id", "held_out"])
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
 def op6_exact_dedup(spark: SparkSession, base: str) -> DataFrame:
     """Exact dedup: one row per document with its group, from the streaming keyed state."""
     return stream_dedup.deduplicate(_documents(spark, base)).select(
@@ -24,12 +41,18 @@ def op7_exact_topk(spark: SparkSession, base: str) -> DataFrame:
     return block_topk.top_k(vectors, vectors.where("id % 20 = 0"), k=20).withColumnRenamed("id", "vec_id")
 
 
+def op9_mixing(spark: SparkSession, base: str) -> DataFrame:
+    """Documents in the order and number of the temperature mixture of their sources."""
+    return mixing.mix(_documents(spark, base))
+
+
 def op10_secret_scan(spark: SparkSession, base: str) -> DataFrame:
     """Secret findings of every document, with ownership frequency."""
     return secret_scan.summary(secret_scan.scan(_documents(spark, base)))
 
 
-LLM_QUERIES = {q.__name__: q for q in (op6_exact_dedup, op7_exact_topk, op10_secret_scan)}
+LLM_QUERIES = {q.__name__: q for q in (
+    op2_packing, op5_language, op6_exact_dedup, op7_exact_topk, op9_mixing, op10_secret_scan)}
 
 _OP6 = r"""
 WITH d AS (

@@ -81,6 +81,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def _last(ends: np.ndarray) -> np.ndarray:
+    """1 at the last byte of each word's room (there the word is over), else 0."""
+    out = np.zeros(ends[-1] if len(ends) else 0, dtype=np.int64)
+    out[ends - 1] = 1
+    return out
+
+
 @dataclass
 class Words:
     """Words of a block of texts: byte ranges in ``data``, and the first word of each row."""
@@ -101,8 +108,14 @@ class Words:
     def hashes(self) -> np.ndarray:
         return range_hashes(_BYTE[self.data], self.starts, self.ends)
 
-    def text(self, i: int) -> bytes:
-        return self.data[self.starts[i]:self.ends[i]].tobytes()
+    def joined(self) -> Words:
+        """The same words with exactly one space after each."""
+        size = self.ends - self.starts + 1
+        ends = np.cumsum(size)
+        starts = ends - size
+        data = self.data[np.repeat(self.starts - starts, size) + np.arange(ends[-1] if len(ends) else 0) - _last(ends)]
+        data[ends - 1] = 32
+        return Words(data, starts, ends - 1, self.first)
 
 
 def words(column: pa.Array, lower: bool = False) -> Words:
@@ -119,16 +132,23 @@ def words(column: pa.Array, lower: bool = False) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, offsets))
 
 
+def window_starts(first: np.ndarray, n: int) -> np.ndarray:
+    """First word of every run of n consecutive words that lies in one row."""
+    counts = np.maximum(np.diff(first) - (n - 1), 0)
+    row = np.repeat(np.arange(len(counts)), counts)
+    return np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + first[row]
+
+
 def ngrams(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every run of n consecutive words that lies in one row, and the word it starts at.
 
-    Hash of words i..i+n-1 by Horner's rule; a row with fewer than n words has none.
+    A row with fewer than n words has none.
     """
     if len(hashes) < n:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    counts = np.maximum(np.diff(first) - (n - 1), 0)
-    row = np.repeat(np.arange(len(counts)), counts)
-    at = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + first[row]
+    at = window_starts(first, n)
+    if n > 8:
+        return range_hashes(hashes, at, at + n), at
     h = hashes[at]
     for j in range(1, n):
         h = h * _ODD + hashes[at + j]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import block_topk, lang_crf, mixing, packing, secret_scan, stream_dedup
+from reviewlake.llm import block_topk, lang_crf, mixing, packing, secret_scan, stream_dedup, substring_dedup
 
 
 def _documents(spark: SparkSession, base: str) -> DataFrame:
@@ -17,6 +17,11 @@ def op2_packing(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, base))
 
 
+def op4_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Removal of the words of every 35-word window that also starts elsewhere."""
+    return substring_dedup.remove_repeats(_documents(spark, base), with_text=False)
+
+
 def _remainder(n: int):
     """crc32 of the id as text, modulo n."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
@@ -52,7 +57,7 @@ def op10_secret_scan(spark: SparkSession, base: str) -> DataFrame:
 
 
 LLM_QUERIES = {q.__name__: q for q in (
-    op2_packing, op5_language, op6_exact_dedup, op7_exact_topk, op9_mixing, op10_secret_scan)}
+    op2_packing, op4_substring_dedup, op5_language, op6_exact_dedup, op7_exact_topk, op9_mixing, op10_secret_scan)}
 
 _OP6 = r"""
 WITH d AS (

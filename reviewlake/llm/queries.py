@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import block_topk, lang_crf, mixing, packing, secret_scan, stream_dedup, substring_dedup
+from reviewlake.llm import block_topk, lang_crf, mixing, ngram_join, packing, secret_scan, stream_dedup, substring_dedup
 
 
 def _documents(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(f"{base}/documents.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, base: str) -> DataFrame:
+    """Near-duplicate groups of all documents: Jaccard similarity of five-word shingles of at least 0.8."""
+    return ngram_join.join_groups(_documents(spark, base))
+
+
 def op2_packing(spark: SparkSession, base: str) -> DataFrame:
     """Packing of all documents into sequences of at most 2048 tokens."""
     return packing.pack_documents(_documents(spark, base))
@@ -57,7 +62,7 @@ def op10_secret_scan(spark: SparkSession, base: str) -> DataFrame:
 
 
 LLM_QUERIES = {q.__name__: q for q in (
-    op2_packing, op4_substring_dedup, op5_language, op6_exact_dedup, op7_exact_topk, op9_mixing, op10_secret_scan)}
+    op1_ngram_join, op2_packing, op4_substring_dedup, op5_language, op6_exact_dedup, op7_exact_topk, op9_mixing, op10_secret_scan)}
 
 _OP6 = r"""
 WITH d AS (

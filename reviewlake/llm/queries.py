@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import block_topk, lang_crf, mixing, ngram_join, packing, secret_scan, stream_dedup, substring_dedup
+from reviewlake.llm import (
+    backoff_lm, block_topk, lang_crf, mixing, ngram_join, packing, secret_scan, stream_dedup, substring_dedup,
+)
 
 
 def _documents(spark: SparkSession, base: str) -> DataFrame:
@@ -51,6 +53,14 @@ def op7_exact_topk(spark: SparkSession, base: str) -> DataFrame:
     return block_topk.top_k(vectors, vectors.where("id % 20 = 0"), k=20).withColumnRenamed("id", "vec_id")
 
 
+def op8_lm_score(spark: SparkSession, base: str) -> DataFrame:
+    """Log-probability of every document; ids whose remainder by 7 is 2 are held out of the model."""
+    docs = _documents(spark, base)
+    found = backoff_lm.learn_and_score(docs, _remainder(7) != 2)
+    return found.select("doc_id", F.coalesce(_remainder(7) == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+                        "train_tokens", "base_score", "score")
+
+
 def op9_mixing(spark: SparkSession, base: str) -> DataFrame:
     """Documents in the order and number of the temperature mixture of their sources."""
     return mixing.mix(_documents(spark, base))
@@ -62,7 +72,8 @@ def op10_secret_scan(spark: SparkSession, base: str) -> DataFrame:
 
 
 LLM_QUERIES = {q.__name__: q for q in (
-    op1_ngram_join, op2_packing, op4_substring_dedup, op5_language, op6_exact_dedup, op7_exact_topk, op9_mixing, op10_secret_scan)}
+    op1_ngram_join, op2_packing, op4_substring_dedup, op5_language, op6_exact_dedup, op7_exact_topk,
+    op8_lm_score, op9_mixing, op10_secret_scan)}
 
 _OP6 = r"""
 WITH d AS (

@@ -118,13 +118,16 @@ class Words:
         return Words(data, starts, ends - 1, self.first)
 
 
-def words(column: pa.Array, lower: bool = False) -> Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of each row, A-Z lower-cased when asked for."""
+def words(column: pa.Array, lower: bool = False, between: np.ndarray = _SPACE) -> Words:
+    """Words of each row: runs of bytes that aren't in ``between``, A-Z lower-cased when asked for.
+
+    By default words are ``[^\\x20\\x09-\\x0D]+``.
+    """
     data, offsets = utf8(column)
     if lower:
         data = _LOWER[data]
     inside = np.zeros(len(data) + 2, dtype=bool)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~between[data]
     edge = np.zeros(len(data) + 1, dtype=bool)          # a row starts (or the last ends) before this byte
     edge[offsets] = True
     starts = np.flatnonzero(inside[1:-1] & (~inside[:-2] | edge[:-1]))

@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.llm.blocks import (
@@ -90,8 +90,8 @@ def _sets_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in slices(batches, "text", BLOCK_BYTES):
         row, token, n = token_sets(block.column("text"))
         sums = set_sums(row, token, block.num_rows)
-        yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(n, pa.int64()), pa.array(sums[0]), pa.array(sums[1])],
-                                         ["doc_id", "n", "s1", "s2"])
+        yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("text_hash"), pa.array(n, pa.int64()),
+                                          pa.array(sums[0]), pa.array(sums[1])], ["doc_id", "text_hash", "n", "s1", "s2"])
 
 
 def _scatter_task(n_buckets: int):
@@ -283,10 +283,14 @@ def _open_pairs(signed: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def join_groups(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, set_size): one row per row of ``docs``; set_size counts its class."""
+    """One row per row of ``docs``: (doc_id, n_shingles, component_id, set_size, group_key, text_hash).
+
+    set_size counts the rows with the same set; group_key tells components apart, also those without a name.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    found = cut_lineage(own.mapInArrow(_sets_task, "doc_id long, n long, s1 long, s2 long"), "sets")
+    found = cut_lineage(own.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _sets_task, "doc_id long, text_hash long, n long, s1 long, s2 long"), "sets")
     total = found.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("rows")).first()
 
     # A doc_id names its node unless it is null or names rows with different sets.
@@ -323,16 +327,35 @@ def join_groups(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     labels = components(links.unionByName(more))
     lows = (labels.join(one, "node").groupBy("component").agg(F.min("low").alias("component_low")))
     named_classes = (one.join(labels, "node").join(lows, "component")
-                     .select(F.col("n").alias("cn"), F.col("s1").alias("c1"), F.col("s2").alias("c2"), "component_low"))
+                     .select(F.col("n").alias("cn"), F.col("s1").alias("c1"), F.col("s2").alias("c2"), "component_low", "component"))
     named_classes = (classes.join(named_classes, (F.col("n") == F.col("cn")) & (F.col("s1") == F.col("c1"))
                                   & (F.col("s2") == F.col("c2")), "left")
                      .select(F.col("n").alias("kn"), F.col("s1").alias("k1"), F.col("s2").alias("k2"), "set_size",
-                             F.coalesce("component_low", "low").alias("component")))
+                             F.coalesce("component_low", "low").alias("low"), F.col("component").alias("label")))
     return (found.join(named_classes, (F.col("n") == F.col("kn")) & (F.col("s1") == F.col("k1"))
                        & (F.col("s2") == F.col("k2")), "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.coalesce("set_size", F.lit(1)).alias("set_size")))
+                    F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"),
+                    F.coalesce("set_size", F.lit(1)).alias("set_size"),
+                    F.coalesce(F.col("label").cast("string"), F.concat_ws("/", "n", "s1", "s2")).alias("group_key"), "text_hash"))
+
+
+def one_of_each(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of which one of each group stays: the smallest doc_id.
+
+    Rows without tokens are in no group and stay. Of rows that repeat doc_id and text one stays.
+    """
+    groups = join_groups(docs, **how)
+    chosen = (groups.where("n_shingles > 0").groupBy("group_key")
+              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("c"))
+              .select("c.doc_id", "c.text_hash", F.lit(True).alias("one")))
+    empty = groups.where("n_shingles = 0").select("doc_id", "text_hash").distinct().withColumn("one", F.lit(False))
+    stays = chosen.unionByName(empty).select(F.col("doc_id").alias("i"), F.col("text_hash").alias("h"), "one")
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                      F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_hash"))
+    met = own.join(stays, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("h")))
+    first = Window.partitionBy("doc_id", "text_hash").orderBy("h")
+    return met.withColumn("at", F.row_number().over(first)).where("at = 1 OR NOT one").select("row.*")
 
 
 def _with_node(rows: DataFrame) -> DataFrame:

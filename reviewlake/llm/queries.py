@@ -16,7 +16,7 @@ def _documents(spark: SparkSession, base: str) -> DataFrame:
 
 def op1_ngram_join(spark: SparkSession, base: str) -> DataFrame:
     """Near-duplicate groups of all documents: Jaccard similarity of five-word shingles of at least 0.8."""
-    return ngram_join.join_groups(_documents(spark, base))
+    return ngram_join.join_groups(_documents(spark, base)).select("doc_id", "n_shingles", "component_id", "set_size")
 
 
 def op2_packing(spark: SparkSession, base: str) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.llm import (
-    backoff_lm, block_topk, lang_crf, mixing, ngram_join, packing, secret_scan, stream_dedup, substring_dedup,
+    backoff_lm, block_topk, lang_crf, license_scan, mixing, ngram_join, packing, secret_scan, stream_dedup,
+    substring_dedup,
 )
 
 
@@ -24,6 +25,11 @@ def op2_packing(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, base))
 
 
+def op3_license_scan(spark: SparkSession, base: str) -> DataFrame:
+    """Licence notices of all documents with matched coverage and spans."""
+    return license_scan.scan(_documents(spark, base))
+
+
 def op4_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
     """Removal of the words of every 35-word window that also starts elsewhere."""
     return substring_dedup.remove_repeats(_documents(spark, base), with_text=False)
@@ -72,8 +78,8 @@ def op10_secret_scan(spark: SparkSession, base: str) -> DataFrame:
 
 
 LLM_QUERIES = {q.__name__: q for q in (
-    op1_ngram_join, op2_packing, op4_substring_dedup, op5_language, op6_exact_dedup, op7_exact_topk,
-    op8_lm_score, op9_mixing, op10_secret_scan)}
+    op1_ngram_join, op2_packing, op3_license_scan, op4_substring_dedup, op5_language, op6_exact_dedup,
+    op7_exact_topk, op8_lm_score, op9_mixing, op10_secret_scan)}
 
 _OP6 = r"""
 WITH d AS (

@@ -26,8 +26,13 @@ from reviewlake.session import cut_lineage, scratch_path
 
 #: Most bytes of the fingerprint feed in one micro-batch.
 BATCH_BYTES = 16 << 30
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; many small stores, so no space is reserved ahead, and a batch uploads its changes only.
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 _LAST = (1 << 63) - 1
 
 
@@ -74,13 +79,15 @@ def run_stream(spark: SparkSession, feed_files: list[str], schema, batch_bytes:
     def land(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")        # a replay writes the same folder
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in _STATE}
+    for name, value in _STATE.items():
+        spark.conf.set(name, value)
     try:
         (keyed_state(feed).writeStream.outputMode("update").foreachBatch(land)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
     finally:
-        spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
     states = spark.read.parquet(out)
     return (states.groupBy("digest").agg(F.max_by(F.struct("group_size", "keep"), "batch").alias("s"))
             .select("digest", "s.group_size", "s.keep"))

@@ -183,12 +183,12 @@ def fit(texts: list[str], langs: list[str], rounds: int = ROUNDS, seed: int = 5)
         value, times = np.unique(hashes[label == i], return_counts=True)
         lexicon.append(value[np.lexsort((value, -times))][:LEXICON])
     lexicon = np.unique(np.concatenate(lexicon)) if names else np.zeros(0, dtype=np.uint64)
-    inverse, ids, owner, _ = word_features(w, lexicon)
-    n_distinct = int(inverse.max()) + 1 if len(inverse) else 0
     n = len(names)
     model = Model(names, np.zeros((HASHES + len(lexicon), n), dtype=np.float32), np.zeros((n, n)), lexicon)
     if n < 2 or not len(use):
         return model
+    inverse, ids, owner, _ = word_features(w, lexicon)
+    n_distinct = int(inverse.max()) + 1
     position, sizes = _switched(label, counts, seed)
     word, y = inverse[use][position], label[position]
     truth = np.eye(n, dtype=np.float64)[y]

@@ -140,7 +140,8 @@ def align(template: np.ndarray, text: np.ndarray, shift: int, band: int = BAND)
                 cell = max(cell, (s - (a >= 0), m, a, b))
             row.append(cell)
         before = row
-    s, m, a, b = max(before)
+    # Of equal alignments the one nearest to the diagonal: another may belong to the next notice.
+    _, m, a, b = before[max(range(width + 1), key=lambda j: (*before[j][:2], -abs(j - band)))]
     return m, a, b
 
 

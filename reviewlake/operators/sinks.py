@@ -34,16 +34,16 @@ def export_csv(df: DataFrame, path: str) -> None:
      .csv(path))
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Enforce a document mapping: every field of ``schema`` present, ``try_cast`` to its
-    type (a value that does not fit becomes NULL instead of failing the job); extra columns dropped."""
+def conform(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """Enforce a document mapping: every field of ``schema`` present, ``try_cast`` to its type (a
+    value that does not fit becomes NULL instead of failing the job); extra columns but ``keep`` dropped."""
     cols = []
     for f in schema.fields:
         if f.name in df.columns:
             cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *keep)
 
 
 def conform_rejects(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -4,23 +4,20 @@ Semantics: a put overwrites only the cells it carries; cells it lacks (NULL) kee
 new keys are inserted. Within one batch, puts to the same key apply in ``order``: per column the
 last non-null value wins. Merging is idempotent: merge(merge(t, u), u) == merge(t, u).
 
-Storage (``KeyedTable``): Parquet partitioned by ``_bucket = pmod(xxhash64(key), B)``. A batch
-reads only the buckets it touches (semi-join -> partition pruning), stages the merged buckets
-under the table folder, then swaps them in with dynamic partition overwrite, so a path is never
-overwritten while it is being read. A replayed batch id is skipped.
+Storage (``KeyedTable``): versioned Parquet partitions and manifests, see there.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
-from reviewlake.functions import misc
+from reviewlake.session import cut_lineage, delete_folder, list_folder
 
 
 def _keys(key) -> list[str]:
@@ -82,95 +79,117 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition
 
 
 class KeyedTable:
-    """K2 / K6 storage: bucketed Parquet with staged, bucket-level rewrites."""
+    """K2 / K6 storage: partitioned Parquet in versions, with a manifest as the only commit point.
+
+    A batch is reduced to one row per key, merged with the rows of the partitions it touches, and
+    written once, to a new version folder. The manifest of that version then names, for every partition,
+    the version that holds it, the table's schema, and the last batch of each query. Readers take the
+    newest complete manifest, so they see a batch wholly or not at all. Partitions are hash
+    buckets of the key, or the text of ``partition_col``; the key columns keep their own type.
+    """
+
+    KEPT_VERSIONS = 3
 
     def __init__(self, spark: SparkSession, path: str, key, buckets: int = 64, partition_col: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = _keys(key)
         self.buckets = buckets
-        self.partition_col = partition_col or "_bucket"
-
-    @property
-    def data_path(self) -> str:
-        return f"{self.path}/data"
-
-    def _with_partition(self, df: DataFrame) -> DataFrame:
-        if self.partition_col == "_bucket":
-            return df.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)))
-        return df
+        self.partition_col = partition_col
+
+    def _manifest(self) -> dict | None:
+        """The newest manifest whose write was completed."""
+        for name in sorted(list_folder(self.spark, f"{self.path}/manifests"), reverse=True):
+            folder = f"{self.path}/manifests/{name}"
+            if "_SUCCESS" in list_folder(self.spark, folder):
+                return json.loads(self.spark.read.schema("value string").text(folder).first()["value"])
+        return None
+
+    def _part(self) -> Column:
+        if self.partition_col:
+            return F.regexp_replace(F.coalesce(F.col(self.partition_col).cast("string"), F.lit("none")), "[^0-9A-Za-z-]", "_")
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("string")
+
+    def _rows(self, manifest: dict, parts: Sequence[str] | None = None) -> DataFrame:
+        schema = T.StructType.fromJson(manifest["schema"])
+        folders = [f"{self.path}/data/{v}/_part={p}" for p, v in sorted(manifest["parts"].items())
+                   if parts is None or p in parts]
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
     def read(self) -> DataFrame | None:
-        try:
-            df = self.spark.read.parquet(self.data_path)
-        except AnalysisException:
-            return None
-        return df.drop("_bucket") if self.partition_col == "_bucket" else df
-
-    def _marker(self, batch_id) -> str:
-        return f"{self.path}/_batches/batch={batch_id}"
-
-    def _batch_done(self, batch_id) -> bool:
-        """O(1) check: one marker folder per committed batch id (no scan of all markers)."""
-        try:
-            self.spark.read.parquet(self._marker(batch_id))
-            return True
-        except AnalysisException:
-            return False
-
-    def _mark_batch(self, batch_id) -> None:
-        (self.spark.createDataFrame([(str(batch_id),)], "batch_id string")
-         .write.mode("overwrite").parquet(self._marker(batch_id)))
-
-    def upsert(self, updates: DataFrame, order: Sequence[str] | None = None, batch_id=None,
-               whole_row: bool = False) -> None:
-        if batch_id is not None and self._batch_done(batch_id):
+        manifest = self._manifest()
+        return None if manifest is None else self._rows(manifest)
+
+    def upsert(self, updates: DataFrame, order: Sequence[str] | None = None, batch_id=None, query: str = "",
+               whole_row: bool = False, arrival: Sequence[str] = ()) -> None:
+        """Apply one batch. Of several rows of a key the last by ``order`` (then ``arrival``) wins: whole, or
+        per column its last non-null value.
+
+        ``order`` columns are versions: they are stored with whole rows, and an older version never
+        replaces a newer one. ``arrival`` columns (offset, file position) only order a batch and are not
+        stored. A batch needs one of them. Rows with a null key are no documents and are refused.
+        ``query`` names the writer of ``batch_id``: a batch that this writer has committed is skipped.
+        """
+        if not order and not arrival:
+            raise ValueError("an upsert needs order or arrival columns to choose the last row of a key")
+        manifest = self._manifest() or {"version": 0, "parts": {}, "schema": None, "batches": {}}
+        if batch_id is not None and int(batch_id) <= manifest["batches"].get(query, -1):
             return
-        u = (replace_latest(None, updates, self.keys, order) if whole_row and order
-             else combine_puts(updates, self.keys, order) if order else updates)
-        if whole_row and order:
-            # keep the ordering columns so later batches can compare versions
-            u = u.select(*self.keys, *[c for c in updates.columns if c not in self.keys])
-        u = self._with_partition(u)
-        try:
-            current_all = self.spark.read.parquet(self.data_path)
-        except AnalysisException:
-            current_all = None
-        if current_all is None:
-            merged = u
+        by = [*(order or ()), *arrival]
+        rows = updates.dropna(subset=self.keys)
+        if whole_row:
+            last = replace_latest(None, rows, self.keys, by).drop(*arrival)
         else:
-            touched = u.select(self.partition_col).distinct()
-            current = current_all.join(touched, self.partition_col, "left_semi")
-            if whole_row and order:
-                # version-ordered replace: the row with the larger ``order`` wins, whatever the
-                # arrival order of batches (replays and out-of-order files converge).
-                merged = self._with_partition(replace_latest(
-                    None, current.unionByName(u, allowMissingColumns=True).drop(self.partition_col), self.keys, order))
-            elif whole_row:
-                merged = current.join(u.select(*self.keys), self.keys, "left_anti").unionByName(u, allowMissingColumns=True)
+            last = combine_puts(rows, self.keys, by)
+        last = cut_lineage(last.withColumn("_part", self._part()), "upsert")      # one row per key
+        touched = [r["_part"] for r in last.select("_part").distinct().collect()]   # at most the table's partitions
+        batches = manifest["batches"] if batch_id is None else {**manifest["batches"], query: int(batch_id)}
+        number = manifest["version"] + 1
+        version = f"v{number:010d}-{uuid.uuid4().hex[:8]}"
+        schema, parts = manifest["schema"], dict(manifest["parts"])
+        if touched or schema is None:
+            new = last.drop("_part")
+            if schema is None:
+                merged = new
             else:
-                drop = ["_bucket"] if self.partition_col == "_bucket" else []
-                merged = merge_upsert(current.drop(*drop), u.drop(*drop), self.keys)
-                merged = self._with_partition(merged)
-        staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
-        merged.write.partitionBy(self.partition_col).parquet(staged)
-        (self.spark.read.parquet(staged).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(self.partition_col).parquet(self.data_path))
-        if batch_id is not None:
-            self._mark_batch(batch_id)
+                current = self._rows(manifest, touched)
+                if whole_row and order:
+                    merged = replace_latest(None, current.unionByName(new, allowMissingColumns=True), self.keys, order)
+                elif whole_row:
+                    merged = current.join(new.select(*self.keys), self.keys, "left_anti").unionByName(
+                        new, allowMissingColumns=True)
+                else:
+                    merged = merge_upsert(current, new, self.keys)
+            merged = merged.withColumn("_part", self._part())
+            merged.repartition(max(1, min(len(touched), self.buckets)), "_part").write.partitionBy("_part").parquet(
+                f"{self.path}/data/{version}")
+            schema = merged.drop("_part").schema.jsonValue()
+            parts.update({p: version for p in touched})
+        self._commit({"version": number, "parts": parts, "schema": schema, "batches": batches})
+
+    def _commit(self, manifest: dict) -> None:
+        """Write the manifest (fails if another writer has taken this version) and drop what none refers to."""
+        name = f"{manifest['version']:010d}"
+        (self.spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1)
+         .write.mode("error").text(f"{self.path}/manifests/{name}"))
+        kept = sorted(list_folder(self.spark, f"{self.path}/manifests"))[-self.KEPT_VERSIONS:]
+        for old in set(list_folder(self.spark, f"{self.path}/manifests")) - set(kept):
+            delete_folder(self.spark, f"{self.path}/manifests/{old}")
+        used = set(manifest["parts"].values())
+        for n in kept[:-1]:
+            used |= set(json.loads(self.spark.read.schema("value string").text(f"{self.path}/manifests/{n}").first()["value"])
+                        ["parts"].values())
+        for folder in list_folder(self.spark, f"{self.path}/data"):
+            if folder not in used and int(folder[1:11]) < manifest["version"]:
+                delete_folder(self.spark, f"{self.path}/data/{folder}")
 
 
 def write_daily_snapshot(spark: SparkSession, path: str, batch: DataFrame, order: Sequence[str],
-                         date_col: str = "time", id_col: str = "id", batch_id=None) -> None:
+                         date_col: str = "time", id_col: str = "id", batch_id=None, query: str = "") -> None:
     """K6 writer: partitioned by day; only the days present in ``batch`` are rewritten."""
     t = KeyedTable(spark, path, [date_col, id_col], partition_col=date_col)
-    rows = combine_puts(batch, [date_col, id_col], order)
-    rows = rows.withColumn("key", F.concat_ws("_", F.col(date_col).cast("string"), F.col(id_col).cast("string")))
-    t.upsert(rows, batch_id=batch_id)
-
-
-def stamp_today(df: DataFrame, col: str = "time") -> DataFrame:
-    return df.withColumn(col, misc.day(F.current_date()))
+    key = F.concat_ws("_", F.col(date_col).cast("string"), F.col(id_col).cast("string"))
+    t.upsert(batch.withColumn("key", key), order=order, batch_id=batch_id, query=query)
 
 
 def product_table(spark: SparkSession, path: str, buckets: int = 64) -> KeyedTable:

@@ -40,9 +40,13 @@ def get_spark(master: str = "local[*]", app: str = "reviewlake", shuffle_partiti
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, choosing a local one only when none is configured."""
+    """The shared checkpoint folder. Only a session in one process may go without the setting (as in
+    tests); it then uses a local temporary folder. On a cluster that would scatter files over machines."""
     d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="reviewlake-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -50,6 +54,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system for the path (which may have no scheme) and the path in it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder. Other storage errors are raised."""
+    fs, p = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/reviewlake/{name}-{uuid.uuid4().hex[:12]}"
@@ -103,17 +125,17 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(reviewlake.__file__))
-    base = ensure_checkpoint_dir(spark)
-    local = base.startswith("/") or base.startswith("file:")
-    folder = (base[5:] if base.startswith("file:") else base) if local else tempfile.mkdtemp(prefix="reviewlake-py-")
-    folder = f"{folder.rstrip('/')}/reviewlake-pyfiles/{sc.applicationId}"
-    os.makedirs(folder, exist_ok=True)
-    target = f"{folder}/reviewlake.zip"
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-        for dirpath, _dirs, files in os.walk(root):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(dirpath, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    with tempfile.TemporaryDirectory(prefix="reviewlake-py-") as folder:
+        local = f"{folder}/reviewlake.zip"
+        with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as z:
+            for dirpath, _dirs, files in os.walk(root):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(dirpath, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        fs, target = _file_system(spark, f"{ensure_checkpoint_dir(spark)}/reviewlake-pyfiles/{sc.applicationId}/reviewlake.zip")
+        fs.mkdirs(target.getParent())
+        fs.copyFromLocalFile(False, True, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"file://{local}"), target)
+        target = fs.makeQualified(target).toString()
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)

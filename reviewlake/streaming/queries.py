@@ -12,12 +12,10 @@ from reviewlake.plans import standins
 from reviewlake.sources.tables import table
 from reviewlake.streaming import streams as st
 
-LANDING_FILES = 4
 
 
 def _message_stream(spark: SparkSession, base: str, name: str) -> DataFrame:
-    landing = st.land_messages(standins.messages(table(spark, base, "events")),
-                               st.scratch(spark, f"{name}-landing"), LANDING_FILES)
+    landing = st.land_messages(standins.messages(table(spark, base, "events")), st.scratch(spark, f"{name}-landing"))
     raw = st.read_topic(spark, "events", path=landing, max_files_per_trigger=1)
     return st.decode(raw, st.MESSAGE_SCHEMA)
 

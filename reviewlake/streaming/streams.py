@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewlake.functions import misc
+from reviewlake.operators.sinks import to_message
 from reviewlake.operators.upsert import KeyedTable
-from reviewlake.session import scratch_path
+from reviewlake.session import list_folder, scratch_path
 
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType()),
@@ -28,33 +29,37 @@ def read_topic(spark: SparkSession, topic: str, servers: str | None = None, path
                max_files_per_trigger: int | None = None) -> DataFrame:
     """Subscribe to a topic from the latest offset (Kafka), or tail a landing folder.
 
-    Both give a ``value: string`` column holding one JSON message per row.
+    Both give a ``value: string`` column holding one JSON message per row, and ``arrived``, a struct
+    that orders messages: time, partition and offset of a topic; time, name and block of a file.
     """
     if servers:
-        return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-                .option("subscribe", topic).option("startingOffsets", "latest").load()
-                .select(F.col("value").cast("string").alias("value")))
+        raw = spark.readStream.format("kafka").options(**kafka_options(topic, servers)).load()
+        return raw.select(F.col("value").cast("string").alias("value"),
+                          F.struct("timestamp", F.col("partition").cast("string").alias("place"),
+                                   F.col("offset").alias("at")).alias("arrived"))
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path)
+    return r.load(path).select("value", F.struct(
+        F.col("_metadata.file_modification_time").alias("timestamp"), F.col("_metadata.file_name").alias("place"),
+        F.col("_metadata.file_block_start").alias("at")).alias("arrived"))
 
 
-def to_message(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """K9: one JSON message per row; null fields are written as ``null`` (not dropped)."""
-    cols = list(cols or df.columns)
-    return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))
+def kafka_options(topic: str, servers: str) -> dict[str, str]:
+    """Source options: every message after the start of the query, none lost on a restart."""
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "latest"}
 
 
-def land_messages(df: DataFrame, path: str, files: int = 4) -> str:
-    """Write rows as JSON-line messages into a landing folder (``files`` part files)."""
-    to_message(df).repartition(files).write.mode("overwrite").text(path)
+def land_messages(df: DataFrame, path: str, files: int | None = None) -> str:
+    """Write rows as JSON-line messages into a landing folder; ``files`` sets the number of part files."""
+    messages = to_message(df)
+    (messages.repartition(files) if files else messages).write.mode("overwrite").text(path)
     return path
 
 
-def decode(stream: DataFrame, schema: T.StructType | str, col: str = "value") -> DataFrame:
-    """V5: JSON message -> typed columns."""
-    return stream.select(F.from_json(F.col(col), schema).alias("m")).select("m.*")
+def decode(stream: DataFrame, schema: T.StructType | str, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """V5: JSON message -> typed columns; ``keep`` names columns that stay beside them."""
+    return stream.select(F.from_json(F.col(col), schema).alias("m"), *keep).select("m.*", *keep)
 
 
 def category_feed(messages: DataFrame, keys: Sequence[str] = ("id", "name"),
@@ -97,38 +102,46 @@ def quarantine(df: DataFrame, schema: T.StructType | str, raw_col: str = "value"
     return good, bad
 
 
-def upsert_sink(table: KeyedTable, order: Sequence[str] | None = None, whole_row: bool = True
+ARRIVAL = ("arrived", "_row")
+
+
+def _with_row(batch: DataFrame) -> DataFrame:
+    """Adds the place of a row among those that arrived together."""
+    return batch.withColumn("_row", F.monotonically_increasing_id())
+
+
+def upsert_sink(table: KeyedTable, order: Sequence[str] | None = None, whole_row: bool = True, query: str = "upsert"
                 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer; a replayed batch id is skipped."""
+    """``foreachBatch`` writer. Of a key's rows the last by ``order`` wins, else the last that
+    arrived (the batch then needs ``arrived``). A batch that ``query`` has committed is skipped."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, order=order, batch_id=batch_id, whole_row=whole_row)
+        arrival = ARRIVAL if "arrived" in batch.columns else ARRIVAL[1:]
+        if order is None and "arrived" not in batch.columns:
+            raise ValueError("the batch has neither order columns nor the arrival of its messages")
+        table.upsert(_with_row(batch), order=order, arrival=arrival, batch_id=batch_id, whole_row=whole_row, query=query)
     return sink
 
 
 def append_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """Append each micro-batch once (batch id recorded alongside, replays skipped)."""
+    """Each micro-batch in a folder of its own, complete when Spark marks it; a replay writes it anew."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        marker = f"{path}/_batch={batch_id}"
-        try:
-            spark.read.parquet(marker)
-            return
-        except Exception:  # noqa: BLE001 - absent marker: not yet written
-            pass
-        batch.write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")
-        spark.createDataFrame([(batch_id,)], "b long").write.mode("overwrite").parquet(marker)
+        folder = f"{path}/data/batch={batch_id}"
+        if "_SUCCESS" not in list_folder(batch.sparkSession, folder):
+            batch.write.mode("overwrite").parquet(folder)
     return sink
 
 
-def dual_write(table: KeyedTable, topic_path: str, order: Sequence[str] | None = None
+def dual_write(table: KeyedTable, topic_path: str, order: Sequence[str] | None = None, query: str = "dual"
                ) -> Callable[[DataFrame, int], None]:
     """One micro-batch -> keyed table and outgoing messages, from the same cached rows.
     Both writes are idempotent per batch id, so a replay after a crash converges."""
+    upsert = upsert_sink(table, order, whole_row=True, query=query)
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist()
         try:
-            table.upsert(rows, order=order, batch_id=batch_id, whole_row=True)
-            to_message(rows).write.mode("overwrite").text(f"{topic_path}/batch={batch_id}")
+            upsert(rows, batch_id)
+            to_message(rows.drop("arrived")).write.mode("overwrite").text(f"{topic_path}/batch={batch_id}")
         finally:
             rows.unpersist()
     return sink
@@ -152,17 +165,28 @@ def as_timestamp(c: str | Column) -> Column:
 
 def start_index(stream: DataFrame, schema: T.StructType, table: KeyedTable, checkpoint: str,
                 order: Sequence[str] | None = None, available_now: bool = False,
-                processing_time: str | None = None):
+                processing_time: str | None = None, quarantine_path: str | None = None):
     """JSON documents from a topic -> typed (conformed) documents -> keyed whole-document
-    upsert per micro-batch. Returns the running StreamingQuery."""
+    upsert per micro-batch. Messages that are no JSON object, or lack the key, are no documents; they
+    go to ``quarantine_path`` if given. The checkpoint names the writer: a query with a new
+    checkpoint counts its batches anew. Returns the running StreamingQuery."""
     from reviewlake.operators.sinks import conform
     # read scalars as text, then try_cast to the mapping: a number sent as "5" still lands as 5,
     # and a value that does not fit becomes NULL instead of failing the micro-batch
     lenient = T.StructType([T.StructField(f.name, f.dataType if isinstance(
         f.dataType, (T.StructType, T.ArrayType, T.MapType)) else T.StringType()) for f in schema.fields])
-    docs = conform(decode(stream, lenient), schema)
-    w = docs.writeStream.foreachBatch(upsert_sink(table, order=order, whole_row=True)).option(
-        "checkpointLocation", checkpoint)
+    upsert = upsert_sink(table, order=order, whole_row=True, query=checkpoint)
+    keep_bad = append_sink(quarantine_path) if quarantine_path else None
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        parsed, bad = quarantine(batch, lenient)
+        documents = conform(parsed, schema, keep=["value", "arrived"])
+        keyed = F.array_contains(F.array(*[F.col(k).isNull() for k in table.keys]), True) == F.lit(False)
+        upsert(documents.where(keyed).drop("value"), batch_id)
+        if quarantine_path:
+            keep_bad(bad.select("value").unionByName(documents.where(~keyed).select("value")), batch_id)
+
+    w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
@@ -190,9 +214,12 @@ def index_overviews(stream: DataFrame, table: KeyedTable, checkpoint: str, **kw)
 
 def maintain_categories(stream: DataFrame, table: KeyedTable, checkpoint: str, text_messages: bool = True):
     """R2: category messages -> table of the last name per id (last arrival wins)."""
-    cats = parse_category_text(stream) if text_messages else decode(stream, "id long, name string")
-    cats = cats.filter(F.col("id").isNotNull())
-    return (cats.writeStream.foreachBatch(upsert_sink(table, whole_row=True))
+    if text_messages:
+        id_, name = misc.parse_tuple_message("value")
+        cats = stream.select(id_.alias("id"), name.alias("name"), "arrived")
+    else:
+        cats = decode(stream, "id long, name string", keep=["arrived"])
+    return (cats.writeStream.foreachBatch(upsert_sink(table, whole_row=True, query=checkpoint))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 

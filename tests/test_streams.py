@@ -81,3 +81,30 @@ def test_index_ratings_and_categories(spark, tmp_dir):
     ct = KeyedTable(spark, f"{tmp_dir}/cat_table", "id", buckets=2)
     st.maintain_categories(st.read_topic(spark, "c", path=f"{tmp_dir}/cats"), ct, f"{tmp_dir}/ck2").awaitTermination()
     assert sorted(tuple(r) for r in ct.read().select("id", "name").collect()) == [(1, "Sách"), (2, "Áo")]
+
+
+def test_index_survives_real_messages(spark, tmp_dir):
+    """Duplicate keys, broken JSON, missing keys, a batch of bad messages only, and a second checkpoint."""
+    from reviewlake.operators.upsert import product_table, review_table
+    write = lambda name, lines: spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(
+        f"{tmp_dir}/in/{name}")
+    table_, bad = review_table(spark, f"{tmp_dir}/t", 2), f"{tmp_dir}/bad"
+
+    def index(checkpoint, folder):
+        st.index_ratings(st.read_topic(spark, "r", path=folder, max_files_per_trigger=1), table_, f"{tmp_dir}/{checkpoint}",
+                         available_now=True, quarantine_path=f"{bad}/{checkpoint}").awaitTermination()
+    write("a", ['{"id": 1, "title": "old"}', '{broken', '{"title": "no key"}', '{"id": 1, "title": "new"}'])
+    index("c1", f"{tmp_dir}/in/a")
+    assert [(r["id"], r["title"]) for r in table_.read().collect()] == [(1, "new")]
+    write("b", ["{broken", "also broken"])
+    index("c2", f"{tmp_dir}/in/b")                                   # only bad messages
+    write("c", ['{"id": 2, "title": "second"}'])
+    index("c3", f"{tmp_dir}/in/c")                                   # batch 0 of a new checkpoint
+    assert sorted((r["id"], r["title"]) for r in table_.read().collect()) == [(1, "new"), (2, "second")]
+    kept = sorted(r["value"] for c in ("c1", "c2") for r in spark.read.parquet(f"{bad}/{c}/data").select("value").collect())
+    assert kept == sorted(["{broken", '{"title": "no key"}', "{broken", "also broken"])
+    assert product_table(spark, f"{tmp_dir}/none").read() is None
+
+
+def test_kafka_options():
+    assert st.kafka_options("t", "h:1") == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "latest"}

@@ -32,15 +32,42 @@ def test_replace_latest(spark):
 def test_keyed_table_writer(spark, tmp_dir):
     t = up.KeyedTable(spark, tmp_dir, "id", buckets=4)
     b0 = spark.createDataFrame([(i, f"n{i}", float(i)) for i in range(20)], SCHEMA)
-    t.upsert(b0, batch_id=0)
+    seq = lambda df: df.withColumn("seq", F.lit(0))
+    t.upsert(seq(b0), order=["seq"], batch_id=0)
     b1 = spark.createDataFrame([(3, None, 33.0), (25, "n25", 25.0)], SCHEMA)
-    t.upsert(b1, batch_id=1)
-    t.upsert(b1.withColumn("bal", F.lit(-1.0)), batch_id=1)     # replay of batch 1: skipped
+    t.upsert(seq(b1), arrival=["seq"], batch_id=1)
+    t.upsert(seq(b1).withColumn("bal", F.lit(-1.0)), arrival=["seq"], batch_id=1)     # replay of batch 1: skipped
     got = {r["id"]: (r["name"], r["bal"]) for r in t.read().collect()}
     assert len(got) == 21
     assert got[3] == ("n3", 33.0) and got[25] == ("n25", 25.0) and got[7] == ("n7", 7.0)
 
 
+def test_keyed_table_needs_an_order_and_keeps_one_row_per_key(spark, tmp_dir):
+    import pytest
+    t = up.KeyedTable(spark, tmp_dir, "id", buckets=4)
+    twice = spark.createDataFrame([(1, "a", 1.0, 0), (1, "b", 2.0, 1), (None, "x", 3.0, 2)], SCHEMA + ", at int")
+    with pytest.raises(ValueError):
+        t.upsert(twice)
+    t.upsert(twice, arrival=["at"], batch_id=0, query="q1", whole_row=True)
+    assert rows(t.read()) == [(1, "b", 2.0)]                       # the last one; a null key is no document
+    t.upsert(twice.where("false"), arrival=["at"], batch_id=1, query="q1", whole_row=True)      # an empty batch
+    other = spark.createDataFrame([(2, "c", 3.0, 0)], SCHEMA + ", at int")
+    t.upsert(other, arrival=["at"], batch_id=0, query="q2", whole_row=True)     # another writer counts anew
+    t.upsert(other.withColumn("name", F.lit("z")), arrival=["at"], batch_id=1, query="q1", whole_row=True)   # replay
+    assert rows(t.read()) == [(1, "b", 2.0), (2, "c", 3.0)]
+
+
+def test_keyed_table_keeps_few_versions_and_the_type_of_its_partition_column(spark, tmp_dir):
+    from reviewlake.session import list_folder
+    for i in range(6):
+        b = spark.createDataFrame([("2024-01-01", i, 5.0, 1)], "time string, id long, qty double, seq int")
+        up.write_daily_snapshot(spark, tmp_dir, b, ["seq"], batch_id=i)
+    t = up.KeyedTable(spark, tmp_dir, ["time", "id"], partition_col="time").read()
+    assert dict(t.dtypes)["time"] == "string" and t.count() == 6
+    assert len(list_folder(spark, f"{tmp_dir}/data")) <= up.KeyedTable.KEPT_VERSIONS
+    assert len(list_folder(spark, f"{tmp_dir}/manifests")) <= up.KeyedTable.KEPT_VERSIONS
+
+
 def test_keyed_table_versioned_replace(spark, tmp_dir):
     t = up.KeyedTable(spark, tmp_dir, "id", buckets=4)
     late = spark.createDataFrame([(1, "new", 2.0)], SCHEMA)

@@ -8,9 +8,11 @@ Java's defaults are ASCII-only (they would delete Vietnamese letters).
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Iterable, Sequence
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -70,11 +72,6 @@ NAME_PHRASES: tuple[str, ...] = ("hàng chính hãng", "chính hãng", "hàng nh
 # Product-text cleaner: whole-word trade phrases removed.
 PRODUCT_PHRASES: tuple[str, ...] = ("hàng chính hãng", "chính hãng", "chi tiết", "phân phối", "hãng")
 
-# HTML entities decoded after tag removal ("&amp;" last so "&amp;lt;" stays "&lt;").
-HTML_ENTITIES: tuple[tuple[str, str], ...] = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-    ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
-)
 # Literal two-character escapes left in API descriptions, replaced by a space (plus the double quote).
 HTML_TEXT_BLANKED: tuple[str, ...] = ('"', "\\n", "\\x", "\\r")
 
@@ -268,21 +265,16 @@ def codepoint_char(n) -> Column:
             .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
 
 
-def decode_entities(c, entities: Sequence[tuple[str, str]] = HTML_ENTITIES) -> Column:
+def decode_entities(c) -> Column:
     """Decode character references in one left-to-right pass, as an HTML parser does (so
-    ``&amp;lt;`` stays ``&lt;``): ``&name;`` for the names of ``entities``, ``&#NNN`` / ``&#xHH``
-    with or without ``;``, and the names written without ``;`` (``&amp`` before ``</title>``).
-    Unknown references stay as text. (The cp1252 remap of ``&#128;``-``&#159;`` and the dropped
-    control code points are left to ``html_exact``.)"""
-    names = {ent[1:-1]: ch for ent, ch in entities if not ent.startswith("&#")}
-    legacy = "|".join(sorted(names, key=len, reverse=True))
+    ``&amp;lt;`` stays ``&lt;``): ``&name;`` for every name of HTML 5, ``&#NNN`` / ``&#xHH`` with or
+    without ``;``, and the old names that may be written without ``;``. Unknown references stay."""
+    names = F.from_json(F.lit(json.dumps({k.rstrip(";"): v for k, v in html5.items()})), "map<string,string>")
+    legacy = "|".join(sorted((k for k in html5 if not k.endswith(";")), key=len, reverse=True))
     parts = F.split(_c(c), "&")
 
     def lookup(name: Column) -> Column:
-        out = None
-        for k, ch in names.items():
-            out = F.when(name == k, F.lit(ch)) if out is None else out.when(name == k, F.lit(ch))
-        return out
+        return F.try_element_at(names, name)
 
     def piece(p: Column) -> Column:
         # values used several times are bound once through one-element lambdas (an expression
@@ -306,17 +298,17 @@ def decode_entities(c, entities: Sequence[tuple[str, str]] = HTML_ENTITIES) -> C
     return F.when(_c(c).contains("&"), joined).otherwise(_c(c))
 
 
-def html_text(c, entities: Sequence[tuple[str, str]] = HTML_ENTITIES) -> Column:
+def html_text(c) -> Column:
     """HTML -> text; then double quote and literal \\n, \\x, \\r -> ' '; strip."""
-    t = decode_entities(strip_tags(c), entities)
+    t = decode_entities(strip_tags(c))
     for s in HTML_TEXT_BLANKED:
         t = F.replace(t, F.lit(s), F.lit(" "))
     return strip_ws(t)
 
 
-def html_text_each(c, entities: Sequence[tuple[str, str]] = HTML_ENTITIES) -> Column:
+def html_text_each(c) -> Column:
     """Per array element: HTML -> text and literal \\n removed (higher-order function)."""
-    return F.transform(_c(c), lambda x: F.replace(decode_entities(strip_tags(x), entities),
+    return F.transform(_c(c), lambda x: F.replace(decode_entities(strip_tags(x)),
                                                   F.lit("\\n"), F.lit("")))
 
 
@@ -371,14 +363,15 @@ def parse_bool(c) -> Column:
     return F.coalesce(F.lower(_c(c)) == F.lit("true"), F.lit(False))
 
 
-def tokenize_lexicon(c, lexicon: Sequence[str], max_words: int = 4) -> Column:
-    """N11 (lexicon mode): greedy longest match of up to ``max_words`` space-separated syllables
-    against a user lexicon (entries with ``_`` or spaces); matched compounds are joined with ``_``.
+def tokenize_lexicon(c, lexicon: Sequence[str]) -> Column:
+    """N11 (lexicon mode): greedy longest match of space-separated syllables against a user lexicon (entries with ``_`` or spaces); matched compounds are joined with ``_``.
 
     The one place a Python function is needed (a per-text greedy scan); it runs as an Arrow-batched
     pandas UDF. The lexicon is a bounded, user-supplied list shipped with the task.
     """
     lex = frozenset(" ".join(w.replace("_", " ").lower().split()) for w in lexicon if w and w.strip())
+    longest = max((len(w.split(" ")) for w in lex), default=1)
+    opening = frozenset(w.split(" ")[0] for w in lex if " " in w)      # syllables that start a compound
 
     @F.pandas_udf("array<string>")
     def _segment(s: pd.Series) -> pd.Series:
@@ -390,7 +383,7 @@ def tokenize_lexicon(c, lexicon: Sequence[str], max_words: int = 4) -> Column:
             syl = text.split(" ")
             i, res = 0, []
             while i < len(syl):
-                for n in range(min(max_words, len(syl) - i), 1, -1):
+                for n in range(min(longest, len(syl) - i) if syl[i].lower() in opening else 1, 1, -1):
                     if " ".join(syl[i:i + n]).lower() in lex:
                         res.append("_".join(syl[i:i + n]))
                         i += n

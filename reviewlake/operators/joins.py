@@ -1,7 +1,7 @@
 """Joins (J1-J7) and the broadcast policy.
 
-Policy: an explicit broadcast hint is given only after a bounded count proves the side small
-(``limit(n+1).count()`` reads at most n+1 rows) and only where that side is cheap to count (a
+Policy: an explicit broadcast hint is given only after a bounded measurement of rows and bytes proves
+the side small (it reads at most n+1 rows) and only where that side is cheap to count (a
 materialised table or a handful of query rows). Everywhere else the join is left to Catalyst +
 AQE: both sides are shuffled on the key, and AQE switches to a broadcast at runtime from the
 measured shuffle size (a size check that costs no extra job); skewed partitions are split.
@@ -14,13 +14,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 32 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when ``df`` provably has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only when ``df`` has at most ``max_rows`` rows and its values, written out, hold at
+    most ``max_bytes`` (both measured over at most ``max_rows`` + 1 rows)."""
+    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(F.to_json(F.struct(
+        *[F.col(f"`{c}`") for c in df.columns])))).alias("bytes")).first()
+    return F.broadcast(df) if size.rows <= max_rows and (size.bytes or 0) <= max_bytes else df
 
 
 def enrich_name(df: DataFrame, products: DataFrame, key: str = "product_id",
@@ -47,7 +50,6 @@ def attach_names(sim: DataFrame, products: DataFrame, sim_key: str = "id2", key:
     return sim.join(p, on=sim_key, how="inner")
 
 
-attach_neighbors = attach_names   # J4: neighbour rows -> product rows, by id
 
 
 def anti(df: DataFrame, done: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -62,16 +62,26 @@ PRODUCT_DOCUMENT_FIELDS: tuple[tuple[str, str], ...] = (
 )
 
 
+# The header of the product export.
+PRODUCT_EXPORT_FIELDS = (
+    "product_id", "name", "price", "original_price", "all_time_quantity_sold", "rating_average", "review_count",
+    "favourite_count", "day_ago_created", "description", "store_id", "seller_name", "seller_price", "is_best_store",
+    "brand_id", "brand_name", "category_id", "category_name", "is_leaf", "category_parent_id", "category_parent_name",
+)
+
+
 def product_document(df: DataFrame) -> DataFrame:
     """Product row -> 22-field flat document."""
     return df.select(*[F.col(path).alias(name) for name, path in PRODUCT_DOCUMENT_FIELDS])
 
 
-def product_export(df: DataFrame) -> DataFrame:
-    """Product row -> 21-field export (the document without its key, leaf flag added)."""
-    fields = [(n, p) for n, p in PRODUCT_DOCUMENT_FIELDS if n not in ("key", "time")]
-    return df.select(*[F.col(p).alias(n) for n, p in fields],
-                     F.col("categories.is_leaf").alias("is_leaf"))
+def product_export(df: DataFrame, sentence: str | None = None) -> DataFrame:
+    """Product row -> 21-field export: ``product_id`` first, the description cleaned (N3), the leaf flag
+    before the parent category. ``time`` and the row key are left out."""
+    path = dict(PRODUCT_DOCUMENT_FIELDS)
+    text = tx.clean_boilerplate("description", sentence) if sentence else tx.clean_safe("description")
+    special = {"product_id": F.col(path["id"]), "description": text, "is_leaf": F.col("categories.is_leaf")}
+    return df.select(*[special.get(n, F.col(path.get(n, "id"))).alias(n) for n in PRODUCT_EXPORT_FIELDS])
 
 
 def product_slim(df: DataFrame, sentence: str | None = None) -> DataFrame:
@@ -146,12 +156,13 @@ def stamp_parent(df: DataFrame, parent_id, parent_name) -> DataFrame:
 def normalize_review(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Review defaults and nested author fields; ``score := float(rating)``.
 
-    Missing author -> empty author (id 0); ``purchased_at`` null -> 0; summary fields flattened.
+    A missing author, or one without id, gets id 0 (an explicit null id is dropped before, P16);
+    ``purchased_at`` null -> 0; summary fields flattened.
     """
     a = F.col("created_by")
     summ = F.col("created_by.contribute_info.summary")
     author = F.struct(
-        F.coalesce(a.getField("id"), F.when(a.isNull(), F.lit(0).cast("long"))).alias("id"),
+        F.coalesce(a.getField("id"), F.lit(0).cast("long")).alias("id"),
         F.coalesce(a.getField("name"), F.lit("")).alias("name"),
         F.coalesce(a.getField("full_name"), F.lit("")).alias("full_name"),
         F.coalesce(summ.getField("joined_time"), F.lit("")).alias("joined_time"),

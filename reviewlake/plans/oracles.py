@@ -121,11 +121,13 @@ def repair_title(t: str, label: str) -> str:
 
 def decode_entities(x: str) -> str:
     """One left-to-right pass over ``&``-separated pieces (named, numeric, legacy names without ';')."""
-    names = {ent[1:-1]: ch for ent, ch in tx.HTML_ENTITIES if not ent.startswith("&#")}
-    legacy = "|".join(sorted(names, key=len, reverse=True))
+    from html.entities import html5
+    legacy = "|".join(sorted((k for k in html5 if k[-1] != ";"), key=len, reverse=True))
+    keys, values = zip(*sorted((k.rstrip(";"), ch) for k, ch in html5.items() if k[-1] == ";"), strict=True)
+    table = f"MAP([{', '.join(map(lit, keys))}], [{', '.join(map(lit, values))}])"
 
     def case(v: str) -> str:
-        return "CASE " + v + " " + " ".join(f"WHEN {lit(k)} THEN {lit(ch)}" for k, ch in names.items()) + " END"
+        return f"names[{v}]"
     semi = "regexp_extract(p, '^([A-Za-z][A-Za-z0-9]*);', 1)"
     num = "regexp_extract(p, '^#(?:[0-9]+|[xX][0-9a-fA-F]+);?', 0)"
     old = f"regexp_extract(p, '^({legacy})', 1)"
@@ -142,7 +144,8 @@ def decode_entities(x: str) -> str:
              f"WHEN {old} <> '' THEN {case(old)} || substr(p, length({old}) + 1) "
              f"ELSE '&' || p END")
     return (f"CASE WHEN contains({x}, '&') THEN (SELECT array_to_string(list_concat([parts[1]], "
-            f"list_transform(parts[2:], lambda p: {piece})), '') FROM (SELECT string_split({x}, '&') AS parts)) "
+            f"list_transform(parts[2:], lambda p: {piece})), '') "
+            f"FROM (SELECT string_split({x}, '&') AS parts, {table} AS names)) "
             f"ELSE {x} END")
 
 
@@ -308,7 +311,7 @@ SELECT doc_id, coalesce({clean_base("replace(text, (SELECT line FROM top), '')")
     o["clean_collapse"] = f"SELECT doc_id, {clean_collapse('text')} AS clean FROM documents"
     o["clean_product"] = f"SELECT doc_id, {clean_product('text')} AS clean FROM documents"
     o["clean_name"] = f"SELECT p_partkey AS id, {clean_name('p_name')} AS name FROM part"
-    o["clean_name_text"] = f"SELECT doc_id, {clean_name(TITLE)} AS clean FROM documents"
+    o["clean_name_text"] = f"SELECT doc_id, {clean_name('text')} AS clean FROM documents"
     o["title_repair"] = f"""
 SELECT id, {repair_title('t', 'label')} AS title FROM (
   SELECT doc_id AS id, {clean_collapse(TITLE)} AS t, {label_str('CAST(doc_id % 6 AS VARCHAR)')} AS label FROM documents)"""
@@ -413,9 +416,10 @@ SELECT r.id2, p.name, CAST(r.rank AS INTEGER) AS rank, round(r.score, 6) AS scor
 FROM r JOIN products p ON p.id = r.id2 WHERE r.rank <= {Q.TFIDF_TOP}"""
     o["product_export"] = f"""
 WITH {PRODUCTS.strip()}
-SELECT id, name, p_retailprice AS price, p_retailprice AS original_price, sold AS all_time_quantity_sold,
+SELECT id AS product_id, name, p_retailprice AS price, p_retailprice AS original_price, sold AS all_time_quantity_sold,
        avg_star AS rating_average, n_lines AS review_count, CAST(p_size AS BIGINT) AS favourite_count,
-       CAST(NULL AS BIGINT) AS day_ago_created, description, s_suppkey AS store_id, s_acctbal > 0 AS is_best_store,
+       CAST(NULL AS BIGINT) AS day_ago_created, coalesce({clean_base('description')}, '') AS description,
+       s_suppkey AS store_id, s_acctbal > 0 AS is_best_store,
        s_name AS seller_name, p_retailprice AS seller_price,
        TRY_CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS BIGINT) AS brand_id, p_brand AS brand_name,
        CAST(n_nationkey AS BIGINT) AS category_id, n_name AS category_name,

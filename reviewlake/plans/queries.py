@@ -238,9 +238,9 @@ def clean_name(spark, base):
 
 
 def clean_name_text(spark, base):
-    """N7 on the first line of every review (more varied text than product names)."""
+    """N7 on every review text (more varied text than product names)."""
     d = _docs(spark, base)
-    return d.select("doc_id", tx.clean_name(F.substring_index("text", "\n", 1)).alias("clean"))
+    return d.select("doc_id", tx.clean_name("text").alias("clean"))
 
 
 def title_repair(spark, base):

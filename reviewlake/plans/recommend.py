@@ -12,8 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import (CountVectorizer, HashingTF, IDF, PCA, StandardScaler, StopWordsRemover,
-                                VectorAssembler, Word2Vec)
+from pyspark.ml.feature import IDF, PCA, HashingTF, StandardScaler, StopWordsRemover, VectorAssembler, Word2Vec
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,14 +44,13 @@ def tfidf_vectors(df: DataFrame, tokens_col: str, num_features: int = 1 << 18) -
     return pipe.fit(df).transform(df)
 
 
-def tfidf_counts(df: DataFrame, tokens_col: str, stopwords: list[str], k: int = 100,
-                 vocab_size: int = 1 << 12) -> DataFrame:
-    """M2: stop words removed, CountVectorizer + IDF + PCA(k).
+def tfidf_counts(df: DataFrame, tokens_col: str, stopwords: list[str], k: int = 100, n_features: int = 1 << 10) -> DataFrame:
+    """M2: stop words removed, term counts + IDF + PCA(k).
 
-    PCA builds a vocabulary x vocabulary covariance on the driver, so the vocabulary is capped to
-    the ``vocab_size`` most frequent terms (CountVectorizer's own parameter)."""
+    PCA builds a features x features covariance on the driver, so the terms are hashed to a fixed
+    number of features; every term counts, whatever its frequency."""
     pipe = Pipeline(stages=[StopWordsRemover(inputCol=tokens_col, outputCol="filtered", stopWords=stopwords),
-                            CountVectorizer(inputCol="filtered", outputCol="raw_features", vocabSize=vocab_size),
+                            HashingTF(inputCol="filtered", outputCol="raw_features", numFeatures=n_features),
                             IDF(inputCol="raw_features", outputCol="features"),
                             PCA(k=k, inputCol="features", outputCol="pca_features")])
     return pipe.fit(df).transform(df)
@@ -63,7 +61,7 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features_vec") -> DataF
     return VectorAssembler(inputCols=cols, outputCol=out).transform(df)
 
 
-DENSE_MAX_CELLS = 8_000_000   # a block pair goes dense when rows x local vocabulary stays below this
+TERM_CHUNK = 1024   # terms of one dense product of two blocks
 
 
 def _topn_rows(ids1: np.ndarray, ids2: np.ndarray, score: np.ndarray, valid: np.ndarray, n: int):
@@ -83,34 +81,27 @@ def _sparse_block_topn(n: int):
         if left.empty or right.empty:
             return empty
         terms = pd.Index(pd.unique(pdf["term"]))
+        terms = terms.sort_values()
         ids1, r1 = np.unique(left["id"].to_numpy(np.int64), return_inverse=True)
         ids2, r2 = np.unique(right["id"].to_numpy(np.int64), return_inverse=True)
-        if (len(ids1) + len(ids2)) * len(terms) <= DENSE_MAX_CELLS:
-            # dense path: local vocabulary, two matrix products (scores and shared-term indicator)
-            c1 = terms.get_indexer(left["term"])
-            c2 = terms.get_indexer(right["term"])
-            a = np.zeros((len(ids1), len(terms)))
-            b = np.zeros((len(ids2), len(terms)))
-            np.add.at(a, (r1, c1), left["weight"].to_numpy(np.float64))
-            np.add.at(b, (r2, c2), right["weight"].to_numpy(np.float64))
-            ia = np.zeros(a.shape, dtype=np.float32)
-            ib = np.zeros(b.shape, dtype=np.float32)
-            ia[r1, c1] = 1.0
-            ib[r2, c2] = 1.0
-            score = a @ b.T
-            valid = ((ia @ ib.T) > 0) & (ids1[:, None] != ids2[None, :])
-            o1, o2, os_ = _topn_rows(ids1, ids2, score, valid, n)
-            return pd.DataFrame({"id1": o1, "id2": o2, "score": os_.astype(np.float64)})
-        # sparse path: merge on term (bounded by the two blocks), sum per pair
-        m = left.merge(right, on="term", suffixes=("1", "2"))
-        m = m[m["id1"] != m["id2"]]
-        if m.empty:
-            return empty
-        m["p"] = m["weight1"] * m["weight2"]
-        g = m.groupby(["id1", "id2"], sort=False)["p"].sum().reset_index(name="score")
-        g["_k"] = -np.round(g["score"].to_numpy(), RANK_DIGITS)
-        g = g.sort_values(["id1", "_k", "id2"]).groupby("id1", sort=False).head(n)
-        return g[["id1", "id2", "score"]].astype({"id1": "int64", "id2": "int64", "score": "float64"})
+        # Dense products over a bounded number of terms at a time, always in the same order.
+        c1, c2 = terms.get_indexer(left["term"]), terms.get_indexer(right["term"])
+        w1, w2 = left["weight"].to_numpy(np.float64), right["weight"].to_numpy(np.float64)
+        score = np.zeros((len(ids1), len(ids2)))
+        shared = np.zeros(score.shape, dtype=np.float32)
+        for low in range(0, len(terms), TERM_CHUNK):
+            width = min(TERM_CHUNK, len(terms) - low)
+            a, b = np.zeros((len(ids1), width)), np.zeros((len(ids2), width))
+            ia, ib = np.zeros(a.shape, dtype=np.float32), np.zeros(b.shape, dtype=np.float32)
+            for m, i, r, c, w in ((a, ia, r1, c1, w1), (b, ib, r2, c2, w2)):
+                own = (c >= low) & (c < low + width)
+                np.add.at(m, (r[own], c[own] - low), w[own])
+                i[r[own], c[own] - low] = 1.0
+            score += a @ b.T
+            shared += ia @ ib.T
+        valid = (shared > 0) & (ids1[:, None] != ids2[None, :])
+        o1, o2, os_ = _topn_rows(ids1, ids2, score, valid, n)
+        return pd.DataFrame({"id1": o1, "id2": o2, "score": os_.astype(np.float64)})
     return fn
 
 
@@ -160,10 +151,24 @@ def recommend_by_text(products: DataFrame, w: DataFrame, name_col: str, text: st
         "id2", name_col, "rank", "score")
 
 
+#: Words of a Word2Vec model. Its fit holds them all on the driver and sends every task a copy.
+WORD2VEC_MAX_WORDS = 2_000_000
+
+
+def word2vec(df: DataFrame, tokens_col: str, out: str, size: int, seed: int, min_count: int) -> Word2Vec:
+    """The estimator, trained in as many tasks as the session has slots; too many words raise before the fit."""
+    counts = df.select(F.explode(tokens_col).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    words = counts.where(F.col("n") >= min_count).count()
+    if words > WORD2VEC_MAX_WORDS:
+        raise ValueError(f"{words} words occur {min_count} times or more; Word2Vec takes {WORD2VEC_MAX_WORDS}: raise min_count")
+    return Word2Vec(vectorSize=size, seed=seed, minCount=min_count, inputCol=tokens_col, outputCol=out,
+                    numPartitions=df.sparkSession.sparkContext.defaultParallelism)
+
+
 def fit_word2vec(df: DataFrame, tokens_col: str = "tokens", out: str = "features", size: int = 100,
                  seed: int = 42, min_count: int = 5):
     """M4: Word2Vec document vectors (mean of word vectors; unknown words ignored)."""
-    return Word2Vec(vectorSize=size, seed=seed, minCount=min_count, inputCol=tokens_col, outputCol=out).fit(df)
+    return word2vec(df, tokens_col, out, size, seed, min_count).fit(df)
 
 
 def fit_clusters(df: DataFrame, features_col: str = "features", k: int = 3, seed: int = 42):
@@ -173,9 +178,10 @@ def fit_clusters(df: DataFrame, features_col: str = "features", k: int = 3, seed
     return pipe.fit(df)
 
 
-def search_two_level(vectors: DataFrame, queries: DataFrame, k: int, n_clusters: int, nprobe: int,
-                     seed: int = 42, id_col: str = "id", vec_col: str = "vec") -> DataFrame:
-    """Inverted-file search. KMeans assigns every vector a cluster; each query probes its
+def search_two_level(vectors: DataFrame, queries: DataFrame, k: int, n_clusters: int | None = None,
+                     nprobe: int | None = None, seed: int = 42, id_col: str = "id", vec_col: str = "vec") -> DataFrame:
+    """Inverted-file search with about the square root of n clusters, of which a query probes a
+    quarter by default (all of them give the exact result). KMeans assigns every vector a cluster; each query probes its
     ``nprobe`` nearest centres and searches exactly inside them (blocked per cluster, so a hot
     cluster is split into bounded blocks rather than paired all-to-all)."""
     from pyspark.ml.functions import array_to_vector
@@ -184,6 +190,8 @@ def search_two_level(vectors: DataFrame, queries: DataFrame, k: int, n_clusters:
 
     spark = vectors.sparkSession
     feats = vectors.select(id_col, vec_col, array_to_vector(vec_col).alias("features"))
+    n_clusters = n_clusters or max(2, math.isqrt(vectors.count()))
+    nprobe = nprobe or max(1, n_clusters // 4)
     km = KMeans(k=n_clusters, seed=seed, featuresCol="features", predictionCol="cluster").fit(feats)
     assigned = km.transform(feats).select(id_col, vec_col, "cluster")
     centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(km.clusterCenters())],
@@ -215,8 +223,7 @@ def fit_vector_model(products: DataFrame, tokens_col: str = "tokens", size: int
                         min_count: int = 5):
     """M11 (training side): Word2Vec + L2 Normalizer as one saved-and-loaded PipelineModel."""
     from pyspark.ml.feature import Normalizer
-    return Pipeline(stages=[Word2Vec(vectorSize=size, seed=seed, minCount=min_count, inputCol=tokens_col,
-                                     outputCol="features"),
+    return Pipeline(stages=[word2vec(products, tokens_col, "features", size, seed, min_count),
                             Normalizer(inputCol="features", outputCol="normalized_vectors", p=2.0)]).fit(products)
 
 

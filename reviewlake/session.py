@@ -35,6 +35,8 @@ def get_spark(master: str = "local[*]", app: str = "reviewlake", shuffle_partiti
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if spark.conf.get(SPREAD_CONF, None) is None:
+        spark.conf.set(SPREAD_CONF, str(spark.sparkContext.defaultParallelism))
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -90,18 +92,21 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Spread CPU-heavy row work (regexes over long texts) over all cores when the scan yields
-    fewer partitions than the cluster has task slots (a small file with one row group reads as a
-    single partition). Large inputs already have many partitions and are returned unchanged, so
-    no shuffle is added at scale. Hash-partitions on ``key`` when given (deterministic).
+#: Number of partitions that a local session asks CPU-heavy row work to be spread over (see ``spread``).
+SPREAD_CONF = "reviewlake.spreadPartitions"
 
-    Project the needed columns first. After the shuffle the rows pass through a one-element
-    ``inline`` generator: Catalyst does not push filters through a Generate, so a filter on a
-    cleaned column runs after the shuffle, in parallel, instead of in the single scan task.
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread CPU-heavy row work over the number of partitions the session asks for, if it asks.
+
+    Tests and the bench do, as their tables are single files with one row group, read by one task. A
+    cluster job doesn't: its scans have many partitions, and its plans get no extra shuffle.
+
+    After the shuffle the rows pass through a one-element ``inline`` generator: Catalyst does not
+    push filters through it, so a filter on a cleaned column runs after the shuffle, in parallel.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = int(df.sparkSession.conf.get(SPREAD_CONF, "0"))
+    if not target:
         return df
     r = df.repartition(target, key) if key else df.repartition(target)
     return r.select(F.inline(F.array(F.struct(*[F.col(c) for c in r.columns]))))

@@ -54,7 +54,7 @@ def test_review_payload_and_null_author(spark, tmp_dir):
     norm = {r["id"]: r for r in reshape.normalize_review(typed).collect()}
     assert norm[1]["created_by"]["purchased_at"] == 0 and norm[1]["score"] == 5.0
     assert norm[2]["created_by"]["id"] == 0 and norm[3]["created_by"]["id"] == 0
-    assert norm[5]["created_by"]["name"] == "x" and norm[2]["images"] == []
+    assert norm[5]["created_by"]["id"] == 0 and norm[5]["created_by"]["name"] == "x" and norm[2]["images"] == []
 
 
 def test_product_json_and_specs(spark, tmp_dir):

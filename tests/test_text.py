@@ -260,15 +260,21 @@ def test_entities_single_pass(spark):
         assert got[i] == html.unescape(t), (t, got[i])
 
 
-def test_html_exact_mode_agrees_with_native_on_pages(spark):
-    from reviewlake.functions.html_exact import html_text_exact
-    from reviewlake.sources.tables import table
-    pages = table(spark, "/root/testdata/sf0.001", "pages").select("page_id", "html")
-    exact = {r["page_id"]: r["text"] for r in html_text_exact(pages, "html").collect()}
-    native = {r["page_id"]: r["t"] for r in pages.select("page_id", tx.html_text("html").alias("t")).collect()}
-    assert exact == native
-    df = spark.createDataFrame([(1, "<p>caf&eacute; &lt &#x41;</p><script>x<y</script>")], "id int, h string")
-    assert html_text_exact(df, "h").collect()[0]["text"] == "café < A"
+def test_every_named_reference_is_decoded(spark):
+    import html
+    from html.entities import html5
+    cases = [f"x&{name}y" for name in html5] + ["caf&eacute; &ndash; &hellip; 5&deg; &trade;", "&notit; &NotEqualTilde; &nbsp;"]
+    df = spark.createDataFrame(list(enumerate(cases)), "id int, t string")
+    got = _collect(df, tx.decode_entities("t"))
+    # Names of more than one form (&notin; and &not) are decoded by their first full match, as the parser does.
+    for i, t in enumerate(cases):
+        if ";" in t:
+            assert got[i] == html.unescape(t), (t, got[i])
+
+
+def test_lexicon_of_long_entries(spark):
+    df = spark.createDataFrame([(1, "x a b c d e y a b")], "id int, t string")
+    assert _collect(df, tx.tokenize_lexicon("t", ["a_b_c_d_e", "a b"]))[1] == ["x", "a_b_c_d_e", "y", "a_b"]
 
 
 def test_numeric_references_match_html_unescape(spark):

@@ -109,17 +109,21 @@ def test_sentiment_training_is_deterministic(spark):
     from reviewlake.sources.tables import table
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     prep = filters.known_labels(sentiment.prepare_reviews(standins.reviews(docs))).persist()
-    _m1, _w1, met1 = sentiment.train_sentiment(prep, trees=(5,), num_partitions=1)
-    _m2, _w2, met2 = sentiment.train_sentiment(prep, trees=(5,), num_partitions=1)
+    _m1, _w1, met1 = sentiment.train_sentiment(prep, tree_counts=(5,), num_partitions=1)
+    _m2, _w2, met2 = sentiment.train_sentiment(prep, tree_counts=(5,), num_partitions=1)
     a, b = met1.collect()[0], met2.collect()[0]
     assert a == b
     assert 0.0 <= a["accuracy"] <= 1.0 and abs(a["error"] - (1 - a["accuracy"])) < 1e-12
     prep.unpersist()
 
 
-def test_spread_is_noop_for_partitioned_input(spark):
-    from reviewlake.session import spread
-    big = spark.range(0, 1000, numPartitions=64)
-    assert spread(big) is big
-    small = spark.range(0, 1000, numPartitions=1)
-    assert spread(small, "id").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+def test_spread_only_on_request(spark):
+    from reviewlake.session import SPREAD_CONF, spread
+    rows, asked = spark.range(0, 1000, numPartitions=1), spark.conf.get(SPREAD_CONF)
+    try:
+        spark.conf.unset(SPREAD_CONF)
+        assert spread(rows) is rows
+        spark.conf.set(SPREAD_CONF, "5")
+        assert spread(rows, "id").rdd.getNumPartitions() == 5
+    finally:
+        spark.conf.set(SPREAD_CONF, asked)

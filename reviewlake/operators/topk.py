@@ -18,6 +18,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +63,20 @@ def row_topk(key: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return r[keep], c[keep]
 
 
+def _scores(qm: np.ndarray, vm: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of all (query, vector) pairs of two blocks, and the key they are ranked by (smallest first)."""
+    s = qm @ vm.T
+    if metric == "l2":
+        s = np.maximum((qm * qm).sum(1)[:, None] + (vm * vm).sum(1)[None, :] - 2.0 * s, 0.0)
+    elif metric == "cosine":
+        with np.errstate(divide="ignore", invalid="ignore"):
+            s = s / (np.sqrt((qm * qm).sum(1))[:, None] * np.sqrt((vm * vm).sum(1))[None, :])
+    elif metric != "dot":
+        raise ValueError(metric)
+    key = np.round(s, RANK_DIGITS) if metric == "l2" else -np.round(s, RANK_DIGITS)
+    return s, np.where(np.isnan(key), np.inf, key)
+
+
 def _block_topk(k: int, metric: str):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         q = pdf[pdf["side"] == "q"]
@@ -75,23 +90,7 @@ def _block_topk(k: int, metric: str):
         vids = v["key"].to_numpy(dtype=np.int64)
         by_id = np.argsort(vids, kind="stable")          # column order = id order (tie-break)
         vm, vids = vm[by_id], vids[by_id]
-        dots = qm @ vm.T
-        if metric == "l2":
-            s = (qm * qm).sum(1)[:, None] + (vm * vm).sum(1)[None, :] - 2.0 * dots
-            s = np.maximum(s, 0.0)
-            key = np.round(s, RANK_DIGITS)
-        elif metric == "cosine":
-            nq = np.sqrt((qm * qm).sum(1))[:, None]
-            nv = np.sqrt((vm * vm).sum(1))[None, :]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                s = dots / (nq * nv)
-            key = -np.round(s, RANK_DIGITS)
-        elif metric == "dot":
-            s = dots
-            key = -np.round(s, RANK_DIGITS)
-        else:
-            raise ValueError(metric)
-        key = np.where(np.isnan(key), np.inf, key)
+        s, key = _scores(qm, vm, metric)
         r, c = row_topk(key, k)
         return pd.DataFrame({"qid": qids[r], "id": vids[c], "score": s[r, c].astype(np.float64)})
     return fn
@@ -144,3 +143,49 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "l2", id_c
     w = Window.partitionBy("qid").orderBy(rk.asc() if metric == "l2" else rk.desc(), F.col("id").asc())
     out = partial.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return out.select(F.col("qid").alias(qid_col), F.col("id").alias(id_col), "score", "rank")
+
+
+#: A query matrix of at most this size is sent to every task; a larger one is met in blocks.
+BATCH_MAX_BYTES = 32 << 20
+
+
+def _batch_topk(shared, k: int, metric: str):
+    """Running top k of every query over the vectors of one task."""
+    def run(batches):
+        qids, qm = shared.value
+        best = None
+        for batch in batches:
+            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            vm = np.stack(batch.column("vec").to_numpy(zero_copy_only=False)).astype(np.float64)
+            for low in range(0, len(ids), DEFAULT_BLOCK_ROWS):
+                order = low + np.argsort(ids[low:low + DEFAULT_BLOCK_ROWS], kind="stable")
+                score, key = _scores(qm, vm[order], metric)
+                r, c = row_topk(key, k)
+                found = pd.DataFrame({"q": r, "id": ids[order][c], "key": key[r, c], "score": score[r, c]})
+                best = found if best is None else pd.concat([best, found])
+                best = best.sort_values(["q", "key", "id"], kind="stable").groupby("q", sort=False).head(k)
+        if best is not None and len(best):
+            yield pa.RecordBatch.from_arrays([pa.array(qids[best["q"].to_numpy()]), pa.array(best["id"].to_numpy()),
+                                              pa.array(best["score"].to_numpy())], ["qid", "id", "score"])
+    return run
+
+
+def knn_batch(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "l2", id_col: str = "id",
+              qid_col: str = "qid", vec_col: str = "vec", max_bytes: int = BATCH_MAX_BYTES) -> DataFrame:
+    """T2 / T3 for a batch of queries: the vector table is read where it lies and each task keeps its own k
+    best; only these are shuffled. The query matrix is measured before it is sent; above ``max_bytes``
+    the blocked ``knn`` does the search."""
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec_col)).alias("dim")).first()
+    if size.n * (size.dim or 0) * 8 > max_bytes:
+        return knn(vectors, queries, k, metric, id_col, qid_col, vec_col)
+    spark = vectors.sparkSession
+    ship_package(spark)
+    rows = queries.select(F.col(qid_col).cast("long").alias("qid"), vx.as_double(vec_col).alias("vec")).collect()
+    matrix = np.array([r["vec"] for r in rows], dtype=np.float64).reshape(len(rows), size.dim or 0)
+    shared = spark.sparkContext.broadcast((np.array([r["qid"] for r in rows], dtype=np.int64), matrix))
+    found = vectors.select(F.col(id_col).cast("long").alias("id"), vx.as_double(vec_col).alias("vec")).mapInArrow(
+        _batch_topk(shared, k, metric), "qid long, id long, score double")
+    rk = F.round("score", RANK_DIGITS)
+    w = Window.partitionBy("qid").orderBy(rk.asc() if metric == "l2" else rk.desc(), F.col("id").asc())
+    out = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return out.select(F.col("qid").alias(qid_col), F.col("id").alias(id_col), "score", "rank")

@@ -4,9 +4,12 @@ by a Structured Streaming query in several micro-batches (``maxFilesPerTrigger``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewlake.functions import misc
 from reviewlake.operators.upsert import KeyedTable
 from reviewlake.plans import standins
 from reviewlake.sources.tables import table
@@ -68,18 +71,124 @@ def props_quarantine(spark: SparkSession, base: str) -> DataFrame:
     return good.select("event_id", "k")
 
 
+def _topics(spark: SparkSession, base: str, name: str, message: Column) -> list[str]:
+    """Two landing folders of messages made from events (even and odd event ids) and one of broken messages
+    only. As in a topic, the messages of one user lie in one file, in order; broken ones are among them."""
+    events = table(spark, base, "events")
+    broken = F.when(F.col("event_id") % 97 == 0, F.lit("{broken")).when(F.col("event_id") % 89 == 0, F.lit('{"other": 1}'))
+    out = []
+    for i, part in enumerate((events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1"), events.where("event_id % 97 = 0"))):
+        value = F.coalesce(broken, message) if i < 2 else F.lit("{broken")
+        folder = st.scratch(spark, f"{name}-landing-{i}")
+        part.repartition(4, "user_id").sortWithinPartitions("ts", "event_id").select(value.alias("value")).write.text(folder)
+        out.append(folder)
+    return out
+
+
+def _indexed(spark: SparkSession, base: str, name: str, start, key: str, message: Column):
+    """Index all landing folders, each with a checkpoint of its own, into one keyed table."""
+    t = KeyedTable(spark, st.scratch(spark, f"{name}-table"), key, buckets=8)
+    bad = st.scratch(spark, f"{name}-bad")
+    for i, folder in enumerate(_topics(spark, base, name, message)):
+        start(st.read_topic(spark, name, path=folder), t, st.scratch(spark, f"{name}-checkpoint"),
+              available_now=True, quarantine_path=f"{bad}/{i}").awaitTermination()
+    return t, bad
+
+
+def _json(**fields: Column) -> Column:
+    return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
+
+
+def stream_categories(spark: SparkSession, base: str) -> DataFrame:
+    """R2 + P21: category messages as text, the last name of each id."""
+    message = misc.to_tuple_message("user_id", F.concat("event_type", F.lit(" "), F.col("event_id").cast("string")))
+    t = KeyedTable(spark, st.scratch(spark, "categories-table"), "id", buckets=8)
+    for folder in _topics(spark, base, "categories", message):
+        st.maintain_categories(st.read_topic(spark, "categories", path=folder), t,
+                               st.scratch(spark, "categories-checkpoint")).awaitTermination()
+    return t.read().select("id", "name")
+
+
+def stream_index_products(spark: SparkSession, base: str) -> DataFrame:
+    """Product documents keyed by ``{date}_{id}``; the last message of a key wins whole."""
+    message = _json(key=F.concat(misc.day(F.col("ts")), F.lit("_"), F.col("user_id").cast("string")), id=F.col("user_id"),
+                    name=F.col("event_type"), price=F.col("event_id").cast("string"), time=misc.day(F.col("ts")),
+                    is_best_store=F.when(F.col("event_id") % 3 > 0, F.col("event_id") % 3 == 1))
+    t, _ = _indexed(spark, base, "products", st.index_products, "key", message)
+    return t.read().select("key", "id", "name", "price", "time", "is_best_store", "brand_name")
+
+
+def stream_index_ratings(spark: SparkSession, base: str) -> DataFrame:
+    """Rating documents keyed by id; a customer id that is no number becomes null."""
+    message = _json(id=F.col("user_id"), title=F.col("event_type"), content=F.col("event_id").cast("string"),
+                    customer_id=F.when(F.col("event_id") % 5 == 0, F.lit("none")).otherwise(F.col("event_id").cast("string")),
+                    rating=(F.col("event_id") % 5).cast("int"))
+    t, _ = _indexed(spark, base, "ratings", st.index_ratings, "id", message)
+    return t.read().select("id", "title", "content", "customer_id", "rating")
+
+
+def stream_index_overviews(spark: SparkSession, base: str) -> DataFrame:
+    """Overview documents keyed by product id."""
+    message = _json(product_id=F.col("user_id"), name_product=F.col("event_type"), stars_1_count=F.col("event_id"),
+                    rating_average=F.col("event_id") / 2, review_photo=F.struct(F.col("event_id").alias("total")))
+    t, _ = _indexed(spark, base, "overviews", st.index_overviews, "product_id", message)
+    return t.read().select("product_id", "name_product", "stars_1_count", "stars_5_percent", "rating_average",
+                           F.col("review_photo.total").alias("photos"))
+
+
+def stream_quarantine(spark: SparkSession, base: str) -> DataFrame:
+    """R9 in R4: how many messages of each kind were set aside."""
+    message = _json(id=F.col("user_id"), title=F.col("event_type"))
+    _, bad = _indexed(spark, base, "quarantine", st.index_ratings, "id", message)
+    rows = reduce(DataFrame.unionByName, [spark.read.parquet(f"{bad}/{i}/data").select("value") for i in range(3)])
+    return rows.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_dual_write(spark: SparkSession, base: str) -> DataFrame:
+    """Every message goes on to the outgoing topic, the latest per id to the table."""
+    t = KeyedTable(spark, st.scratch(spark, "dual-table"), "id", buckets=8)
+    topic = st.scratch(spark, "dual-topic")
+    msgs = _message_stream(spark, base, "dual").select("id", "name", "ts", "event_id")
+    st.run_available(msgs, st.dual_write(t, topic, order=["ts", "event_id"]), st.scratch(spark, "dual-checkpoint"))
+    sent = spark.read.text(f"{topic}/*").select(F.from_json("value", "id long").alias("m")).groupBy("m.id").agg(
+        F.count(F.lit(1)).alias("n_sent"))
+    return t.read().select("id", "name", "event_id").join(sent, "id")
+
+
 STREAM_QUERIES = {
     "stream_dedupe": stream_dedupe,
     "stream_upsert": stream_upsert,
     "stream_enrich": stream_enrich,
     "stream_fan_out": stream_fan_out,
     "props_quarantine": props_quarantine,
+    "stream_categories": stream_categories,
+    "stream_index_products": stream_index_products,
+    "stream_index_ratings": stream_index_ratings,
+    "stream_index_overviews": stream_index_overviews,
+    "stream_quarantine": stream_quarantine,
+    "stream_dual_write": stream_dual_write,
 }
 
 
 def stream_oracles() -> dict[str, str]:
     from reviewlake.plans.oracles import PRODUCTS
+    last = """QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY event_id % 2 DESC, ts DESC, event_id DESC) = 1"""
+    by_user = last.format(key="user_id")
+    good = "events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0"
     return {
+        "stream_categories": f"SELECT user_id AS id, event_type || ' ' || event_id AS name FROM {good} {by_user}",
+        "stream_index_products": f"""SELECT strftime(ts, '%Y-%m-%d') || '_' || user_id AS key, user_id AS id, event_type AS name,
+CAST(event_id AS DOUBLE) AS price, strftime(ts, '%Y-%m-%d') AS time,
+CASE WHEN event_id % 3 > 0 THEN event_id % 3 = 1 END AS is_best_store, CAST(NULL AS VARCHAR) AS brand_name
+FROM {good} {last.format(key="strftime(ts, '%Y-%m-%d') || '_' || user_id")}""",
+        "stream_index_ratings": f"""SELECT user_id AS id, event_type AS title, CAST(event_id AS VARCHAR) AS content,
+CASE WHEN event_id % 5 <> 0 THEN event_id END AS customer_id, CAST(event_id % 5 AS INTEGER) AS rating FROM {good} {by_user}""",
+        "stream_index_overviews": f"""SELECT user_id AS product_id, event_type AS name_product, event_id AS stars_1_count,
+CAST(NULL AS DOUBLE) AS stars_5_percent, event_id / 2 AS rating_average, event_id AS photos FROM {good} {by_user}""",
+        "stream_quarantine": """SELECT '{broken' AS value, 2 * count(*) AS n FROM events WHERE event_id % 97 = 0
+UNION ALL SELECT '{"other": 1}', count(*) FROM events WHERE event_id % 89 = 0 AND event_id % 97 <> 0 HAVING count(*) > 0""",
+        "stream_dual_write": """SELECT user_id AS id, event_type AS name, event_id, count(*) OVER (PARTITION BY user_id) AS n_sent FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
         "stream_dedupe": "SELECT DISTINCT user_id AS id, event_type AS name FROM events",
         "stream_upsert": """SELECT user_id AS id, event_type AS name, event_id FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",

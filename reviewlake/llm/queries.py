@@ -104,4 +104,70 @@ r AS (
 SELECT * FROM r WHERE rank <= 20
 """
 
-LLM_ORACLES = {"op6_exact_dedup": _OP6, "op7_exact_topk": _OP7}
+_OP1 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS t FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+k AS (SELECT doc_id, list(t ORDER BY t) AS k FROM s GROUP BY doc_id),
+z AS (SELECT k, count(*) AS set_size FROM k GROUP BY k)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM r WHERE r.a = d.doc_id) AS component_id,
+       coalesce(z.set_size, 1) AS set_size
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id) LEFT JOIN z USING (k)
+"""
+
+_OP4 = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+v AS (SELECT doc_id, i, w[i:i + 34] AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM w)),
+d AS (SELECT k FROM v GROUP BY k HAVING count(*) > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM v JOIN d USING (k)),
+g AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id),
+a AS (SELECT doc_id, w, coalesce(gone, []) AS gone FROM w LEFT JOIN g USING (doc_id)),
+p AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS x FROM a),
+t AS (SELECT p.doc_id, string_agg(x, ' ' ORDER BY p.i) AS kept FROM p ANTI JOIN c ON c.doc_id = p.doc_id AND c.i = p.i GROUP BY p.doc_id)
+SELECT doc_id, len(w) AS n_words, len(gone) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM a LEFT JOIN t USING (doc_id)
+"""
+
+
+def _op10() -> str:
+    """Spans from the pieces between matches; owner-specific generic tokens beside the base findings."""
+    def kind(rank: int, name: str, pattern: str, group: int, least: int) -> str:
+        p = pattern.replace("'", "''")
+        return f"""
+SELECT doc_id, owner, {rank} AS k, '{name}' AS kind, {least} AS least, string_split_regex(t, '{p}') AS gap,
+       regexp_extract_all(t, '{p}') AS hit, regexp_extract_all(t, '{p}', {group}) AS val FROM d"""
+    kinds = [*enumerate(secret_scan.KINDS), (len(secret_scan.KINDS), ("live", secret_scan.GENERIC, 0, 20))]
+    n = len(secret_scan.KINDS)
+    return f"""
+WITH d AS (SELECT doc_id, source AS owner, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(kind(i, *x) for i, x in kinds)}),
+e AS (SELECT *, unnest(range(1, len(hit) + 1)) AS i FROM m WHERE len(hit) > 0),
+f AS (SELECT doc_id, owner, k, kind, least, val[i] AS val, len(hit[i]) AS n,
+             CAST(list_sum([len(x) FOR x IN gap[:i]]) + coalesce(list_sum([len(x) FOR x IN hit[:i - 1]]), 0) AS BIGINT) AS a FROM e),
+s AS (SELECT doc_id, owner, k, kind, val, a, a + n AS b FROM f WHERE len(val) >= least AND (k < {n}
+        OR (len(list_distinct(string_split(val, ''))) >= {secret_scan.MIN_DISTINCT} AND regexp_matches(val, '[A-Za-z]')
+            AND len(regexp_replace(val, '[^0-9]', '', 'g')) >= {secret_scan.MIN_DIGITS}))),
+o AS (SELECT val, count(DISTINCT doc_id) <= {secret_scan.MAX_REPOSITORIES}
+             AND count(DISTINCT owner) + max(CAST(owner IS NULL AS INTEGER)) <= {secret_scan.MAX_OWNERS} AS own FROM s GROUP BY val),
+x AS (SELECT s.*, o.own FROM s JOIN o USING (val)),
+y AS (SELECT x.* FROM x WHERE k < {n} OR (own AND NOT EXISTS (
+        SELECT 1 FROM s WHERE s.doc_id = x.doc_id AND s.k < {n} AND s.a < x.b AND x.a < s.b))),
+z AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) FILTER (k < {n}) AS base,
+             string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) AS spans FROM y GROUP BY doc_id),
+q AS (SELECT doc_id, count(*) FILTER (own) AS n_owner_specific, count(*) FILTER (NOT own) AS n_copied FROM x GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_owner_specific, 0) AS n_owner_specific, coalesce(n_copied, 0) AS n_copied
+FROM d LEFT JOIN z USING (doc_id) LEFT JOIN q USING (doc_id)
+"""
+
+
+LLM_ORACLES = {"op1_ngram_join": _OP1, "op4_substring_dedup": _OP4, "op6_exact_dedup": _OP6, "op7_exact_topk": _OP7,
+               "op10_secret_scan": _op10()}

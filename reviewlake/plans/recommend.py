@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, PCA, HashingTF, StandardScaler, StopWordsRemover, VectorAssembler, Word2Vec
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.operators import filters
@@ -24,13 +24,25 @@ from reviewlake.session import cut_lineage, ship_package
 SPARSE_BLOCK_ROWS = 2048
 
 
+def term_counts(tokens: Column) -> Column:
+    """Array of (term, tf) of one row's tokens: runs of the sorted array, so no shuffle is needed to count."""
+    def runs(t: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(1), F.size(t)), lambda i: (i == 1) | (
+            F.element_at(t, i.cast("int")) != F.element_at(t, F.greatest(i - 1, F.lit(1)).cast("int"))))
+        return F.transform(F.array(first), lambda at: F.zip_with(
+            at, F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(F.size(t) + 1)),
+            lambda i, j: F.struct(F.element_at(t, i.cast("int")).alias("term"), (j - i).cast("long").alias("tf")))).getItem(0)
+    # Bound once per row through a one-element transform, so that no lambda sorts the array again.
+    counted = F.transform(F.array(F.array_sort(tokens)), runs).getItem(0)
+    return F.when(F.size(tokens) > 0, counted)
+
+
 def tfidf_terms(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
-    """M1 (term form): (id, term, tf, weight = tf * ln((N+1)/(df+1))).
+    """M1 (term form): (id, term, tf, weight = tf * ln((N+1)/(df+1))); one row of ``df`` per id.
 
-    One pass over the tokens: document frequency is the number of (id, term) rows per term, so the
-    term-frequency aggregate feeds both sides (its exchange is reused)."""
-    tf = (df.select(id_col, F.explode(tokens_col).alias("term"))
-          .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    Terms are counted inside their row; document frequency is one aggregate by term (combined in each
+    task), joined back by term, where AQE broadcasts a small side or splits a frequent term."""
+    tf = df.select(id_col, F.inline(term_counts(F.filter(tokens_col, lambda x: x.isNotNull()))))
     n_docs = df.select(F.count(F.lit(1))).scalar()
     idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
            .select("term", F.ln((n_docs + F.lit(1)) / (F.col("df") + F.lit(1))).alias("idf")))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.llm.blocks import pack, unpack
+from reviewlake.llm.blocks import pack, records, unpack
 from reviewlake.session import cut_lineage
 
 BLOCK_ROWS = 256
@@ -119,15 +119,14 @@ def search(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, m: np.ndarray,
 
 def _score(k: int, block_rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                qid, q = unpack(row["q_rows"])
-                ids, m = unpack(row["rows"])
-                dim = max(row["q_dim"], row["dim"])
-                q, m = _padded(q.reshape(-1, row["q_dim"]), dim), _padded(m.reshape(-1, row["dim"]), dim)
-                who, key, score = search(qid, q, ids, m, k, block_rows)
-                yield pa.RecordBatch.from_arrays([pa.array(qid[who]), pa.array(key), pa.array(score)],
-                                                 ["query_id", "id", "score"])
+        for row in records(batches):
+            qid, q = unpack(row["q_rows"])
+            ids, m = unpack(row["rows"])
+            dim = max(row["q_dim"], row["dim"])
+            q, m = _padded(q.reshape(-1, row["q_dim"]), dim), _padded(m.reshape(-1, row["dim"]), dim)
+            who, key, score = search(qid, q, ids, m, k, block_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(qid[who]), pa.array(key), pa.array(score)],
+                                             ["query_id", "id", "score"])
     return run
 
 

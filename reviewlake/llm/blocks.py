@@ -36,6 +36,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+_HASHED_BYTES = 1 << 20
 _powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
 
 
@@ -72,6 +73,13 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> It
             at = stop
 
 
+def records(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """One row at a time, for rows that hold large values (a whole batch of them would be large in Python)."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a text column and the offset of each row in them (null: empty)."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -106,7 +114,15 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self) -> np.ndarray:
-        return range_hashes(_BYTE[self.data], self.starts, self.ends)
+        """64-bit hash of each word, worked out over a bounded number of bytes at a time."""
+        out = np.empty(len(self.starts), dtype=np.uint64)
+        i = 0
+        while i < len(out):
+            j = max(i + 1, int(np.searchsorted(self.ends, self.starts[i] + _HASHED_BYTES, side="right")))
+            low = self.starts[i]
+            out[i:j] = range_hashes(_BYTE[self.data[low:self.ends[j - 1]]], self.starts[i:j] - low, self.ends[i:j] - low)
+            i = j
+        return out
 
     def joined(self) -> Words:
         """The same words with exactly one space after each."""

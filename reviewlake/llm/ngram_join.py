@@ -16,10 +16,10 @@ Steps: documents with the same set become one class (by a 128-bit sum over its t
 sends the tokens of its distinct sets, packed and sorted, to buckets by token; a bucket counts the
 documents of each token and returns those held by two or more, as small numbers, to buckets of
 documents. There the prefixes are cut. Documents that share a signature are first verified with
-one leader (the one with the smallest part of unshared tokens); then every pair that shares a
-signature, lies in different components and can still reach the threshold by its numbers of tokens
-and unshared tokens is verified by exact intersection. So no pair is lost, and pairs inside
-a large group of copies are not written out.
+one leader (the one with the earliest signature); then every pair that lies in different components
+and shares a signature early enough for sets of their two sizes (each document's prefix for partners
+of one size is shorter than that for all) is verified by exact intersection. So no pair is lost,
+and pairs inside a large group of copies are not written out.
 
 Similar: 100 * intersection >= 80 * union. Defined results: null or empty text has no tokens and is
 linked with nothing; fewer than five words are one token. Rows with a null doc_id take part, but
@@ -49,7 +49,7 @@ NUM, DEN = 4, 5
 FREQUENT = 64
 BLOCK_BYTES = 4 << 20
 #: Tokens that one bucket of tokens is meant to hold, and documents of one bucket of documents.
-BUCKET_TOKENS = 2 << 20
+BUCKET_TOKENS = 1 << 20
 BUCKET_DOCS = 4096
 _LEVELS = 1.25 ** np.arange(1, 200)
 
@@ -167,41 +167,51 @@ def _count_bucket(n_doc_buckets: int):
     return run
 
 
-def frequent_signatures(tokens: np.ndarray, budget: int, n: int, level: int) -> list[int]:
-    """Pairs of frequent tokens of one class, for the shortest run of tokens that stands ``budget`` losses."""
+def frequent_signatures(tokens: np.ndarray, stands: int, budget: int, n: int, level: int) -> tuple[list[int], list[int]]:
+    """Pairs of frequent tokens of one class for the shortest run of tokens that stands ``budget`` losses.
+
+    Second: the losses that the run up to each pair's later token stands; ``stands`` come before the first.
+    """
     n_classes = max(1, round(n / (DEN * 3)))
     of = (mix64(tokens.view(np.uint64) + np.uint64(level)) % np.uint64(n_classes)).astype(np.int64)
     members: dict[int, list[int]] = {}
-    out = []
+    out, losses = [], []
     for t, c in zip(tokens.tolist(), of.tolist(), strict=True):
-        if budget <= 0:
+        if stands >= budget:
             break
         before = members.setdefault(c, [])
         if before:
-            budget -= 1
+            stands += 1
             out += [(a, t) for a in before]
+            losses += [stands] * len(before)
         before.append(t)
     if not out:
-        return []
+        return [], []
     a, b = np.array(out, dtype=np.int64).view(np.uint64).T
-    return mix64(mix64(a * np.uint64(2 * level + 3)) + b).view(np.int64).tolist()
+    return mix64(mix64(a * np.uint64(2 * level + 3)) + b).view(np.int64).tolist(), losses
+
 
+def signatures(n: int, tokens: np.ndarray, times: np.ndarray, frequent: int = FREQUENT) -> tuple[np.ndarray, np.ndarray] | None:
+    """Signatures of a document of n tokens, of which the given ones, rarest first, are shared.
 
-def signatures(n: int, tokens: np.ndarray, times: np.ndarray, frequent: int = FREQUENT) -> np.ndarray | None:
-    """Signatures of a document of n tokens, of which the given ones, rarest first, are shared."""
-    budget = int(allowed(n)) + 1 - (n - len(tokens))
-    if budget <= 0:
+    Second: for each signature, how many losses the shortest prefix that holds it stands. A partner
+    that leaves the document fewer than that many losses shares an earlier signature with it.
+    """
+    budget, stands = int(allowed(n)) + 1, n - len(tokens)
+    if stands >= budget:
         return None
     rare = int(np.searchsorted(times, frequent, side="right"))
-    out = mix64(tokens[:min(rare, budget)].view(np.uint64)).view(np.int64)
-    budget -= min(rare, budget)
-    if budget:
+    use = min(rare, budget - stands)
+    out, losses = mix64(tokens[:use].view(np.uint64)).view(np.int64).tolist(), list(range(stands + 1, stands + use + 1))
+    stands += use
+    if stands < budget:
         own = int(np.searchsorted(_LEVELS, n, side="right"))
         for level in (own, own + 1):
             # The classes of a level, not of a document: both partners must deal tokens alike.
-            more = frequent_signatures(tokens[rare:], budget, int(1.25 ** level), level)
-            out = np.append(out, np.array(more, dtype=np.int64))
-    return np.unique(out)
+            more, lost = frequent_signatures(tokens[rare:], stands, budget, int(1.25 ** level), level)
+            out, losses = out + more, losses + lost
+    out, first = np.unique(np.array(out, dtype=np.int64), return_index=True)
+    return out, np.array(losses, dtype=np.int32)[first]
 
 
 def _prefix_bucket(frequent: int):
@@ -220,12 +230,12 @@ def _prefix_bucket(frequent: int):
         for s, z in zip(*runs(node), strict=True):
             n = int(size[s])
             found = signatures(n, token[s:s + z], times[s:s + z], frequent)
-            if found is not None and len(found):
-                rows.append((int(node[s]), n, n - int(z), pack(deltas(np.sort(token[s:s + z]))), found))
+            if found is not None and len(found[0]):
+                rows.append((int(node[s]), n, pack(deltas(np.sort(token[s:s + z]))), *found))
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
         return pa.table({"node": pa.array(columns[0], pa.int64()), "n": pa.array(columns[1], pa.int64()),
-                         "unshared": pa.array(columns[2], pa.int64()), "tokens": pa.array(columns[3], pa.binary()),
-                         "signatures": pa.array(columns[4], pa.list_(pa.int64()))})
+                         "tokens": pa.array(columns[2], pa.binary()), "signatures": pa.array(columns[3], pa.list_(pa.int64())),
+                         "losses": pa.array(columns[4], pa.list_(pa.int32()))})
     return run
 
 
@@ -248,37 +258,41 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _leader_pairs(signed: DataFrame) -> DataFrame:
-    """Each document with one leader: of the leaders of its signatures, the one with least unshared."""
-    rank = F.struct((F.col("unshared") / F.col("n")).alias("part"), F.col("node"))
+    """Each document with one leader: of the leaders of its signatures, the one with the earliest signature."""
+    rank = F.struct((F.col("loss") / F.col("n")).alias("part"), F.col("node"))
     leaders = (signed.groupBy("signature").agg(F.min(rank).alias("leader"), F.count(F.lit(1)).alias("size"))
                .where("size > 1").select(F.col("signature").alias("s"), "leader"))
     return (signed.join(leaders, F.col("signature") == F.col("s")).groupBy("node").agg(F.min("leader").alias("leader"))
             .select(F.col("node").alias("a"), F.col("leader.node").alias("b")).where("a <> b"))
 
 
-def _possible(n: str, m: str, un: str, um: str):
-    """Whether sets of n and m tokens can be similar when un and um of these are in no other document."""
-    total = (F.col(n) + F.col(m)) * NUM
-    return (total <= (F.col(n) - F.col(un)) * (NUM + DEN)) & (total <= (F.col(m) - F.col(um)) * (NUM + DEN))
+def _possible(n: str, m: str, loss_n: str, loss_m: str):
+    """Whether similar sets of n and m tokens may have this signature as an early one of both.
+
+    Similar sets share at least ceil(NUM (n + m) / (NUM + DEN)) tokens, so a set of n lacks at most n
+    less that many; of their common signatures one lies in the prefixes that stand just more.
+    """
+    least = F.floor((NUM * (F.col(n) + F.col(m)) + NUM + DEN - 1) / (NUM + DEN))
+    return (F.col(loss_n) <= F.col(n) - least + 1) & (F.col(loss_m) <= F.col(m) - least + 1)
 
 
 def _open_pairs(signed: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs that share a signature, lie in different components and may be similar."""
+    """Pairs that share an early signature and lie in different components."""
     named = (signed.join(labels, "node", "left")
-             .select("signature", "node", "n", "unshared", F.coalesce("component", "node").alias("component")))
+             .select("signature", "node", "n", "loss", F.coalesce("component", "node").alias("component")))
     mixed = lambda rows: rows.join(
         rows.groupBy("signature").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
         .where("c0 <> c1").select(F.col("signature").alias("s")), F.col("signature") == F.col("s"), "left_semi")
     named = cut_lineage(mixed(named), "open-signatures")
-    # Sizes at hand for each signature, with the smallest number of unshared tokens of each size.
-    sizes = named.groupBy("signature", "n").agg(F.min("unshared").alias("least")).select(
+    # Sizes at hand for each signature, with the earliest place of each.
+    sizes = named.groupBy("signature", "n").agg(F.min("loss").alias("least")).select(
         F.col("signature").alias("s"), F.col("n").alias("m"), "least")
-    named = named.join(sizes, (F.col("signature") == F.col("s")) & _possible("n", "m", "unshared", "least"), "left_semi")
+    named = named.join(sizes, (F.col("signature") == F.col("s")) & _possible("n", "m", "loss", "least"), "left_semi")
     named = cut_lineage(mixed(named), "open-signatures")
-    side = lambda c: named.select("signature", *[F.col(x).alias(f"{x}_{c}") for x in ("node", "n", "unshared", "component")])
+    side = lambda c: named.select("signature", *[F.col(x).alias(f"{x}_{c}") for x in ("node", "n", "loss", "component")])
     return (side("a").join(side("b"), "signature")
             .where((F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
-                   & _possible("n_a", "n_b", "unshared_a", "unshared_b"))
+                   & _possible("n_a", "n_b", "loss_a", "loss_b"))
             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
 
 
@@ -309,7 +323,7 @@ def join_groups(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
         _scatter_task(n_buckets), "bucket int, packed binary")
     shared = packed.groupBy("bucket").applyInArrow(_count_bucket(n_doc_buckets), "docs int, bucket int, packed binary")
     sets = cut_lineage(shared.groupBy("docs").applyInArrow(
-        _prefix_bucket(frequent), "node long, n long, unshared long, tokens binary, signatures array<long>"), "prefixes")
+        _prefix_bucket(frequent), "node long, n long, tokens binary, signatures array<long>, losses array<int>"), "prefixes")
 
     # Of the nodes of one class (a set sent by several tasks) one goes on.
     classes = found.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("set_size"))
@@ -319,7 +333,8 @@ def join_groups(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     one = members.groupBy("n", "s1", "s2").agg(F.min("node").alias("node"))
     one = cut_lineage(one.join(classes, ["n", "s1", "s2"]).select("node", "low", "n", "s1", "s2"), "classes")
     sets = sets.join(one.select("node"), "node", "left_semi")
-    signed = cut_lineage(sets.select("node", "n", "unshared", F.explode("signatures").alias("signature")), "signatures")
+    signed = cut_lineage(sets.select("node", "n", F.inline(F.arrays_zip("signatures", "losses")))
+                         .withColumnsRenamed({"signatures": "signature", "losses": "loss"}), "signatures")
 
     links = cut_lineage(verified(_leader_pairs(signed), sets), "links")
     labels = components(links)

@@ -307,9 +307,9 @@ def html_text(c) -> Column:
 
 
 def html_text_each(c) -> Column:
-    """Per array element: HTML -> text and literal \\n removed (higher-order function)."""
-    return F.transform(_c(c), lambda x: F.replace(decode_entities(strip_tags(x)),
-                                                  F.lit("\\n"), F.lit("")))
+    """Per array element: HTML -> text and literal \\n removed. Tags go in a pass of their own, so that
+    the decoder sees a bound value (a lambda evaluates its argument wherever it is named)."""
+    return F.transform(F.transform(_c(c), strip_tags), lambda x: F.replace(decode_entities(x), F.lit("\\n"), F.lit("")))
 
 
 def tokenize(c) -> Column:

@@ -360,7 +360,7 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
 
     Rows without tokens are in no group and stay. Of rows that repeat doc_id and text one stays.
     """
-    groups = join_groups(docs, **how)
+    groups = cut_lineage(join_groups(docs, **how), "groups")
     chosen = (groups.where("n_shingles > 0").groupBy("group_key")
               .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("c"))
               .select("c.doc_id", "c.text_hash", F.lit(True).alias("one")))
@@ -369,6 +369,8 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                       F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_hash"))
     met = own.join(stays, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("h")))
+    if groups.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
+        return met.select("row.*")                  # no row is repeated, so no text needs another shuffle
     first = Window.partitionBy("doc_id", "text_hash").orderBy("h")
     return met.withColumn("at", F.row_number().over(first)).where("at = 1 OR NOT one").select("row.*")
 

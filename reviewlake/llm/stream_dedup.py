@@ -141,12 +141,15 @@ def kept_rows(docs: DataFrame, **how) -> DataFrame:
 
     A row is found again by its doc_id, its digest and its length; of rows alike in these one stays.
     """
-    kept = deduplicate(docs, **how).where("kept").select(F.col("doc_id").alias("_id"), "text_sha256")
+    rows = cut_lineage(deduplicate(docs, **how).select("doc_id", "text_sha256", "kept"), "dedup-rows")
+    kept = rows.where("kept").select(F.col("doc_id").alias("_id"), "text_sha256")
     text = F.col("text").cast("string")
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                       F.col("doc_id").cast("long").alias("id"), sha256(normalised(text)).alias("digest"),
                       F.length(F.coalesce(text, F.lit(""))).alias("n_points"))
     found = own.join(kept, (F.col("id").eqNullSafe(F.col("_id"))) & (F.col("digest") == F.col("text_sha256")),
                      "left_semi")
+    if rows.groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty():
+        return found.select("row.*")                # no row is repeated, so no text needs another shuffle
     first = Window.partitionBy("id", "digest").orderBy(F.desc("n_points"))
     return found.withColumn("at", F.row_number().over(first)).where("at = 1").select("row.*")

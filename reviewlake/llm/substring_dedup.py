@@ -37,7 +37,7 @@ HEAVY = 1 << 16
 LEAST_HEAVY = 8
 BLOCK_BYTES = 4 << 20
 #: Packed text (before compression) that one bucket is meant to hold.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 6 << 20
 
 
 def _window_bytes(w: Words, at: int, k: int) -> bytes:

@@ -28,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.blocks import deltas, mix64, pack, runs, slices, spread, unpack, words
+from reviewlake.llm.blocks import deltas, mix64, pack, records, runs, slices, spread, unpack, words
 from reviewlake.session import cut_lineage
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Tokens of all texts for each bucket.
-BUCKET_TOKENS = 3 << 19
+BUCKET_TOKENS = 3 << 18
 HOT = 4096
 #: Hashes of the end token and of the start context; no word has them but by chance.
 END, START = np.uint64(0x3C79AC492BA7B653), np.uint64(0xD3833E804F4C574B)
@@ -87,17 +87,19 @@ def _bigram_parts(block: Block, context: np.ndarray, token: np.ndarray, hot: np.
     return spread(np.where(np.isin(c, hot), mix64(mix64(c) + t), mix64(c)), n_buckets)
 
 
+def _sent(block: int, parts: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block] * len(parts), pa.int64()), pa.array([k for k, _ in parts], pa.int32()),
+         pa.array([v for _, v in parts], pa.binary())], ["block", "bucket", "packed"])
+
+
 def _send_words(n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, packed in zip(batch.column("block").to_pylist(), batch.column("packed").to_pylist(), strict=True):
-                b = Block(packed)
-                count = b.word_counts()
-                parts = [(k, pack(deltas(b.vocabulary[own]), count[own].astype(np.uint32)))
-                         for k, own in spread(b.vocabulary, n_buckets)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(parts), pa.int64()), pa.array([k for k, _ in parts], pa.int32()),
-                     pa.array([v for _, v in parts], pa.binary())], ["block", "bucket", "packed"])
+        for row in records(batches):
+            b = Block(row["packed"])
+            count = b.word_counts()
+            yield _sent(row["block"], [(k, pack(deltas(b.vocabulary[own]), count[own].astype(np.uint32)))
+                                       for k, own in spread(b.vocabulary, n_buckets)])
     return run
 
 
@@ -121,18 +123,15 @@ def _sum_words(n_learned: int):
 
 def _send_bigrams(n_buckets: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, packed in zip(batch.column("block").to_pylist(), batch.column("packed").to_pylist(), strict=True):
-                b = Block(packed)
-                context, token, count, _ = b.bigrams()
-                parts = []
-                for k, own in _bigram_parts(b, context, token, hot, n_buckets):
-                    first, length = runs(context[own])
-                    parts.append((k, pack(deltas(b.context_hashes()[context[own][first]]), length.astype(np.uint32),
-                                          b.vocabulary[token[own]] >> _FOLLOWER_BITS, count[own].astype(np.uint32))))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(parts), pa.int64()), pa.array([k for k, _ in parts], pa.int32()),
-                     pa.array([v for _, v in parts], pa.binary())], ["block", "bucket", "packed"])
+        for row in records(batches):
+            b = Block(row["packed"])
+            context, token, count, _ = b.bigrams()
+            parts = []
+            for k, own in _bigram_parts(b, context, token, hot, n_buckets):
+                first, length = runs(context[own])
+                parts.append((k, pack(deltas(b.context_hashes()[context[own][first]]), length.astype(np.uint32),
+                                      b.vocabulary[token[own]] >> _FOLLOWER_BITS, count[own].astype(np.uint32))))
+            yield _sent(row["block"], parts)
     return run
 
 
@@ -206,34 +205,33 @@ def _score_task(n_buckets: int, n_learned: int, n_types: int, discount: float, h
     hot_followers = np.array([hot[int(x)] for x in hot_names], dtype=np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                b = Block(row["packed"])
-                total = _answers(spread(b.vocabulary, n_buckets), row["words"], len(b.vocabulary), 0)
-                context, token, _, of = b.bigrams()
-                names = b.context_hashes()
-                followers = np.zeros(len(names))
-                bigram_total = np.zeros(len(context))
-                value = {r["bucket"]: r["packed"] for r in row["bigrams"]}
-                for k, own in _bigram_parts(b, context, token, hot_names, n_buckets):
-                    counts, n = unpack(value[k])
-                    bigram_total[own] = counts
-                    first, _ = runs(context[own])
-                    followers[context[own][first]] = n
-                if len(hot_names):
-                    place = np.minimum(np.searchsorted(hot_names, names), len(hot_names) - 1)
-                    followers = np.where(hot_names[place] == names, hot_followers[place], followers)
-                end = total[np.searchsorted(b.vocabulary, END)]
-                states = np.append(total, end)                            # a text starts as often as it ends
-                states[np.searchsorted(b.vocabulary, END)] = 0            # nothing follows an end
-                machine = Automaton(total, n_learned, n_types, context, token, bigram_total, followers, states, discount)
-                first = np.cumsum(b.size.astype(np.int64)) - b.size
-                sums = lambda x, first=first: np.add.reduceat(x, first) if len(first) else first
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(b.size, pa.int64()),
-                     pa.array(sums((total[b.token] > 0).astype(np.int64)), pa.int64()),
-                     pa.array(sums(machine.root[b.token]), pa.float64()), pa.array(sums(machine.walk(of)), pa.float64())],
-                    ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+        for row in records(batches):
+            b = Block(row["packed"])
+            total = _answers(spread(b.vocabulary, n_buckets), row["words"], len(b.vocabulary), 0)
+            context, token, _, of = b.bigrams()
+            names = b.context_hashes()
+            followers = np.zeros(len(names))
+            bigram_total = np.zeros(len(context))
+            value = {r["bucket"]: r["packed"] for r in row["bigrams"]}
+            for k, own in _bigram_parts(b, context, token, hot_names, n_buckets):
+                counts, n = unpack(value[k])
+                bigram_total[own] = counts
+                first, _ = runs(context[own])
+                followers[context[own][first]] = n
+            if len(hot_names):
+                place = np.minimum(np.searchsorted(hot_names, names), len(hot_names) - 1)
+                followers = np.where(hot_names[place] == names, hot_followers[place], followers)
+            end = total[np.searchsorted(b.vocabulary, END)]
+            states = np.append(total, end)                            # a text starts as often as it ends
+            states[np.searchsorted(b.vocabulary, END)] = 0            # nothing follows an end
+            machine = Automaton(total, n_learned, n_types, context, token, bigram_total, followers, states, discount)
+            first = np.cumsum(b.size.astype(np.int64)) - b.size
+            sums = lambda x, first=first: np.add.reduceat(x, first) if len(first) else first
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row["doc_ids"], pa.int64()), pa.array(b.size, pa.int64()),
+                 pa.array(sums((total[b.token] > 0).astype(np.int64)), pa.int64()),
+                 pa.array(sums(machine.root[b.token]), pa.float64()), pa.array(sums(machine.walk(of)), pa.float64())],
+                ["doc_id", "n_tokens", "n_known", "base_score", "score"])
     return run
 
 

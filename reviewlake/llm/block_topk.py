@@ -11,8 +11,8 @@ bounded number of blocks), which gives at most k rows per query; a window merges
 
 Defined results: vectors that are null, empty or hold a null or non-finite component, and rows
 with a null id, take no part. Shorter vectors count as padded with zeros. Rows that repeat a
-query's id are the query's own and are no candidates for it; other repeated rows are candidates
-like any. Ties go to the smaller id. Fewer than k candidates: all of them. Extra columns are
+query's id are the query's own and are no candidates for it; of several queries with one id the one
+with the smallest vector asks; other repeated rows are candidates like any. Ties go to the smaller id. Fewer than k candidates: all of them. Extra columns are
 ignored. Integer sums beyond 64 bits saturate.
 """
 
@@ -140,6 +140,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block_rows: int =
               .withColumn("shard", F.spark_partition_id()))
     shards = cut_lineage(shards, "shards")
     last = shards.agg(F.max("shard")).first()[0] or 0
+    queries = queries.groupBy("id").agg(F.min("v").alias("v"))
     meets = (cut_lineage(queries, "queries").coalesce(max(1, n_ranges // 8))
              .mapInArrow(_matrices(batch_rows), "n int, dim int, rows binary")
              .select(F.col("dim").alias("q_dim"), F.col("rows").alias("q_rows"),

@@ -180,6 +180,13 @@ def test_topk_equals_brute_force(spark):
         assert {tuple(x) for x in got} == brute_top(rows, 20) and len(got) == len(brute_top(rows, 20))
 
 
+def test_topk_of_repeated_ids(spark):
+    rows = [(0, [1.0]), (0, [1.0]), (0, [2.0]), (1, [3.0]), (1, [3.0]), (2, [1.0])]
+    v = block_topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "vec_id", "embedding")
+    got = [tuple(r) for r in block_topk.top_k(v, v.where("id % 20 = 0"), k=3).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, 64 * 192), (0, 2, 1, 64 * 192), (0, 3, 2, 64 * 64)]
+
+
 def test_topk_few_and_none(spark):
     few = spark.createDataFrame([(0, [1.0, -1.0]), (1, [2.0, 0.0])], "vec_id long, embedding array<float>")
     v = block_topk.quantised(few, "vec_id", "embedding")

@@ -37,8 +37,8 @@ OPEN_WINDOWS = 64
 MIN_CUT = 16
 MERGE_TASKS = 16
 END_ID = 1
-#: Entries of a worker's table of known parts; it starts anew when full.
-KNOWN_PARTS = 1 << 19
+#: Entries of a worker's table of known parts; there are an old and a new one, for parts after a space and others.
+KNOWN_PARTS = 1 << 18
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _RUN_OF_SPACES = re.compile(r"\s\s")
 
@@ -49,29 +49,50 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable, else one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b if b in shown else 256 + hidden.index(b) for b in range(256)}
+
+
+_LETTERS = _byte_letters()
+
+
 class _Parts(dict):
-    """Ids (as little-endian uint32 bytes) of a part that follows ``prefix``; fills itself."""
+    """Ids (as little-endian uint32 bytes) of a part that follows ``prefix``; fills itself.
+
+    When it is full, it becomes the old generation, from which parts that are met again return.
+    """
 
     def __init__(self, tokenizer, prefix: str, bare: _Parts | None = None):
         super().__init__()
         self.tokenizer, self.prefix, self.bare = tokenizer, prefix, self if bare is None else bare
+        self.model, self.old = tokenizer.model, {}
 
     def __missing__(self, part: str) -> bytes:
-        left, line_end, right = part.partition("\n")
-        stem = part.rstrip(".,")
-        if line_end and left and right and not left[-1].isspace() and not right[0].isspace():
-            ids = self[left] + self.bare[line_end] + self.bare[right]
-        elif stem != part and stem and stem[-1].isalpha():
-            ids = self[stem] + self.bare[part[len(stem):]]
-        else:
-            ids = np.asarray(self.tokenizer.encode(self.prefix + part, add_special_tokens=False).ids,
-                             dtype="<u4").tobytes()
+        ids = self.old.get(part)
+        if ids is None:
+            ids = self._encode(part)
         if len(part) <= 48:
             if len(self) >= KNOWN_PARTS:
+                self.old = dict(self)
                 self.clear()
             self[part] = ids
         return ids
 
+    def _encode(self, part: str) -> bytes:
+        if part.isalpha():                          # one word for the tokenizer, so its model alone will do
+            letters = (self.prefix + part).encode().decode("latin-1").translate(_LETTERS)
+            return np.asarray([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes()
+        left, line_end, right = part.partition("\n")
+        if line_end and left and right and not left[-1].isspace() and not right[0].isspace():
+            return self[left] + self.bare[line_end] + self.bare[right]
+        stem = part.rstrip(".,")
+        if stem != part and stem and stem[-1].isalpha():
+            return self[stem] + self.bare[part[len(stem):]]
+        return np.asarray(self.tokenizer.encode(self.prefix + part, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
 
 class Encoder:
     """Token ids of whole texts as little-endian uint32 bytes."""

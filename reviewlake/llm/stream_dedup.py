@@ -98,8 +98,9 @@ def _bytes_differ(docs: DataFrame, states: DataFrame, digest: Callable[[Column],
     hits = states.where("group_size > 1").select("digest", F.col("keep.doc_id").alias("keep_id"))
     text = normalised(F.col("text").cast("string"))
     member = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("content"))
-    member = member.withColumn("digest", digest(F.col("content")))
-    kept = (member.join(hits, "digest").where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    # Only the texts of hits are written; all others leave after one shuffle.
+    member = cut_lineage(member.withColumn("digest", digest(F.col("content"))).join(hits, "digest"), "dedup-hits")
+    kept = (member.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
             .groupBy("digest").agg(F.min("content").alias("kept_content")))
     return (member.join(kept, "digest").where(F.col("content") != F.col("kept_content"))
             .select("digest").distinct())

@@ -40,7 +40,7 @@ ORDERS = (1, 2, 3, 4)
 LEXICON = 400
 ROUNDS = 40
 SEGMENT = 64
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 UNKNOWN = "und"
 
 

@@ -38,7 +38,7 @@ MIN_CUT = 16
 MERGE_TASKS = 16
 END_ID = 1
 #: Entries of a worker's table of known parts; there are an old and a new one, for parts after a space and others.
-KNOWN_PARTS = 1 << 18
+KNOWN_PARTS = 1 << 17
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _RUN_OF_SPACES = re.compile(r"\s\s")
 

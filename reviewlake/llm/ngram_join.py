@@ -144,6 +144,10 @@ def _count_bucket(n_doc_buckets: int):
             node.append(np.cumsum(i, dtype=np.int64))
             size.append(n)
         token, doc, node, size = (np.concatenate(x) for x in (token, doc, node, size))
+        # A repeated row was sent by each task that read it, always with the same set: one of them counts.
+        once = np.zeros(len(node), dtype=bool)
+        once[np.unique(node, return_index=True)[1]] = True
+        token, doc = token[once[doc]], doc[once[doc]]
         order = np.argsort(token, kind="stable")
         start, times = runs(token[order])
         many = times > 1

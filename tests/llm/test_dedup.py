@@ -110,6 +110,32 @@ def test_ngram_join_of_a_large_near_group(spark):
         check_near(ngram_join.join_groups(spark.createDataFrame(rows, "doc_id long, text string"), frequent).collect(), rows)
 
 
+def test_ngram_join_of_repeated_rows_in_different_tasks():
+    """A named and an unnamed row read by two tasks, which share one shingle, keep their sets and aren't linked."""
+    import numpy as np
+    import pyarrow as pa
+    shared = [f"s{i}" for i in range(5)]
+    texts = [" ".join(shared + [f"t{k}_{i}" for i in range(n - 1)]) for k, n in enumerate((100, 81))]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 0]), pa.array([True, False]), pa.array(texts)], ["node", "plain", "text"])
+    sent = [b for _ in range(2) for b in ngram_join._scatter_task(1)(iter([batch]))]
+    shares = ngram_join._count_bucket(1)((pa.scalar(0),), pa.Table.from_batches(sent * 2))
+    # Held by these two only, so one token of each is shared; all other tokens need no signature.
+    assert ngram_join._prefix_bucket(64)(shares).num_rows == 0
+    third = pa.RecordBatch.from_arrays([pa.array([2, 3]), pa.array([True, True]), pa.array([t + " end" for t in texts])],
+                                       ["node", "plain", "text"])
+    sent += list(ngram_join._scatter_task(1)(iter([third])))
+    shares = ngram_join._count_bucket(1)((pa.scalar(0),), pa.Table.from_batches(sent))
+    sets = ngram_join._prefix_bucket(64)(shares).to_pylist()
+    tokens = [np.cumsum(ngram_join.unpack(r["tokens"])[0]) for r in sets]
+    assert len(sets) == 4 and [len(np.unique(t)) for t in tokens] == [len(t) for t in tokens]
+    assert sorted((r["n"], len(t)) for r, t in zip(sets, tokens, strict=True)) == [(81, 81), (82, 81), (100, 100), (101, 100)]
+    pairs = [{f"{k}_{c}" if k != "node" else c: r[k] for c, r in (("a", x), ("b", y)) for k in ("node", "n", "tokens")}
+             for i, x in enumerate(sets) for y in sets[i + 1:]]
+    linked = [r for b in ngram_join._verify_task(iter([pa.RecordBatch.from_pylist(pairs)])) for r in b.to_pylist()]
+    sizes = {r["node"]: r["n"] for r in sets}
+    assert sorted(sorted((sizes[r["a"]], sizes[r["b"]])) for r in linked) == [[81, 82], [100, 101]]
+
+
 def test_signatures_meet_for_every_similar_pair():
     import numpy as np
     r = np.random.default_rng(3)

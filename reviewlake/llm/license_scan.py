@@ -4,9 +4,13 @@ Texts and templates are normalised to lower-case words of letters and digits (ot
 them) joined by one space. Of every ``window`` consecutive k-byte hashes the smallest are
 kept (winnowing), so any run of k + window - 1 equal bytes shares a kept hash. The inverted index maps
 a kept hash to the places of the templates that hold it; it is as large as the templates, which
-are a parameter, and travels with the code. Where a document's kept hashes meet a template, the words
-around that diagonal are aligned with the template's in a band, with gaps and replaced words
-at a cost. A finding reports the matched part of the template and its span in code points.
+are a parameter, and travels with the code. Whole licence texts lie in the folder ``licenses``. Where a
+document's kept hashes meet a template, the words around that diagonal are aligned with the template's
+in a band, with gaps and replaced words at a cost. A finding reports the matched part of the template
+and its span in code points; words put into the span count against it. The words that tell a licence
+apart (of short notices also names and numbers) must
+stand in the span as in the template, none missing, put in or replaced. Only bands in which enough words of
+the template occur at all are aligned, which loses no finding.
 
 Each text is read where it lies; nothing is shuffled. Defined results: null or empty text has no
 finding; of overlapping findings the one with more matched words stays, then the first template;
@@ -17,6 +21,7 @@ bytes. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -57,12 +62,58 @@ TEMPLATES = {
         "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
         "Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions"),
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "ISC-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    **{name: f"This work is licensed under the GNU {kind}General Public License, version {version}." for name, kind, version in (
+        ("GPL-2.0", "", "2"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"), ("AGPL-3.0", "Affero ", "3"))},
+    **{f"{name}-notice": (
+        f"This {work} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {kind}General "
+        f"Public License as published by the Free Software Foundation{mark[:-1] or ','} either version {version} of the License, or "
+        "(at your option) any later version.") for name, work, mark, kind, version in (
+            ("GPL-2.0", "program", ";", "", "2"), ("LGPL-2.0", "library", ";", "Library ", "2"),
+            ("LGPL-2.1", "library", ";", "Lesser ", "2.1"), ("LGPL-3.0", "program", ":", "Lesser ", "3"),
+            ("AGPL-3.0", "program", ":", "Affero ", "3"))},
+    **{f"CC-{short}-4.0-notice": f"This work is licensed under a Creative Commons Attribution-{long} 4.0 International License."
+       for short, long in (("BY-NC", "NonCommercial"), ("BY-ND", "NoDerivatives"), ("BY-NC-SA", "NonCommercial-ShareAlike"),
+                           ("BY-NC-ND", "NonCommercial-NoDerivatives"))},
+    **{f"CC-{short}-4.0-short": f"Licensed under CC {short} 4.0." for short in ("BY", "BY-SA", "BY-ND", "BY-NC-SA", "BY-NC-ND")},
 }
+#: Words that tell licences apart anywhere, and those that do so in a notice of fewer than SHORT words.
+KINDS = "affero lesser library noncommercial sharealike noderivatives noderivs"
+NAMES = "apache mit bsd isc mozilla gnu gpl lgpl agpl mpl eclipse boost zlib unlicense creative cc nc sa nd"
+SHORT = 60
 
 _BETWEEN = np.ones(256, dtype=bool)
 _BETWEEN[48:58] = _BETWEEN[97:123] = _BETWEEN[128:] = False
 
 
+def shipped() -> dict[str, str]:
+    """The notices and the whole licence texts."""
+    files = sorted(resources.files("reviewlake.llm").joinpath("licenses").iterdir(), key=lambda f: f.name)
+    return TEMPLATES | {f"{f.name.removesuffix('.txt')}-whole": f.read_text("utf-8") for f in files if f.name.endswith(".txt")}
+
+
+def _hashes(text: str) -> np.ndarray:
+    return words(pa.array([text]), lower=True, between=_BETWEEN).joined().hashes()
+
+
+_DIGITS = _hashes(" ".join(map(str, range(10))))
+_VERSION = _hashes("version v")
+_KIND = _hashes(KINDS)
+_NAME = _hashes(NAMES)
+
+
+def telling(part: np.ndarray, short: bool) -> np.ndarray:
+    """The words of a part that tell a licence apart, in order."""
+    number = np.isin(part, _DIGITS)
+    if short:
+        return part[number | np.isin(part, _KIND) | np.isin(part, _NAME)]
+    number[1:] &= np.isin(part[:-1], _VERSION)
+    number[:1] = False
+    return part[number | np.isin(part, _KIND)]
+
+
 def fingerprints(w: Words) -> tuple[np.ndarray, np.ndarray]:
     """Kept hashes of joined words and the byte each starts at (ascending)."""
     first = np.append(w.starts, len(w.data))[w.first]
@@ -102,6 +153,8 @@ class Index:
         self.word = np.searchsorted(w.starts, at, side="right") - 1 - w.first[self.template]
         hashes = w.hashes()
         self.words = [hashes[a:b] for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
+        self.sizes = np.diff(w.first)
+        self.telling = [telling(x, len(x) < SHORT) for x in self.words]
 
     def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position in h, entry) of every meeting."""
@@ -145,10 +198,22 @@ def align(template: np.ndarray, text: np.ndarray, shift: int, band: int = BAND)
     return m, a, b
 
 
+def most_matched(template: np.ndarray, text: np.ndarray, shift: int, band: int = BAND) -> int:
+    """How many template words occur within the band: no alignment there matches more."""
+    found = np.zeros(len(template), dtype=bool)
+    for off in range(shift - band - 1, shift + band + 1):
+        a, b = max(0, -off), min(len(template), len(text) - off)
+        if a < b:
+            found[a:b] |= template[a:b] == text[a + off:b + off]
+    return int(np.count_nonzero(found))
+
+
 def scan_text(w: Words, row: int, own: np.ndarray, entries: np.ndarray, word_at: np.ndarray, text_words: np.ndarray,
               index: Index, min_coverage: float) -> list[tuple[str, float, int, int, int]]:
     """(license, coverage, first word, word after, matched words) found in one row, from its meetings."""
     found, tried = [], set()
+    whole = text_words[w.first[row]:w.first[row + 1]]
+    own = own[len(whole) >= min_coverage * index.sizes[index.template[entries[own]]]]
     for place, entry in zip(word_at[own].tolist(), entries[own].tolist(), strict=True):
         t = int(index.template[entry])
         shift = place - int(index.word[entry])
@@ -156,14 +221,17 @@ def scan_text(w: Words, row: int, own: np.ndarray, entries: np.ndarray, word_at:
             continue                                              # the band of an earlier meeting holds this one
         tried.add((t, shift))
         low = max(shift - BAND, 0)
-        part = text_words[w.first[row] + low:min(w.first[row + 1], w.first[row] + max(shift, 0) + len(index.words[t]) + BAND + 1)]
+        part = whole[low:max(shift, 0) + len(index.words[t]) + BAND + 1]
+        if most_matched(index.words[t], part, shift - low) < min_coverage * len(index.words[t]):
+            continue
         matched, a, b = align(index.words[t], part, shift - low)
-        if matched >= min_coverage * len(index.words[t]):
+        if (matched >= min_coverage * max(len(index.words[t]), b - a)
+                and np.array_equal(telling(part[a:b], len(index.words[t]) < SHORT), index.telling[t])):
             found.append((-matched, t, low + a, low + b))
     out: list[tuple[str, float, int, int, int]] = []
     for matched, t, a, b in sorted(set(found)):
         if all(b <= x[2] or a >= x[3] for x in out):
-            out.append((index.names[t], -matched / len(index.words[t]), a, b, -matched))
+            out.append((index.names[t], -matched / max(len(index.words[t]), b - a), a, b, -matched))
     return sorted(out, key=lambda x: x[2])
 
 
@@ -199,5 +267,5 @@ def _scan_task(templates: dict[str, str], min_coverage: float):
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """One row per finding: (doc_id, license, coverage, matched_words, start, stop), spans in code points."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return own.mapInArrow(_scan_task(templates or TEMPLATES, min_coverage),
+    return own.mapInArrow(_scan_task(templates or shipped(), min_coverage),
                           "doc_id long, license string, coverage double, matched_words int, start int, stop int")

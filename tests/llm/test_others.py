@@ -85,6 +85,27 @@ def test_license_scan_of_documents_finds_each_notice(docs, rows):
     assert got == collections.Counter(i for i, t, *_ in rows for s in short for _ in range((t or "").count(s)))
 
 
+def test_license_names_and_whole_texts():
+    """Each text is found as itself; a text that differs in a telling word, or is mostly put-in words, isn't."""
+    import pyarrow as pa
+    templates = license_scan.shipped()
+    found = lambda t: [(r["license"], r["coverage"]) for b in license_scan._scan_task(templates, 0.8)(iter([
+        pa.RecordBatch.from_arrays([pa.array([1]), pa.array([t])], ["doc_id", "text"])])) for r in b.to_pylist()]
+    for name, text in templates.items():
+        assert found(f"some words before {text} and some after") == [(name, 1)], name
+    assert {"Apache-2.0-whole", "GPL-2.0-whole", "GPL-3.0-whole", "LGPL-2.1-whole", "MPL-2.0-whole", "MIT-whole", "BSD-3-Clause-whole",
+            "BSD-2-Clause-whole", "CC-BY-SA-4.0-whole", "Unlicense-whole"} <= set(templates)
+    names = lambda t: [n for n, _ in found(t)]
+    gnu = "This work is licensed under the GNU {}General Public License, version {}."
+    assert names(gnu.format("Lesser ", 3)) == ["LGPL-3.0"] and names(gnu.format("Affero ", 3)) == ["AGPL-3.0"]
+    assert names(gnu.format("", 2)) == ["GPL-2.0"] and names(gnu.format("Lesser ", "2.1")) == ["LGPL-2.1"] and names(gnu.format("", 4)) == []
+    assert names("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.") == ["CC-BY-NC-4.0-notice"]
+    assert names("Released under the BSD License.") == names("Licensed under the Mozilla License, Version 2.0.") == []
+    assert names("This work is licensed under a very long and quite other Creative Commons and Attribution of 4.0 International License.") == []
+    whole = templates["Apache-2.0-whole"].replace("worldwide", "world-wide")
+    assert [n for n, c in found(whole) if 0.9 < c < 1] == ["Apache-2.0-whole"]
+
+
 def test_license_scan_empty_and_short_template(no_docs):
     assert license_scan.scan(no_docs).count() == 0
     with pytest.raises(ValueError):

@@ -6,9 +6,9 @@ content locator) and lands the fingerprints as files of the shared folder. A Str
 query reads that feed; its state store (RocksDB, no watermark, no expiry) keeps, per digest, the
 count and the identifier and locator of the row that stays. Partial aggregation in each
 task combines the rows of a hot digest before the shuffle, so the state gets one row per
-digest and task. Each hit (a digest seen before) is then checked on its full bytes against the
-content its locator names; texts that share a digest but not their bytes are grouped by the
-bytes themselves.
+digest and task. A feed of up to BATCH_BYTES is one micro-batch. After the stream a batch join checks
+the full bytes of the members of each digest with hits against the text of the kept doc_id (the locator
+isn't read); texts that share a digest but not their bytes are grouped by the bytes themselves.
 
 Of equal texts, the row with the most code points in its original text stays, then the smallest
 doc_id (null last), then the first row. Null text counts as empty, and empty texts are equal. Rows

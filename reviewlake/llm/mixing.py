@@ -13,7 +13,8 @@ whole passes over all blocks and a last pass over the first blocks of a permutat
 each pass), as many as the budget covers. Hence each document of a chosen block is emitted once more.
 
 Sources, blocks and weights are tables; no list of sources is gathered by the driver. The block
-table has at most MAX_BLOCKS + (number of sources) rows.
+table has at most MAX_BLOCKS + LEAST_BLOCKS * (number of sources) rows: every source has LEAST_BLOCKS blocks
+at least, so that a small one meets its weight by a part of its documents; ``realised`` reports how closely.
 
 Defined results: a null source is a source of its own; a null or empty text has no tokens (its
 document takes part with its block); a source without tokens has weight 0 and goes through
@@ -34,6 +35,7 @@ TARGET_ENTROPY = 0.97
 MAX_REPEATS = 2.0
 BLOCK_TOKENS = 1 << 16
 MAX_BLOCKS = 1 << 16
+LEAST_BLOCKS = 64
 BITS = 5
 STEPS = 5
 SEED = 20
@@ -112,7 +114,7 @@ def plan(counts: DataFrame, target_entropy: float = TARGET_ENTROPY, max_repeats:
     size = max(block_tokens, -(-total // MAX_BLOCKS), 1)
     sources = sources.select(
         "source", "tokens", (power / F.lit(z)).alias("weight"),
-        F.greatest(F.lit(1), F.ceil(F.col("tokens") / F.lit(size))).cast("int").alias("n_blocks"),
+        F.greatest(F.lit(LEAST_BLOCKS), F.ceil(F.col("tokens") / F.lit(size))).cast("int").alias("n_blocks"),
         (F.when(F.col("tokens") > 0, F.lit(tokens) * power / F.lit(z) / F.col("tokens")).otherwise(1.0)).alias("passes"))
     sources = cut_lineage(sources, "mix-weights")
     whole = F.floor(F.col("passes") + F.lit(1e-9))
@@ -134,7 +136,7 @@ def _emit(rows: DataFrame, blocks: DataFrame, seed: int) -> DataFrame:
     sizes = blocks.groupBy("source").agg(F.first("n_blocks").alias("n"))
     dealt = (rows.join(sizes.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
              .withColumn("dealt", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("n")).cast("int")).drop("s", "n"))
-    table = blocks.withColumnRenamed("source", "s")       # at most MAX_BLOCKS + number of sources rows
+    table = blocks.withColumnRenamed("source", "s")       # at most MAX_BLOCKS + LEAST_BLOCKS * number of sources rows
     return (dealt.join(table, F.col("source").eqNullSafe(F.col("s")) & (F.col("dealt") == F.col("block")))
             .drop("s", "dealt").where("copies > 0")
             .withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("copies"))))
@@ -156,6 +158,13 @@ def mix(docs: DataFrame, seed: int = SEED, **how) -> DataFrame:
     return _emit(counts, blocks, seed).select("doc_id", "source", "n_tokens", "weight", "pass", "block", "schedule")
 
 
+def realised(mixed: DataFrame) -> DataFrame:
+    """(source, weight, realised) of the rows of ``mix``: target weight and part of all emitted tokens."""
+    sums = mixed.groupBy("source").agg(F.first("weight").alias("weight"), F.sum("n_tokens").alias("t"))
+    total = mixed.agg(F.sum("n_tokens").alias("all"))
+    return sums.crossJoin(F.broadcast(total)).select("source", "weight", F.coalesce(F.try_divide("t", "all"), F.lit(0.0)).alias("realised"))
+
+
 def mix_rows(docs: DataFrame, seed: int = SEED, **how) -> DataFrame:
     """The rows of ``docs`` with all their columns, each as often as the mixture emits it."""
     counts = cut_lineage(_narrow(docs), "mix-counts")

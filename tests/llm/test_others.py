@@ -302,6 +302,16 @@ def test_mixing_to_an_entropy(spark):
     assert sum(r.n_tokens for r in half) == pytest.approx(5000, rel=0.1)
 
 
+def test_mixing_small_source_meets_its_weight(spark):
+    """A source far smaller than a block is repeated in part, not as a whole or not at all."""
+    rows = [(i, "w " * 10, "big" if i < 800 else "small") for i in range(1000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.source: r for r in mixing.realised(mixing.mix(frame, target_entropy=0.82)).collect()}
+    assert got["small"].weight == pytest.approx(0.256, abs=0.01)
+    for r in got.values():
+        assert r.realised == pytest.approx(r.weight, abs=0.02)
+
+
 def test_mixing_rows_and_empty(docs, rows, no_docs):
     mixed = mixing.mix_rows(docs)
     assert mixed.columns == docs.columns and {r.doc_id for r in mixed.collect()} == {i for i, *_ in rows}

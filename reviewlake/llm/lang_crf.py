@@ -175,7 +175,9 @@ def fit(texts: list[str], langs: list[str], rounds: int = ROUNDS, seed: int = 5)
     names = sorted(set(langs))
     w = words(pa.array(texts, pa.string()), lower=True)
     counts = np.minimum(w.counts, TRAIN_WORDS)
-    use = np.repeat(w.first[:-1], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    # Of a longer text, words drawn evenly over all of it.
+    at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    use = np.repeat(w.first[:-1], counts) + at * np.repeat(w.counts, counts) // np.repeat(counts, counts)
     label = np.repeat(np.array([names.index(x) for x in langs], dtype=np.int64), counts)
     hashes = w.hashes()[use]
     lexicon = []

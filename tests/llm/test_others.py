@@ -177,6 +177,18 @@ def test_code_switched_words_get_their_language():
     assert [model.labels[i] for i in gamma.argmax(axis=1)] == ["en"] * 10 + ["de"] * 10
 
 
+def test_language_is_learned_from_all_parts_of_long_texts():
+    import pyarrow as pa
+    en, de = "the house is on the hill and they see it", "das haus ist auf dem berg und sie sehen es"
+    head = "zz qq " * lang_crf.TRAIN_WORDS
+    model = lang_crf.fit([f"{head}{t} " + f"{t} " * 300 for t in [en] * 3 + [de] * 3], ["en"] * 3 + ["de"] * 3)
+    for text, label in ((en, "en"), (de, "de")):
+        w = lang_crf.words(pa.array([text]), lower=True)
+        inverse, ids, owner, _ = lang_crf.word_features(w, model.lexicon)
+        gamma, _ = lang_crf.marginals(lang_crf._sums(model.weights, ids, owner, int(inverse.max()) + 1)[inverse], w.counts, model.transitions)
+        assert [model.labels[i] for i in gamma.argmax(axis=1)] == [label] * 10
+
+
 # Exact top-k
 
 def brute_top(vectors, k):

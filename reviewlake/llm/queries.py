@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlake.llm import (
-    backoff_lm, block_topk, lang_crf, license_scan, mixing, ngram_join, packing, secret_scan, stream_dedup,
-    substring_dedup,
+    backoff_lm, block_topk, byte_bpe, infilling, lang_crf, license_scan, mixing, ngram_join, packing, secret_scan, spelling,
+    stream_dedup, substring_dedup,
 )
 
 
@@ -77,9 +77,30 @@ def op10_secret_scan(spark: SparkSession, base: str) -> DataFrame:
     return secret_scan.summary(secret_scan.scan(_documents(spark, base)))
 
 
+def op11_spelling(spark: SparkSession, base: str) -> DataFrame:
+    """Spelling variants of every frequent word of all documents: near words, forms and roots."""
+    return spelling.variants(_documents(spark, base))
+
+
+def op12_byte_bpe(spark: SparkSession, base: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and the bytes that the ids decode to."""
+    found = byte_bpe.round_trip(_documents(spark, base))
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"), "n_split")
+
+
+def op13_infilling(spark: SparkSession, base: str) -> DataFrame:
+    """Fill-in-the-middle form of every document, and the text rebuilt from it."""
+    found = infilling.fill_in_middle(_documents(spark, base))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+                        digest(infilling.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
 LLM_QUERIES = {q.__name__: q for q in (
     op1_ngram_join, op2_packing, op3_license_scan, op4_substring_dedup, op5_language, op6_exact_dedup,
-    op7_exact_topk, op8_lm_score, op9_mixing, op10_secret_scan)}
+    op7_exact_topk, op8_lm_score, op9_mixing, op10_secret_scan, op11_spelling, op12_byte_bpe, op13_infilling)}
 
 _OP6 = r"""
 WITH d AS (
@@ -169,5 +190,46 @@ FROM d LEFT JOIN z USING (doc_id) LEFT JOIN q USING (doc_id)
 """
 
 
+#: CRC-32 over the bytes of ``<doc_id>:<run>`` by its table, words that share a text with one code point cut out of
+#: either or both at one place (so they are one edit apart), and the chain of forms.
+_OP11 = r"""
+WITH RECURSIVE t AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+           lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, CAST(n AS BIGINT))) AS t),
+u AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[A-Za-zÀ-ÿ]+')) AS r FROM documents),
+d AS (SELECT doc_id, r, count(*) AS k, hex(encode(doc_id || ':' || r)) AS x FROM u WHERE length(r) >= 5 GROUP BY doc_id, r),
+h AS (SELECT r, k, xor(list_reduce([CAST(('0x' || x[2 * i - 1:2 * i]) AS BIGINT) FOR i IN range(1, length(x) // 2 + 1)],
+        lambda c, b: xor(c // 256, t.t[xor(c % 256, b) + 1]), 4294967295::BIGINT), 4294967295) AS h FROM d, t),
+v AS (SELECT CASE WHEN h % 97 = 0 THEN r[:h % length(r)] || r[h % length(r) + 2:] ELSE r END AS word, k FROM h),
+w AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM v WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+c AS (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS cut FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (SELECT a.word AS word, b.word AS other FROM c a JOIN c b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+      UNION SELECT c.word, w.word FROM c JOIN w ON c.cut = w.word UNION SELECT w.word, c.word FROM c JOIN w ON c.cut = w.word),
+b AS (SELECT p.word, count(*) AS n_near, arg_min(w.word, (-w.n, w.word)) AS best, max(w.n) AS best_n
+      FROM p JOIN w ON w.word = p.other GROUP BY p.word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN best END AS form,
+             CASE WHEN best_n >= 2 * n THEN best_n END AS form_n FROM w LEFT JOIN b USING (word)),
+z AS (SELECT word, word AS at FROM f UNION ALL SELECT z.word, f.form FROM z JOIN f ON f.word = z.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, z.at AS root, f.n, f.n_near, f.form_n
+FROM f JOIN z ON z.word = f.word JOIN f l ON l.word = z.at AND l.form IS NULL
+"""
+
+_OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS x,
+         regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS u FROM documents),
+h AS (SELECT *, len(u) AS n, [CAST('0x' || x[8 * i + 1:8 * i + 8] AS BIGINT) FOR i IN range(4)] AS h FROM d),
+f AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+              WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+s AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM s
+"""
+
 LLM_ORACLES = {"op1_ngram_join": _OP1, "op4_substring_dedup": _OP4, "op6_exact_dedup": _OP6, "op7_exact_topk": _OP7,
-               "op10_secret_scan": _op10()}
+               "op10_secret_scan": _op10(), "op11_spelling": _OP11, "op13_infilling": _OP13}

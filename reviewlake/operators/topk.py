@@ -15,6 +15,7 @@ per query (Catalyst plans a partial WindowGroupLimit before the shuffle).
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -63,15 +64,18 @@ def row_topk(key: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return r[keep], c[keep]
 
 
+def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared Euclidean distances of all rows of ``a`` to all rows of ``b``."""
+    return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T), 0.0)
+
+
 def _scores(qm: np.ndarray, vm: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
     """Scores of all (query, vector) pairs of two blocks, and the key they are ranked by (smallest first)."""
-    s = qm @ vm.T
-    if metric == "l2":
-        s = np.maximum((qm * qm).sum(1)[:, None] + (vm * vm).sum(1)[None, :] - 2.0 * s, 0.0)
-    elif metric == "cosine":
+    s = squared_distances(qm, vm) if metric == "l2" else qm @ vm.T
+    if metric == "cosine":
         with np.errstate(divide="ignore", invalid="ignore"):
             s = s / (np.sqrt((qm * qm).sum(1))[:, None] * np.sqrt((vm * vm).sum(1))[None, :])
-    elif metric != "dot":
+    elif metric not in ("l2", "dot"):
         raise ValueError(metric)
     key = np.round(s, RANK_DIGITS) if metric == "l2" else -np.round(s, RANK_DIGITS)
     return s, np.where(np.isnan(key), np.inf, key)
@@ -145,7 +149,7 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "l2", id_c
     return out.select(F.col("qid").alias(qid_col), F.col("id").alias(id_col), "score", "rank")
 
 
-#: A query matrix of at most this size is sent to every task; a larger one is met in blocks.
+#: A query matrix of at most this size is sent to every task; more queries are searched in several batches.
 BATCH_MAX_BYTES = 32 << 20
 
 
@@ -172,19 +176,24 @@ def _batch_topk(shared, k: int, metric: str):
 
 def knn_batch(vectors: DataFrame, queries: DataFrame, k: int, metric: str = "l2", id_col: str = "id",
               qid_col: str = "qid", vec_col: str = "vec", max_bytes: int = BATCH_MAX_BYTES) -> DataFrame:
-    """T2 / T3 for a batch of queries: the vector table is read where it lies and each task keeps its own k
-    best; only these are shuffled. The query matrix is measured before it is sent; above ``max_bytes``
-    the blocked ``knn`` does the search."""
-    size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec_col)).alias("dim")).first()
-    if size.n * (size.dim or 0) * 8 > max_bytes:
-        return knn(vectors, queries, k, metric, id_col, qid_col, vec_col)
+    """T2 / T3 for a table of queries: the vector table is read where it lies and each task keeps its own k
+    best; only these are shuffled. A batch of queries of at most ``max_bytes`` is sent to the tasks at a time; more queries
+    take several passes of the same kernel, so results don't depend on the number of queries."""
     spark = vectors.sparkSession
     ship_package(spark)
-    rows = queries.select(F.col(qid_col).cast("long").alias("qid"), vx.as_double(vec_col).alias("vec")).collect()
-    matrix = np.array([r["vec"] for r in rows], dtype=np.float64).reshape(len(rows), size.dim or 0)
-    shared = spark.sparkContext.broadcast((np.array([r["qid"] for r in rows], dtype=np.int64), matrix))
-    found = vectors.select(F.col(id_col).cast("long").alias("id"), vx.as_double(vec_col).alias("vec")).mapInArrow(
-        _batch_topk(shared, k, metric), "qid long, id long, score double")
+    own = queries.select(F.col(qid_col).cast("long").alias("qid"), vx.as_double(vec_col).alias("vec"))
+    size = own.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")).first()
+    batches = max(1, math.ceil(size.n * (size.dim or 0) * 8 / max_bytes))
+    if batches > 1:
+        own, vectors = cut_lineage(own, "knn-queries"), cut_lineage(vectors.select(id_col, vec_col), "knn-vectors")
+    parts = []
+    for b in range(batches):
+        rows = (own.where(F.pmod(F.xxhash64("qid"), F.lit(batches)) == b) if batches > 1 else own).collect()
+        matrix = np.array([r["vec"] for r in rows], dtype=np.float64).reshape(len(rows), size.dim or 0)
+        shared = spark.sparkContext.broadcast((np.array([r["qid"] for r in rows], dtype=np.int64), matrix))
+        parts.append(vectors.select(F.col(id_col).cast("long").alias("id"), vx.as_double(vec_col).alias("vec")).mapInArrow(
+            _batch_topk(shared, k, metric), "qid long, id long, score double"))
+    found = reduce(DataFrame.unionByName, parts)
     rk = F.round("score", RANK_DIGITS)
     w = Window.partitionBy("qid").orderBy(rk.asc() if metric == "l2" else rk.desc(), F.col("id").asc())
     out = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

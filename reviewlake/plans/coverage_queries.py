@@ -230,6 +230,7 @@ UNION ALL SELECT p_partkey, 'main:size', CAST(p_size AS VARCHAR) FROM part""",
 FROM embeddings a JOIN embeddings b ON a.vec_id = 0 AND b.vec_id <> 0""",
         "backfill_bounds": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_outside FROM part",
         "knn_queries": f"WITH {unit} SELECT qid, id, round(score, 6) AS score, rank FROM r WHERE rank <= 20",
+        "two_level_search": f"WITH {unit} SELECT qid, id, round(score, 6) AS score, rank FROM r WHERE rank <= 20",
         "similar_names": f"""WITH {unit} SELECT r.qid, r.id, CAST(e.label AS VARCHAR) AS name, r.rank FROM r JOIN embeddings e ON e.vec_id = r.id
 JOIN embeddings q ON q.vec_id = r.qid WHERE rank <= 20 AND e.label IS DISTINCT FROM q.label""",
         "keyed_table_merge": """SELECT p_partkey AS id, CASE WHEN p_size % 3 = 0 THEN 'new' ELSE p_name END AS name,

@@ -16,7 +16,7 @@ from pyspark.ml.feature import IDF, PCA, HashingTF, StandardScaler, StopWordsRem
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.operators import filters
+from reviewlake.operators import filters, two_level
 from reviewlake.operators.joins import attach_names, broadcast_if_small
 from reviewlake.operators.topk import RANK_DIGITS
 from reviewlake.session import cut_lineage, ship_package
@@ -191,27 +191,12 @@ def fit_clusters(df: DataFrame, features_col: str = "features", k: int = 3, seed
 
 
 def search_two_level(vectors: DataFrame, queries: DataFrame, k: int, n_clusters: int | None = None,
-                     nprobe: int | None = None, seed: int = 42, id_col: str = "id", vec_col: str = "vec") -> DataFrame:
-    """Inverted-file search with about the square root of n clusters, of which a query probes a
-    quarter by default (all of them give the exact result). KMeans assigns every vector a cluster; each query probes its
-    ``nprobe`` nearest centres and searches exactly inside them (blocked per cluster, so a hot
-    cluster is split into bounded blocks rather than paired all-to-all)."""
-    from pyspark.ml.functions import array_to_vector
+                     seed: int = 42, id_col: str = "id", vec_col: str = "vec") -> DataFrame:
+    """The k nearest vectors of every query through a cluster index, exactly (see ``two_level``).
 
-    from reviewlake.operators import topk
-
-    spark = vectors.sparkSession
-    feats = vectors.select(id_col, vec_col, array_to_vector(vec_col).alias("features"))
-    n_clusters = n_clusters or max(2, math.isqrt(vectors.count()))
-    nprobe = nprobe or max(1, n_clusters // 4)
-    km = KMeans(k=n_clusters, seed=seed, featuresCol="features", predictionCol="cluster").fit(feats)
-    assigned = km.transform(feats).select(id_col, vec_col, "cluster")
-    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(km.clusterCenters())],
-                                    "cid long, vec array<double>")   # bounded: n_clusters rows
-    q = queries.select(F.col(id_col).alias("qid"), vec_col)
-    probes = topk.knn(centres.withColumnRenamed("cid", "id"), q, nprobe, metric="l2", materialize=False)
-    probed = q.join(probes.select("qid", F.col("id").alias("cluster")), "qid")
-    return topk.knn(assigned, probed, k, metric="l2", partition_col="cluster")
+    ``queries`` has the same columns as ``vectors``; a query that is itself a vector finds itself first."""
+    index = two_level.build(vectors, n_clusters, seed=seed, id_col=id_col, vec_col=vec_col)
+    return two_level.search(index, queries.select(F.col(id_col).alias("qid"), vec_col), k, vec_col=vec_col)
 
 
 def recommend_by_cosine(model, products: DataFrame, queries: DataFrame, n: int = 5, id_col: str = "id",

@@ -38,7 +38,7 @@ def test_entry(spark):
 def test_every_query_has_an_oracle_or_is_iterative():
     # The corpus operators say in their own tests which of them SQL can express.
     rows_only = {q for q in set(QUERIES) - set(ORACLES) if not q.startswith("op") and q != "pipeline"}
-    assert rows_only <= {"word2vec_vectors", "kmeans_clusters", "two_level_search", "tfidf_hashing",
+    assert rows_only <= {"word2vec_vectors", "kmeans_clusters", "tfidf_hashing",
                          "sentiment_metrics", "sentiment_scores", "recommend_cosine", "recommend_saved_model"}
     assert set(ORACLES) <= set(QUERIES)
 

@@ -4,10 +4,11 @@ import contextlib
 import io
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from reviewlake.functions import vectors as vx
-from reviewlake.operators import topk
+from reviewlake.operators import topk, two_level
 from reviewlake.plans import recommend
 
 
@@ -58,16 +59,53 @@ def test_cosine_topk(spark):
         assert have == exp
 
 
-def test_two_level_recall(spark):
+def _nearest(mat, q, k):
+    d = ((mat - mat[q]) ** 2).sum(-1)
+    return sorted(range(len(mat)), key=lambda j: (round(d[j], 9), j))[:k]
+
+
+@pytest.mark.parametrize("kind", ["clustered", "even", "one hot cluster", "equal"])
+def test_two_level_search_is_exact(spark, kind):
     rnd = np.random.default_rng(11)
-    centres = rnd.normal(size=(8, 16)) * 4
-    mat = np.concatenate([c + rnd.normal(size=(60, 16)) for c in centres])
-    v = topk.build_vector_table(_vec_df(spark, mat))
-    exact = topk.knn(v, v, 10, metric="l2")
-    approx = recommend.search_two_level(v, v, 10, n_clusters=8, nprobe=3)
-    e = {(r["qid"], r["id"]) for r in exact.collect()}
-    a = {(r["qid"], r["id"]) for r in approx.collect()}
-    assert len(e & a) / len(e) >= 0.9
+    mat = {"clustered": np.concatenate([c + 0.2 * rnd.normal(size=(150, 16)) for c in rnd.normal(size=(8, 16)) * 4]),
+           "even": rnd.normal(size=(1200, 16)),
+           "one hot cluster": np.concatenate([rnd.normal(size=(800, 16)) * 0.01, rnd.normal(size=(400, 16)) * 3]),
+           "equal": np.repeat(rnd.normal(size=(4, 16)), 300, axis=0)}[kind]
+    mat = mat / np.linalg.norm(mat, axis=1, keepdims=True) if kind == "even" else mat
+    v = _vec_df(spark, mat).repartition(4)
+    got = recommend.search_two_level(v, v.where("id % 50 = 7"), 10, n_clusters=12).collect()
+    assert len(got) == 24 * 10
+    for q in range(7, len(mat), 50):
+        own = sorted((r for r in got if r.qid == q), key=lambda r: r["rank"])
+        assert [r.id for r in own] == _nearest(mat, q, 10)
+        assert all(10 <= r.scanned <= len(mat) for r in own)
+    if kind == "clustered":                                    # and it does pass over far clusters
+        assert max(r.scanned for r in got) < len(mat) / 2
+
+
+def test_two_level_search_in_batches_and_odd_rows(spark):
+    rnd = np.random.default_rng(2)
+    mat = rnd.normal(size=(90, 4))
+    odd = [(900, None), (901, [1.0, None, 0.0, 0.0]), (902, [float("nan"), 0.0, 0.0, 0.0]), (903, [float("inf"), 0.0, 0.0, 0.0])]
+    v = _vec_df(spark, mat).unionByName(spark.createDataFrame(odd, "id long, vec array<double>"))
+    index = two_level.build(v, fit_rows=40)
+    asked = v.select(F.col("id").alias("qid"), "vec")
+    got = two_level.search(index, asked, 100, batch_bytes=8 * 30 * sum(index.centres.shape)).collect()
+    assert index.rows.count() == 90 and len(got) == 90 * 90                # k above the number of vectors: all of them
+    for q in (0, 41, 89):
+        assert [r.id for r in sorted((r for r in got if r.qid == q), key=lambda r: r["rank"])] == _nearest(mat, q, 100)
+    none = v.where("id < 0")
+    assert two_level.search(index, none.withColumnRenamed("id", "qid"), 3).count() == 0
+    assert two_level.search(two_level.build(none), asked, 3).count() == 0
+
+
+def test_query_batches_give_the_same_rows(spark):
+    rnd = np.random.default_rng(4)
+    v = _vec_df(spark, rnd.normal(size=(200, 8)))
+    q = v.select(F.col("id").alias("qid"), "vec")
+    for metric in ("l2", "cosine", "dot"):
+        one, many = (sorted(map(tuple, topk.knn_batch(v, q, 5, metric, max_bytes=m).collect())) for m in (1 << 20, 8 * 8 * 50))
+        assert one == many and len(one) == 1000
 
 
 def test_top_similar_matches_pairs(spark):

@@ -405,6 +405,17 @@ pairs AS (SELECT a.id AS id1, b.id AS id2, sum(a.weight * b.weight) AS score
           FROM w a JOIN w b ON a.term = b.term AND a.id <> b.id GROUP BY 1, 2),
 r AS (SELECT id1, id2, score, row_number() OVER (PARTITION BY id1 ORDER BY round(score, 9) DESC, id2) AS rank FROM pairs)
 SELECT id1, id2, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM r WHERE rank <= {Q.TFIDF_TOP}"""
+    o["similar_documents"] = f"""
+WITH t AS (SELECT doc_id AS id, unnest(string_split(text, ' ')) AS term FROM documents),
+c AS (SELECT id, term, count(*) AS tf FROM t GROUP BY id, term),
+i AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1.0)) AS idf FROM c GROUP BY term),
+r AS (SELECT id, term, tf * idf AS weight FROM c JOIN i USING (term)),
+l AS (SELECT id, sqrt(sum(weight * weight)) AS length FROM r GROUP BY id),
+w AS (SELECT id, term, CASE WHEN length > 0 THEN weight / length ELSE 0.0 END AS weight FROM r JOIN l USING (id)),
+pairs AS (SELECT a.id AS id1, b.id AS id2, sum(a.weight * b.weight) AS score
+          FROM w a JOIN w b ON a.id % 50 = 0 AND a.term = b.term AND a.id <> b.id GROUP BY 1, 2),
+k AS (SELECT id1, id2, score, row_number() OVER (PARTITION BY id1 ORDER BY round(score, 9) DESC, id2) AS rank FROM pairs)
+SELECT id1, id2, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM k WHERE rank <= {Q.TFIDF_TOP}"""
     o["recommend_text"] = f"""
 {PRODUCT_TERMS.strip()},
 q AS (SELECT min(id) AS qid FROM products WHERE contains(name, {lit(Q.RECOMMEND_TEXT)})),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from reviewlake.functions import misc
 from reviewlake.functions import text as tx
 from reviewlake.functions import vectors as vx
-from reviewlake.operators import aggs, filters, joins, reshape, topk
+from reviewlake.operators import aggs, filters, joins, reshape, sparse_topn, topk
 from reviewlake.operators import upsert as up
 from reviewlake.plans import recommend, standins
 from reviewlake.session import cut_lineage, spread
@@ -418,9 +418,18 @@ def _product_terms(prod: DataFrame) -> DataFrame:
 
 def similar_tfidf(spark, base):
     """M6 / J5 / T1 re-aimed: for every product, the top-n other products by TF-IDF dot product
-    (blocked sparse products, never a cartesian join)."""
+    (pruned join of postings, never a cartesian join)."""
     w = recommend.tfidf_terms(_product_terms(standins.product_rows(spark, base)), "id", "tokens")
-    r = recommend.top_similar(w, "id", TFIDF_TOP)
+    r = sparse_topn.top_similar(w, "id", TFIDF_TOP)
+    return r.select("id1", "id2", "rank", F.round("score", 6).alias("score"))
+
+
+def similar_documents(spark, base):
+    """M6 / T1 for a table of queries: the top-n other documents by TF-IDF cosine for every document whose
+    id is divisible by 50, against all of them."""
+    docs = table(spark, base, "documents").select(F.col("doc_id").alias("id"), tx.tokenize("text").alias("tokens"))
+    w = recommend.unit_weights(recommend.tfidf_terms(spread(docs, "id"), "id", "tokens"), "id")
+    r = sparse_topn.top_similar(w, "id", TFIDF_TOP, docs.where("id % 50 = 0"))
     return r.select("id1", "id2", "rank", F.round("score", 6).alias("score"))
 
 
@@ -530,6 +539,7 @@ QUERIES: dict[str, Query] = {
     "similar_items": similar_items,
     "cosine_topk": cosine_topk,
     "similar_tfidf": similar_tfidf,
+    "similar_documents": similar_documents,
     "recommend_text": recommend_text,
     "product_export": product_export,
     "product_slim": product_slim,

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, PCA, HashingTF, StandardScaler, StopWordsRemover, VectorAssembler, Word2Vec
@@ -19,10 +17,6 @@ from pyspark.sql import functions as F
 from reviewlake.operators import filters, two_level
 from reviewlake.operators.joins import attach_names, broadcast_if_small
 from reviewlake.operators.topk import RANK_DIGITS
-from reviewlake.session import cut_lineage, ship_package
-
-SPARSE_BLOCK_ROWS = 2048
-
 
 def term_counts(tokens: Column) -> Column:
     """Array of (term, tf) of one row's tokens: runs of the sorted array, so no shuffle is needed to count."""
@@ -49,6 +43,14 @@ def tfidf_terms(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     return tf.join(idf, "term").select(id_col, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight"))
 
 
+def unit_weights(weights: DataFrame, id_col: str) -> DataFrame:
+    """Term weights divided by the length of their row's vector, so that dot products are cosines; rows of
+    length 0 keep weights of 0."""
+    length = weights.groupBy(id_col).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
+    return weights.join(length, id_col).select(
+        id_col, "term", F.when(F.col("length") > 0, F.col("weight") / F.col("length")).otherwise(F.lit(0.0)).alias("weight"))
+
+
 def tfidf_vectors(df: DataFrame, tokens_col: str, num_features: int = 1 << 18) -> DataFrame:
     """M1 (MLlib form): HashingTF(2^18) + IDF pipeline -> ``features``."""
     pipe = Pipeline(stages=[HashingTF(inputCol=tokens_col, outputCol="raw_features", numFeatures=num_features),
@@ -73,77 +75,6 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features_vec") -> DataF
     return VectorAssembler(inputCols=cols, outputCol=out).transform(df)
 
 
-TERM_CHUNK = 1024   # terms of one dense product of two blocks
-
-
-def _topn_rows(ids1: np.ndarray, ids2: np.ndarray, score: np.ndarray, valid: np.ndarray, n: int):
-    """Per row of ``score``: the n best valid columns (rounded score desc, id asc); ``ids2`` sorted."""
-    from reviewlake.operators.topk import row_topk
-    key = np.where(valid, -np.round(score, RANK_DIGITS), np.inf)
-    r, c = row_topk(key, n)
-    return ids1[r], ids2[c], score[r, c]
-
-
-def _sparse_block_topn(n: int):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        left = pdf[pdf["side"] == "l"][["id", "term", "weight"]]
-        right = pdf[pdf["side"] == "r"][["id", "term", "weight"]]
-        empty = pd.DataFrame({"id1": pd.Series(dtype="int64"), "id2": pd.Series(dtype="int64"),
-                              "score": pd.Series(dtype="float64")})
-        if left.empty or right.empty:
-            return empty
-        terms = pd.Index(pd.unique(pdf["term"]))
-        terms = terms.sort_values()
-        ids1, r1 = np.unique(left["id"].to_numpy(np.int64), return_inverse=True)
-        ids2, r2 = np.unique(right["id"].to_numpy(np.int64), return_inverse=True)
-        # Dense products over a bounded number of terms at a time, always in the same order.
-        c1, c2 = terms.get_indexer(left["term"]), terms.get_indexer(right["term"])
-        w1, w2 = left["weight"].to_numpy(np.float64), right["weight"].to_numpy(np.float64)
-        score = np.zeros((len(ids1), len(ids2)))
-        shared = np.zeros(score.shape, dtype=np.float32)
-        for low in range(0, len(terms), TERM_CHUNK):
-            width = min(TERM_CHUNK, len(terms) - low)
-            a, b = np.zeros((len(ids1), width)), np.zeros((len(ids2), width))
-            ia, ib = np.zeros(a.shape, dtype=np.float32), np.zeros(b.shape, dtype=np.float32)
-            for m, i, r, c, w in ((a, ia, r1, c1, w1), (b, ib, r2, c2, w2)):
-                own = (c >= low) & (c < low + width)
-                np.add.at(m, (r[own], c[own] - low), w[own])
-                i[r[own], c[own] - low] = 1.0
-            score += a @ b.T
-            shared += ia @ ib.T
-        valid = (shared > 0) & (ids1[:, None] != ids2[None, :])
-        o1, o2, os_ = _topn_rows(ids1, ids2, score, valid, n)
-        return pd.DataFrame({"id1": o1, "id2": o2, "score": os_.astype(np.float64)})
-    return fn
-
-
-def top_similar(w: DataFrame, id_col: str, n: int, block_rows: int = SPARSE_BLOCK_ROWS) -> DataFrame:
-    """For every item, the n other items with the largest sparse dot product.
-
-    Blocked, never cartesian: items are hashed into B blocks; a (left block, right block) group
-    holds only those two blocks' term rows, merges them on term in pandas and keeps n per item.
-    Pairs sharing no term score 0 and are not listed.
-    """
-    ship_package(w.sparkSession)
-    w = cut_lineage(w.select(id_col, "term", "weight"), "tfidf-weights")
-    n_items = w.select(id_col).distinct().count()
-    b = max(1, math.ceil(n_items / block_rows))
-    rows = w.select(F.col(id_col).cast("long").alias("id"), "term", F.col("weight").cast("double").alias("weight"),
-                    F.pmod(F.xxhash64(id_col), F.lit(b)).alias("blk"))
-    seq = F.explode(F.sequence(F.lit(0), F.lit(b - 1)))
-    left = rows.select(F.col("blk").alias("lb"), seq.alias("rb"), F.lit("l").alias("side"), "id", "term", "weight")
-    right = rows.select(seq.alias("lb"), F.col("blk").alias("rb"), F.lit("r").alias("side"), "id", "term", "weight")
-    partial = left.unionByName(right).groupBy("lb", "rb").applyInPandas(
-        _sparse_block_topn(n), schema="id1 long, id2 long, score double")
-    wnd = Window.partitionBy("id1").orderBy(F.round("score", RANK_DIGITS).desc(), F.col("id2").asc())
-    return partial.withColumn("rank", F.row_number().over(wnd)).filter(F.col("rank") <= n)
-
-
-def all_pairs_dot(w: DataFrame, id_col: str, n: int, block_rows: int = SPARSE_BLOCK_ROWS) -> DataFrame:
-    """J5 re-aimed: the all-pairs table is kept to its top-n per item (see ``top_similar``)."""
-    return top_similar(w, id_col, n, block_rows)
-
-
 def recommend_by_text(products: DataFrame, w: DataFrame, name_col: str, text: str, top: int = 10,
                       id_col: str = "id") -> DataFrame:
     """M7: find the product whose name contains ``text`` (smallest id), then the ``top`` other

@@ -32,7 +32,15 @@ def test_no_python_in_native_queries(spark, name):
         assert bad not in p, (name, bad)
 
 
-@pytest.mark.parametrize("name", ["knn_l2", "cosine_topk", "similar_tfidf"])
+@pytest.mark.parametrize("name", ["similar_tfidf", "similar_documents"])
+def test_sparse_join_is_native(spark, name):
+    p = plan(getattr(Q, name)(spark, BASE))
+    for bad in ("InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in p, (name, bad)
+    assert "WindowGroupLimit" in p
+
+
+@pytest.mark.parametrize("name", ["knn_l2", "cosine_topk"])
 def test_blocked_search_has_no_cartesian(spark, name):
     p = plan(getattr(Q, name)(spark, BASE))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p

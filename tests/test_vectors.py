@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewlake.functions import vectors as vx
-from reviewlake.operators import topk, two_level
+from reviewlake.operators import sparse_topn, topk, two_level
 from reviewlake.plans import recommend
 
 
@@ -111,7 +111,7 @@ def test_query_batches_give_the_same_rows(spark):
 def test_top_similar_matches_pairs(spark):
     w = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0), (2, "a", 1.0), (3, "b", 1.0), (3, "c", 5.0),
                                (4, "c", 1.0), (5, "z", 0.0), (6, "z", 3.0)], "id long, term string, weight double")
-    got = recommend.top_similar(w, "id", 2, block_rows=2).collect()
+    got = sparse_topn.top_similar(w, "id", 2).collect()
     best = {(r["id1"], r["rank"]): (r["id2"], r["score"]) for r in got}
     assert best[(1, 1)] == (3, 2.0) and best[(1, 2)] == (2, 1.0)
     assert best[(3, 1)] == (4, 5.0)
@@ -119,6 +119,44 @@ def test_top_similar_matches_pairs(spark):
     assert (2, 2) not in best                 # 2 shares a term with 1 only
 
 
+@pytest.mark.parametrize("part_rows", [7, sparse_topn.PART_ROWS])
+def test_sparse_top_n_equals_all_pairs(spark, part_rows):
+    """Skewed postings (one term in every row, a few in half of them) with ties, against all dot products."""
+    rnd = np.random.default_rng(6)
+    n, terms = 160, 60
+    m = np.where(rnd.random((n, terms)) < np.linspace(0.5, 0.01, terms), rnd.integers(1, 9, (n, terms)) / 4, 0.0)
+    m *= np.linspace(0.1, 2, terms)
+    m[:, 0] = 0.05
+    m[30] = m[31] = m[32]
+    m[40] = 0                                                   # a row without terms
+    rows = [(int(i), f"t{j}", float(m[i, j])) for i, j in zip(*np.nonzero(m), strict=True)] + [(7, "nil", 0.0), (8, "nil", 0.0)]
+    w = spark.createDataFrame(rows, "id long, term string, weight double").repartition(5)
+    asked = spark.range(n).where("id % 3 = 0")
+    holds = m > 0
+    shares = (holds.astype(int) @ holds.T.astype(int)) > 0
+    shares[7, 8] = shares[8, 7] = True
+    dot = m @ m.T
+    for queries, which in ((asked, range(0, n, 3)), (None, range(n))):
+        got = sorted(map(tuple, sparse_topn.top_similar(w, "id", 5, queries, part_rows).select("id1", "rank", "id2").collect()))
+        want = [(q, r + 1, j) for q in which for r, j in enumerate(
+            sorted((j for j in range(n) if j != q and shares[q, j]), key=lambda j: (-round(dot[q, j], 9), j))[:5])]
+        assert got == want
+
+
+def test_common_terms_are_passed_over(spark):
+    """A term that every row has makes no candidates once rarer terms fill the n best."""
+    rows = [(i, "all", 0.01) for i in range(3000)] + [(i, f"g{i // 20}", 1.0) for i in range(3000)]
+    w = spark.createDataFrame(rows, "id long, term string, weight double")
+    written = []
+    keep = sparse_topn.cut_lineage
+    sparse_topn.cut_lineage = lambda df, name: written.append((name, keep(df, name))) or written[-1][1]
+    try:
+        got = sparse_topn.top_similar(w, "id", 5).count()
+    finally:
+        sparse_topn.cut_lineage = keep
+    assert got == 15_000 and dict(written)["candidates"].count() == 3000 * 19
+
+
 def test_unit_in_sql_plan_has_no_python(spark):
     df = spark.range(3).select(F.array(F.col("id").cast("double"), F.lit(1.0)).alias("v"))
     buf = io.StringIO()

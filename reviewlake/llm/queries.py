@@ -174,18 +174,20 @@ f AS (SELECT doc_id, owner, k, kind, least, val[i] AS val, len(hit[i]) AS n,
 s AS (SELECT doc_id, owner, k, kind, val, a, a + n AS b FROM f WHERE len(val) >= least AND (k < {n}
         OR (len(list_distinct(string_split(val, ''))) >= {secret_scan.MIN_DISTINCT} AND regexp_matches(val, '[A-Za-z]')
             AND len(regexp_replace(val, '[^0-9]', '', 'g')) >= {secret_scan.MIN_DIGITS}))),
-o AS (SELECT val, count(DISTINCT doc_id) <= {secret_scan.MAX_REPOSITORIES}
-             AND count(DISTINCT owner) + max(CAST(owner IS NULL AS INTEGER)) <= {secret_scan.MAX_OWNERS} AS own FROM s GROUP BY val),
-x AS (SELECT s.*, o.own FROM s JOIN o USING (val)),
+o AS (SELECT val, count(DISTINCT doc_id) + max(CAST(doc_id IS NULL AS INTEGER)) AS repositories,
+             count(DISTINCT owner) + max(CAST(owner IS NULL AS INTEGER)) <= {secret_scan.MAX_OWNERS} AS own FROM s GROUP BY val),
+x AS (SELECT s.*, o.own, o.repositories FROM s JOIN o USING (val)),
 y AS (SELECT x.* FROM x WHERE k < {n} OR (own AND NOT EXISTS (
         SELECT 1 FROM s WHERE s.doc_id = x.doc_id AND s.k < {n} AND s.a < x.b AND x.a < s.b))),
 z AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
              count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) FILTER (k < {n}) AS base,
              string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) AS spans FROM y GROUP BY doc_id),
-q AS (SELECT doc_id, count(*) FILTER (own) AS n_owner_specific, count(*) FILTER (NOT own) AS n_copied FROM x GROUP BY doc_id)
+q AS (SELECT doc_id, count(*) FILTER (own) AS n_owner_specific, count(*) FILTER (NOT own) AS n_copied,
+             CAST(max(repositories) FILTER (own) AS BIGINT) AS most_repositories FROM x GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-       coalesce(n_owner_specific, 0) AS n_owner_specific, coalesce(n_copied, 0) AS n_copied
+       coalesce(n_owner_specific, 0) AS n_owner_specific, coalesce(n_copied, 0) AS n_copied,
+       coalesce(most_repositories, 0) AS most_repositories
 FROM d LEFT JOIN z USING (doc_id) LEFT JOIN q USING (doc_id)
 """
 
@@ -218,7 +220,10 @@ FROM f JOIN z ON z.word = f.word JOIN f l ON l.word = z.at AND l.form IS NULL
 _OP13 = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS x,
-         regexp_extract_all(coalesce(text, ''), '[ 	-]*[^ 	-]+|[ 	-]+') AS u FROM documents),
+         regexp_extract_all(coalesce(text, ''), '[ 	-
+]*[^ 	-
+]+|[ 	-
+]+') AS u FROM documents),
 h AS (SELECT *, len(u) AS n, [CAST('0x' || x[8 * i + 1:8 * i + 8] AS BIGINT) FOR i IN range(4)] AS h FROM d),
 f AS (
   SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,

@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -363,6 +364,50 @@ def test_secret_ownership(spark):
     assert all(got[i].spans == "" and got[i].n_copied == 1 for i in range(5)) and got[11].spans == got[12].spans == ""
 
 
+def test_one_owner_in_many_documents_stays_live(spark):
+    key, shared = "Zx9Kq2Lm8Rt5Wb3Yc7Vd1", "Qw9Kq2Lm8Rt5Wb3Yc7Vd1"
+    rows = [(i, f"see {key} and {shared} here", "me") for i in range(50)] + [(99, shared, "you")]
+    got = secret_scan.summary(secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string"))).collect()
+    assert all(r.spans == f"live:4:{4 + len(key)}" and (r.n_owner_specific, r.n_copied, r.most_repositories) == (1, 1, 50)
+               for r in got if r.doc_id != 99)
+    assert [(r.spans, r.n_copied) for r in got if r.doc_id == 99] == [("", 1)]
+
+
+def test_live_spans_equal_brute_force(spark):
+    """Random texts of values that overlap base findings or not, of one owner or of several."""
+    r = random.Random(12)
+    pool = ["".join(r.choice("abcdefghijKLMNOP0123456789+/_-") for _ in range(r.randint(18, 30))) for _ in range(40)]
+    pool += [f"AKIA{'ABCDEFGH'}{i}23456789Z" for i in range(4)] + ["0123456789abcdef" * 2, "password=", "token: ", "é", "💡 x"]
+    rows = [(i, "".join(r.choice(pool) + r.choice([" ", "", "\n", " "]) for _ in range(r.randint(0, 12))), r.choice(["a", "b", None]))
+            for i in range(150)]
+    generic = [[(m.start(), m.end(), m.group()) for m in re.finditer("[A-Za-z0-9+/_-]{20,}", t) if len(set(m.group())) >= 10
+                and sum(c.isdigit() for c in m.group()) >= 3 and re.search("[A-Za-z]", m.group())] for _, t, _ in rows]
+    owners = collections.defaultdict(set)
+    for (_, t, owner), found in zip(rows, generic, strict=True):
+        for value in [v for _, _, v in found] + [m.group(1) for m in ASSIGN.finditer(t) if len(m.group(1)) >= 6] + [
+                t[a:b] for a, k, b, _ in base_spans(t) if k]:
+            owners[value].add(owner)
+    want = {}
+    for (i, t, _), found in zip(rows, generic, strict=True):
+        base = base_spans(t)
+        live = [(a, 3, b, "live") for a, b, v in found if len(owners[v]) == 1 and not any(x < b and a < y for x, _, y, _ in base)]
+        want[i] = ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(base + live))
+    got = {x.doc_id: x.spans for x in secret_scan.summary(secret_scan.scan(
+        spark.createDataFrame(rows, "doc_id long, text string, source string"))).collect()}
+    assert got == want and sum(s.count("live") for s in got.values()) > 20
+
+
+def test_a_hundred_thousand_matches_in_one_text(spark):
+    import time
+    text = " ".join(hashlib.md5(str(i).encode()).hexdigest() for i in range(100_000))
+    docs = spark.createDataFrame([(1, text, "me")], "doc_id long, text string, source string")
+    began = time.time()
+    got = secret_scan.summary(secret_scan.scan(docs)).first()
+    spans = [f"hex:{33 * i}:{33 * i + 32}" for i in range(100_000)]
+    assert got.n_hex == 100_000 and got.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+    assert got.spans == ",".join(spans) and time.time() - began < 60
+
+
 def test_secret_scan_runs_no_python(spark, docs):
     plan = secret_scan.summary(secret_scan.scan(docs))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

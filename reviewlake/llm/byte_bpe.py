@@ -11,8 +11,9 @@ a character covers that character. Decoding puts the bytes of the ids together t
 reversed byte table first and reads characters from the whole, so characters that are split over
 tokens come back; what is no whole character at either end of a slice of ids is left as bytes.
 
-Long texts pass through the tokenizer in parts, cut between a character and a space after it, where
-no match of the pattern can lie across; ids are those of the whole text.
+Texts are cut in pieces where white space follows another character: no match of the pattern lies
+across such a place, so ids of the pieces, end to end, are those of the whole text. Each distinct piece of a block passes
+through the tokenizer once (most words of a block are repeats), and rows gather the ids of their pieces.
 
 Defined results: null text is empty and has no ids; null ids decode to no bytes; an id that is not in the
 table is an error. Rows that repeat a doc_id are rows of their own, null doc_ids are kept, an
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -34,9 +36,11 @@ from pyspark.sql import functions as F
 
 from reviewlake.llm.blocks import slices, utf8
 
-BLOCK_BYTES = 1 << 20
-#: Characters of a part of a text; a part ends at the first safe place from there on.
-PART_CHARS = 1 << 15
+BLOCK_BYTES = 4 << 20
+#: Pieces that pass through the tokenizer as one text.
+JOINED_PIECES = 4096
+#: White space of the pattern (Python's also has the four separators) with what follows, or at the end of a text.
+_PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 #: Ids of a block that is decoded at once.
 BLOCK_IDS = 1 << 18
 
@@ -97,15 +101,36 @@ class Codec:
         self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts, owner = [], []
+        known: dict[str, int] = {}
+        code, pieces = [], np.zeros(len(texts) + 1, dtype=np.int64)
         for i, text in enumerate(texts):
-            cut = _parts(text)
-            parts += cut
-            owner += [i] * len(cut)
-        found: list[list] = [[] for _ in texts]
-        for i, e in zip(owner, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            found[i].append(np.asarray(e.ids, dtype=np.int32))
-        return [np.concatenate(x) if x else np.zeros(0, np.int32) for x in found]
+            code += [known.setdefault(p, len(known)) for p in _PIECE.findall(text)]
+            pieces[i + 1] = len(code)
+        flat, start, size = self._encode_pieces(list(known))
+        code = np.asarray(code, dtype=np.int64)
+        ends = np.concatenate(([0], np.cumsum(size[code])))
+        ids = flat[np.repeat(start[code] - ends[:-1], size[code]) + np.arange(ends[-1])]
+        return np.split(ids, ends[pieces[1:-1]]) if texts else []
+
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids end to end, and where those of each piece start and how many they are.
+
+        Pieces that start with white space and end without pass through the tokenizer joined, as they would stand in a
+        text; the bytes of the ids tell them apart again. Others (first or last of a text) pass one by one.
+        """
+        alone = np.fromiter((p[0] not in " \n\t" or p.isspace() for p in pieces), dtype=bool, count=len(pieces))
+        together = [pieces[i] for i in np.flatnonzero(~alone)]
+        texts = ["".join(together[i:i + JOINED_PIECES]) for i in range(0, len(together), JOINED_PIECES)]
+        texts += [pieces[i] for i in np.flatnonzero(alone)]
+        found = [np.asarray(e.ids, dtype=np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate(found) if found else np.zeros(0, np.int32)
+        order = np.concatenate([np.flatnonzero(~alone), np.flatnonzero(alone)])
+        last_byte = np.cumsum(np.fromiter((len(pieces[i].encode()) for i in order), dtype=np.int64, count=len(order)))
+        last_id = np.searchsorted(np.cumsum(self.lengths[flat]), last_byte) + 1
+        start, size = np.empty(len(pieces), dtype=np.int64), np.empty(len(pieces), dtype=np.int64)
+        size[order] = np.diff(last_id, prepend=0)
+        start[order] = last_id - size[order]
+        return flat, start, size
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of all ids, end to end."""
@@ -125,20 +150,6 @@ def codec(path: str | None = None, pattern: str | None = None) -> Codec:
     return Codec(path or ranks_path(), pattern)
 
 
-def _parts(text: str) -> list[str]:
-    """The text in parts that start at a space after another character (or the whole of it)."""
-    out, at = [], 0
-    while len(text) - at > PART_CHARS:
-        cut = text.find(" ", at + PART_CHARS)
-        while cut > 0 and text[cut - 1].isspace():
-            cut = text.find(" ", cut + 1)
-        if cut < 0:
-            break
-        out.append(text[at:cut])
-        at = cut
-    return [*out, text[at:]] if at < len(text) else out
-
-
 def character_offsets(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First code point and end of each token, from the UTF-8 bytes and the byte lengths of the tokens."""
     character = np.cumsum((data & 0xC0) != 0x80) - 1             # of each byte

@@ -157,14 +157,13 @@ def test_every_code_point_and_odd_pieces(reference_encoding):
     assert [x.tolist() for x in own.encode(texts)] == reference_encoding.encode_ordinary_batch(texts)
 
 
-def test_long_texts_pass_in_parts(monkeypatch, reference_encoding):
-    monkeypatch.setattr(byte_bpe, "PART_CHARS", 7)
+def test_pieces_have_the_ids_of_the_whole_text(reference_encoding):
     r = random.Random(2)
     own = byte_bpe.codec()
-    for _ in range(1500):
-        t = "".join(r.choice("ab é \x1c\n'.  x1") for _ in range(r.randint(0, 60)))
-        assert "".join(byte_bpe._parts(t)) == t
-        assert own.encode([t])[0].tolist() == reference_encoding.encode_ordinary(t)
+    texts = ["".join(r.choice("ab é \x1c\x1f\x85\u3000\u200b\n\r\t'.  x1") for _ in range(r.randint(0, 60))) for _ in range(6000)]
+    assert all("".join(byte_bpe._PIECE.findall(t)) == t for t in texts)
+    assert [x.tolist() for x in own.encode(texts)] == reference_encoding.encode_ordinary_batch(texts)
+    assert own.encode([]) == [] and [x.tolist() for x in own.encode([""])] == [[]]
 
 
 def test_slices_that_split_characters(spark, reference_encoding):

@@ -121,7 +121,7 @@ class KeyedTable:
         return None if manifest is None else self._rows(manifest)
 
     def upsert(self, updates: DataFrame, order: Sequence[str] | None = None, batch_id=None, query: str = "",
-               whole_row: bool = False, arrival: Sequence[str] = ()) -> None:
+               whole_row: bool = False, arrival: Sequence[str] = (), messages: DataFrame | None = None) -> None:
         """Apply one batch. Of several rows of a key the last by ``order`` (then ``arrival``) wins: whole, or
         per column its last non-null value.
 
@@ -129,6 +129,7 @@ class KeyedTable:
         replaces a newer one. ``arrival`` columns (offset, file position) only order a batch and are not
         stored. A batch needs one of them. Rows with a null key are no documents and are refused.
         ``query`` names the writer of ``batch_id``: a batch that this writer has committed is skipped.
+        ``messages`` (one text column) become visible with the rows of the batch, see ``messages``.
         """
         if not order and not arrival:
             raise ValueError("an upsert needs order or arrival columns to choose the last row of a key")
@@ -145,6 +146,11 @@ class KeyedTable:
         touched = [r["_part"] for r in last.select("_part").distinct().collect()]   # at most the table's partitions
         batches = manifest["batches"] if batch_id is None else {**manifest["batches"], query: int(batch_id)}
         number = manifest["version"] + 1
+        outgoing = f"{self.path}/messages/{number:010d}"
+        if messages is not None:
+            messages.write.mode("overwrite").text(outgoing)         # in place of what a failed attempt left
+        else:
+            delete_folder(self.spark, outgoing)
         version = f"v{number:010d}-{uuid.uuid4().hex[:8]}"
         schema, parts = manifest["schema"], dict(manifest["parts"])
         if touched or schema is None:
@@ -167,6 +173,17 @@ class KeyedTable:
             parts.update({p: version for p in touched})
         self._commit({"version": number, "parts": parts, "schema": schema, "batches": batches})
 
+    def messages(self, after: int = 0) -> tuple[DataFrame, int]:
+        """Committed messages (value) of the versions above ``after``, and the version to go on from.
+
+        A folder of messages bears the number of its version and counts only once a manifest has that number, so
+        what a failed batch left is never read."""
+        manifest = self._manifest()
+        last = manifest["version"] if manifest else 0
+        folders = [f"{self.path}/messages/{n}" for n in sorted(list_folder(self.spark, f"{self.path}/messages")) if after < int(n) <= last]
+        read = self.spark.read.schema("value string")
+        return (read.text(folders) if folders else self.spark.createDataFrame([], "value string")), max(after, last)
+
     def _commit(self, manifest: dict) -> None:
         """Write the manifest (fails if another writer has taken this version) and drop what none refers to."""
         name = f"{manifest['version']:010d}"

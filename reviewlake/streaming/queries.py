@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from reviewlake.functions import misc
 from reviewlake.operators.upsert import KeyedTable
 from reviewlake.plans import standins
+from reviewlake.session import cut_lineage
 from reviewlake.sources.tables import table
+from reviewlake.streaming import stateful
 from reviewlake.streaming import streams as st
 
 
@@ -71,6 +73,57 @@ def props_quarantine(spark: SparkSession, base: str) -> DataFrame:
     return good.select("event_id", "k")
 
 
+def _landed_in_order(rows: DataFrame, key: str, order: str, folder: str, slices: int = 3) -> str:
+    """Messages as in a topic: those of a key lie in one file of each slice, and slices of ``order`` come one after another."""
+    bounds = rows.agg(F.percentile_approx(order, [i / slices for i in range(1, slices)]).alias("at")).first()["at"] or []
+    part = sum((F.col(order) > b).cast("int") for b in bounds) if bounds else F.lit(0)
+    for i in range(len(bounds) + 1):
+        st.land_messages(rows.where(part == i).repartition(key), f"{folder}/slice-{i}")
+    return f"{folder}/*"
+
+
+def stream_retry(spark: SparkSession, base: str) -> DataFrame:
+    """Messages of a key that don't parse are wanted again, and set aside after five failures in a row."""
+    events = table(spark, base, "events")
+    payload = F.when(F.col("event_id") % 7 < 4, F.lit("{broken")).otherwise(F.to_json(F.struct("event_id", "event_type")))
+    landing = _landed_in_order(events.select(F.col("user_id").alias("id"), F.col("event_id").alias("seq"), payload.alias("value")),
+                               "id", "seq", st.scratch(spark, "retry-landing"))
+    raw = st.decode(st.read_topic(spark, "retry", path=landing, max_files_per_trigger=8), "id long, seq long, value string")
+    out = st.scratch(spark, "retry-out")
+    tried = stateful.retry(raw, "event_id long, event_type string", wait_seconds=24 * 3600)
+    stateful.run_until_idle(tried, st.append_sink(out), st.scratch(spark, "retry-checkpoint"))
+    return spark.read.parquet(f"{out}/data").select("id", "seq", "state", "tries")
+
+
+def stream_category_feed(spark: SparkSession, base: str) -> DataFrame:
+    """What was sent before and what a feed with bounded state sends on; each (id, name) once."""
+    events = standins.messages(table(spark, base, "events"))
+    history = cut_lineage(events.where("event_id % 5 = 0").select("id", "name").distinct(), "feed-history")
+    landing = _landed_in_order(events.where("event_id % 5 > 0"), "id", "event_id", st.scratch(spark, "feed-landing"))
+    raw = st.decode(st.read_topic(spark, "categories", path=landing, max_files_per_trigger=8), st.MESSAGE_SCHEMA)
+    out = st.scratch(spark, "feed-out")
+    feed = stateful.bounded_category_feed(raw, ttl_seconds=24 * 3600, history=history)
+    stateful.run_until_idle(feed, st.append_sink(out), st.scratch(spark, "feed-checkpoint"))
+    return history.unionByName(spark.read.parquet(f"{out}/data").select("id", "name"))
+
+
+def stream_enrich_late(spark: SparkSession, base: str) -> DataFrame:
+    """Ids (even events) with the rows (odd events) of their user up to six hours before or after, from two feeds."""
+    events = standins.messages(table(spark, base, "events"))
+    end = spark.sql("SELECT -1L AS event_id, TIMESTAMP '2100-01-01' AS ts, -1L AS id, 'end of feed' AS name")
+    feeds = []
+    for i in (0, 1):
+        folder = st.scratch(spark, f"late-landing-{i}")
+        landing = _landed_in_order(events.where(f"event_id % 2 = {i}"), "id", "event_id", folder)
+        st.land_messages(end, f"{folder}/slice-end")
+        feeds.append(st.decode(st.read_topic(spark, "late", path=landing, max_files_per_trigger=8), st.MESSAGE_SCHEMA))
+    rows = feeds[1].select("id", F.col("ts").alias("row_ts"), F.concat_ws(" ", "name", "event_id").alias("found"))
+    found = stateful.enrich_late(feeds[0].select("event_id", "id", "ts"), rows, "id", "ts", "row_ts", "6 HOURS", "6 HOURS", "30 days")
+    out = st.scratch(spark, "late-out")
+    st.run_available(found, st.append_sink(out), st.scratch(spark, "late-checkpoint"))
+    return spark.read.parquet(f"{out}/data").where("id >= 0").select("event_id", "id", "found")
+
+
 def _topics(spark: SparkSession, base: str, name: str, message: Column) -> list[str]:
     """Two landing folders of messages made from events (even and odd event ids) and one of broken messages
     only. As in a topic, the messages of one user lie in one file, in order; broken ones are among them."""
@@ -80,7 +133,7 @@ def _topics(spark: SparkSession, base: str, name: str, message: Column) -> list[
     for i, part in enumerate((events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1"), events.where("event_id % 97 = 0"))):
         value = F.coalesce(broken, message) if i < 2 else F.lit("{broken")
         folder = st.scratch(spark, f"{name}-landing-{i}")
-        part.repartition(4, "user_id").sortWithinPartitions("ts", "event_id").select(value.alias("value")).write.text(folder)
+        part.repartition("user_id").sortWithinPartitions("ts", "event_id").select(value.alias("value")).write.text(folder)
         out.append(folder)
     return out
 
@@ -147,11 +200,10 @@ def stream_quarantine(spark: SparkSession, base: str) -> DataFrame:
 def stream_dual_write(spark: SparkSession, base: str) -> DataFrame:
     """Every message goes on to the outgoing topic, the latest per id to the table."""
     t = KeyedTable(spark, st.scratch(spark, "dual-table"), "id", buckets=8)
-    topic = st.scratch(spark, "dual-topic")
     msgs = _message_stream(spark, base, "dual").select("id", "name", "ts", "event_id")
-    st.run_available(msgs, st.dual_write(t, topic, order=["ts", "event_id"]), st.scratch(spark, "dual-checkpoint"))
-    sent = spark.read.text(f"{topic}/*").select(F.from_json("value", "id long").alias("m")).groupBy("m.id").agg(
-        F.count(F.lit(1)).alias("n_sent"))
+    st.run_available(msgs, st.dual_write(t, order=["ts", "event_id"]), st.scratch(spark, "dual-checkpoint"))
+    messages, _version = t.messages()
+    sent = messages.select(F.from_json("value", "id long").alias("m")).groupBy("m.id").agg(F.count(F.lit(1)).alias("n_sent"))
     return t.read().select("id", "name", "event_id").join(sent, "id")
 
 
@@ -167,6 +219,9 @@ STREAM_QUERIES = {
     "stream_index_overviews": stream_index_overviews,
     "stream_quarantine": stream_quarantine,
     "stream_dual_write": stream_dual_write,
+    "stream_retry": stream_retry,
+    "stream_category_feed": stream_category_feed,
+    "stream_enrich_late": stream_enrich_late,
 }
 
 
@@ -189,6 +244,15 @@ CAST(NULL AS DOUBLE) AS stars_5_percent, event_id / 2 AS rating_average, event_i
 UNION ALL SELECT '{"other": 1}', count(*) FROM events WHERE event_id % 89 = 0 AND event_id % 97 <> 0 HAVING count(*) > 0""",
         "stream_dual_write": """SELECT user_id AS id, event_type AS name, event_id, count(*) OVER (PARTITION BY user_id) AS n_sent FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+        "stream_retry": """WITH e AS (SELECT user_id AS id, event_id AS seq, event_id % 7 >= 4 AS good FROM events),
+r AS (SELECT *, coalesce(sum(CAST(good AS INTEGER)) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run FROM e),
+t AS (SELECT *, count(*) OVER (PARTITION BY id, run ORDER BY seq) AS n FROM r)
+SELECT id, seq, CASE WHEN good THEN 'stored' WHEN n % 5 = 0 THEN 'set aside' ELSE 'again' END AS state,
+       CAST((n - 1) % 5 + 1 AS INTEGER) AS tries FROM t""",
+        "stream_category_feed": "SELECT DISTINCT user_id AS id, event_type AS name FROM events",
+        "stream_enrich_late": """SELECT i.event_id, i.user_id AS id, r.event_type || ' ' || r.event_id AS found
+FROM (SELECT * FROM events WHERE event_id % 2 = 0) i LEFT JOIN (SELECT * FROM events WHERE event_id % 2 = 1) r
+ON r.user_id = i.user_id AND r.ts BETWEEN i.ts - INTERVAL 6 HOUR AND i.ts + INTERVAL 6 HOUR""",
         "stream_dedupe": "SELECT DISTINCT user_id AS id, event_type AS name FROM events",
         "stream_upsert": """SELECT user_id AS id, event_type AS name, event_id FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",

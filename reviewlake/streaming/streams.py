@@ -87,15 +87,26 @@ def fan_out(stream: DataFrame, listings: DataFrame, key: str = "category_id") ->
     return stream.join(listings, key, "inner")
 
 
+def _permissive(raw: str | Column, schema: T.StructType | str, corrupt_col: str) -> Column:
+    """The parsed message, with its text in ``corrupt_col`` if it does not parse."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    fields = T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType())])
+    return F.from_json(raw, fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col})
+
+
+def parse_error(raw_col: str, schema: T.StructType | str) -> Column:
+    """The text of a message that does not parse; null for one that does."""
+    return _permissive(raw_col, schema, "_corrupt_record")["_corrupt_record"]
+
+
 def quarantine(df: DataFrame, schema: T.StructType | str, raw_col: str = "value",
                corrupt_col: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
     """Parse JSON permissively; rows that do not parse (or are null) go to a quarantine frame
     instead of failing the batch or being silently dropped."""
     if isinstance(schema, str):
-        schema = df.sparkSession.createDataFrame([], schema).schema
-    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType())])
-    parsed = df.withColumn("_p", F.from_json(F.col(raw_col), with_corrupt,
-                                             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col}))
+        schema = T.StructType.fromDDL(schema)
+    parsed = df.withColumn("_p", _permissive(raw_col, schema, corrupt_col))
     ok = F.col(raw_col).isNotNull() & F.col(f"_p.{corrupt_col}").isNull()
     good = parsed.filter(ok).select("*", *[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields]).drop("_p")
     bad = parsed.filter(~ok).drop("_p")
@@ -131,17 +142,17 @@ def append_sink(path: str) -> Callable[[DataFrame, int], None]:
     return sink
 
 
-def dual_write(table: KeyedTable, topic_path: str, order: Sequence[str] | None = None, query: str = "dual"
-               ) -> Callable[[DataFrame, int], None]:
-    """One micro-batch -> keyed table and outgoing messages, from the same cached rows.
-    Both writes are idempotent per batch id, so a replay after a crash converges."""
-    upsert = upsert_sink(table, order, whole_row=True, query=query)
+def dual_write(table: KeyedTable, order: Sequence[str] | None = None, query: str = "dual") -> Callable[[DataFrame, int], None]:
+    """One micro-batch -> rows of the keyed table and outgoing messages, in one commit.
 
+    Rows and messages of a batch become visible together, by the table's manifest, or not at all; a batch that was
+    committed is skipped on replay, so no message goes out twice. ``KeyedTable.messages`` reads them from a version on."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist()
         try:
-            upsert(rows, batch_id)
-            to_message(rows.drop("arrived")).write.mode("overwrite").text(f"{topic_path}/batch={batch_id}")
+            arrival = ARRIVAL if "arrived" in rows.columns else ARRIVAL[1:]
+            table.upsert(_with_row(rows), order=order, arrival=arrival, batch_id=batch_id, whole_row=True, query=query,
+                         messages=to_message(rows.drop("arrived")))
         finally:
             rows.unpersist()
     return sink

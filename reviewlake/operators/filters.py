@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.functions.text import WS_CHARS
+from reviewlake.session import cut_lineage
 
 
 def _c(c) -> Column:
@@ -79,3 +80,42 @@ def require(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     for c in cols:
         cond = cond & F.col(c).isNotNull()
     return df.filter(cond)
+
+
+#: Rarest grams of a text that pick its candidates.
+PROBED_GRAMS = 3
+
+
+def _grams(text: Column, n: Column) -> Column:
+    """Distinct substrings of n characters (none for a shorter text)."""
+    starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, n)))
+
+
+def find_products(products: DataFrame, queries: DataFrame, name_col: str, text_col: str = "text", id_col: str = "id",
+                  qid_col: str = "qid") -> DataFrame:
+    """F7 for a table of texts: (qid, id) of the product with the smallest id whose name contains the text.
+
+    Names are posted under their trigrams; a text meets the postings of its rarest grams only, a name must stand in all of
+    these, and ``contains`` decides. Texts of one or two characters use grams of their own length. An empty text is in every
+    name; a null text, or one that no name contains, finds nothing.
+    """
+    names = products.select(F.col(id_col).alias("id"), F.col(name_col).alias("name")).where("name IS NOT NULL")
+    texts = cut_lineage(queries.select(F.col(qid_col).alias("qid"), F.col(text_col).alias("text"),
+                                       F.least(F.length(text_col), F.lit(3)).alias("n")).where("text IS NOT NULL"), "query-texts")
+    sizes = sorted(r.n for r in texts.select("n").distinct().collect())                       # 0 to 3
+    empty = texts.where("n = 0").select("qid").join(F.broadcast(names.agg(F.min("id").alias("id")).where("id IS NOT NULL")))
+    sizes = [n for n in sizes if n]
+    if not sizes:
+        return empty.select("qid", "id")
+    postings = cut_lineage(names.select("id", F.explode(F.flatten(F.array(*[_grams(F.col("name"), F.lit(n)) for n in sizes]))).alias("gram")),
+                           "name-grams")
+    asked = texts.where("n > 0").select("qid", F.explode(_grams(F.col("text"), F.col("n"))).alias("gram"))
+    rows = postings.join(asked.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    rarest = Window.partitionBy("qid").orderBy(F.coalesce("df", F.lit(0)), "gram")
+    probes = asked.join(rows, "gram", "left").withColumn("place", F.row_number().over(rarest)).where(F.col("place") <= PROBED_GRAMS)
+    probes = probes.withColumn("wanted", F.count(F.lit(1)).over(Window.partitionBy("qid"))).select("qid", "gram", "wanted")
+    candidates = (postings.join(probes, "gram").groupBy("qid", "id").agg(F.count(F.lit(1)).alias("met"), F.max("wanted").alias("wanted"))
+                  .where("met = wanted"))
+    found = candidates.join(names, "id").join(texts.select("qid", "text"), "qid").where(F.contains("name", "text"))
+    return found.groupBy("qid").agg(F.min("id").alias("id")).unionByName(empty.select("qid", "id"))

@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from reviewlake.functions import codec, misc
 from reviewlake.functions import text as tx
 from reviewlake.functions import vectors as vx
-from reviewlake.operators import filters, reshape, sampling, sinks, topk, upsert
-from reviewlake.plans import sentiment, standins
-from reviewlake.session import scratch_path
+from reviewlake.operators import filters, reshape, sampling, segment, sinks, topk, upsert
+from reviewlake.plans import recommend, sentiment, standins
+from reviewlake.session import cut_lineage, scratch_path, spread
 from reviewlake.sources import files
 from reviewlake.sources.tables import table
 
@@ -125,12 +125,44 @@ def pair_of_one(spark: SparkSession, base: str) -> DataFrame:
 
 
 def backfill_bounds(spark: SparkSession, base: str) -> DataFrame:
-    """Numbers written into a seeded sample of rows; all rows stay and every number is within its bounds."""
+    """Numbers written into rows drawn by seed; all rows stay and every number is within its bounds."""
     rows = table(spark, base, "part").select("p_partkey", F.lit(-1).alias("x"))
     out = sampling.random_backfill(rows, "p_partkey", "x", 3, 9, draws=500)
     return out.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if((F.col("x") != -1) & ~F.col("x").between(3, 9)).alias("n_outside"))
 
 
+def random_backfill(spark: SparkSession, base: str) -> DataFrame:
+    """9,737 seeded draws of a part, each with a number from 1 to 19,584; the last number of a part stays."""
+    rows = table(spark, base, "part").select("p_partkey", F.lit(-1).alias("favourite_count"))
+    return sampling.random_backfill(rows, "p_partkey", "favourite_count", 1, 19_584, draws=9_737)
+
+
+def recommend_texts(spark: SparkSession, base: str) -> DataFrame:
+    """F7 + M7 for a table of texts (pieces of the names of parts whose key is divisible by 50): the product that a text finds
+    and the ten most similar others."""
+    prod = cut_lineage(standins.product_rows(spark, base).select("id", "name", "categories"), "products")
+    meta = prod.select("id", reshape.metadata_text("name", F.col("categories.parent_name")).alias("metadata"))
+    w = recommend.tfidf_terms(meta.select("id", tx.tokenize("metadata").alias("tokens")), "id", "tokens")
+    texts = table(spark, base, "part").where("p_partkey % 50 = 0").select(
+        F.col("p_partkey").alias("qid"), F.expr("substring(p_name, 3, int(p_partkey % 7))").alias("text"))
+    found = recommend.recommend_by_texts(prod.select("id", "name"), w, texts, "name", 10)
+    return found.select("qid", "id1", "id2", "name", "rank", F.round("score", 6).alias("score"))
+
+
+def compounds(spark: SparkSession, base: str) -> DataFrame:
+    """N11, learning: pairs of words that stand together far more often than by chance."""
+    docs = table(spark, base, "documents").select(tx.tokenize(tx.clean_base("text")).alias("tokens"))
+    return segment.learn(spread(docs), "tokens", max_length=2).select("compound", "n", "gain")
+
+
+def segmented(spark: SparkSession, base: str) -> DataFrame:
+    """Words of every document, with learned compounds joined by the best path."""
+    docs = cut_lineage(spread(table(spark, base, "documents").select("doc_id", tx.tokenize(tx.clean_base("text")).alias("tokens"))), "tokens")
+    found = segment.segment(docs, "tokens", segment.learn(docs, "tokens", max_length=2), max_length=2)
+    joined = F.filter("words", lambda w: F.contains(w, F.lit("_")))
+    return found.select("doc_id", F.size("words").alias("n_words"), F.array_join(joined, " ").alias("joined"))
+
+
 def knn_queries(spark: SparkSession, base: str) -> DataFrame:
     """The 20 nearest vectors of every query (ids divisible by 50); the vectors are not shuffled."""
     v = topk.build_vector_table(table(spark, base, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec")))
@@ -188,7 +220,7 @@ def reviews_table(spark: SparkSession, base: str) -> DataFrame:
 
 COVERAGE_QUERIES = {q.__name__: q for q in (
     csv_round_trip, csv_inferred, json_payloads, wordlist, token_counts, plain_names, html_parts, binary_cells, stamped_defaults,
-    reviews_normalized, images_and_specs, pair_of_one, backfill_bounds, knn_queries, similar_names, keyed_table_merge,
+    reviews_normalized, images_and_specs, pair_of_one, backfill_bounds, random_backfill, recommend_texts, compounds, segmented, knn_queries, similar_names, keyed_table_merge,
     snapshot_written, reviews_simple, reviews_table)}
 
 
@@ -198,7 +230,15 @@ def sentiment_label_sql(rating: str) -> str:
 
 
 def coverage_oracles() -> dict[str, str]:
-    from reviewlake.plans.oracles import clean_base, decode_entities
+    from reviewlake.plans.oracles import PRODUCT_TERMS, clean_base, decode_entities
+    _COMPOUNDS = f"""WITH RECURSIVE t AS (SELECT doc_id, [x FOR x IN string_split({clean_base('text')}, ' ') IF x <> ''] AS t FROM documents),
+u AS (SELECT x, count(*) AS n FROM (SELECT unnest(t) AS x FROM t) GROUP BY x),
+z AS (SELECT CAST(sum(n) AS DOUBLE) AS z FROM u),
+b AS (SELECT doc_id, i, t[i] AS a, t[i + 1] AS b FROM (SELECT doc_id, t, unnest(range(1, len(t))) AS i FROM t)),
+p AS (SELECT a, b, count(*) AS n FROM b GROUP BY a, b HAVING count(*) >= {segment.MIN_COUNT}),
+g AS (SELECT a || '_' || b AS compound, p.n, CAST(round((ln(p.n / z) - (ln(x.n / z) + ln(y.n / z))) * 1000000) AS BIGINT) AS gain
+      FROM p JOIN u x ON x.x = a JOIN u y ON y.x = b, z
+      WHERE CAST(round((ln(p.n / z) - (ln(x.n / z) + ln(y.n / z))) * 1000000) AS BIGINT) >= {segment.MIN_GAIN})"""
     unit = """u AS (SELECT vec_id, embedding, sqrt(list_sum([CAST(x AS DOUBLE) * CAST(x AS DOUBLE) FOR x IN embedding])) AS n FROM embeddings),
 v AS (SELECT vec_id AS id, CASE WHEN n > 0 THEN [CAST(x AS DOUBLE) / n FOR x IN embedding] ELSE [0.0 FOR x IN embedding] END AS v FROM u),
 s AS (SELECT q.id AS qid, c.id, list_sum([(a[1] - a[2]) * (a[1] - a[2]) FOR a IN list_zip(q.v, c.v)]) AS score
@@ -229,6 +269,31 @@ UNION ALL SELECT p_partkey, 'main:size', CAST(p_size AS VARCHAR) FROM part""",
         "pair_of_one": """SELECT b.vec_id AS id2, round(list_sum([CAST(x[1] AS DOUBLE) * CAST(x[2] AS DOUBLE) FOR x IN list_zip(a.embedding, b.embedding)]), 6) AS dot
 FROM embeddings a JOIN embeddings b ON a.vec_id = 0 AND b.vec_id <> 0""",
         "backfill_bounds": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_outside FROM part",
+        "random_backfill": """WITH d AS (SELECT i, CAST('0x' || sha256('42:' || i)[1:15] AS BIGINT) % (SELECT count(*) FROM part) AS position,
+  1 + CAST('0x' || sha256('43:' || i)[1:15] AS BIGINT) % 19584 AS number FROM range(9737) t(i)),
+l AS (SELECT position, arg_max(number, i) AS number FROM d GROUP BY position),
+p AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS position FROM part)
+SELECT p_partkey, CAST(coalesce(number, -1) AS INTEGER) AS favourite_count FROM p LEFT JOIN l USING (position)""",
+        "recommend_texts": f"""{PRODUCT_TERMS.strip()},
+t AS (SELECT p_partkey AS qid, substr(p_name, 3, p_partkey % 7) AS text FROM part WHERE p_partkey % 50 = 0),
+q AS (SELECT t.qid, min(p.id) AS id1 FROM t JOIN products p ON contains(p.name, t.text) GROUP BY t.qid),
+s AS (SELECT q.qid, q.id1, b.id AS id2, sum(a.weight * b.weight) AS score
+      FROM q JOIN w a ON a.id = q.id1 JOIN w b ON b.term = a.term AND b.id <> q.id1 GROUP BY 1, 2, 3),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, id2) AS rank FROM s)
+SELECT qid, id1, id2, p.name, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM r JOIN products p ON p.id = id2 WHERE rank <= 10""",
+        "compounds": f"""{_COMPOUNDS} SELECT compound, n, gain FROM g""",
+        "segmented": f"""{_COMPOUNDS},
+m AS (SELECT t.doc_id, t.i, t.a || '_' || t.b AS compound, g.gain, t.i - row_number() OVER (PARTITION BY t.doc_id ORDER BY t.i) AS run
+      FROM b t JOIN g ON g.compound = t.a || '_' || t.b),
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY i) AS j, count(*) OVER (PARTITION BY doc_id, run) AS len FROM m),
+f AS (SELECT doc_id, run, j, len, i, compound, gain AS best, CAST(0 AS BIGINT) AS before, true AS take FROM k WHERE j = 1
+      UNION ALL SELECT k.doc_id, k.run, k.j, k.len, k.i, k.compound, greatest(f.before + k.gain, f.best), f.best, f.before + k.gain >= f.best
+      FROM f JOIN k ON k.doc_id = f.doc_id AND k.run = f.run AND k.j = f.j + 1),
+c AS (SELECT doc_id, run, j, i, compound, take FROM f WHERE j = len
+      UNION ALL SELECT f.doc_id, f.run, f.j, f.i, f.compound, f.take FROM c JOIN f
+      ON f.doc_id = c.doc_id AND f.run = c.run AND f.j = c.j - CASE WHEN c.take THEN 2 ELSE 1 END),
+o AS (SELECT doc_id, count(*) AS n, string_agg(compound, ' ' ORDER BY i) AS joined FROM c WHERE take GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(t.t) - coalesce(o.n, 0) AS INTEGER) AS n_words, coalesce(joined, '') AS joined FROM t LEFT JOIN o USING (doc_id)""",
         "knn_queries": f"WITH {unit} SELECT qid, id, round(score, 6) AS score, rank FROM r WHERE rank <= 20",
         "two_level_search": f"WITH {unit} SELECT qid, id, round(score, 6) AS score, rank FROM r WHERE rank <= 20",
         "similar_names": f"""WITH {unit} SELECT r.qid, r.id, CAST(e.label AS VARCHAR) AS name, r.rank FROM r JOIN embeddings e ON e.vec_id = r.id

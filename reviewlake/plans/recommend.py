@@ -14,9 +14,10 @@ from pyspark.ml.feature import IDF, PCA, HashingTF, StandardScaler, StopWordsRem
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.operators import filters, two_level
+from reviewlake.operators import filters, sparse_topn, two_level
 from reviewlake.operators.joins import attach_names, broadcast_if_small
 from reviewlake.operators.topk import RANK_DIGITS
+from reviewlake.session import cut_lineage
 
 def term_counts(tokens: Column) -> Column:
     """Array of (term, tf) of one row's tokens: runs of the sorted array, so no shuffle is needed to count."""
@@ -94,6 +95,16 @@ def recommend_by_text(products: DataFrame, w: DataFrame, name_col: str, text: st
         "id2", name_col, "rank", "score")
 
 
+def recommend_by_texts(products: DataFrame, w: DataFrame, queries: DataFrame, name_col: str, top: int = 10,
+                       id_col: str = "id") -> DataFrame:
+    """M7 for a table of queries (qid, text): the product that each text finds, then the ``top`` other products by
+    TF-IDF dot product, with their names. ``w``: (id, term, weight)."""
+    found = cut_lineage(filters.find_products(products, queries, name_col, id_col=id_col), "found-products")
+    best = sparse_topn.top_similar(w, id_col, top, found.select(F.col("id").alias(id_col)))
+    hits = found.withColumnRenamed("id", "id1").join(best, "id1")
+    return attach_names(hits, products, sim_key="id2", key=id_col, cols=(name_col,)).select("qid", "id1", "id2", name_col, "rank", "score")
+
+
 #: Words of a Word2Vec model. Its fit holds them all on the driver and sends every task a copy.
 WORD2VEC_MAX_WORDS = 2_000_000
 

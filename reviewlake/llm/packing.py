@@ -19,6 +19,7 @@ pieces. Extra columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
@@ -38,7 +39,7 @@ MIN_CUT = 16
 MERGE_TASKS = 16
 END_ID = 1
 #: Entries of a worker's table of known parts; there are an old and a new one, for parts after a space and others.
-KNOWN_PARTS = 1 << 17
+KNOWN_PARTS = 1 << 18
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _RUN_OF_SPACES = re.compile(r"\s\s")
 
@@ -68,7 +69,7 @@ class _Parts(dict):
     def __init__(self, tokenizer, prefix: str, bare: _Parts | None = None):
         super().__init__()
         self.tokenizer, self.prefix, self.bare = tokenizer, prefix, self if bare is None else bare
-        self.model, self.old = tokenizer.model, {}
+        self.model, self.old, self.sign = tokenizer.model, {}, prefix.translate(_LETTERS)
 
     def __missing__(self, part: str) -> bytes:
         ids = self.old.get(part)
@@ -83,8 +84,9 @@ class _Parts(dict):
 
     def _encode(self, part: str) -> bytes:
         if part.isalpha():                          # one word for the tokenizer, so its model alone will do
-            letters = (self.prefix + part).encode().decode("latin-1").translate(_LETTERS)
-            return np.asarray([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes()
+            letters = self.sign + part if part.isascii() else (self.prefix + part).encode().decode("latin-1").translate(_LETTERS)
+            tokens = self.model.tokenize(letters)
+            return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
         left, line_end, right = part.partition("\n")
         if line_end and left and right and not left[-1].isspace() and not right[0].isspace():
             return self[left] + self.bare[line_end] + self.bare[right]

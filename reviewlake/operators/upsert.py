@@ -81,21 +81,31 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition
 class KeyedTable:
     """K2 / K6 storage: partitioned Parquet in versions, with a manifest as the only commit point.
 
-    A batch is reduced to one row per key, merged with the rows of the partitions it touches, and
-    written once, to a new version folder. The manifest of that version then names, for every partition,
-    the version that holds it, the table's schema, and the last batch of each query. Readers take the
-    newest complete manifest, so they see a batch wholly or not at all. Partitions are hash
-    buckets of the key, or the text of ``partition_col``; the key columns keep their own type.
+    A batch is reduced to one row per key and written once, to a new version folder. The manifest of that
+    version then names, for every partition, the versions that hold its rows, the table's schema, and the last batch of
+    each query. Readers take the newest complete manifest, so they see a batch wholly or not at all. Partitions
+    are hash buckets of the key, or the text of ``partition_col``; the key columns keep their own type.
+
+    A batch that is small beside the rows of a partition is laid over them as one more layer, so it writes its own rows only;
+    layers are merged by key when they are read. Once the layers above the first hold ``MERGE_SHARE`` of its rows, or
+    there are ``MAX_LAYERS``, the batch that comes then writes the partition anew in one layer. Rows are written in files of
+    about ``file_rows`` rows by the hash of their key, so a large partition (one day, say) is the work of many tasks.
+
+    A table has one writer at a time; two that commit the same version are told by the manifest's folder, which the
+    second finds in place unless both looked at the same moment.
     """
 
     KEPT_VERSIONS = 3
+    MAX_LAYERS, MERGE_SHARE = 8, 0.25
 
-    def __init__(self, spark: SparkSession, path: str, key, buckets: int = 64, partition_col: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, key, buckets: int = 64, partition_col: str | None = None,
+                 file_rows: int = 100_000):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = _keys(key)
         self.buckets = buckets
         self.partition_col = partition_col
+        self.file_rows = file_rows
 
     def _manifest(self) -> dict | None:
         """The newest manifest whose write was completed."""
@@ -110,15 +120,43 @@ class KeyedTable:
             return F.regexp_replace(F.coalesce(F.col(self.partition_col).cast("string"), F.lit("none")), "[^0-9A-Za-z-]", "_")
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("string")
 
-    def _rows(self, manifest: dict, parts: Sequence[str] | None = None) -> DataFrame:
+    def _stored(self, manifest: dict, parts: Sequence[str]) -> DataFrame:
+        """Rows of all layers of the partitions, with the version of their layer."""
         schema = T.StructType.fromJson(manifest["schema"])
-        folders = [f"{self.path}/data/{v}/_part={p}" for p, v in sorted(manifest["parts"].items())
-                   if parts is None or p in parts]
-        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+        folders = [f"{self.path}/data/{v}/_part={p}" for p in sorted(parts) for v, _ in manifest["parts"][p]["layers"]]
+        if not folders:
+            return self.spark.createDataFrame([], schema.add("_layer", T.LongType()))
+        layer = F.regexp_extract(F.col("_metadata.file_path"), r"/data/v(\d+)-", 1).cast("long")
+        return self.spark.read.schema(schema).parquet(*folders).select("*", layer.alias("_layer"))
+
+    def _resolved(self, layered: DataFrame, mode: dict) -> DataFrame:
+        """One row per key: whole rows by their version columns and then their layer, or the last non-null value by layer."""
+        if mode["whole"]:
+            return replace_latest(None, layered, self.keys, [*mode["order"], "_layer"]).drop("_layer")
+        return combine_puts(layered, self.keys, ["_layer"])
+
+    def _rows(self, manifest: dict, parts: Sequence[str]) -> DataFrame:
+        """Rows of the partitions: those of a single layer as they lie, others merged."""
+        one = [p for p in parts if len(manifest["parts"][p]["layers"]) == 1]
+        out = self._stored(manifest, one).drop("_layer")
+        modes = {json.dumps(manifest["parts"][p]["mode"]) for p in parts if p not in set(one)}
+        for mode in sorted(modes):
+            some = [p for p in parts if p not in set(one) and json.dumps(manifest["parts"][p]["mode"]) == mode]
+            out = out.unionByName(self._resolved(self._stored(manifest, some), json.loads(mode)))
+        return out
 
     def read(self) -> DataFrame | None:
         manifest = self._manifest()
-        return None if manifest is None else self._rows(manifest)
+        return None if manifest is None else self._rows(manifest, list(manifest["parts"]))
+
+    def _write(self, rows: DataFrame, sizes: dict[str, int], version: str) -> None:
+        """Rows (with _part) into the version's folders; a partition of n rows in about n / file_rows files."""
+        files = {p: max(1, -(-n // self.file_rows)) for p, n in sizes.items()}
+        large = self.spark.createDataFrame([(p, n) for p, n in files.items() if n > 1], "_part string, _files int")
+        split = F.pmod(F.xxhash64(F.lit(17), *self.keys), F.coalesce("_files", F.lit(1)))
+        rows = rows.join(F.broadcast(large), "_part", "left").withColumn("_split", split)      # at most a row for each partition
+        rows = rows.repartition(sum(files.values()), "_part", "_split").drop("_files", "_split")
+        rows.write.partitionBy("_part").parquet(f"{self.path}/data/{version}")
 
     def upsert(self, updates: DataFrame, order: Sequence[str] | None = None, batch_id=None, query: str = "",
                whole_row: bool = False, arrival: Sequence[str] = (), messages: DataFrame | None = None) -> None:
@@ -143,8 +181,8 @@ class KeyedTable:
         else:
             last = combine_puts(rows, self.keys, by)
         last = cut_lineage(last.withColumn("_part", self._part()), "upsert")      # one row per key
-        touched = [r["_part"] for r in last.select("_part").distinct().collect()]   # at most the table's partitions
-        batches = manifest["batches"] if batch_id is None else {**manifest["batches"], query: int(batch_id)}
+        fresh = {r["_part"]: r["n"] for r in last.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}   # partitions of the batch
+        mode = {"whole": whole_row, "order": list(order or ()) if whole_row else []}
         number = manifest["version"] + 1
         outgoing = f"{self.path}/messages/{number:010d}"
         if messages is not None:
@@ -152,27 +190,34 @@ class KeyedTable:
         else:
             delete_folder(self.spark, outgoing)
         version = f"v{number:010d}-{uuid.uuid4().hex[:8]}"
-        schema, parts = manifest["schema"], dict(manifest["parts"])
-        if touched or schema is None:
-            new = last.drop("_part")
-            if schema is None:
-                merged = new
-            else:
-                current = self._rows(manifest, touched)
-                if whole_row and order:
-                    merged = replace_latest(None, current.unionByName(new, allowMissingColumns=True), self.keys, order)
-                elif whole_row:
-                    merged = current.join(new.select(*self.keys), self.keys, "left_anti").unionByName(
-                        new, allowMissingColumns=True)
-                else:
-                    merged = merge_upsert(current, new, self.keys)
-            merged = merged.withColumn("_part", self._part())
-            merged.repartition(max(1, min(len(touched), self.buckets)), "_part").write.partitionBy("_part").parquet(
-                f"{self.path}/data/{version}")
-            schema = merged.drop("_part").schema.jsonValue()
-            parts.update({p: version for p in touched})
+        parts, schema = dict(manifest["parts"]), manifest["schema"]
+        new = last.drop("_part")
+        if schema is None:
+            schema = new.schema.jsonValue()
+        elif fresh:
+            known = T.StructType.fromJson(schema)
+            more = [f for f in new.schema.fields if f.name not in known.names]
+            schema = T.StructType([*known.fields, *more]).jsonValue()
+        merged, laid = [p for p in fresh if p in parts and self._merges(parts[p], fresh[p], mode)], dict(fresh)
+        if merged:
+            again = last.where(F.col("_part").isin(merged)).drop("_part").withColumn("_layer", F.lit(number).cast("long"))
+            stored = self._rows({**manifest, "schema": schema}, merged).withColumn("_layer", F.lit(0).cast("long"))
+            whole = self._resolved(stored.unionByName(again, allowMissingColumns=True), mode).withColumn("_part", self._part())
+            last = last.where(~F.col("_part").isin(merged)).unionByName(whole, allowMissingColumns=True)
+            laid |= {p: fresh[p] + sum(n for _, n in parts[p]["layers"]) for p in merged}
+        if fresh:
+            self._write(last, laid, version)
+        for p, n in laid.items():
+            below = parts[p]["layers"] if p in parts and p not in merged else []
+            parts[p] = {"layers": [*below, [version, n]], "mode": mode}
+        batches = manifest["batches"] if batch_id is None else {**manifest["batches"], query: int(batch_id)}
         self._commit({"version": number, "parts": parts, "schema": schema, "batches": batches})
 
+    def _merges(self, part: dict, rows: int, mode: dict) -> bool:
+        """Whether a batch with ``rows`` rows for the partition writes it anew."""
+        (_, base), *over = part["layers"]
+        return part["mode"] != mode or len(over) + 2 > self.MAX_LAYERS or rows + sum(n for _, n in over) > self.MERGE_SHARE * base
+
     def messages(self, after: int = 0) -> tuple[DataFrame, int]:
         """Committed messages (value) of the versions above ``after``, and the version to go on from.
 
@@ -185,17 +230,17 @@ class KeyedTable:
         return (read.text(folders) if folders else self.spark.createDataFrame([], "value string")), max(after, last)
 
     def _commit(self, manifest: dict) -> None:
-        """Write the manifest (fails if another writer has taken this version) and drop what none refers to."""
+        """Write the manifest (fails if this version has one) and drop what none refers to."""
         name = f"{manifest['version']:010d}"
         (self.spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1)
          .write.mode("error").text(f"{self.path}/manifests/{name}"))
         kept = sorted(list_folder(self.spark, f"{self.path}/manifests"))[-self.KEPT_VERSIONS:]
         for old in set(list_folder(self.spark, f"{self.path}/manifests")) - set(kept):
             delete_folder(self.spark, f"{self.path}/manifests/{old}")
-        used = set(manifest["parts"].values())
-        for n in kept[:-1]:
-            used |= set(json.loads(self.spark.read.schema("value string").text(f"{self.path}/manifests/{n}").first()["value"])
-                        ["parts"].values())
+        used: set[str] = set()
+        for m in [manifest, *(json.loads(self.spark.read.schema("value string").text(f"{self.path}/manifests/{n}").first()["value"])
+                              for n in kept[:-1])]:
+            used |= {v for part in m["parts"].values() for v, _ in part["layers"]}
         for folder in list_folder(self.spark, f"{self.path}/data"):
             if folder not in used and int(folder[1:11]) < manifest["version"]:
                 delete_folder(self.spark, f"{self.path}/data/{folder}")

@@ -114,3 +114,60 @@ def test_merge_idempotence_property(spark):
         assert rows(once) == rows(twice)
         keys = {r[0] for r in rows(once)}
         assert keys == set(t_rows) | {k for k, *_ in u_rows}
+
+
+def test_a_small_batch_writes_its_own_rows_only(spark, tmp_dir):
+    """500 of 20,000 keys: the batch is laid over the table; many batches later the layers are written anew."""
+    from reviewlake.session import list_folder
+    t = up.KeyedTable(spark, tmp_dir, "id", buckets=4)
+    t.upsert(spark.range(20_000).selectExpr("id", "concat('n', id) AS name", "double(id) AS bal", "0 AS at"), arrival=["at"])
+    want = {i: (f"n{i}", float(i)) for i in range(20_000)}
+
+    def written():
+        newest = max(list_folder(spark, f"{tmp_dir}/data"))
+        return spark.read.parquet(f"{tmp_dir}/data/{newest}").count()
+    counts = []
+    for b in range(1, 14):
+        rows = spark.range(500).selectExpr(f"id * {b + 1} AS id", f"IF(id % 2 = 0, 'b{b}', NULL) AS name", f"IF(id % 3 = 0, {b}D, NULL) AS bal", "0 AS at")
+        t.upsert(rows, arrival=["at"], batch_id=b, query="q")
+        for i in range(500):
+            name, bal = want[i * (b + 1)]
+            want[i * (b + 1)] = (f"b{b}" if i % 2 == 0 else name, float(b) if i % 3 == 0 else bal)
+        counts.append(written())
+    assert {r.id: (r.name, r.bal) for r in t.read().collect()} == want
+    assert counts[0] == 500 and sorted(counts)[len(counts) // 2] == 500 and max(counts) >= 20_000 / 4
+    assert all(len(p["layers"]) <= up.KeyedTable.MAX_LAYERS for p in t._manifest()["parts"].values())
+
+
+def test_layers_of_whole_rows_keep_the_newer_version(spark, tmp_dir):
+    t = up.KeyedTable(spark, tmp_dir, "id", buckets=1)
+    t.upsert(spark.range(100).selectExpr("id", "'base' AS name", "10D AS bal"), order=["bal"], whole_row=True)
+    t.upsert(spark.createDataFrame([(1, "older", 5.0), (2, "newer", 11.0), (200, "more", 1.0)], SCHEMA), order=["bal"], whole_row=True)
+    t.upsert(spark.createDataFrame([(2, "late", 10.5), (3, "newer", 12.0)], SCHEMA), order=["bal"], whole_row=True)
+    assert len(t._manifest()["parts"]["0"]["layers"]) == 3
+    got = {r.id: r.name for r in t.read().collect()}
+    assert (got[1], got[2], got[3], got[200], len(got)) == ("base", "newer", "newer", "more", 101)
+    t.upsert(spark.createDataFrame([(1, None, 77.0, 0), (500, "x", 1.0, 0)], SCHEMA + ", at int"), arrival=["at"])     # by column now
+    assert len(t._manifest()["parts"]["0"]["layers"]) == 1
+    got = {r.id: (r.name, r.bal) for r in t.read().collect()}
+    assert got[1] == ("base", 77.0) and got[2] == ("newer", 11.0) and got[500] == ("x", 1.0) and len(got) == 102
+
+
+def test_new_columns_and_an_empty_first_batch(spark, tmp_dir):
+    t = up.KeyedTable(spark, tmp_dir, "id", buckets=2)
+    first = spark.createDataFrame([(1, "a", 1.0, 0)], SCHEMA + ", at int")
+    t.upsert(first.where("false"), arrival=["at"])
+    assert t.read().count() == 0
+    t.upsert(first, arrival=["at"])
+    t.upsert(spark.createDataFrame([(1, "extra", 1), (2, "extra", 1)], "id long, more string, at int"), arrival=["at"])
+    assert sorted(tuple(r) for r in t.read().select("id", "name", "more").collect()) == [(1, "a", "extra"), (2, None, "extra")]
+
+
+def test_one_day_is_written_by_many_tasks(spark, tmp_dir):
+    from reviewlake.session import list_folder
+    day = spark.range(30_000).selectExpr("'2024-01-01' AS time", "id", "id AS qty", "1 AS seq")
+    t = up.KeyedTable(spark, tmp_dir, ["time", "id"], partition_col="time", file_rows=5_000)
+    t.upsert(day, order=["seq"], batch_id=0)
+    version, = list_folder(spark, f"{tmp_dir}/data")
+    files = [f for f in list_folder(spark, f"{tmp_dir}/data/{version}/_part=2024-01-01") if f.startswith("part-")]
+    assert 3 <= len(files) <= 6 and t.read().count() == 30_000

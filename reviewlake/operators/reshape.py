@@ -185,6 +185,33 @@ def normalize_review(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def normalize_review_payload(df: DataFrame, payload_col: str = "v", keep: Sequence[str] = ()) -> DataFrame:
+    """P15 on the raw payload (VARIANT): as ``normalize_review``, but a field that is absent gets its default ('' or 0), while
+    an explicit null stays null. Only ``purchased_at`` and a null author count as absent. ``purchased`` is text:
+    'true', 'false', or '' where it is absent."""
+    def field(path: str, kind: str, default) -> Column:
+        value = F.expr(f"try_variant_get({payload_col}, '$.{path}', '{kind}')")
+        null = F.coalesce(F.expr(f"is_variant_null(variant_get({payload_col}, '$.{path}'))"), F.lit(False))
+        return F.when(~null, F.coalesce(value, F.lit(default).cast(kind)))
+
+    by, summary = "created_by", "created_by.contribute_info.summary"
+    text = {n: field(f"{by}.{n}", "string", "") for n in ("name", "full_name", "region", "avatar_url", "created_time", "purchased")}
+    number = {n: field(f"{by}.{n}", "bigint", 0) for n in ("id", "group_id")}
+    author = {
+        "id": number["id"], "name": text["name"], "full_name": text["full_name"], "joined_time": field(f"{summary}.joined_time", "string", ""),
+        "region": text["region"], "avatar_url": text["avatar_url"], "created_time": text["created_time"], "group_id": number["group_id"],
+        "purchased": text["purchased"], "purchased_at": F.coalesce(field(f"{by}.purchased_at", "bigint", 0), F.lit(0).cast("long")),
+        "total_review": field(f"{summary}.total_review", "bigint", 0), "total_thank": field(f"{summary}.total_thank", "bigint", 0)}
+    images = F.expr(f"try_variant_get({payload_col}, '$.images', 'array<struct<id:bigint,full_path:string,status:string>>')")
+    rating = field("rating", "double", 0.0)
+    return df.select(
+        *keep, field("id", "bigint", 0).alias("id"), *[field(n, "string", "").alias(n) for n in ("title", "content", "status")],
+        *[field(n, "bigint", 0).alias(n) for n in ("thank_count", "customer_id", "comment_count")],
+        rating.alias("rating"), rating.alias("score"), F.coalesce(images, F.array().cast(
+            "array<struct<id:bigint,full_path:string,status:string>>")).alias("images"),
+        F.struct(*[c.alias(n) for n, c in author.items()]).alias("created_by"))
+
+
 def drop_null_author(df: DataFrame, payload_col: str = "v", path: str = "$.created_by.id") -> DataFrame:
     """Drop reviews whose author id is an explicit JSON null (an absent id stays: it becomes 0).
 

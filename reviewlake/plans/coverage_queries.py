@@ -107,6 +107,91 @@ def reviews_normalized(spark: SparkSession, base: str) -> DataFrame:
                                                   F.col("created_by.name").alias("author_name"), F.size("images").alias("n_images"))
 
 
+def reviews_payload(spark: SparkSession, base: str) -> DataFrame:
+    """P15 whole, on raw payloads: fields present, absent or null, and authors with or without a summary."""
+    kind = F.col("doc_id") % 4
+    text = lambda name, v: (F.when(kind == 0, F.concat(F.lit(f', "{name}": "'), v, F.lit('"'))).when(kind == 1, F.lit(f', "{name}": null'))
+                            .otherwise(F.lit("")))
+    author = F.concat(F.lit('"id": '), F.col("doc_id").cast("string"), text("name", F.col("lang")), text("region", F.col("source")),
+                      F.when(kind == 0, F.lit(', "purchased": true, "purchased_at": 7')).when(kind == 1, F.lit(', "purchased_at": null')).otherwise(""),
+                      F.when(kind < 2, F.concat(F.lit(', "contribute_info": {"summary": {"total_review": '), F.col("n_chars").cast("string"),
+                                                F.lit("}}"))).otherwise(""))
+    lines = table(spark, base, "documents").select(F.parse_json(F.concat(
+        F.lit('{"id": '), F.col("doc_id").cast("string"), F.lit(', "rating": "'), (F.col("doc_id") % 6).cast("string"), F.lit('"'),
+        text("title", F.col("lang")), F.when(kind == 3, F.lit("")).otherwise(F.concat(F.lit(', "created_by": {'), author, F.lit("}"))),
+        F.when(kind == 2, F.lit(', "images": [{"id": 1, "full_path": "a"}]')).otherwise(""), F.lit("}"))).alias("v"))
+    found = reshape.normalize_review_payload(lines)
+    by = [F.col(f"created_by.{n}").alias(f"author_{n}") for n in ("id", "name", "region", "full_name", "joined_time", "purchased", "purchased_at",
+                                                                 "total_review", "total_thank")]
+    return found.select("id", "title", "content", "thank_count", "rating", "score", F.size("images").alias("n_images"), *by)
+
+
+def parent_stamped(spark: SparkSession, base: str) -> DataFrame:
+    """The category that drove a listing stamped as parent into every product of it."""
+    nations = table(spark, base, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    regions = table(spark, base, "region").select("r_regionkey", "r_name")
+    rows = (table(spark, base, "supplier").select("s_suppkey", "s_nationkey").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(regions, F.col("n_regionkey") == F.col("r_regionkey")))
+    rows = rows.withColumn("categories", F.struct(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"),
+                                                  F.lit(None).cast("long").alias("parent_id"), F.lit(None).cast("string").alias("parent_name")))
+    return reshape.stamp_parent(rows, F.col("r_regionkey").cast("long"), "r_name").select(F.col("s_suppkey").alias("product_id"), "categories.*")
+
+
+def image_rows(spark: SparkSession, base: str) -> DataFrame:
+    """Up to three images of every document as indexed rows."""
+    image = lambda i: F.struct((F.col("doc_id") * 10 + i).alias("id"), F.concat_ws("/", "source", i.cast("string")).alias("full_path"))
+    rows = table(spark, base, "documents").where("doc_id % 4 > 0").select(
+        "doc_id", F.transform(F.sequence(F.lit(1).cast("long"), F.col("doc_id") % 4), image).alias("images"))
+    return reshape.explode_images(rows, key="doc_id").select("doc_id", F.col("idx"), F.col("id").alias("image_id"), "full_path")
+
+
+def map_columns(spark: SparkSession, base: str) -> DataFrame:
+    """V8: how often each user did what, from a map to columns."""
+    counts = table(spark, base, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    maps = counts.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("m"))     # a row per kind of event
+    return reshape.map_to_columns(maps, "m", ["click", "view", "error"], "n_").drop("m")
+
+
+def table_if_absent(spark: SparkSession, base: str) -> DataFrame:
+    """K1: a table is created where there is none and left alone where there is one."""
+    rows, path = table(spark, base, "nation").select("n_nationkey", "n_name"), scratch_path(spark, "created")
+    upsert.ensure_table(spark, path, rows.schema)
+    rows.write.mode("append").parquet(path)
+    upsert.ensure_table(spark, path, rows.schema)
+    return spark.read.parquet(path)
+
+
+def hashed_totals(spark: SparkSession, base: str) -> DataFrame:
+    """M1, hashed form: the counts of a document's features add up to its tokens, whatever terms share a feature."""
+    from pyspark.ml.functions import vector_to_array
+    d = table(spark, base, "documents").select("doc_id", tx.tokenize(tx.clean_base("text")).alias("tokens"))
+    raw = vector_to_array("raw_features")
+    found = recommend.tfidf_vectors(d, "tokens", num_features=1 << 12)
+    return found.select("doc_id", F.aggregate(raw, F.lit(0.0), lambda a, x: a + x).cast("long").alias("n_tokens"))
+
+
+def cluster_violations(spark: SparkSession, base: str) -> DataFrame:
+    """M5: vectors, clusters used, and vectors that lie nearer to another cluster's centre than to their own (none)."""
+    from pyspark.ml.functions import array_to_vector
+    v = cut_lineage(table(spark, base, "embeddings").select(F.col("vec_id").alias("id"), vx.as_double("embedding").alias("vec"),
+                                                            array_to_vector("embedding").alias("features")), "cluster-vectors")
+    model = recommend.fit_clusters(v, "features", 3)
+    centres = [F.array(*[F.lit(float(x)) for x in c]) for c in model.stages[-1].clusterCenters()]      # three
+    distances = F.array(*[vx.sq_l2("vec", c) for c in centres])
+    own = F.element_at(distances, F.col("prediction") + 1)
+    return model.transform(v).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("prediction").alias("n_clusters"),
+                                  F.count_if(own > F.array_min(distances) + 1e-9).alias("n_violations"))
+
+
+def word2vec_coverage(spark: SparkSession, base: str) -> DataFrame:
+    """M4: a product has a vector other than zero exactly if one of its words occurs five times or more."""
+    from pyspark.ml.functions import vector_to_array
+    names = standins.product_rows(spark, base).select("id", tx.clean_name("name").alias("name"))
+    toks = cut_lineage(filters.has_tokens(names.withColumn("tokens", tx.tokenize("name")), "tokens"), "name-tokens")
+    model = recommend.fit_word2vec(toks, "tokens", "features", size=16)
+    return model.transform(toks).select("id", F.exists(vector_to_array("features"), lambda x: x != 0).alias("has_vector"))
+
+
 def images_and_specs(spark: SparkSession, base: str) -> DataFrame:
     """P17 + P18: attribute lists of products as one row per (spec, attribute), the last of repeated ones."""
     attribute = lambda c, v: F.struct(F.lit(c).alias("code"), v.cast("string").alias("value"))
@@ -220,7 +305,8 @@ def reviews_table(spark: SparkSession, base: str) -> DataFrame:
 
 COVERAGE_QUERIES = {q.__name__: q for q in (
     csv_round_trip, csv_inferred, json_payloads, wordlist, token_counts, plain_names, html_parts, binary_cells, stamped_defaults,
-    reviews_normalized, images_and_specs, pair_of_one, backfill_bounds, random_backfill, recommend_texts, compounds, segmented, knn_queries, similar_names, keyed_table_merge,
+    reviews_normalized, images_and_specs, pair_of_one, backfill_bounds, random_backfill, recommend_texts, compounds, segmented,
+    reviews_payload, parent_stamped, image_rows, map_columns, table_if_absent, hashed_totals, cluster_violations, word2vec_coverage, knn_queries, similar_names, keyed_table_merge,
     snapshot_written, reviews_simple, reviews_table)}
 
 
@@ -230,7 +316,7 @@ def sentiment_label_sql(rating: str) -> str:
 
 
 def coverage_oracles() -> dict[str, str]:
-    from reviewlake.plans.oracles import PRODUCT_TERMS, clean_base, decode_entities
+    from reviewlake.plans.oracles import PRODUCT_TERMS, PRODUCTS, clean_base, clean_name, decode_entities
     _COMPOUNDS = f"""WITH RECURSIVE t AS (SELECT doc_id, [x FOR x IN string_split({clean_base('text')}, ' ') IF x <> ''] AS t FROM documents),
 u AS (SELECT x, count(*) AS n FROM (SELECT unnest(t) AS x FROM t) GROUP BY x),
 z AS (SELECT CAST(sum(n) AS DOUBLE) AS z FROM u),
@@ -264,6 +350,26 @@ SELECT page_id, CAST(idx AS INTEGER) AS idx, replace({decode_entities('x')}, '\\
 CASE WHEN p_size % 3 > 0 THEN p_brand ELSE '' END AS brand_name FROM part""",
         "reviews_normalized": """SELECT doc_id AS id, CAST(doc_id % 6 AS DOUBLE) AS score, CASE WHEN doc_id % 5 = 0 THEN doc_id ELSE 0 END AS author_id,
 CASE doc_id % 5 WHEN 0 THEN 'n' WHEN 2 THEN 'x' ELSE '' END AS author_name, 0 AS n_images FROM documents WHERE doc_id % 5 <> 3""",
+        "reviews_payload": """WITH k AS (SELECT *, doc_id % 4 AS k FROM documents)
+SELECT doc_id AS id, CASE k WHEN 0 THEN lang WHEN 1 THEN NULL ELSE '' END AS title, '' AS content, CAST(0 AS BIGINT) AS thank_count,
+CAST(doc_id % 6 AS DOUBLE) AS rating, CAST(doc_id % 6 AS DOUBLE) AS score, CAST(CASE WHEN k = 2 THEN 1 ELSE 0 END AS INTEGER) AS n_images,
+CASE WHEN k = 3 THEN 0 ELSE doc_id END AS author_id, CASE k WHEN 0 THEN lang WHEN 1 THEN NULL ELSE '' END AS author_name,
+CASE k WHEN 0 THEN source WHEN 1 THEN NULL ELSE '' END AS author_region, '' AS author_full_name, '' AS author_joined_time,
+CASE k WHEN 0 THEN 'true' ELSE '' END AS author_purchased, CAST(CASE k WHEN 0 THEN 7 ELSE 0 END AS BIGINT) AS author_purchased_at,
+CAST(CASE WHEN k < 2 THEN n_chars ELSE 0 END AS BIGINT) AS author_total_review, CAST(0 AS BIGINT) AS author_total_thank FROM k""",
+        "parent_stamped": """SELECT s_suppkey AS product_id, CAST(n_nationkey AS BIGINT) AS id, n_name AS name, CAST(r_regionkey AS BIGINT) AS parent_id,
+r_name AS parent_name FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey""",
+        "image_rows": """SELECT doc_id, CAST(i - 1 AS INTEGER) AS idx, doc_id * 10 + i AS image_id, source || '/' || i AS full_path
+FROM (SELECT doc_id, source, unnest(range(1, doc_id % 4 + 1)) AS i FROM documents)""",
+        "map_columns": """SELECT user_id, """ + ", ".join(
+            f"nullif(count(*) FILTER (event_type = '{k}'), 0) AS n_{k}" for k in ("click", "view", "error")) + " FROM events GROUP BY user_id",
+        "table_if_absent": "SELECT n_nationkey, n_name FROM nation",
+        "hashed_totals": f"SELECT doc_id, CAST(len(string_split({clean_base('text')}, ' ')) AS BIGINT) AS n_tokens FROM documents",
+        "cluster_violations": "SELECT count(*) AS n, CAST(least(3, count(*)) AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_violations FROM embeddings",
+        "word2vec_coverage": f"""WITH {PRODUCTS.strip()},
+t AS (SELECT id, unnest(string_split({clean_name('name')}, ' ')) AS w FROM products),
+n AS (SELECT w, count(*) AS n FROM t GROUP BY w)
+SELECT id, bool_or(n >= 5) AS has_vector FROM t JOIN n USING (w) GROUP BY id""",
         "images_and_specs": """SELECT p_partkey AS id, 'main:brand' AS spec, p_type AS value FROM part
 UNION ALL SELECT p_partkey, 'main:size', CAST(p_size AS VARCHAR) FROM part""",
         "pair_of_one": """SELECT b.vec_id AS id2, round(list_sum([CAST(x[1] AS DOUBLE) * CAST(x[2] AS DOUBLE) FOR x IN list_zip(a.embedding, b.embedding)]), 6) AS dot

@@ -37,7 +37,6 @@ BUCKET_TOKENS = 3 << 18
 HOT = 4096
 #: Hashes of the end token and of the start context; no word has them but by chance.
 END, START = np.uint64(0x3C79AC492BA7B653), np.uint64(0xD3833E804F4C574B)
-_FOLLOWER_BITS = np.uint64(24)
 
 
 def _land_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +129,7 @@ def _send_bigrams(n_buckets: int, hot: np.ndarray):
             for k, own in _bigram_parts(b, context, token, hot, n_buckets):
                 first, length = runs(context[own])
                 parts.append((k, pack(deltas(b.context_hashes()[context[own][first]]), length.astype(np.uint32),
-                                      b.vocabulary[token[own]] >> _FOLLOWER_BITS, count[own].astype(np.uint32))))
+                                      b.vocabulary[token[own]], count[own].astype(np.uint32))))
             yield _sent(row["block"], parts)
     return run
 

@@ -54,6 +54,41 @@ def test_exact_dedup_kept_rows_have_all_columns(docs, rows):
     assert all(r.digest == "extra digest" for r in result)
 
 
+def test_exact_dedup_query_makes_micro_batches_that_meet_the_state(spark, monkeypatch):
+    """The registered query runs in several micro-batches; digests of copies are updated by later ones."""
+    from reviewlake.llm.queries import op6_exact_dedup
+    from reviewlake.session import list_folder
+    made = {}
+    real = stream_dedup.scratch_path
+    monkeypatch.setattr(stream_dedup, "scratch_path", lambda s, name: made.setdefault(name, real(s, name)))
+    rows = op6_exact_dedup(spark, "/root/testdata/sf0.001").collect()
+    assert len([f for f in list_folder(spark, made["dedup-state"]) if f.startswith("batch=")]) >= stream_dedup.MICRO_BATCHES // 2
+    states = spark.read.parquet(made["dedup-state"]).groupBy("digest").agg(
+        F.count(F.lit(1)).alias("n"), F.max("group_size").alias("size")).where("n > 1").collect()
+    assert states and all(r["size"] > 1 for r in states) and sum(r.kept for r in rows) == len({r.text_sha256 for r in rows})
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "unset") == "unset"      # the caller's session is as it was
+
+
+def test_exact_dedup_fails_if_a_locator_is_wrong(docs, monkeypatch):
+    import pytest
+    real = stream_dedup.run_stream
+    shifted = F.col("keep").withField("row", F.col("keep.row") + 1_000_000)
+    monkeypatch.setattr(stream_dedup, "run_stream", lambda *a: real(*a).withColumn("keep", shifted))
+    with pytest.raises(RuntimeError, match="locator"):
+        stream_dedup.deduplicate(docs)
+
+
+def test_exact_dedup_locators_lead_to_the_text(spark):
+    import pyarrow.parquet as pq
+    found = stream_dedup.deduplicate(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect()
+    table = pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    for r in found:
+        path, row = r.locator.rsplit("#", 1)
+        at = table[int(row)]
+        assert path.endswith("documents.parquet") and at["doc_id"] == r.keep_id
+        assert hashlib.sha256(SPACES.sub("", at["text"]).encode()).hexdigest() == r.text_sha256
+
+
 def test_exact_dedup_empty(no_docs):
     assert stream_dedup.deduplicate(no_docs).count() == 0 and stream_dedup.kept_rows(no_docs).count() == 0
 

@@ -170,6 +170,15 @@ def hashed_totals(spark: SparkSession, base: str) -> DataFrame:
     return found.select("doc_id", F.aggregate(raw, F.lit(0.0), lambda a, x: a + x).cast("long").alias("n_tokens"))
 
 
+def name_components(spark: SparkSession, base: str) -> DataFrame:
+    """M2: products, terms of their names, and sums of five principal components that are not 0 (components are centred)."""
+    names = cut_lineage(standins.product_rows(spark, base).select("id", tx.tokenize(tx.clean_name("name")).alias("tokens")), "name-tokens")
+    found = recommend.tfidf_components(names, "id", "tokens", ["small"], k=5)
+    sums = F.array(*[F.sum(F.col("pca_features")[i]) for i in range(5)])
+    n_terms = names.select(F.explode(tx.remove_stopwords("tokens", ["small"])).alias("t")).agg(F.countDistinct("t").alias("n_terms"))
+    return found.agg(F.count(F.lit(1)).alias("n"), F.size(F.filter(sums, lambda x: F.abs(x) > 1e-6)).alias("n_uncentred")).join(n_terms)
+
+
 def cluster_violations(spark: SparkSession, base: str) -> DataFrame:
     """M5: vectors, clusters used, and vectors that lie nearer to another cluster's centre than to their own (none)."""
     from pyspark.ml.functions import array_to_vector
@@ -306,7 +315,7 @@ def reviews_table(spark: SparkSession, base: str) -> DataFrame:
 COVERAGE_QUERIES = {q.__name__: q for q in (
     csv_round_trip, csv_inferred, json_payloads, wordlist, token_counts, plain_names, html_parts, binary_cells, stamped_defaults,
     reviews_normalized, images_and_specs, pair_of_one, backfill_bounds, random_backfill, recommend_texts, compounds, segmented,
-    reviews_payload, parent_stamped, image_rows, map_columns, table_if_absent, hashed_totals, cluster_violations, word2vec_coverage, knn_queries, similar_names, keyed_table_merge,
+    reviews_payload, parent_stamped, name_components, image_rows, map_columns, table_if_absent, hashed_totals, cluster_violations, word2vec_coverage, knn_queries, similar_names, keyed_table_merge,
     snapshot_written, reviews_simple, reviews_table)}
 
 
@@ -365,6 +374,9 @@ FROM (SELECT doc_id, source, unnest(range(1, doc_id % 4 + 1)) AS i FROM document
             f"nullif(count(*) FILTER (event_type = '{k}'), 0) AS n_{k}" for k in ("click", "view", "error")) + " FROM events GROUP BY user_id",
         "table_if_absent": "SELECT n_nationkey, n_name FROM nation",
         "hashed_totals": f"SELECT doc_id, CAST(len(string_split({clean_base('text')}, ' ')) AS BIGINT) AS n_tokens FROM documents",
+        "name_components": f"""WITH {PRODUCTS.strip()},
+t AS (SELECT DISTINCT unnest(string_split({clean_name('name')}, ' ')) AS t FROM products)
+SELECT (SELECT count(*) FROM products) AS n, CAST(0 AS INTEGER) AS n_uncentred, count(*) AS n_terms FROM t WHERE t <> 'small'""",
         "cluster_violations": "SELECT count(*) AS n, CAST(least(3, count(*)) AS BIGINT) AS n_clusters, CAST(0 AS BIGINT) AS n_violations FROM embeddings",
         "word2vec_coverage": f"""WITH {PRODUCTS.strip()},
 t AS (SELECT id, unnest(string_split({clean_name('name')}, ' ')) AS w FROM products),

@@ -14,7 +14,8 @@ from pyspark.ml.feature import IDF, PCA, HashingTF, StandardScaler, StopWordsRem
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.operators import filters, sparse_topn, two_level
+from reviewlake.functions import text as tx
+from reviewlake.operators import filters, sparse_pca, sparse_topn, two_level
 from reviewlake.operators.joins import attach_names, broadcast_if_small
 from reviewlake.operators.topk import RANK_DIGITS
 from reviewlake.session import cut_lineage
@@ -62,8 +63,8 @@ def tfidf_vectors(df: DataFrame, tokens_col: str, num_features: int = 1 << 18) -
 def tfidf_counts(df: DataFrame, tokens_col: str, stopwords: list[str], k: int = 100, n_features: int = 1 << 10) -> DataFrame:
     """M2: stop words removed, term counts + IDF + PCA(k).
 
-    PCA builds a features x features covariance on the driver, so the terms are hashed to a fixed
-    number of features; every term counts, whatever its frequency."""
+    MLlib's PCA builds a features x features covariance on the driver, so here the terms are hashed to a fixed
+    number of features. ``tfidf_components`` has no such limit."""
     pipe = Pipeline(stages=[StopWordsRemover(inputCol=tokens_col, outputCol="filtered", stopWords=stopwords),
                             HashingTF(inputCol="filtered", outputCol="raw_features", numFeatures=n_features),
                             IDF(inputCol="raw_features", outputCol="features"),
@@ -71,6 +72,14 @@ def tfidf_counts(df: DataFrame, tokens_col: str, stopwords: list[str], k: int =
     return pipe.fit(df).transform(df)
 
 
+def tfidf_components(df: DataFrame, id_col: str, tokens_col: str, stopwords: list[str], k: int = 100) -> DataFrame:
+    """M2 for any number of terms: (id, pca_features), the ``k`` principal components of the TF-IDF weights without stop words.
+    No term is hashed together with another (see ``sparse_pca``)."""
+    rows = df.select(id_col, tx.remove_stopwords(tokens_col, stopwords).alias("tokens"))
+    found, _variances = sparse_pca.components(rows, tfidf_terms(rows, id_col, "tokens"), k, id_col)
+    return found
+
+
 def assemble(df: DataFrame, cols: list[str], out: str = "features_vec") -> DataFrame:
     """M3: VectorAssembler."""
     return VectorAssembler(inputCols=cols, outputCol=out).transform(df)

@@ -94,3 +94,32 @@ def test_learned_compounds_and_segmentation(spark):
             at = s + k
         assert got[i] == [*words, *t[at:]]
     assert got[902] == ["máy_tính"] and got[900] == [] and segment.segment(df.where("id < 0"), "tokens", compounds).count() == 0
+
+
+def test_components_of_sparse_rows(spark):
+    """Variance within 1 % of the exact one, scores equal up to sign; a row without terms takes part."""
+    import numpy as np
+
+    from reviewlake.operators import sparse_pca
+    rnd = np.random.default_rng(3)
+    n, terms = 150, 90
+    m = np.where(rnd.random((n, terms)) < 0.15, rnd.random((n, terms)), 0.0)
+    m[:50, :6] += 2 * rnd.random((50, 1))
+    m[60:100, 20:25] += rnd.random((40, 1))
+    m[7] = 0
+    rows = [(int(i), f"t{j}", float(m[i, j])) for i, j in zip(*np.nonzero(m), strict=True)]
+    postings = spark.createDataFrame(rows, "id long, term string, weight double").repartition(4)
+    got, variances = sparse_pca.components(spark.range(n), postings, k=5)
+    centred = m - m.mean(axis=0)
+    u, s, _ = np.linalg.svd(centred, full_matrices=False)
+    exact = s[:5] ** 2 / (n - 1)
+    assert abs(variances.sum() - exact.sum()) <= 0.01 * exact.sum() and np.all(np.abs(variances - exact) <= 0.05 * exact)
+    assert np.all(np.abs(variances - exact)[:2] <= 1e-4 * exact[:2])
+    scores = np.array([r.pca_features for r in got.orderBy("id").collect()])
+    assert scores.shape == (n, 5)
+    for j in range(2):                                          # the planted ones are far apart
+        assert abs(abs(np.corrcoef(scores[:, j], u[:, j] * s[j])[0, 1]) - 1) < 1e-3
+    none, v = sparse_pca.components(spark.range(0), postings.where("id < 0"), k=5)
+    assert none.count() == 0 and len(v) == 0
+    few, v = sparse_pca.components(spark.range(3), postings.where("id < 3"), k=50)
+    assert len(v) <= 2 and few.count() == 3

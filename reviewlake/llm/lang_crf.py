@@ -5,7 +5,8 @@ touch its start or end), its inner byte n-grams, and its entry in a lexicon of t
 in a language; each has a weight per label. Transition weights between the labels of neighbouring
 words are learned from training texts that are cut and joined across languages, as in
 code-switched writing. Forward-backward gives each word's label probabilities; their mean over
-the words with a letter is the text's, and the largest of these is the prediction and its score.
+the words with a letter is the text's, and the largest of these is the prediction and its score. ``label_runs`` gives the
+stretches of a text in one language, word by word.
 
 Long texts are cut into segments whose transfer matrices are multiplied, so the exact messages of
 all segments are computed side by side; nothing is cut off.
@@ -29,7 +30,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.llm.blocks import mix64, slices, words
+from reviewlake.llm.blocks import mix64, slices, utf8, words
+from reviewlake.operators.joins import broadcast_if_small
 
 #: Labelled rows of each language that the model is fitted on, at most.
 TRAIN_DOCS = 200
@@ -223,10 +225,18 @@ def training_rows(docs: DataFrame, learn, train_docs: int = TRAIN_DOCS) -> DataF
     ids = (docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
            .withColumn("at", F.row_number().over(picked)).where(F.col("at") <= train_docs)
            .select(F.col("doc_id").alias("id"), F.col("lang").alias("label")).distinct())
-    return (docs.join(ids, (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("label")))
+    # Texts are not shuffled for these few rows: their measured ids go to the texts.
+    return (docs.join(broadcast_if_small(ids), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("label")))
             .select("doc_id", "text", "lang").dropDuplicates(["doc_id", "lang"]).orderBy("doc_id", "lang"))
 
 
+def _labelled(m: Model, w) -> tuple[np.ndarray, np.ndarray]:
+    """Label probabilities of each word of a block, and whether it has a letter."""
+    inverse, ids, owner, letter = word_features(w, m.lexicon)
+    emission = _sums(m.weights, ids, owner, int(inverse.max()) + 1)[inverse]
+    return marginals(emission, w.counts, m.transitions)[0], letter[inverse]
+
+
 def _label_task(model, text_at: int):
     """text_at: where the struct ``row`` holds the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,13 +249,11 @@ def _label_task(model, text_at: int):
             n_rows, n = block.num_rows, len(m.labels)
             mean = np.zeros((n_rows, n))
             if len(w.starts) and n:
-                inverse, ids, owner, letter = word_features(w, m.lexicon)
-                emission = _sums(m.weights, ids, owner, int(inverse.max()) + 1)[inverse]
-                gamma = marginals(emission, w.counts, m.transitions)[0] * letter[inverse][:, None]
-                row = w.row
+                gamma, letter = _labelled(m, w)
+                gamma, row = gamma * letter[:, None], w.row
                 for i in range(n):
                     mean[:, i] = np.bincount(row, weights=gamma[:, i], minlength=n_rows)
-                mean /= np.maximum(np.bincount(row, weights=letter[inverse], minlength=n_rows), 1)[:, None]
+                mean /= np.maximum(np.bincount(row, weights=letter, minlength=n_rows), 1)[:, None]
             best = mean.argmax(axis=1) if n else np.zeros(n_rows, dtype=int)
             score = np.clip(mean.max(axis=1), 0, 1) if n else np.zeros(n_rows)
             best = np.where(score > 0, best, n)
@@ -277,9 +285,54 @@ def predict(docs: DataFrame, model: Model, carry: list[str] | None = None) -> Da
     return out
 
 
-def learn_and_predict(docs: DataFrame, learn, train_docs: int = TRAIN_DOCS, carry: list[str] | None = None) -> DataFrame:
-    """Fit on the rows that ``learn`` (a Column) allows, predict all: (row, lang_pred, score)."""
+def _runs_task(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: Model = model.value
+        names = np.array(m.labels, dtype=object)
+        for block in slices(batches, "text", BLOCK_BYTES):
+            w = words(block.column("text"), lower=True)
+            if not len(w.starts) or not len(names):
+                continue
+            gamma, letter = _labelled(m, w)
+            spoken = np.flatnonzero(letter > 0)                     # words without a letter belong to no run's ends or score
+            if not len(spoken):
+                continue
+            label, row = gamma[spoken].argmax(axis=1), w.row[spoken]
+            new = np.ones(len(spoken), dtype=bool)
+            new[1:] = (label[1:] != label[:-1]) | (row[1:] != row[:-1])
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(spoken)) - 1
+            data, offsets = utf8(block.column("text"))
+            points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))        # code points before each byte
+            at, of = points[offsets], row[first]
+            yield pa.RecordBatch.from_arrays([
+                block.column("doc_id").take(pa.array(of)), pa.array(points[w.starts[spoken[first]]] - at[of]),
+                pa.array(points[w.ends[spoken[last]]] - at[of]), pa.array(names[label[first]], pa.string()),
+                pa.array(last - first + 1), pa.array(np.add.reduceat(gamma[spoken, label], first) / (last - first + 1))],
+                ["doc_id", "start", "stop", "lang", "n_words", "score"])
+    return run
+
+
+def label_runs(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, start, stop, lang, n_words, score): the stretches of each text in one language, as code-switched texts have.
+
+    Every word with a letter (here also any other character beyond ASCII) gets its most probable label by forward-backward; a run is a longest stretch of such words with
+    one label, from the first to the last of them in code points (end exclusive). The score is the mean probability of the label.
+    Texts without a letter have no runs.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(_runs_task(docs.sparkSession.sparkContext.broadcast(model)),
+                           "doc_id long, start long, stop long, lang string, n_words long, score double")
+
+
+def learn(docs: DataFrame, allowed, train_docs: int = TRAIN_DOCS) -> Model:
+    """The model fitted on the rows that ``allowed`` (a Column) lets it learn from."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                          F.col("lang").cast("string").alias("lang"))
-    rows = training_rows(narrow, learn, train_docs).collect()          # bounded: train_docs rows of each language
-    return predict(docs, fit([r.text for r in rows], [r.lang for r in rows]), carry)
+    rows = training_rows(narrow, allowed, train_docs).collect()        # bounded: train_docs rows of each language
+    return fit([r.text for r in rows], [r.lang for r in rows])
+
+
+def learn_and_predict(docs: DataFrame, allowed, train_docs: int = TRAIN_DOCS, carry: list[str] | None = None) -> DataFrame:
+    """Fit on the rows that ``allowed`` (a Column) lets it learn from, predict all: (row, lang_pred, score)."""
+    return predict(docs, learn(docs, allowed, train_docs), carry)

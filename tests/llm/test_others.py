@@ -417,6 +417,40 @@ def test_secret_empty(no_docs):
     assert secret_scan.summary(secret_scan.scan(no_docs)).count() == 0
 
 
+# Runs of language in code-switched texts
+
+def test_language_runs(spark):
+    """Stretches of planted code-switched texts: their labels, ends in code points, and the words of each."""
+    table = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    rows = table.where("lang IS NOT NULL").collect()
+    model = lang_crf.learn(table, F.col("doc_id") % 2 == 0)
+    by_lang = collections.defaultdict(list)
+    for r in rows:
+        if r.doc_id % 2 and len(r.text.split()) >= 60:
+            by_lang[r.lang].append(r.text.split())
+    langs = [x for x in sorted(by_lang) if x in model.labels][:3]
+    planted = {}
+    for i in range(12):
+        a, b = langs[i % len(langs)], langs[(i + 1) % len(langs)]
+        first, second = by_lang[a][i % len(by_lang[a])][:40], by_lang[b][i % len(by_lang[b])][20:60]
+        planted[i] = (a, b, "é " + " ".join(first), " ".join(second) + " 123 ...")
+    docs = spark.createDataFrame([(i, f"{x}\n{y}") for i, (_, _, x, y) in planted.items()] + [(50, None), (51, ""), (52, "123 ...")],
+                                 "doc_id long, text string").withColumns({c: F.lit("x") for c in ("start", "stop", "lang", "score")})
+    found = lang_crf.label_runs(docs.repartition(3), model).collect()
+    right = total = 0
+    for i, (a, b, x, y) in planted.items():
+        text, own = f"{x}\n{y}", sorted((r for r in found if r.doc_id == i), key=lambda r: r.start)
+        assert all(r.stop <= s.start and r.lang != s.lang for r, s in zip(own, own[1:]))
+        spoken = [w for w in re.finditer(r"[^\x20\x09-\x0D]+", text) if any(c.isalpha() or c > "\x7f" for c in w.group())]
+        assert sum(r.n_words for r in own) == len(spoken) and all(0 < r.score <= 1 + 1e-6 for r in own)
+        for w in spoken:
+            run = next(r for r in own if r.start <= w.start() and w.end() <= r.stop)
+            right += run.lang == (a if w.start() < len(x) else b)
+            total += 1
+        assert own[0].start == spoken[0].start() and own[-1].stop == spoken[-1].end()
+    assert {r.doc_id for r in found} == set(planted) and right / total > 0.85
+
+
 # Pipeline
 
 def test_pipeline_stages(docs, spark):

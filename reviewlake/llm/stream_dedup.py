@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from reviewlake.session import cut_lineage, folder_bytes, scratch_path
 
 #: Micro-batches that the feed makes at least, and most bytes of the feed in one of them.
-MICRO_BATCHES, BATCH_BYTES = 8, 4 << 30
+MICRO_BATCHES, BATCH_BYTES = 3, 4 << 30
 #: State on disk; many small stores, so no space is reserved ahead, and a batch uploads its changes only.
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass":

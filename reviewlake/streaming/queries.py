@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from reviewlake.functions import misc
 from reviewlake.operators.upsert import KeyedTable
 from reviewlake.plans import standins
-from reviewlake.session import cut_lineage
+from reviewlake.session import cut_lineage, state_session
 from reviewlake.sources.tables import table
 from reviewlake.streaming import stateful
 from reviewlake.streaming import streams as st
@@ -88,7 +88,7 @@ def stream_retry(spark: SparkSession, base: str) -> DataFrame:
     payload = F.when(F.col("event_id") % 7 < 4, F.lit("{broken")).otherwise(F.to_json(F.struct("event_id", "event_type")))
     landing = _landed_in_order(events.select(F.col("user_id").alias("id"), F.col("event_id").alias("seq"), payload.alias("value")),
                                "id", "seq", st.scratch(spark, "retry-landing"))
-    raw = st.decode(st.read_topic(spark, "retry", path=landing, max_files_per_trigger=8), "id long, seq long, value string")
+    raw = st.decode(st.read_topic(state_session(spark), "retry", path=landing, max_files_per_trigger=8), "id long, seq long, value string")
     out = st.scratch(spark, "retry-out")
     tried = stateful.retry(raw, "event_id long, event_type string", wait_seconds=24 * 3600)
     stateful.run_until_idle(tried, st.append_sink(out), st.scratch(spark, "retry-checkpoint"))
@@ -99,10 +99,11 @@ def stream_category_feed(spark: SparkSession, base: str) -> DataFrame:
     """What was sent before and what a feed with bounded state sends on; each (id, name) once."""
     events = standins.messages(table(spark, base, "events"))
     history = cut_lineage(events.where("event_id % 5 = 0").select("id", "name").distinct(), "feed-history")
+    own = state_session(spark)
     landing = _landed_in_order(events.where("event_id % 5 > 0"), "id", "event_id", st.scratch(spark, "feed-landing"))
-    raw = st.decode(st.read_topic(spark, "categories", path=landing, max_files_per_trigger=8), st.MESSAGE_SCHEMA)
+    raw = st.decode(st.read_topic(own, "categories", path=landing, max_files_per_trigger=8), st.MESSAGE_SCHEMA)
     out = st.scratch(spark, "feed-out")
-    feed = stateful.bounded_category_feed(raw, ttl_seconds=24 * 3600, history=history)
+    feed = stateful.bounded_category_feed(raw, ttl_seconds=24 * 3600, history=own.read.parquet(*history.inputFiles()))
     stateful.run_until_idle(feed, st.append_sink(out), st.scratch(spark, "feed-checkpoint"))
     return history.unionByName(spark.read.parquet(f"{out}/data").select("id", "name"))
 

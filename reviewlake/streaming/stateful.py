@@ -1,7 +1,7 @@
 """Streams with keyed state, timers and time-to-live (R1 bounded, R9 retry, R6 late rows).
 
-The state lives in Spark's state store (RocksDB), one row per key, and is recovered from the checkpoint when an
-executor or the whole query is lost. Both processors hold a constant amount per key.
+The state lives in Spark's state store (RocksDB, see ``session.state_session``), one row per key, and is recovered from the
+checkpoint when an executor or the whole query is lost. Both processors hold a constant amount per key.
 """
 
 from __future__ import annotations

@@ -170,7 +170,6 @@ def _search_batch(index: TwoLevelIndex, rows: list, k: int, first: int) -> DataF
     qids = np.array([r.qid for r in rows], dtype=np.int64)
     qm = np.array([r.vec for r in rows], dtype=np.float64)
     to_centre = np.sqrt(squared_distances(qm, index.centres))
-    # Nothing is nearer than its distance to the centre less the cluster's radius.
     nearest = np.zeros(to_centre.shape, dtype=bool)
     np.put_along_axis(nearest, np.argsort(to_centre, axis=1)[:, :first], True, axis=1)
 
@@ -182,6 +181,7 @@ def _search_batch(index: TwoLevelIndex, rows: list, k: int, first: int) -> DataF
     begun = cut_lineage(step(nearest, np.full(len(qids), np.inf)), "two-level-first")
     kth = {r.qid: r.score for r in _ranked(begun, k).where(F.col("rank") == k).select("qid", "score").collect()}   # a batch's queries
     bound = np.array([math.sqrt(kth[q]) if q in kth else np.inf for q in qids.tolist()])
+    # Nothing in a cluster is nearer than the distance to its centre less its radius.
     left = ~nearest & (to_centre - index.radius[None, :] <= bound[:, None] + SLACK)
     return begun.unionByName(step(left, bound)) if left.any() else begun
 

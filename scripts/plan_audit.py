@@ -13,6 +13,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from reviewlake.plans.coverage_queries import COVERAGE_QUERIES  # noqa: E402
 from reviewlake.plans.queries import QUERIES  # noqa: E402
 from reviewlake.session import get_spark  # noqa: E402
 
@@ -23,7 +24,7 @@ FLAGS = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "Arro
 def main() -> None:
     base = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_spark("local[8]")
-    for name, fn in QUERIES.items():
+    for name, fn in {**QUERIES, **COVERAGE_QUERIES}.items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(spark, base).explain("formatted")

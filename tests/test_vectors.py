@@ -108,6 +108,59 @@ def test_query_batches_give_the_same_rows(spark):
         assert one == many and len(one) == 1000
 
 
+def test_search_of_many_blocks_and_equal_vectors(spark, monkeypatch):
+    """More blocks than the grid has at first, copies of a vector, ids that repeat or are null, rows without a vector."""
+    rnd = np.random.default_rng(8)
+    mat = rnd.normal(size=(260, 6))
+    mat[100:180] = mat[7]                                        # 81 copies: more than k
+    mat[200] = 0.0
+    monkeypatch.setattr(topk, "BLOCK_VALUES", 30 * 6)
+    v = _vec_df(spark, mat).unionByName(spark.createDataFrame(
+        [(900, None), (901, [float("nan")] * 6), (902, [1.0, None, 0.0, 0.0, 0.0, 0.0])], "id long, vec array<double>"))
+    for metric in ("l2", "cosine", "dot"):
+        got = topk.knn(v, v, 5, metric, block_rows=20).collect()
+        if metric == "l2":
+            s = ((mat[:, None, :] - mat[None, :, :]) ** 2).sum(-1)
+        else:
+            n = np.linalg.norm(mat, axis=1, keepdims=True) if metric == "cosine" else 1.0
+            with np.errstate(invalid="ignore"):
+                u = mat / n
+            s = -(u @ u.T)
+        want = set()
+        for q in range(260):
+            order = sorted((j for j in range(260) if np.isfinite(s[q, j])), key=lambda j: (round(s[q, j], 9), j))[:5]
+            want |= {(q, j, i + 1) for i, j in enumerate(order)}
+        assert {(r.qid, r.id, r["rank"]) for r in got} == want and len(got) == len(want)
+
+
+def test_search_copies_no_row_into_more_blocks_than_the_grid_has(spark):
+    """Before, every vector went to every block of 2048 queries, so shuffled bytes grew with the square of the rows."""
+    assert topk.GRID_QUERIES <= 16 and topk.GRID <= 32
+    v = _vec_df(spark, np.random.default_rng(9).normal(size=(1500, 4)))
+    written = []
+    keep = topk.cut_lineage
+    topk.cut_lineage = lambda df, name: written.append((name, keep(df, name))) or written[-1][1]
+    try:
+        assert topk.knn(v, v, 3, block_rows=10).count() == 4500
+    finally:
+        topk.cut_lineage = keep
+    grid = dict(written)["knn-grid"].first()
+    assert (grid["_bq"], grid["_bv"]) == (16, 2)
+
+
+def test_scores_of_far_and_large_vectors(spark):
+    """Single precision only filters: lengths that differ by many orders and near ties come out in exact order."""
+    rnd = np.random.default_rng(10)
+    mat = np.concatenate([rnd.normal(size=(40, 3)) * 1e-4, rnd.normal(size=(40, 3)), 3 + rnd.normal(size=(40, 3)) * 1e-7, rnd.normal(size=(4, 3)) * 1e18])
+    v = _vec_df(spark, mat)
+    got = topk.knn(v, v, 6).collect()
+    with np.errstate(over="ignore"):
+        d = ((mat[:, None, :] - mat[None, :, :]) ** 2).sum(-1)
+    for q in range(len(mat)):
+        have = [r.id for r in sorted((r for r in got if r.qid == q), key=lambda r: r["rank"])]
+        assert have == sorted(range(len(mat)), key=lambda j: (round(d[q, j], 9), j))[:6]
+
+
 def test_top_similar_matches_pairs(spark):
     w = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0), (2, "a", 1.0), (3, "b", 1.0), (3, "c", 5.0),
                                (4, "c", 1.0), (5, "z", 0.0), (6, "z", 3.0)], "id long, term string, weight double")

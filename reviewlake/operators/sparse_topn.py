@@ -1,7 +1,8 @@
 """The n rows with the largest sparse dot product, for a table of query rows.
 
-Rows are postings ``(id, term, weight)`` with weights of at least 0 (as tf-idf has). The join is by term,
-never block against block, and is pruned per query by upper bounds:
+Rows are postings ``(id, term, weight)`` with weights of at least 0 (as tf-idf has). There are two exact ways.
+
+Where few pairs of rows can be among the n best, a join by term, pruned per query by upper bounds:
 
 1. every term keeps its largest weight and its ``champions``, the few rows where it weighs most;
 2. the n-th best of a query's scores over champions alone is a lower bound of its real n-th best score;
@@ -14,22 +15,93 @@ never block against block, and is pruned per query by upper bounds:
 
 So a row that belongs to the n best is never lost. Postings of a term with more than ``PART_ROWS`` rows are
 dealt into parts by the hash of their id, and the query's side is repeated for each part, so no term is one task's work.
-All of it is built-in DataFrame operations.
+
+Where the join would write more pairs than ``PAIRS_PER_POSTING`` for each posting, query rows and rows are dealt
+into the blocks of a grid by the hash of their id. For every pair of blocks one task holds the postings of a block of rows
+by term, and adds up the scores of one query at a time over the postings of its terms; no pair of rows is shuffled.
+Of each query only the n best of a block leave the task. Blocks are made so that their postings fit a task
+(``BLOCK_POSTINGS``) and are otherwise a fixed number, so what is shuffled grows with the postings, whatever terms rows share.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.operators.topk import RANK_DIGITS
-from reviewlake.session import cut_lineage
+from reviewlake.session import cut_lineage, ship_package
 
 PART_ROWS = 100_000
 #: Champions that a term keeps for each row asked for.
 CHAMPIONS = 4
 #: Scores are ranked after rounding; bounds leave this much to spare, and this share of themselves.
 SLACK, SLACK_SHARE = 1e-8, 1e-9
+#: Pairs that the join may write for each posting, and those that it always may.
+PAIRS_PER_POSTING, FEW_PAIRS = 2, 1_000_000
+#: Postings of a block of rows, and of a block of queries, that a task holds; those under which a block is not cut.
+BLOCK_POSTINGS, SMALL_POSTINGS = 1 << 22, 20_000
+#: Blocks of queries, and pairs of blocks, that the work is dealt into when memory asks for no more.
+GRID_QUERIES, GRID = 16, 48
+
+def _by_row(ids: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Postings by id and term; those that repeat both are added up."""
+    order = np.lexsort((terms, ids))
+    ids, terms, weights = ids[order], terms[order], weights[order]
+    new = np.ones(len(ids), dtype=bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (terms[1:] != terms[:-1])
+    start = np.flatnonzero(new)
+    return ids[start], terms[start], np.add.reduceat(weights, start) if len(start) else weights
+
+
+def _best_of(scores: np.ndarray, ids: np.ndarray, own: int, n: int, shared) -> np.ndarray:
+    """Places of the n best rows; ``shared`` gives the rows that share a term, for those that score 0."""
+    found = np.flatnonzero(scores > SLACK)
+    if len(found) <= n:
+        found = shared()
+    if len(found) > 4 * n + 4:
+        held = scores[found]
+        found = found[held >= np.partition(held, len(held) - n - 1)[len(held) - n - 1] - SLACK]
+    found = found[ids[found] != own]
+    order = np.lexsort((ids[found], -np.round(scores[found], RANK_DIGITS)))
+    return found[order[:n]]
+
+
+def block_best(q: tuple, v: tuple, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(id1, ids, scores) of every query row. ``q`` and ``v``: ids, numbered terms and weights of postings."""
+    qi, qt, qw = _by_row(*q)
+    vi, vt, vw = _by_row(*v)
+    ids, row = np.unique(vi, return_inverse=True)
+    order = np.argsort(vt, kind="stable")
+    row, vt, vw = row[order], vt[order], vw[order]
+    low, high = np.searchsorted(vt, qt), np.searchsorted(vt, qt, side="right")
+    first = np.flatnonzero(np.diff(qi, prepend=qi[:1] - 1)) if len(qi) else []
+    scores = np.zeros(len(ids))
+    for a, b in zip(first, [*first[1:], len(qi)], strict=True):
+        spans = [(i, low[i], high[i]) for i in range(a, b) if low[i] < high[i]]
+        if not spans:
+            continue
+        scores[:] = 0.0
+        for i, s, e in spans:
+            scores[row[s:e]] += qw[i] * vw[s:e]               # a row holds a term once
+        best = _best_of(scores, ids, qi[a], n, lambda spans=spans: np.unique(np.concatenate([row[s:e] for _, s, e in spans])))
+        if len(best):
+            yield int(qi[a]), ids[best], scores[best]
+
+
+def _block_task(n: int):
+    def run(table: pa.Table) -> pa.Table:
+        term = pa.chunked_array(table.column("term")).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        side = table.column("side").to_numpy()
+        columns = table.column("id").to_numpy(), term, table.column("weight").to_numpy()
+        found = list(block_best(*(tuple(c[side == i] for c in columns) for i in (0, 1)), n))
+        id1 = np.repeat(np.array([x[0] for x in found], dtype=np.int64), [len(x[1]) for x in found])
+        return pa.table({"id1": id1, "id2": np.concatenate([x[1] for x in found] or [np.empty(0, dtype=np.int64)]),
+                         "score": np.concatenate([x[2] for x in found] or [np.empty(0)])})
+    return run
 
 
 def _dot() -> Column:
@@ -53,7 +125,12 @@ def top_similar(weights: DataFrame, id_col: str, n: int, queries: DataFrame | No
     asked = w if queries is None else w.join(queries.select(F.col(id_col).cast("long").alias("id")).distinct(), "id", "left_semi")
     parts = F.ceil(F.col("df") / part_rows).cast("int").alias("parts")
     q = cut_lineage(asked.select(F.col("id").alias("id1"), "term", F.col("weight").alias("qweight")).join(
-        terms.select("term", "most", parts), "term"), "query-terms")
+        terms.select("term", "df", "most", parts), "term"), "query-terms")
+    size = q.agg(F.count(F.lit(1)).alias("n"), F.sum(F.least(F.col("df"), F.lit(CHAMPIONS * n))).alias("champions")).first()
+    n_rows = w.count()
+    most_pairs = max(FEW_PAIRS, PAIRS_PER_POSTING * n_rows)
+    if (size.champions or 0) > most_pairs:
+        return _blocked(w, q, n, n_rows, size.n)
 
     # Lower bound of each query's n-th best score, from champions.
     best = Window.partitionBy("term").orderBy(F.col("weight").desc(), "id")
@@ -69,6 +146,8 @@ def top_similar(weights: DataFrame, id_col: str, n: int, queries: DataFrame | No
     split = cut_lineage(split.withColumn("passed", F.coalesce(F.col("reach") < F.col("bound"), F.lit(False))), "query-terms-split")
     rest = split.where("passed").groupBy("id1").agg(F.max("reach").alias("more"), F.max("bound").alias("bound"))
 
+    if (split.where("NOT passed").agg(F.sum("df")).first()[0] or 0) > most_pairs:
+        return _blocked(w, q, n, n_rows, size.n)
     lists = split.where("NOT passed").selectExpr("id1", "term", "qweight", "explode(sequence(0, parts - 1)) AS part")
     dealt = w.join(terms.select("term", parts), "term").select(
         "id", "term", "weight", F.pmod(F.xxhash64("id"), F.col("parts").cast("long")).cast("int").alias("part"))
@@ -81,3 +160,24 @@ def top_similar(weights: DataFrame, id_col: str, n: int, queries: DataFrame | No
             .join(w.withColumnRenamed("id", "id2"), ["id2", "term"]).groupBy("id1", "id2").agg(_dot().alias("added")))
     out = scores.join(full, ["id1", "id2"], "left").select("id1", "id2", (F.col("score") + F.coalesce("added", F.lit(0.0))).alias("score"))
     return out.withColumn("rank", F.row_number().over(_rank("id1"))).where(F.col("rank") <= n)
+
+
+def _blocked(w: DataFrame, q: DataFrame, n: int, n_rows: int, n_asked: int) -> DataFrame:
+    """The n best by blocks. ``w``: postings, ``q``: those of the query rows (id1, term, qweight); with their numbers."""
+    ship_package(w.sparkSession)
+
+    def blocks(postings: int, most: int) -> int:
+        return max(1, min(most, -(-postings // SMALL_POSTINGS)), -(-postings // BLOCK_POSTINGS))
+    bq = blocks(n_asked, GRID_QUERIES)
+    bv = blocks(n_rows, -(-GRID // bq))
+
+    def side(df: DataFrame, which: int, own: int, other: int) -> DataFrame:
+        place = F.pmod(F.xxhash64("id"), F.lit(own).cast("long"))
+        all_of = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(other - 1).cast("long")))
+        qb, vb = ((place, all_of), (all_of, place))[which]
+        return df.where("id IS NOT NULL AND term IS NOT NULL").select(F.lit(which).alias("side"), qb.alias("qb"), vb.alias("vb"), "id", "term", "weight")
+    asked = q.select(F.col("id1").alias("id"), "term", F.col("qweight").alias("weight"))
+    both = side(asked, 0, bq, bv).unionByName(side(w, 1, bv, bq))
+    dealt = both.withColumn("grp", (F.col("qb") * F.lit(bv) + F.col("vb")).cast("int")).drop("qb", "vb").repartitionById(bq * bv, "grp")
+    out = dealt.groupBy("grp").applyInArrow(_block_task(n), "id1 long, id2 long, score double")
+    return out.withColumn("rank", F.row_number().over(_rank("id1"))).where(F.col("rank") <= n)

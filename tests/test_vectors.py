@@ -196,6 +196,34 @@ def test_sparse_top_n_equals_all_pairs(spark, part_rows):
         assert got == want
 
 
+@pytest.mark.parametrize("small", [40, 1 << 20])
+def test_sparse_top_n_by_blocks_equals_all_pairs(spark, monkeypatch, small):
+    """Few kinds of rows, so that most pairs share terms and tie: before, every such pair was written."""
+    rnd = np.random.default_rng(12)
+    n = 150
+    rows = [(i, t, float(x)) for i in range(n) for t, x in (("all", 0.0), (f"a{i % 4}", 1.5), (f"b{rnd.integers(5)}", 0.25 + i % 2))]
+    rows += [(None, "a1", 9.0), (3, "one", 2.0), (5, "one", 1.0), (5, "one", 0.5), (6, "alone", 3.0)]
+    w = spark.createDataFrame(rows, "id long, term string, weight double").repartition(4)
+    m = np.zeros((n, 16))
+    names: dict[str, int] = {}
+    for i, t, x in rows:
+        if i is not None:
+            m[i, names.setdefault(t, len(names))] += x
+    monkeypatch.setattr(sparse_topn, "FEW_PAIRS", 0)
+    monkeypatch.setattr(sparse_topn, "PAIRS_PER_POSTING", 0)
+    monkeypatch.setattr(sparse_topn, "SMALL_POSTINGS", small)
+    written = []
+    keep = sparse_topn.cut_lineage
+    monkeypatch.setattr(sparse_topn, "cut_lineage", lambda df, name: written.append(name) or keep(df, name))
+    dot = m @ m.T
+    for queries, which in ((spark.range(n).where("id % 7 = 0"), range(0, n, 7)), (None, range(n))):
+        for k in (4, n + 5):
+            got = sorted(map(tuple, sparse_topn.top_similar(w, "id", k, queries).select("id1", "rank", "id2").collect()))
+            assert got == [(q, r + 1, j) for q in which for r, j in enumerate(
+                sorted((j for j in range(n) if j != q), key=lambda j: (-round(dot[q, j], 9), j))[:k])]
+    assert "candidates" not in written
+
+
 def test_common_terms_are_passed_over(spark):
     """A term that every row has makes no candidates once rarer terms fill the n best."""
     rows = [(i, "all", 0.01) for i in range(3000)] + [(i, f"g{i // 20}", 1.0) for i in range(3000)]

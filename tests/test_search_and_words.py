@@ -24,6 +24,23 @@ def test_products_of_texts(spark):
     assert filters.find_products(spark.createDataFrame(names, "id long, name string"), none, "name").count() == 0
 
 
+def test_products_of_equal_names_are_searched_once(spark):
+    """Before, every product of a name was a candidate of every text in it; a repeated product lost its name."""
+    names = [(i, ("red box", "blue ring", "hot bolt")[i % 3]) for i in range(300)] + [(1, "blue ring"), (None, "grey cup"), (None, "red box")]
+    texts = [(q, ("ring", "ed", "", "cup", "zzz")[q % 5]) for q in range(100)] + [(0, "bolt")]
+    written = []
+    keep = filters.cut_lineage
+    filters.cut_lineage = lambda df, name: written.append((name, keep(df, name))) or written[-1][1]
+    try:
+        got = filters.find_products(spark.createDataFrame(names, "id long, name string"), spark.createDataFrame(texts, "qid long, text string"), "name")
+        got = sorted(map(tuple, got.collect()))
+    finally:
+        filters.cut_lineage = keep
+    assert got == [(q, (1, 0, 0)[q % 5]) for q in range(100) if q % 5 < 3]
+    sizes = {name: df.count() for name, df in written}
+    assert sizes["product-names"] == 3 and sizes["distinct-texts"] == 6
+
+
 @pytest.mark.parametrize("draws", [0, 7, 2000])
 def test_draws_with_replacement(spark, draws):
     n = 311

@@ -9,8 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -33,44 +32,47 @@ class _Retry(StatefulProcessor):
         self.handle = handle
         self.failed = handle.getValueState("failed", "tries int, seq long, value string")
 
-    def _rows(self, key, out: list[tuple]) -> Iterator[pd.DataFrame]:
-        if out:
-            yield pd.DataFrame([(key[0], *row) for row in out], columns=[self.key, "seq", "value", "state", "tries"])
+    def _rows(self, key, out: list[tuple]) -> Iterator[Row]:
+        row = Row(self.key, "seq", "value", "state", "tries")
+        return (row(key[0], *values) for values in out)
 
     def _failure(self, tries: int, seq: int, value: str | None, out: list[tuple]) -> int:
         """One more failed try; the number that are open after it."""
         out.append((seq, value, SET_ASIDE if tries + 1 >= self.max_tries else AGAIN, tries + 1))
         return 0 if tries + 1 >= self.max_tries else tries + 1
 
-    def _settle(self, tries: int, seq: int, value: str | None, now: int) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+    def _settle(self, known: bool, tries: int, seq: int, value: str | None, now: int) -> None:
+        """A key has a timer when it has state, so a key without (``known``) has none to look for."""
+        if known:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
         if tries:
             self.failed.update((tries, seq, value))
             self.handle.registerTimer(now + self.wait_ms)
-        else:
+        elif known:
             self.failed.clear()
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        tries, seq, value = self.failed.get() if self.failed.exists() else (0, None, None)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        state = self.failed.get()
+        tries, seq, value = state if state is not None else (0, None, None)
         out: list[tuple] = []
-        batch = pd.concat(list(rows)).sort_values("seq", kind="stable")          # a key's messages of one micro-batch
-        for seq, value, good in zip(batch["seq"].tolist(), batch["value"].tolist(), batch["good"].tolist(), strict=True):
-            if good:
+        for row in sorted(rows, key=lambda r: (r["seq"] is None, r["seq"] or 0)):          # a key's messages of one micro-batch
+            seq, value = row["seq"], row["value"]
+            if row["good"]:
                 out.append((seq, value, STORED, tries + 1))
                 tries = 0
             else:
                 tries = self._failure(tries, seq, value, out)
-        self._settle(tries, seq, value, timerValues.getCurrentProcessingTimeInMs())
-        yield from self._rows(key, out)
+        self._settle(state is not None, tries, seq, value, timerValues.getCurrentProcessingTimeInMs())
+        return self._rows(key, out)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.failed.exists():
-            return
-        tries, seq, value = self.failed.get()
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        state = self.failed.get()
         out: list[tuple] = []
-        self._settle(self._failure(tries, seq, value, out), seq, value, timerValues.getCurrentProcessingTimeInMs())
-        yield from self._rows(key, out)
+        if state is not None:
+            tries, seq, value = state
+            self._settle(True, self._failure(tries, seq, value, out), seq, value, timerValues.getCurrentProcessingTimeInMs())
+        return self._rows(key, out)
 
     def close(self) -> None:
         pass
@@ -89,7 +91,7 @@ def retry(messages: DataFrame, schema: T.StructType | str, key: str = "id", max_
     rows = messages.select(F.col(key).cast("long").alias(key), F.col("seq").cast("long").alias("seq"),
                            F.col("value").cast("string").alias("value"))
     rows = rows.withColumn("good", F.col("value").isNotNull() & parse_error("value", schema).isNull())
-    return rows.groupBy(key).transformWithStateInPandas(
+    return rows.groupBy(key).transformWithState(
         _Retry(max_tries, int(wait_seconds * 1000), key), f"{key} long, seq long, value string, state string, tries int",
         "Append", "ProcessingTime")
 
@@ -103,13 +105,12 @@ class _Feed(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.sent = handle.getValueState("sent", "seen boolean", self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         for _ in rows:
             pass
         known = self.sent.exists()
         self.sent.update((True,))
-        if not known:
-            yield pd.DataFrame([key], columns=self.keys)
+        return iter(()) if known else iter((Row(*self.keys)(*key),))
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         self.sent.update((True,))
@@ -131,7 +132,7 @@ def bounded_category_feed(messages: DataFrame, ttl_seconds: float, history: Data
     rows = messages.select(*keys)
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
     start = history.select(*keys).distinct().groupBy(*keys) if history is not None else None
-    return rows.groupBy(*keys).transformWithStateInPandas(
+    return rows.groupBy(*keys).transformWithState(
         _Feed(keys, int(ttl_seconds * 1000)), schema, "Append", "ProcessingTime", start)
 
 

@@ -234,3 +234,16 @@ def test_index_survives_real_messages(spark, tmp_dir):
 
 def test_kafka_options():
     assert st.kafka_options("t", "h:1") == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "latest"}
+
+
+def test_failures_of_a_null_key_are_not_counted_for_another(spark, tmp_dir):
+    """Before, the open failures of messages without a key were taken for those of the next key."""
+    rows = [(None, s, "{broken") for s in range(3)] + [(k, 10 + k, '{"a": 1}') for k in range(60)]
+    from reviewlake.session import state_session
+    messages = spark.createDataFrame(rows, "id long, seq long, value string")
+    landing = st.land_messages(messages.coalesce(1), f"{tmp_dir}/landing")
+    raw = st.decode(st.read_topic(state_session(spark), "retry", path=landing, max_files_per_trigger=8), "id long, seq long, value string")
+    stateful.run_until_idle(stateful.retry(raw, "a long", wait_seconds=3600), st.append_sink(f"{tmp_dir}/out"), f"{tmp_dir}/checkpoint")
+    got = spark.read.parquet(f"{tmp_dir}/out/data")
+    assert got.where("id IS NOT NULL").select(F.min("tries"), F.max("tries"), F.count("*")).first()[:] == (1, 1, 60)
+    assert sorted(r.tries for r in got.where("id IS NULL").collect()) == [1, 2, 3]

@@ -140,3 +140,32 @@ def test_components_of_sparse_rows(spark):
     assert none.count() == 0 and len(v) == 0
     few, v = sparse_pca.components(spark.range(3), postings.where("id < 3"), k=50)
     assert len(v) <= 2 and few.count() == 3
+
+
+def test_pieces_of_words_have_the_runs_of_all_rows(monkeypatch):
+    """Rows of many lengths cut into small pieces, and rows that begin in the middle of a buffer."""
+    import pyarrow as pa
+    rnd = random.Random(3)
+    rows = [[rnd.choice("abcd") for _ in range(rnd.choice((0, 1, 2, 9)))] for _ in range(60)]
+    monkeypatch.setattr(segment, "PIECE_WORDS", 7)
+    column = pa.array([["x"], *rows], pa.list_(pa.string())).slice(1)
+    got, numbers = collections.Counter(), []
+    for row, words, size in segment._pieces(column):
+        numbers.append((row, len(size)))
+        assert len(size) == 1 or size.sum() <= 7
+        for length, at, compound, which, n in segment._runs(words, size, 3):
+            assert len(at) == n.sum() and len(set(compound.to_pylist())) == len(compound)
+            got.update(dict(zip([(length, c) for c in compound.to_pylist()], n.tolist())))
+            assert [compound[w].as_py() for w in which] == ["_".join(words[a + i].as_py() for i in range(length)) for a in at]
+    assert sum(n for _, n in numbers) == 60
+    assert got == collections.Counter((k, "_".join(t[i:i + k])) for t in rows for k in (1, 2, 3) for i in range(len(t) - k + 1))
+
+
+def test_segmentation_shuffles_known_runs_only(spark):
+    """Runs of words are found where the rows lie: none is written out as a row to look it up."""
+    df = spark.createDataFrame([(i, ["x", "a", "b", "c", f"u{i}"]) for i in range(8)], "id long, tokens array<string>")
+    out = segment.segment(df, "tokens", spark.createDataFrame([("a_b", 2, 7), ("b_c", 2, 9), (None, 2, 9)], "compound string, length int, gain long"))
+    assert {tuple(r.words) for r in out.collect()} == {("x", "a", "b_c", f"u{i}") for i in range(8)}
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    learned = {r.compound: r.n for r in segment.learn(df, "tokens", min_gain=1).collect()}
+    assert learned == {"x_a": 8, "a_b": 8, "b_c": 8, "x_a_b": 8, "a_b_c": 8}

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.llm.blocks import (
-    deltas, mix64, ngrams, pack, range_hashes, runs, slices, spread, unpack, words,
+    deltas, mix64, ngrams, pack, range_hashes, records, runs, slices, spread, unpack, words,
 )
 from reviewlake.llm.components import components
 from reviewlake.session import cut_lineage
@@ -220,22 +220,27 @@ def signatures(n: int, tokens: np.ndarray, times: np.ndarray, frequent: int = FR
 
 def _prefix_bucket(frequent: int):
     def run(table: pa.Table) -> pa.Table:
-        node, size, token, times = [], [], [], []
-        for bucket, value in zip(table.column("bucket").to_pylist(), table.column("packed").to_pylist(), strict=True):
-            i, n, count, number, t = unpack(value)
-            node.append(np.repeat(np.cumsum(i, dtype=np.int64), count))
-            size.append(np.repeat(n, count))
-            token.append((np.int64(bucket) << np.int64(32)) + number.astype(np.int64))
+        node, size, held, token, times = [], [], [], [], []
+        for bucket, value in zip(table.column("bucket"), table.column("packed"), strict=True):
+            i, n, count, number, t = unpack(value.as_py())
+            node.append(np.cumsum(i, dtype=np.int64))
+            size.append(n)
+            held.append(count)
+            token.append((np.int64(bucket.as_py()) << np.int64(32)) + number.astype(np.int64))
             times.append(t)
-        node, size, token, times = (np.concatenate(x) for x in (node, size, token, times))
-        order = np.lexsort((token, times, node))
-        node, size, token, times = node[order], size[order], token[order], times[order]
+        # Of each token only its document's number is kept; names and sizes are kept once for each document.
+        node, first, doc = np.unique(np.concatenate(node), return_index=True, return_inverse=True)
+        size, doc = np.concatenate(size)[first], np.repeat(doc.astype(np.int32), np.concatenate(held))
+        token = np.concatenate(token)
+        times = np.concatenate(times)
+        order = np.lexsort((token, times, doc))
         rows = []
-        for s, z in zip(*runs(node), strict=True):
-            n = int(size[s])
-            found = signatures(n, token[s:s + z], times[s:s + z], frequent)
+        ends = np.cumsum(np.bincount(doc, minlength=len(node)))
+        for i, end in enumerate(ends):
+            n, own = int(size[i]), order[ends[i - 1] if i else 0:end]
+            found = signatures(n, token[own], times[own], frequent)
             if found is not None and len(found[0]):
-                rows.append((int(node[s]), n, pack(deltas(np.sort(token[s:s + z]))), *found))
+                rows.append((int(node[i]), n, pack(deltas(np.sort(token[own]))), *found))
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
         return pa.table({"node": pa.array(columns[0], pa.int64()), "n": pa.array(columns[1], pa.int64()),
                          "tokens": pa.array(columns[2], pa.binary()), "signatures": pa.array(columns[3], pa.list_(pa.int64())),
@@ -246,7 +251,7 @@ def _prefix_bucket(frequent: int):
 def _verify_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = [], []
-        for row in batch.to_pylist():
+        for row in records([batch]):
             x, y = (np.cumsum(unpack(row[c])[0]) for c in ("tokens_a", "tokens_b"))
             both = len(np.intersect1d(x, y, assume_unique=True))
             if DEN * both >= NUM * (row["n_a"] + row["n_b"] - both):

@@ -250,3 +250,45 @@ def test_substring_dedup_of_heavy_content(spark, monkeypatch):
 
 def test_substring_dedup_empty(no_docs):
     assert substring_dedup.remove_repeats(no_docs).count() == 0
+
+
+def test_exact_dedup_shuffles_no_text_to_find_its_locator(spark, tmp_path):
+    """Locators stay small enough to broadcast, where a row for each would be too many."""
+    n = 20_000
+    spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("t "), F.when(F.col("id") % 10 == 9, F.col("id") - 1).otherwise(F.col("id"))).alias("text")) \
+        .coalesce(4).write.parquet(f"{tmp_path}/documents")
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        kept = stream_dedup.kept_rows(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(n) if i % 10 != 9]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_prefixes_of_a_bucket_take_few_bytes_a_token():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    from reviewlake.llm.blocks import deltas, pack, unpack
+    n_docs, each = 200, 1500
+    values = []
+    for bucket in range(4):
+        node = np.arange(n_docs, dtype=np.int64) * 3
+        values.append(pack(deltas(node), np.full(n_docs, 4 * each, dtype=np.uint32), np.full(n_docs, each, dtype=np.uint32),
+                           np.tile(np.arange(each, dtype=np.uint32), n_docs), np.full(n_docs * each, n_docs, dtype=np.uint32)))
+    table = pa.table({"bucket": pa.array([0, 1, 2, 3], pa.int32()), "packed": pa.array(values, pa.binary())})
+    run = ngram_join._prefix_bucket(ngram_join.FREQUENT)
+    tracemalloc.start()
+    try:
+        got = run(table)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert got.column("node").to_pylist() == (np.arange(n_docs) * 3).tolist() and set(got.column("n").to_pylist()) == {4 * each}
+    assert all(len(unpack(v.as_py())[0]) == 4 * each for v in got.column("tokens"))
+    assert peak < 48 * 4 * n_docs * each                            # with name and size beside each token: 58

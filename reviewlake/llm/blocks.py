@@ -7,7 +7,8 @@ All functions are pure; Spark partitions and shuffles the work.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +37,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-_HASHED_BYTES = 1 << 20
+_HASHED_BYTES = 1 << 18
 _powers = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
 
 
@@ -73,6 +74,35 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> It
             at = stop
 
 
+def release() -> None:
+    """Gives back to the system what freed arrays left in the process. Python workers are reused and outlive their tasks, so
+    they would hold it beside the memory of the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)          # of glibc only
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The function for ``mapInArrow``, which gives memory back when its input ends."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return task
+
+
+def releasing_group(run: Callable[[tuple, pa.Table], pa.Table]):
+    """The function of key and rows for ``applyInArrow``, which gives memory back after each group."""
+    def group(key: tuple, table: pa.Table) -> pa.Table:
+        try:
+            return run(key, table)
+        finally:
+            release()
+    return group
+
+
 def records(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
     """One row at a time, for rows that hold large values (a whole batch of them would be large in Python)."""
     for batch in batches:

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlake.llm.blocks import mix64, slices, utf8, words
+from reviewlake.llm.blocks import mix64, releasing, slices, utf8, words
 from reviewlake.operators.joins import broadcast_if_small
 
 #: Labelled rows of each language that the model is fitted on, at most.
@@ -280,7 +280,7 @@ def predict(docs: DataFrame, model: Model, carry: list[str] | None = None) -> Da
     out_type = docs.select(F.struct(*columns).alias("row")).schema["row"].dataType.simpleString()
     # A text without a letter needs no labelling; it is judged here and travels as it is.
     whole = docs.select(F.struct(*columns, F.when(spoken, text).alias(_DROPPED)).alias("row"))
-    out = whole.mapInArrow(_label_task(spark.sparkContext.broadcast(model), len(carry)),
+    out = whole.mapInArrow(releasing(_label_task(spark.sparkContext.broadcast(model), len(carry))),
                            f"row {out_type}, lang_pred string, score double")
     return out
 
@@ -321,7 +321,7 @@ def label_runs(docs: DataFrame, model: Model) -> DataFrame:
     Texts without a letter have no runs.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_runs_task(docs.sparkSession.sparkContext.broadcast(model)),
+    return rows.mapInArrow(releasing(_runs_task(docs.sparkSession.sparkContext.broadcast(model))),
                            "doc_id long, start long, stop long, lang string, n_words long, score double")
 
 

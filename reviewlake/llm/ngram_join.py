@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.llm.blocks import (
-    deltas, mix64, ngrams, pack, range_hashes, records, runs, slices, spread, unpack, words,
+    deltas, mix64, ngrams, pack, range_hashes, records, releasing, releasing_group, runs, slices, spread, unpack, words,
 )
 from reviewlake.llm.components import components
 from reviewlake.session import cut_lineage
@@ -48,6 +48,8 @@ NUM, DEN = 4, 5
 #: A token of more documents than this is frequent.
 FREQUENT = 64
 BLOCK_BYTES = 4 << 20
+#: Bytes of a block whose words are hashed at a time.
+SET_BYTES = 1 << 20
 #: Tokens that one bucket of tokens is meant to hold, and documents of one bucket of documents.
 BUCKET_TOKENS = 1 << 20
 BUCKET_DOCS = 4096
@@ -60,7 +62,20 @@ def allowed(n):
 
 
 def token_sets(column: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, token) of the distinct tokens of each text, by row and token, and the tokens of each row."""
+    """(row, token) of the distinct tokens of each text, by row and token, and the tokens of each row.
+
+    The words and their order take many times the room of the tokens, so they are held for a part of the texts at a time.
+    """
+    parts, at = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))], 0
+    for part in slices([pa.RecordBatch.from_arrays([column], ["text"])], "text", SET_BYTES):
+        row, token, n = _token_sets(part.column(0), shingle)
+        parts.append((row + at, token, n))
+        at += part.num_rows
+    row, token, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return row, token, n
+
+
+def _token_sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     w = words(column, lower=True)
     h = w.hashes()
     token, at = ngrams(h, w.first, shingle)
@@ -263,7 +278,7 @@ def _verify_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The (a, b) pairs whose sets are similar."""
     side = lambda c: sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("tokens").alias(f"tokens_{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify_task, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(releasing(_verify_task), "a long, b long")
 
 
 def _leader_pairs(signed: DataFrame) -> DataFrame:
@@ -313,7 +328,7 @@ def join_groups(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     found = cut_lineage(own.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        _sets_task, "doc_id long, text_hash long, n long, s1 long, s2 long"), "sets")
+        releasing(_sets_task), "doc_id long, text_hash long, n long, s1 long, s2 long"), "sets")
     total = found.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("rows")).first()
 
     # A doc_id names its node unless it is null or names rows with different sets.
@@ -329,10 +344,11 @@ def join_groups(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     n_buckets = max(1, -(-(total.tokens or 0) // BUCKET_TOKENS))
     n_doc_buckets = max(1, -(-total.rows // BUCKET_DOCS))
     packed = named(own).select(F.coalesce("doc_id", F.lit(0)).alias("node"), "plain", "text").mapInArrow(
-        _scatter_task(n_buckets), "bucket int, packed binary")
-    shared = packed.groupBy("bucket").applyInArrow(_count_bucket(n_doc_buckets), "docs int, bucket int, packed binary")
+        releasing(_scatter_task(n_buckets)), "bucket int, packed binary")
+    shared = packed.groupBy("bucket").applyInArrow(releasing_group(_count_bucket(n_doc_buckets)), "docs int, bucket int, packed binary")
+    prefixes = _prefix_bucket(frequent)
     sets = cut_lineage(shared.groupBy("docs").applyInArrow(
-        _prefix_bucket(frequent), "node long, n long, tokens binary, signatures array<long>, losses array<int>"), "prefixes")
+        releasing_group(lambda _, table: prefixes(table)), "node long, n long, tokens binary, signatures array<long>, losses array<int>"), "prefixes")
 
     # Of the nodes of one class (a set sent by several tasks) one goes on.
     classes = found.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("set_size"))
@@ -393,4 +409,4 @@ def _with_node(rows: DataFrame) -> DataFrame:
             plain = b.column("plain").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([pa.array(np.where(plain, doc, stand_in(s1, s2))), b.column("n"), b.column("s1"),
                                               b.column("s2")], ["node", "n", "s1", "s2"])
-    return rows.select("doc_id", "n", "s1", "s2", "plain").mapInArrow(run, "node long, n long, s1 long, s2 long")
+    return rows.select("doc_id", "n", "s1", "s2", "plain").mapInArrow(releasing(run), "node long, n long, s1 long, s2 long")

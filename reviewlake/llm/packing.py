@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlake.llm.blocks import slices
+from reviewlake.llm.blocks import releasing, releasing_group, slices
 from reviewlake.session import cut_lineage
 
 WINDOW = 2048
@@ -240,7 +240,7 @@ def pack_documents(docs: DataFrame, window: int = WINDOW, open_windows: int = OP
     schema = _SCHEMA + (", ids array<int>" if with_ids else "")
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pieces = cut_lineage(narrow.mapInArrow(
-        _pack_task(window, open_windows, min_cut, path, end_id, with_ids), schema), "packed")
+        releasing(_pack_task(window, open_windows, min_cut, path, end_id, with_ids)), schema), "packed")
     left = pieces.where("open").withColumn("key", F.floor(F.col("task") / merge_tasks))
-    merged = left.groupBy("key").applyInArrow(_merge_task(window), schema)
+    merged = left.groupBy("key").applyInArrow(releasing_group(_merge_task(window)), schema)
     return pieces.where("NOT open").unionByName(merged).drop("task", "open")

@@ -7,7 +7,10 @@ weight) bounds every score in the block. A query visits blocks by falling bound
 the next bound is below its kth score; a bound equal to it is still visited, for ties.
 
 The query set is met with all rows in blocks: a query batch (bounded rows) meets a shard (a
-bounded number of blocks), which gives at most k rows per query; a window merges the shards.
+bounded number of blocks). Batches and shards are dealt into the groups of a grid whose size doesn't grow
+with the rows. The task of a pair of groups keeps its batches packed and reads its shards one by one; the kth
+scores found so far close blocks of the shards that follow. At most k rows per query leave a task; a window
+merges the groups of shards. Nothing is broadcast, and batches are not copied for every shard.
 
 Defined results: vectors that are null, empty or hold a null or non-finite component, and rows
 with a null id, take no part. Shorter vectors count as padded with zeros. Rows that repeat a
@@ -31,7 +34,13 @@ from reviewlake.session import cut_lineage
 BLOCK_ROWS = 256
 SHARD_ROWS = 16 * BLOCK_ROWS
 BATCH_ROWS = 1024
-_EXACT = 1 << 53
+#: Pairs of groups that the work is dealt into when memory asks for no more.
+GRID = 48
+#: Batches of queries, and packed bytes of them, that a task holds.
+HELD_BATCHES, HELD_BYTES = 128, 32 << 20
+#: Partitions that shards and batches are packed in; beyond them a partition packs more than one, 16 at least.
+RANGES, RANGE_RECORDS = 256, 16
+_EXACT_FLOAT, _EXACT = 1 << 24, 1 << 53
 
 
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int = 64) -> DataFrame:
@@ -76,77 +85,122 @@ def _padded(m: np.ndarray, dim: int) -> np.ndarray:
     return np.pad(m, ((0, 0), (0, dim - m.shape[1])))
 
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b.T in whole numbers: in doubles where these are exact, else in Python's integers."""
+def _kind(a: np.ndarray, b: np.ndarray) -> type:
+    """In which numbers a @ b.T is exact: floats, doubles or else Python's integers."""
     most = int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * max(a.shape[1], 1)
-    if most < _EXACT:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    exact = a.astype(object) @ b.astype(object).T
-    return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
+    return np.float32 if most < _EXACT_FLOAT else np.float64 if most < _EXACT else object
 
 
-def search(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, m: np.ndarray, k: int, block_rows: int) -> tuple:
-    """Top k of the rows of a shard (ids ascending) for each query: (query position, id, score) arrays."""
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a @ b.T of numbers of ``_kind``; Python's integers end as 64 bits."""
+    found = a @ b.T
+    return np.clip(found, -(1 << 63), (1 << 63) - 1).astype(np.int64) if found.dtype == object else found
+
+
+def _merged(parts: list[tuple], n: int, k: int) -> tuple[tuple, np.ndarray]:
+    """The k best of each of ``n`` queries, (query position, id, score) arrays in order, and the kth scores."""
+    who, key, score = (np.concatenate(x) for x in zip(*parts, strict=True))
+    by = np.lexsort((key, -score, who))
+    who, key, score = who[by], key[by], score[by]
+    place = np.arange(len(who)) - np.searchsorted(who, np.arange(n))[who]
+    full = place == k - 1
+    kth = np.full(n, -np.inf)
+    kth[who[full]] = score[full]
+    return tuple(x[place < k] for x in (who, key, score)), kth
+
+
+def search(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, m: np.ndarray, k: int, block_rows: int,
+           best: tuple | None = None) -> tuple:
+    """Top k of the rows of a shard (ids ascending) and of ``best``, what shards before it gave, for each query:
+    (query position, id, score) arrays."""
+    kind = _kind(q, m)
+    q, m = q.astype(kind), m.astype(kind)
     starts = np.arange(0, len(ids), block_rows)
     largest, smallest = np.maximum.reduceat(m, starts), np.minimum.reduceat(m, starts)
     bounds = np.clip(_products(np.maximum(q, 0), largest).astype(np.float64)
                      + _products(np.minimum(q, 0), smallest).astype(np.float64), -2.0**63, 2.0**63)
-    order = np.argsort(-bounds, axis=1, kind="stable")
-    kth = np.full(len(q), -np.inf)
-    best = (np.zeros(0, dtype=np.int64),) * 3
+    best, kth = _merged([best or (np.zeros(0, dtype=np.int64),) * 3], len(q), k)
+    order = np.argsort(-bounds, axis=1, kind="stable") if np.isneginf(kth).any() else np.broadcast_to(
+        np.argsort(-bounds.max(axis=0, initial=-np.inf), kind="stable"), bounds.shape)   # with kth scores, blocks close in any order
+    new, n_new = [], 0
     for rank in range(len(starts)):
         block = order[:, rank]
         open_ = np.flatnonzero(bounds[np.arange(len(q)), block] >= kth)
-        if not len(open_):
-            break
-        found = [best]
         for b in np.unique(block[open_]):
             own = open_[block[open_] == b]
             rows = slice(starts[b], starts[b] + block_rows)
-            score = _products(q[own], m[rows])
-            at, col = np.nonzero((score >= kth[own][:, None]) & (ids[rows][None, :] != query_ids[own][:, None]))
-            found.append((own[at], ids[rows][col], score[at, col]))
-        who, key, score = (np.concatenate(x) for x in zip(*found, strict=True))
-        by = np.lexsort((key, -score, who))
-        who, key, score = who[by], key[by], score[by]
-        first = np.searchsorted(who, np.arange(len(q)))
-        place = np.arange(len(who)) - first[who]
-        full = place == k - 1
-        kth[who[full]] = score[full]
-        best = tuple(x[place < k] for x in (who, key, score))
-    return best
+            score = _products(q if len(own) == len(q) else q[own], m[rows])
+            at, col = np.divmod(np.flatnonzero(score >= kth[own][:, None].astype(score.dtype if kind is not object else np.float64)),
+                                score.shape[1])
+            other = ids[rows][col] != query_ids[own][at]
+            at, col = at[other], col[other]
+            new.append((own[at], ids[rows][col], score[at, col].astype(np.int64)))
+            n_new += len(at)
+        if n_new > len(q):
+            best, kth = _merged([best, *new], len(q), k)
+            new, n_new = [], 0
+    return _merged([best, *new], len(q), k)[0]
 
 
 def _score(k: int, block_rows: int):
+    """For rows in order of their group, batches of queries before shards: the k best of each query in its group."""
+    def best_of(held: list[list]) -> Iterator[pa.RecordBatch]:
+        for dim, packed, best in held:
+            if best is not None:
+                who, key, score = best
+                yield pa.RecordBatch.from_arrays([pa.array(unpack(packed)[0][who]), pa.array(key), pa.array(score)],
+                                                 ["query_id", "id", "score"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, []
         for row in records(batches):
-            qid, q = unpack(row["q_rows"])
-            ids, m = unpack(row["rows"])
-            dim = max(row["q_dim"], row["dim"])
-            q, m = _padded(q.reshape(-1, row["q_dim"]), dim), _padded(m.reshape(-1, row["dim"]), dim)
-            who, key, score = search(qid, q, ids, m, k, block_rows)
-            yield pa.RecordBatch.from_arrays([pa.array(qid[who]), pa.array(key), pa.array(score)],
-                                             ["query_id", "id", "score"])
+            if row["grp"] != group:
+                yield from best_of(held)
+                group, held = row["grp"], []
+            if row["side"] == 0:
+                held.append([row["dim"], row["rows"], None])
+                continue
+            ids, flat = unpack(row["rows"])
+            shard = flat.reshape(-1, row["dim"])
+            for batch in held:
+                qid, q = unpack(batch[1])
+                dim = max(batch[0], row["dim"])
+                batch[2] = search(qid, _padded(q.reshape(-1, batch[0]), dim), ids, _padded(shard, dim), k, block_rows, batch[2])
+        yield from best_of(held)
     return run
 
 
+def _records(rows: DataFrame, most: int, name: str) -> DataFrame:
+    """(part, at, dim, rows): rows packed, with the partition of each record and its place there."""
+    packed = rows.mapInArrow(_matrices(most), "n int, dim int, rows binary")
+    return cut_lineage(packed.select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+                                     .alias("at"), "dim", "rows"), name)
+
+
+def _ranges(n_records: int) -> int:
+    return max(1, min(n_records, max(RANGES, -(-n_records // RANGE_RECORDS))))
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block_rows: int = BLOCK_ROWS,
           shard_rows: int = SHARD_ROWS, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """(query_id, rank, id, score) for (id, v) whole-number vectors and queries of distinct rows."""
     table = cut_lineage(vectors, "vectors")
-    n_ranges = max(1, -(-table.count() // shard_rows))
-    shards = (table.repartitionByRange(n_ranges, "id").sortWithinPartitions("id")
-              .mapInArrow(_matrices(shard_rows), "n int, dim int, rows binary")
-              .withColumn("shard", F.spark_partition_id()))
-    shards = cut_lineage(shards, "shards")
-    last = shards.agg(F.max("shard")).first()[0] or 0
-    queries = queries.groupBy("id").agg(F.min("v").alias("v"))
-    meets = (cut_lineage(queries, "queries").coalesce(max(1, n_ranges // 8))
-             .mapInArrow(_matrices(batch_rows), "n int, dim int, rows binary")
-             .select(F.col("dim").alias("q_dim"), F.col("rows").alias("q_rows"),
-                     F.explode(F.sequence(F.lit(0), F.lit(last))).alias("shard")))
-    found = (meets.join(shards.select("shard", "dim", "rows"), "shard")
-             .select("q_dim", "q_rows", "dim", "rows")
+    n_shards = max(1, -(-table.count() // shard_rows))
+    shards = _records(table.repartitionByRange(_ranges(n_shards), "id").sortWithinPartitions("id"), shard_rows, "shards")
+    queries = cut_lineage(queries.groupBy("id").agg(F.min("v").alias("v")), "queries")
+    asked = _records(queries.coalesce(_ranges(n_shards // 8)), batch_rows, "query-batches")
+    size = asked.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("rows")).alias("bytes")).first()
+    groups = max(1, -(-size.n // HELD_BATCHES), -(-(size.bytes or 0) // HELD_BYTES))
+    shard_groups = min(n_shards, -(-GRID // groups))
+
+    def side(df: DataFrame, which: int, own: int, other: int) -> DataFrame:
+        place = F.pmod(F.col("part") + F.col("at"), F.lit(own))
+        all_of = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(other - 1).cast("long")))
+        qb, vb = ((place, all_of), (all_of, place))[which]
+        return df.select(F.lit(which).alias("side"), qb.alias("qb"), vb.alias("vb"), "dim", "rows")
+    both = side(asked, 0, groups, shard_groups).unionByName(side(shards, 1, shard_groups, groups))
+    dealt = both.withColumn("grp", (F.col("qb") * F.lit(shard_groups) + F.col("vb")).cast("int")).drop("qb", "vb")
+    found = (dealt.repartitionById(groups * shard_groups, "grp").sortWithinPartitions("grp", "side")
              .mapInArrow(_score(k, block_rows), "query_id long, id long, score long"))
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
     return (found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)

@@ -235,6 +235,27 @@ def test_pruning_keeps_ties_and_large_products():
     assert key.tolist() == [0, 1, 2, 4, 5] and set(score.tolist()) == {(1 << 63) - 1}
 
 
+def test_topk_scores_travel_from_shard_to_shard(spark, monkeypatch):
+    """Before, every shard gave k rows of every query, and each shard met its own copy of the batches, which could be broadcast."""
+    r = np.random.default_rng(9)
+    ids, m = np.arange(90), r.integers(-9, 9, (90, 5))
+    best = None
+    for at in range(0, 90, 18):
+        best = block_topk.search(ids[:7], m[:7], ids[at:at + 18], m[at:at + 18], 4, 5, best)
+    want = [(q, i) for q in range(7) for i in sorted((i for i in range(90) if i != q), key=lambda i, q=q: (-(m[q] @ m[i]), i))[:4]]
+    assert list(zip(best[0].tolist(), best[1].tolist(), strict=True)) == want
+
+    rows = [(int(i), [float(x) for x in v]) for i, v in zip(ids, m, strict=True)]
+    v = block_topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "vec_id", "embedding")
+    monkeypatch.setattr(block_topk, "HELD_BATCHES", 2)
+    monkeypatch.setattr(block_topk, "GRID", 6)
+    monkeypatch.setattr(block_topk, "RANGES", 2)
+    found = block_topk.top_k(v, v.where("id % 20 = 0"), 4, 2, 3, 1)
+    assert {tuple(x) for x in found.collect()} == brute_top(rows, 4)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "MapInArrow" in plan
+
+
 # Language model
 
 def test_lm_equals_brute_force(docs, rows):

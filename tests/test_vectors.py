@@ -224,6 +224,43 @@ def test_sparse_top_n_by_blocks_equals_all_pairs(spark, monkeypatch, small):
     assert "candidates" not in written
 
 
+def test_rows_of_equal_weights_meet_as_one(spark, monkeypatch):
+    """Before, every row added up the postings of all rows, also of those that are alike."""
+    rows = [(i, t, x) for i in range(400) for t, x in ((f"a{i % 3}", 1.5), (f"b{i % 5}", 0.25), ("all", 0.5))]
+    w = spark.createDataFrame(rows, "id long, term string, weight double").repartition(4)
+    monkeypatch.setattr(sparse_topn, "FEW_PAIRS", 0)
+    monkeypatch.setattr(sparse_topn, "PAIRS_PER_POSTING", 0)
+    written, keep = {}, sparse_topn.cut_lineage
+    monkeypatch.setattr(sparse_topn, "cut_lineage", lambda df, name: written.setdefault(name, keep(df, name)))
+    got = sorted(map(tuple, sparse_topn.top_similar(w, "id", 4).select("id1", "rank", "id2").collect()))
+    score = [[(i % 3 == j % 3) * 2.25 + (i % 5 == j % 5) * 0.0625 for j in range(15)] for i in range(15)]
+    assert got == [(i, r + 1, j) for i in range(400) for r, j in enumerate(
+        sorted((j for j in range(400) if j != i), key=lambda j, i=i: (-score[i % 15][j % 15], j))[:4])]
+    assert written["classes"].count() == 15 * 3
+
+
+def test_long_lists_are_looked_up_once_the_best_are_found(monkeypatch):
+    """Before, a query added up all its postings, and read a score of every row."""
+    rnd = np.random.default_rng(3)
+    n = 4000
+    rows = {(i, int(t)): float(x) for i in range(n) for t, x in [(0, 0.01 * (1 + i % 7)), (1 + rnd.integers(3), 0.3),
+            *((10 + (i + k * 97) % 250, 2.0 + rnd.integers(5)) for k in range(2))]}
+    posted = tuple(np.array(x) for x in zip(*((i, t, x) for (i, t), x in rows.items()), strict=True))
+    asked = tuple(x[posted[0] % 41 == 0] for x in posted)
+    found, keep = [], sparse_topn._best_rows
+    monkeypatch.setattr(sparse_topn, "_best_rows", lambda *x: found.append(keep(*x)) or found[-1])
+    m = np.zeros((n, 260))
+    for (i, t), x in rows.items():
+        m[i, t] = x
+    seen = 0
+    for own, ids, scores in sparse_topn.block_best(asked, posted, 5):
+        dot = m @ m[own]
+        want = sorted(np.flatnonzero(dot), key=lambda j, dot=dot: (-round(dot[j], 9), j))[:5]
+        assert ids.tolist() == want and np.allclose(scores, dot[want])
+        seen += 1
+    assert seen == len(range(0, n, 41)) and sum(len(x[0]) for x in found) < seen * n / 100
+
+
 def test_common_terms_are_passed_over(spark):
     """A term that every row has makes no candidates once rarer terms fill the n best."""
     rows = [(i, "all", 0.01) for i in range(3000)] + [(i, f"g{i // 20}", 1.0) for i in range(3000)]

@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewlake.operators import term_blocks
 from reviewlake.operators.topk import RANK_DIGITS
 from reviewlake.session import cut_lineage, ship_package
 
@@ -148,13 +149,15 @@ def _rank(of: str) -> Window:
     return Window.partitionBy(of).orderBy(F.round("score", RANK_DIGITS).desc(), F.col("id2"))
 
 
-def top_similar(weights: DataFrame, id_col: str, n: int, queries: DataFrame | None = None, part_rows: int = PART_ROWS) -> DataFrame:
+def top_similar(weights: DataFrame | term_blocks.TermBlocks, id_col: str, n: int, queries: DataFrame | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """(id1, id2, score, rank): for every query row id1 the n other rows with the largest dot product.
 
     ``weights``: (id_col, term, weight), one row per id and term, weights >= 0. ``queries``: ids (id_col) of the rows
     to search for; all rows if not given. Ties go to the smaller id. Rows that share no term are not listed; a row that shares
-    only terms of weight 0 has score 0 and is.
+    only terms of weight 0 has score 0 and is. Weights in blocks are searched block by block (``term_blocks``).
     """
+    if isinstance(weights, term_blocks.TermBlocks):
+        return term_blocks.top_similar(weights, n, queries, id_col)
     w = cut_lineage(weights.select(F.col(id_col).cast("long").alias("id"), "term", F.col("weight").cast("double").alias("weight")),
                     "postings")
     terms = w.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("weight").alias("most"))

@@ -428,7 +428,7 @@ def similar_documents(spark, base):
     """M6 / T1 for a table of queries: the top-n other documents by TF-IDF cosine for every document whose
     id is divisible by 50, against all of them."""
     docs = table(spark, base, "documents").select(F.col("doc_id").alias("id"), tx.tokenize("text").alias("tokens"))
-    w = recommend.unit_weights(recommend.tfidf_terms(spread(docs, "id"), "id", "tokens"), "id")
+    w = recommend.unit_weights(recommend.tfidf_terms(spread(docs, "id"), "id", "tokens", packed=True), "id")
     r = sparse_topn.top_similar(w, "id", TFIDF_TOP, docs.where("id % 50 = 0"))
     return r.select("id1", "id2", "rank", F.round("score", 6).alias("score"))
 

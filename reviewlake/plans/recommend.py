@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlake.functions import text as tx
-from reviewlake.operators import filters, sparse_pca, sparse_topn, two_level
+from reviewlake.operators import filters, sparse_pca, sparse_topn, term_blocks, two_level
 from reviewlake.operators.joins import attach_names, broadcast_if_small
+from reviewlake.operators.term_blocks import TermBlocks
 from reviewlake.operators.topk import RANK_DIGITS
 from reviewlake.session import cut_lineage
 
@@ -32,11 +33,20 @@ def term_counts(tokens: Column) -> Column:
     return F.when(F.size(tokens) > 0, counted)
 
 
-def tfidf_terms(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
+#: Rows from which ``tfidf_terms`` may keep postings in blocks.
+PACKED_ROWS = 20_000
+
+
+def tfidf_terms(df: DataFrame, id_col: str, tokens_col: str, packed: bool = False) -> DataFrame | TermBlocks:
     """M1 (term form): (id, term, tf, weight = tf * ln((N+1)/(df+1))); one row of ``df`` per id.
 
     Terms are counted inside their row; document frequency is one aggregate by term (combined in each
-    task), joined back by term, where AQE broadcasts a small side or splits a frequent term."""
+    task), joined back by term, where AQE broadcasts a small side or splits a frequent term.
+
+    With ``packed``, many rows of distinct ids become ``TermBlocks``, for ``unit_weights`` and ``top_similar``."""
+    if packed and (n_rows := df.count()) > PACKED_ROWS and df.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(
+            F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return term_blocks.build(df, id_col, tokens_col, n_rows)
     tf = df.select(id_col, F.inline(term_counts(F.filter(tokens_col, lambda x: x.isNotNull()))))
     n_docs = df.select(F.count(F.lit(1))).scalar()
     idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -44,9 +54,11 @@ def tfidf_terms(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     return tf.join(idf, "term").select(id_col, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight"))
 
 
-def unit_weights(weights: DataFrame, id_col: str) -> DataFrame:
+def unit_weights(weights: DataFrame | TermBlocks, id_col: str) -> DataFrame | TermBlocks:
     """Term weights divided by the length of their row's vector, so that dot products are cosines; rows of
     length 0 keep weights of 0."""
+    if isinstance(weights, TermBlocks):
+        return weights.unit_weights()
     length = weights.groupBy(id_col).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
     return weights.join(length, id_col).select(
         id_col, "term", F.when(F.col("length") > 0, F.col("weight") / F.col("length")).otherwise(F.lit(0.0)).alias("weight"))

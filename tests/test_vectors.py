@@ -261,6 +261,30 @@ def test_long_lists_are_looked_up_once_the_best_are_found(monkeypatch):
     assert seen == len(range(0, n, 41)) and sum(len(x[0]) for x in found) < seen * n / 100
 
 
+def test_documents_in_blocks_equal_rows_of_postings(spark, monkeypatch):
+    """Before, all postings were shuffled by term and by id, and copied for every block of queries."""
+    from reviewlake.operators import term_blocks
+    rnd = np.random.default_rng(8)
+    rows = [(i, ["every", *(f"w{x}" for x in rnd.zipf(1.4, int(rnd.integers(3, 40))) % 500)]) for i in range(300)]
+    rows += [(300, []), (301, None), (302, ["every"]), (303, ["every", None, ""]), (None, ["every", "w1"]), (304, ["é", "w1", "w1"]),
+             (350, ["every"]), (351, ["none"])]
+    docs = spark.createDataFrame(rows, "id long, tokens array<string>").repartition(3)
+    monkeypatch.setattr(recommend, "PACKED_ROWS", 10)
+    monkeypatch.setattr(term_blocks, "BLOCK_TOKENS", 500)
+    monkeypatch.setattr(term_blocks, "BATCH", 7)
+    monkeypatch.setattr(term_blocks, "ASKED_POSTINGS", 300)
+    for queries in (spark.range(400).where("id % 50 = 0"), None):
+        got = []
+        for packed in (False, True):
+            w = recommend.unit_weights(recommend.tfidf_terms(docs, "id", "tokens", packed=packed), "id")
+            assert isinstance(w, term_blocks.TermBlocks) == packed
+            found = sparse_topn.top_similar(w, "id", 6, queries).select("id1", "rank", "id2", F.round("score", 6).alias("score"))
+            got.append(sorted(map(tuple, found.collect())))
+        assert got[0] == got[1] and len(got[0]) > 30
+    twice = docs.unionByName(docs.where("id = 3"))
+    assert isinstance(recommend.tfidf_terms(twice, "id", "tokens", packed=True), type(twice))
+
+
 def test_common_terms_are_passed_over(spark):
     """A term that every row has makes no candidates once rarer terms fill the n best."""
     rows = [(i, "all", 0.01) for i in range(3000)] + [(i, f"g{i // 20}", 1.0) for i in range(3000)]
